@@ -1 +1,251 @@
-"""Registered queries."""
+"""Registered scalar-function queries (F01–F19) and run-log folds."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from spark_elt import functions as sf
+from spark_elt.operators import runlog as rl
+from spark_elt.plans import fixtures as fx
+from spark_elt.plans.oracle_views import with_views
+from spark_elt.plans.q_runlog import DUR_D, _format_duration_d
+from spark_elt.plans.registry import register
+from spark_elt.session import table
+
+
+@register(
+    "format_duration",
+    f"""SELECT event_id, value, {_format_duration_d('value')} AS short, {_format_duration_d('value * 60')} AS medium,
+       {_format_duration_d('value * 3600')} AS long FROM events""",
+)
+def format_duration(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        "event_id", "value",
+        sf.format_duration(F.col("value")).alias("short"),
+        sf.format_duration(F.col("value") * 60).alias("medium"),
+        sf.format_duration(F.col("value") * 3600).alias("long"),
+    )
+
+
+def _fmt_ms_d(x: str) -> str:
+    h = f"({x}) // 3600000"
+    r1 = f"(({x}) - 3600000 * ({h}))"
+    m = f"({r1} // 60000)"
+    r2 = f"({r1} - 60000 * {m})"
+    s = f"({r2} // 1000)"
+    ms = f"({r2} - 1000 * {s})"
+    t = f"({s} * 10 + CAST(floor({ms} / 100 + 0.5) AS BIGINT))"
+    return (
+        f"CASE WHEN ({x}) IS NULL THEN NULL "
+        f"WHEN {h} <> 0 THEN CAST({h} AS VARCHAR) || ':' || lpad(CAST({m} AS VARCHAR), 2, '0') || 'h' "
+        f"WHEN {m} <> 0 THEN CAST({m} AS VARCHAR) || ':' || lpad(CAST({s} AS VARCHAR), 2, '0') || 'm' "
+        f"WHEN {s} <> 0 THEN CAST({t} // 10 AS VARCHAR) || '.' || CAST({t} % 10 AS VARCHAR) || 's' "
+        f"ELSE CAST({ms} AS VARCHAR) || 'ms' END"
+    )
+
+
+@register(
+    "format_duration_ms",
+    f"""SELECT event_id, {_fmt_ms_d('CAST(round(value * 1000) AS BIGINT)')} AS a,
+       {_fmt_ms_d('CAST(round(value * 100000) AS BIGINT)')} AS b,
+       {_fmt_ms_d('CAST(round(value * 10) AS BIGINT)')} AS c FROM events""",
+)
+def format_duration_ms(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    ms = lambda f: F.round(F.col("value") * f).cast("bigint")
+    return e.select(
+        "event_id",
+        sf.format_duration_ms(ms(1000)).alias("a"),
+        sf.format_duration_ms(ms(100000)).alias("b"),
+        sf.format_duration_ms(ms(10)).alias("c"),
+    )
+
+
+def _time_diff_d(a: str, b: str) -> str:
+    m0 = f"((year({b}) - year({a})) * 12 + (month({b}) - month({a})))"
+    mo = f"(CASE WHEN {a} + to_months({m0}) > {b} THEN {m0} - 1 ELSE {m0} END)"
+    secs = f"(date_diff('microsecond', {a} + to_months({mo}), {b}) // 1000000)"
+    parts = [
+        (f"{mo} // 12", "years"), (f"{mo} % 12", "months"), (f"{secs} // 86400", "days"),
+        (f"({secs} % 86400) // 3600", "hours"), (f"({secs} % 3600) // 60", "minutes"),
+    ]
+    items = [f"CASE WHEN ({v}) <> 0 THEN CAST({v} AS VARCHAR) || ' {u}' END" for v, u in parts]
+    items.append(f"CAST({secs} % 60 AS VARCHAR) || ' seconds'")
+    return f"concat_ws(', ', {', '.join(items)})"
+
+
+@register(
+    "format_time_difference",
+    f"""SELECT o_orderkey, {_time_diff_d('o_orderdate', "TIMESTAMP '2001-09-30 12:34:56.5'")} AS since_order,
+       {_time_diff_d('o_orderdate', "o_orderdate + INTERVAL (o_orderkey % 1000) HOUR + INTERVAL (o_orderkey % 61) SECOND")} AS short_gap
+FROM orders""",
+)
+def format_time_difference(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    later = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 1000).cast("int"), F.lit(0),
+                                                       (F.col("o_orderkey") % 61).cast("decimal(18,6)"))
+    return o.select(
+        "o_orderkey",
+        sf.format_time_difference("o_orderdate", F.lit("2001-09-30 12:34:56.5").cast("timestamp_ntz")).alias("since_order"),
+        sf.format_time_difference(F.col("o_orderdate"), later).alias("short_gap"),
+    )
+
+
+MASKS = ["purchase", '"k": 1', "9}"]
+
+
+@register(
+    "mask_secrets",
+    with_views(["node_output"], """SELECT node_output_id,
+  replace(replace(replace(message, 'purchase', '***'), '"k": 1', '***'), '9}', '***') AS message FROM node_output"""),
+)
+def mask_secrets(spark, sf_dir):
+    o = fx.node_output(spark, sf_dir)
+    return o.select("node_output_id", sf.mask_secrets("message", MASKS).alias("message"))
+
+
+@register(
+    "clean_log_lines",
+    """SELECT event_id, message FROM (
+  SELECT event_id, regexp_replace(CASE WHEN event_id % 4 = 0 THEN '   ' || chr(9) ELSE event_type || ' ' || props || '  ' || chr(10) END,
+                                  '\\s+$', '') AS message FROM events) t
+WHERE length(message) > 0""",
+)
+def clean_log_lines(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    raw = F.when(F.col("event_id") % 4 == 0, F.lit("   \t")).otherwise(
+        F.concat(F.col("event_type"), F.lit(" "), F.col("props"), F.lit("  \n"))
+    )
+    return e.select("event_id", sf.clean_message(raw).alias("message")).where(F.length("message") > 0)
+
+
+@register(
+    "sanitize_ids",
+    """SELECT c_custkey, regexp_replace(replace(lower(c_name), '-', '_'), '[^0-9a-z\\-_]+', '', 'g') || '_' ||
+       regexp_replace(replace(lower(c_mktsegment), '-', '_'), '[^0-9a-z\\-_]+', '', 'g') AS task_id FROM customer""",
+)
+def sanitize_ids(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", F.concat_ws("_", sf.sanitize_id("c_name"), sf.sanitize_id("c_mktsegment")).alias("task_id"))
+
+
+@register(
+    "validate_ids",
+    """SELECT p_partkey, lower(p_type) AS node_id, regexp_full_match(lower(p_type), '[a-z0-9_]+') AS is_valid,
+       regexp_full_match(replace(lower(p_type), ' ', '_'), '[a-z0-9_]+') AS is_valid_fixed FROM part""",
+)
+def validate_ids(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    node_id = F.lower("p_type")
+    return p.select(
+        "p_partkey",
+        node_id.alias("node_id"),
+        node_id.rlike("^[a-z0-9_]+$").alias("is_valid"),
+        F.replace(node_id, F.lit(" "), F.lit("_")).rlike("^[a-z0-9_]+$").alias("is_valid_fixed"),
+    )
+
+
+@register(
+    "node_names",
+    with_views(["node_run"], """SELECT node_run_id, coalesce(node_path[-1], 'root') AS node_name,
+       CAST(len(node_path) AS BIGINT) AS depth, array_to_string(node_path[1:1], '/') AS top FROM node_run"""),
+)
+def node_names(spark, sf_dir):
+    nr = fx.node_run(spark, sf_dir)
+    return nr.select(
+        "node_run_id", sf.last_name("node_path").alias("node_name"), F.size("node_path").cast("bigint").alias("depth"),
+        F.array_join(F.slice("node_path", 1, 1), "/").alias("top"),
+    )
+
+
+@register(
+    "events_to_json",
+    """SELECT event_id, '{"event_id":' || event_id || ',"ts":"' ||
+       CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END
+       || '","event_type":"' || event_type || '","value":' || CAST(value AS VARCHAR) || '}' AS json FROM events""",
+)
+def events_to_json(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        "event_id",
+        F.to_json(F.struct("event_id", sf.iso_timestamp("ts").alias("ts"), "event_type", "value")).alias("json"),
+    )
+
+
+@register("run_data_json")
+def run_data_json(spark, sf_dir):
+    """whole node-run rows as JSON text (rows-only check: JSON key order and
+    number formatting differ between engines)."""
+    nr = fx.node_run(spark, sf_dir)
+    return nr.select("node_run_id", F.to_json(F.struct(*nr.columns)).alias("json"))
+
+
+# ---------------------------------------------------------------- folds I14–I19
+
+@register("fold_runs", with_views(["run"], "SELECT run_id, start_time, end_time, succeeded FROM run"))
+def fold_runs(spark, sf_dir):
+    return rl.fold_runs(fx.run_events(spark, sf_dir))
+
+
+@register(
+    "fold_node_runs",
+    with_views(["node_run"], """SELECT node_run_id, run_id, array_to_string(node_path, '/') AS node_path, start_time,
+       end_time, succeeded, is_pipeline FROM node_run"""),
+)
+def fold_node_runs(spark, sf_dir):
+    return rl.fold_node_runs(fx.run_events(spark, sf_dir)).withColumn("node_path", F.array_join("node_path", "/"))
+
+
+@register(
+    "fold_node_output",
+    with_views(["node_run", "node_output"], """SELECT o.* FROM node_output o JOIN node_run n USING (node_run_id)
+WHERE n.end_time IS NOT NULL"""),
+)
+def fold_node_output(spark, sf_dir):
+    ev = fx.run_events(spark, sf_dir)
+    return rl.fold_node_output(ev, rl.fold_node_runs(ev))
+
+
+NOW = dt.datetime(2024, 1, 31, 0, 0, 0)
+
+
+@register(
+    "close_open_runs",
+    with_views(["node_run"], """SELECT node_run_id, run_id,
+       CASE WHEN run_id = 7 AND end_time IS NULL THEN TIMESTAMP '2024-01-31 00:00:00' ELSE end_time END AS end_time,
+       CASE WHEN run_id = 7 AND end_time IS NULL THEN FALSE ELSE succeeded END AS succeeded FROM node_run"""),
+)
+def close_open_runs(spark, sf_dir):
+    nr = fx.node_run(spark, sf_dir)
+    return rl.close_open_runs(nr, 7, NOW).select("node_run_id", "run_id", "end_time", "succeeded")
+
+
+@register(
+    "retention_prune",
+    with_views(["node_run", "node_output"], """, runs AS (SELECT run_id, min(start_time) AS start_time FROM node_run GROUP BY run_id)
+SELECT 'run' AS tbl, CAST(count(*) AS BIGINT) AS n FROM runs WHERE NOT (start_time + INTERVAL 29 DAY < TIMESTAMP '2024-01-31 00:00:00')
+UNION ALL SELECT 'node_run', count(*) FROM node_run WHERE run_id NOT IN (SELECT run_id FROM runs WHERE start_time + INTERVAL 29 DAY < TIMESTAMP '2024-01-31 00:00:00')
+UNION ALL SELECT 'node_output', count(*) FROM node_output WHERE node_run_id NOT IN (
+  SELECT node_run_id FROM node_run WHERE run_id IN (SELECT run_id FROM runs WHERE start_time + INTERVAL 29 DAY < TIMESTAMP '2024-01-31 00:00:00'))
+UNION ALL SELECT 'system_statistics', count(*) FROM events WHERE NOT (ts + INTERVAL 29 DAY < TIMESTAMP '2024-01-31 00:00:00')""").replace(
+        "node_output AS (", "node_output AS (", 1),
+)
+def retention_prune(spark, sf_dir):
+    """I19 with a 29-day retention at 2024-01-31: row counts of the four kept tables."""
+    nr = fx.node_run(spark, sf_dir)
+    run = nr.groupBy("run_id").agg(F.min("start_time").alias("start_time"))
+    r, n, o, s = rl.retention_prune(run, nr, fx.node_output(spark, sf_dir), fx.system_statistics(spark, sf_dir), 29, NOW)
+    cnt = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tbl"), "n")
+    return cnt(r, "run").unionByName(cnt(n, "node_run")).unionByName(cnt(o, "node_output")).unionByName(
+        cnt(s, "system_statistics")
+    )
+
+
+@register("failure_digest")
+def failure_digest(spark, sf_dir):
+    """One chat message per failed task. The sequential message fold has no
+    plain-SQL form; tests compare it with a Python replay of the fold."""
+    return rl.failure_digest(fx.node_run(spark, sf_dir), fx.node_output(spark, sf_dir))
