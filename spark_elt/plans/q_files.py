@@ -1 +1,346 @@
-"""Registered queries."""
+"""Registered file-load queries.
+
+Each query first writes its own input files from ``events`` into a fresh scratch
+directory under the session's checkpoint folder (daily CSV files, compressed
+variants, archives), then loads them with the library and returns what was loaded.
+The oracle is plain SQL on ``events``."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spark_elt.operators import incremental as inc
+from spark_elt.operators import sinks
+from spark_elt.plans.registry import register
+from spark_elt.session import scratch_dir, table
+from spark_elt.sources import archives
+from spark_elt.sources.files import Compression, list_files, read_delimited
+from spark_elt.sources.selection import ReadMode, files_per_day, select_files
+
+SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+DATE_REGEX = r"y=(\d{4})/m=(\d{2})/d=(\d{2})/"
+EV_D = "SELECT event_id, ts, user_id, event_type, value FROM events"
+
+
+def _events(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+
+
+def write_daily_csv(spark: SparkSession, sf_dir: str, label: str, df: DataFrame | None = None, **options) -> str:
+    """Events as CSV, one directory per day ``y=YYYY/m=MM/d=DD`` (one file per day)."""
+    root = scratch_dir(spark, label)
+    df = df if df is not None else _events(spark, sf_dir)
+    opts = {"timestampNTZFormat": TS_FMT, "header": "false"}
+    opts.update(options)
+    (
+        df.withColumn("y", F.date_format("ts", "yyyy")).withColumn("m", F.date_format("ts", "MM"))
+        .withColumn("d", F.date_format("ts", "dd"))
+        .repartition("y", "m", "d")
+        .write.partitionBy("y", "m", "d").options(**opts).csv(root)
+    )
+    return root
+
+
+def _read(spark, root, mode=ReadMode.ALL, processed=None, first_date=dt.date(2000, 1, 1), **kw):
+    listing = list_files(spark, root, "*.csv*")
+    sel = select_files(listing, mode, processed, date_regex=DATE_REGEX, first_date=first_date)
+    paths = [r["path"] for r in sel.select("path").collect()]
+    return sel, read_delimited(spark, paths, SCHEMA, **kw)
+
+
+_TS_OPTS = {"timestampNTZFormat": TS_FMT}
+
+
+@register("read_file_csv", EV_D)
+def read_file_csv(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "read_file_csv")
+    return _read(spark, root)[1]
+
+
+@register(
+    "read_file_options",
+    "SELECT event_id, ts, user_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_type END AS event_type, value FROM events",
+)
+def read_file_options(spark, sf_dir):
+    e = _events(spark, sf_dir).withColumn(
+        "event_type", F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("event_type"))
+    )
+    root = write_daily_csv(spark, sf_dir, "read_file_options", e, sep="|", quote="'", nullValue="\\N", header="true")
+    return _read(spark, root, sep="|", quote="'", null_value="\\N", header=True)[1]
+
+
+@register("read_file_timezone", "SELECT event_id, ts - INTERVAL 1 HOUR AS ts, user_id, event_type, value FROM events")
+def read_file_timezone(spark, sf_dir):
+    """Timestamps written as Berlin wall-clock time (UTC+1 in January) load as UTC."""
+    root = write_daily_csv(spark, sf_dir, "read_file_timezone")
+    return _read(spark, root, timezone="Europe/Berlin")[1]
+
+
+@register("read_file_gzip", EV_D)
+def read_file_gzip(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "read_file_gzip", compression="gzip")
+    return _read(spark, root, compression=Compression.GZIP)[1]
+
+
+def _archive_query(spark, sf_dir, kind: str) -> DataFrame:
+    src = write_daily_csv(spark, sf_dir, f"src_{kind}")
+    listing = list_files(spark, src, "*.csv")
+    days = listing.withColumn("day", F.regexp_extract("file_name", r"d=(\d{2})", 1))
+    target = scratch_dir(spark, f"archives_{kind}")
+    done = archives.pack(spark, days, "day", target, kind).collect()  # one row per archive (a file list)
+    paths = sorted(r["archive"] for r in done)
+    comp = Compression.ZIP if kind == "zip" else Compression.TAR_GZIP
+    return read_delimited(spark, paths, SCHEMA, compression=comp)
+
+
+@register("read_file_zip", EV_D)
+def read_file_zip(spark, sf_dir):
+    return _archive_query(spark, sf_dir, "zip")
+
+
+@register("read_file_tar_gzip", EV_D)
+def read_file_tar_gzip(spark, sf_dir):
+    return _archive_query(spark, sf_dir, "tar")
+
+
+@register("read_file_mapper", "SELECT event_id, ts, user_id, upper(event_type) AS event_type, value FROM events")
+def read_file_mapper(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "read_file_mapper")
+    return _read(spark, root, mapper=lambda s: s.str.upper())[1]
+
+
+@register("read_file_make_unique", "SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events")
+def read_file_make_unique(spark, sf_dir):
+    """Every line written twice, with a header line; make_unique drops the copies."""
+    e = _events(spark, sf_dir)
+    root = write_daily_csv(spark, sf_dir, "read_file_make_unique", e.unionAll(e), header="true")
+    return _read(spark, root, header=True, make_unique=True)[1]
+
+
+@register(
+    "parallel_read_files_all",
+    "SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS file_date FROM events",
+)
+def parallel_read_files_all(spark, sf_dir):
+    """All daily files in one scan, with the date taken from the file name."""
+    root = write_daily_csv(spark, sf_dir, "parallel_read_all")
+    listing = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
+    paths = [r["path"] for r in listing.select("path").collect()]
+    df = read_delimited(spark, paths, SCHEMA, with_file=True)
+    dates = listing.select(F.col("path").alias("file"), F.date_format("file_date", "yyyy-MM-dd").alias("file_date"))
+    # the listing has one row per file: a small side, broadcast
+    return df.join(F.broadcast(dates), "file").drop("file")
+
+
+@register(
+    "file_dates",
+    "SELECT strftime(ts, '%Y-%m-%d') AS file_date, CAST(count(*) AS BIGINT) AS n_rows FROM events GROUP BY 1",
+)
+def file_dates(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "file_dates")
+    listing = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
+    paths = [r["path"] for r in listing.select("path").collect()]
+    df = read_delimited(spark, paths, SCHEMA, with_file=True)
+    dates = listing.select(F.col("path").alias("file"), F.date_format("file_date", "yyyy-MM-dd").alias("file_date"))
+    return df.join(F.broadcast(dates), "file").groupBy("file_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("file_first_date", EV_D + " WHERE ts >= TIMESTAMP '2024-01-15'")
+def file_first_date(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "file_first_date")
+    return _read(spark, root, first_date=dt.date(2024, 1, 15))[1]
+
+
+@register("read_only_latest", EV_D + " WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)")
+def read_only_latest(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "read_only_latest")
+    return _read(spark, root, ReadMode.ONLY_LATEST)[1]
+
+
+def _state_until(spark, root: str, last_day: int, node=("load_events",)) -> inc.StateTable:
+    """Processed-file state in which the files up to ``last_day`` were loaded before."""
+    st = inc.StateTable(spark, scratch_dir(spark, "processed_file"), inc.PROCESSED_FILE, ["node_path", "file_name"])
+    listing = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
+    inc.track_processed(st, list(node), listing.where(F.dayofmonth("file_date") <= last_day))
+    return st
+
+
+@register("read_only_new", EV_D + " WHERE ts >= TIMESTAMP '2024-01-11'")
+def read_only_new(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "read_only_new")
+    st = _state_until(spark, root, 10)
+    sel, df = _read(spark, root, ReadMode.ONLY_NEW, inc.processed_files(st, ["load_events"]))
+    return df
+
+
+@register("read_only_changed", EV_D + " WHERE ts >= TIMESTAMP '2024-01-21' OR day(ts) IN (3, 4)")
+def read_only_changed(spark, sf_dir):
+    """Files of days 3 and 4 were modified after they were recorded (their recorded
+    time is older than the file's); days 21+ were never loaded."""
+    root = write_daily_csv(spark, sf_dir, "read_only_changed")
+    st = _state_until(spark, root, 20)
+    state = inc.processed_files(st, ["load_events"]).withColumn(
+        "last_modified_timestamp",
+        F.when(F.col("file_name").rlike(r"d=0[34]/"), F.col("last_modified_timestamp") - F.expr("INTERVAL 1 HOUR"))
+        .otherwise(F.col("last_modified_timestamp")),
+    )
+    return _read(spark, root, ReadMode.ONLY_CHANGED, state)[1]
+
+
+@register(
+    "read_only_new_except_latest",
+    EV_D + " WHERE ts >= TIMESTAMP '2024-01-11' AND CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events)",
+)
+def read_only_new_except_latest(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "read_only_new_except_latest")
+    st = _state_until(spark, root, 10)
+    return _read(spark, root, ReadMode.ONLY_NEW_EXCEPT_LATEST, inc.processed_files(st, ["load_events"]))[1]
+
+
+@register("read_dependency_reload", EV_D)
+def read_dependency_reload(spark, sf_dir):
+    """The loader's code dependency changed, so the processed-file state is
+    ignored and all files are read; the new hash is stored after the load."""
+    root = write_daily_csv(spark, sf_dir, "read_dependency_reload")
+    st = _state_until(spark, root, 10)
+    deps = inc.StateTable(spark, scratch_dir(spark, "file_dependency"), inc.FILE_DEPENDENCY, ["node_path", "dependency_type"])
+    node = ["load_events"]
+    inc.update_dependency(deps, node, "ParallelReadFile", "2000-01-01 None old-hash", dt.datetime(2024, 1, 1))
+    new_hash = "2000-01-01 None " + "0" * 32
+    changed = inc.is_modified(deps, node, "ParallelReadFile", new_hash)
+    listing = list_files(spark, root, "*.csv")
+    sel = select_files(listing, ReadMode.ONLY_NEW, inc.processed_files(st, node), date_regex=DATE_REGEX,
+                       reload_all=changed)
+    paths = [r["path"] for r in sel.select("path").collect()]
+    df = read_delimited(spark, paths, SCHEMA)
+    inc.update_dependency(deps, node, "ParallelReadFile", new_hash, dt.datetime(2024, 1, 2))
+    return df
+
+
+@register(
+    "files_per_day",
+    "SELECT strftime(ts, '%Y-%m-%d') AS file_date, CAST(1 AS BIGINT) AS n_files FROM events GROUP BY 1",
+)
+def files_per_day_q(spark, sf_dir):
+    root = write_daily_csv(spark, sf_dir, "files_per_day")
+    sel = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
+    return files_per_day(sel).select(F.date_format("file_date", "yyyy-MM-dd").alias("file_date"), "n_files")
+
+
+@register("file_listing")
+def file_listing(spark, sf_dir):
+    """Listing with path, relative name, modification time, size and md5."""
+    root = write_daily_csv(spark, sf_dir, "file_listing")
+    listing = list_files(spark, root, "*.csv")
+    hashes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(
+        "path", F.md5("content").alias("md5")
+    )
+    return listing.join(hashes, "path")
+
+
+# ---------------------------------------------------------------- sinks
+
+@register(
+    "load_by_day_id",
+    """SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day_id, CAST(count(*) AS BIGINT) AS n,
+       round(sum(value), 2) AS total FROM events GROUP BY 1""",
+)
+def load_by_day_id(spark, sf_dir):
+    target = scratch_dir(spark, "load_by_day")
+    sinks.load_by_day(_events(spark, sf_dir), "ts", target)
+    back = spark.read.parquet(target)
+    return back.groupBy("day_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@register(
+    "load_by_day_id_truncate",
+    """SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day_id, CAST(count(*) AS BIGINT) AS n,
+       round(sum(CASE WHEN day(ts) IN (5, 6) THEN value * 2 ELSE value END), 2) AS total FROM events GROUP BY 1""",
+)
+def load_by_day_id_truncate(spark, sf_dir):
+    """Days 5 and 6 are reloaded with changed values; the other days stay as loaded."""
+    target = scratch_dir(spark, "load_by_day_truncate")
+    e = _events(spark, sf_dir)
+    sinks.load_by_day(e, "ts", target)
+    again = e.where(F.dayofmonth("ts").isin(5, 6)).withColumn("value", F.col("value") * 2)
+    sinks.load_by_day(again, "ts", target, truncate=True)
+    back = spark.read.parquet(target)
+    return back.groupBy("day_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@register("append_load", EV_D + " UNION ALL " + EV_D + " WHERE event_type = 'view'")
+def append_load(spark, sf_dir):
+    """Positional appends: the second load has other column names, same order."""
+    target = scratch_dir(spark, "append_load")
+    e = _events(spark, sf_dir)
+    e.write.parquet(target)
+    renamed = e.where(F.col("event_type") == "view").toDF("a", "b", "c", "d", "e")
+    sinks.append_load(renamed, target, schema_of=spark.read.parquet(target))
+    return spark.read.parquet(target)
+
+
+def _write_read_back(spark, sf_dir, label, sep):
+    path = scratch_dir(spark, label)
+    q = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit(" "), F.col("c_name"), F.lit("\t,")).alias("c_name"), "c_acctbal"
+    )
+    sinks.write_file(q, path, "csv", single_file=False, sep=sep, header="false", ignoreLeadingWhiteSpace="false",
+                     ignoreTrailingWhiteSpace="false", quoteAll="false")
+    return spark.read.schema("c_custkey bigint, c_name string, c_acctbal double").options(
+        sep=sep, header="false", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(path)
+
+
+_WF_D = "SELECT c_custkey, ' ' || c_name || chr(9) || ',' AS c_name, c_acctbal FROM customer"
+
+
+@register("write_file_csv", _WF_D)
+def write_file_csv(spark, sf_dir):
+    return _write_read_back(spark, sf_dir, "write_file_csv", ",")
+
+
+@register("write_file_tsv", _WF_D)
+def write_file_tsv(spark, sf_dir):
+    return _write_read_back(spark, sf_dir, "write_file_tsv", "\t")
+
+
+@register("truncate_reload", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def truncate_reload(spark, sf_dir):
+    target = scratch_dir(spark, "truncate_reload")
+    o = table(spark, sf_dir, "orders")
+    sinks.truncate_reload(o, target)
+    sinks.truncate_reload(o.where(F.col("o_orderstatus") == "F"), target)
+    return spark.read.parquet(target)
+
+
+@register("empty_clone", "SELECT * FROM orders WHERE FALSE")
+def empty_clone(spark, sf_dir):
+    target = scratch_dir(spark, "empty_clone")
+    sinks.empty_clone(table(spark, sf_dir, "orders")).write.parquet(target)
+    return spark.read.parquet(target)
+
+
+@register(
+    "load_with_hooks",
+    "SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_orderstatus",
+)
+def load_with_hooks(spark, sf_dir):
+    """A statement before the load creates the summary view the load reads;
+    the statement after it drops the view again."""
+    import uuid
+
+    view = f"orders_{uuid.uuid4().hex[:8]}"
+    target = scratch_dir(spark, "load_with_hooks")
+    before = [f"CREATE TEMPORARY VIEW {view} AS SELECT * FROM parquet.`{sf_dir}/orders.parquet`"]
+    after = [f"DROP VIEW {view}"]
+    sinks.load_with_hooks(
+        spark,
+        lambda: spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {view} GROUP BY o_orderstatus").write.parquet(target),
+        before,
+        after,
+    )
+    return spark.read.parquet(target)

@@ -37,8 +37,37 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     )
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (once per context).
+
+    Functions handed to ``mapInPandas`` / ``applyInPandas`` / UDFs refer to this
+    package; the package is zipped and added with ``addPyFile``, the usual way to
+    ship code to executors."""
+    sc = spark.sparkContext
+    key = id(sc._jsc) if getattr(sc, "_jsc", None) is not None else id(sc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, zpath = tempfile.mkstemp(prefix="spark_elt-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters into this scan."""
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
