@@ -316,3 +316,23 @@ def copy_incrementally(
 
 def _safe(s: str) -> str:
     return re.sub(r"[^0-9A-Za-z_]", "_", s)
+
+
+def modified_dependencies(state: DataFrame, current: DataFrame) -> DataFrame:
+    """Set-wise ``is_modified`` (I02) for many nodes at once: ``current`` has
+    (node_path, dependency_type, hash); a node is modified unless the state holds
+    the same hash for it."""
+    same = current.join(state.select("node_path", "dependency_type", "hash"), ["node_path", "dependency_type", "hash"],
+                        "left_semi").withColumn("_same", F.lit(True))
+    return current.join(same.select("node_path", "dependency_type", "_same"), ["node_path", "dependency_type"], "left") \
+        .select("node_path", "dependency_type", F.col("_same").isNull().alias("is_modified"))
+
+
+def is_empty_frame(df: DataFrame) -> DataFrame:
+    """One row ``is_empty`` computed by the cluster (A04): reads at most one row."""
+    return df.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty"))
+
+
+def max_value(df: DataFrame, expr: str) -> DataFrame:
+    """``SELECT max(expr) AS maxval`` (A02), one row."""
+    return df.agg(F.max(F.expr(expr)).alias("maxval"))
