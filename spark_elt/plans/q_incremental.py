@@ -193,7 +193,7 @@ def _copy(spark, sf_dir, label, runs):
     return spark.read.parquet(target), modes
 
 
-_ORD_COLS = "o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, o_orderdate, o_orderpriority"
+_ORD = _ORD_COLS = "o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, o_orderdate, o_orderpriority"
 
 
 def _ord(df):

@@ -1 +1,94 @@
-"""Registered queries."""
+"""Registered streaming queries (I12, I13, I17). Each runs its stream twice with
+``availableNow`` over input files that Spark writes from the driver tables (new
+files arrive between the runs) and returns the final table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+from spark_elt.plans import fixtures as fx
+from spark_elt.plans.oracle_views import with_views
+from spark_elt.plans.q_files import SCHEMA, TS_FMT, _events
+from spark_elt.plans.q_incremental import _ORD, _ord
+from spark_elt.plans.registry import register
+from spark_elt.session import scratch_dir
+from spark_elt.streaming.ingest import VersionedTable, ingest_new_files, stream_fold_node_runs, stream_upsert
+
+
+@register("stream_only_new", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def stream_only_new(spark, sf_dir):
+    """Days 1–15 arrive, the stream loads them; days 16+ arrive, the second
+    run loads only those. Every event is loaded exactly once."""
+    src, sink, ck = (scratch_dir(spark, n) for n in ("stream_src", "stream_sink", "stream_ck"))
+    e = _events(spark, sf_dir)
+
+    def drop(df):
+        (df.withColumn("d", F.date_format("ts", "dd")).repartition("d").write.mode("append").partitionBy("d")
+         .option("timestampNTZFormat", TS_FMT).csv(src))
+
+    drop(e.where(F.dayofmonth("ts") <= 15))
+    ingest_new_files(spark, src, SCHEMA, sink, ck, timestampNTZFormat=TS_FMT)
+    drop(e.where(F.dayofmonth("ts") > 15))
+    ingest_new_files(spark, src, SCHEMA, sink, ck, timestampNTZFormat=TS_FMT)
+    return spark.read.schema(SCHEMA).parquet(sink)
+
+
+_UPSERT_D = with_views(
+    ["orders_v1", "orders_v2"],
+    f"""SELECT {_ORD} FROM orders_v1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_v2 WHERE o_orderkey % 7 = 0)
+UNION ALL SELECT {_ORD} FROM orders_v2 WHERE o_orderkey % 7 = 0""",
+)
+
+
+@register("stream_upsert", _UPSERT_D)
+def stream_upsert_q(spark, sf_dir):
+    """The first snapshot arrives as one batch, the repriced orders (with
+    an older copy of each, to be deduplicated by version) as the next."""
+    src, tgt, ck = (scratch_dir(spark, n) for n in ("upsert_src", "upsert_tgt", "upsert_ck"))
+    v1 = fx.orders_v1(spark, sf_dir).withColumn("version", F.lit(1))
+    v1.write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    target = VersionedTable(spark, tgt, fx.orders_v1(spark, sf_dir).schema)
+    stream_upsert(spark, spark.readStream.schema(schema).parquet(src), target, ["o_orderkey"], "version", ck)
+    changed = fx.orders_v2(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0)
+    older = fx.orders_v1(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0)
+    changed.withColumn("version", F.lit(3)).unionByName(older.withColumn("version", F.lit(2))).write.mode("append").parquet(src)
+    stream_upsert(spark, spark.readStream.schema(schema).parquet(src), target, ["o_orderkey"], "version", ck)
+    return _ord(target.read())
+
+
+NODE_RUN_SCHEMA = StructType([
+    StructField("node_run_id", LongType()), StructField("run_id", LongType()), StructField("path_key", StringType()),
+    StructField("start_time", TimestampNTZType()), StructField("end_time", TimestampNTZType()),
+    StructField("succeeded", BooleanType()), StructField("is_pipeline", BooleanType()),
+])
+
+
+@register(
+    "stream_fold_node_runs",
+    with_views(["node_run"], """SELECT node_run_id, run_id, array_to_string(node_path, '/') AS node_path, start_time,
+       end_time, succeeded, is_pipeline FROM node_run"""),
+)
+def stream_fold_node_runs_q(spark, sf_dir):
+    """Node events arrive in two parts (before / after 2024-01-15, by event
+    time); the final folded table equals the batch fold."""
+    src, tgt, ck = (scratch_dir(spark, n) for n in ("fold_src", "fold_tgt", "fold_ck"))
+    ev = fx.run_events(spark, sf_dir).where(F.col("event") != "Output").withColumn(
+        "path_key", F.array_join("node_path", "/")
+    ).drop("node_path", "message", "format", "is_error")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    ev.where(F.col("ts") < cut).write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    target = VersionedTable(spark, tgt, NODE_RUN_SCHEMA)
+    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), target, ck)
+    ev.where(F.col("ts") >= cut).write.mode("append").parquet(src)
+    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), target, ck)
+    return target.read().withColumnRenamed("path_key", "node_path")
