@@ -219,27 +219,31 @@ STAT_COLS = ["disc_read", "disc_write", "net_recv", "net_sent", "cpu_usage", "me
 
 
 def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 3600, min_samples: int = 0) -> DataFrame:
-    """Interval join of node runs with statistics samples (J03); see ``system_stats``."""
+    """Interval join of node runs with statistics samples (J03); see ``system_stats``.
+
+    Both branches join on a time bucket: each node run is exploded over the buckets
+    its interval touches, each sample falls into one bucket. Samples of the same
+    run join on (run_id, bucket), sentinel samples (run -1) on the bucket alone.
+    Candidate pairs are thus limited to one bucket, so a run with very many samples
+    and node runs does not produce all its sample × node pairs before the BETWEEN
+    filter; only pairs that share an hour are compared."""
     nr = nr.where(F.col("end_time").isNotNull()).select(
         "node_run_id", F.col("run_id").alias("nr_run_id"), "start_time", "end_time"
     )
     between = (F.col("timestamp") >= F.col("start_time")) & (F.col("timestamp") <= F.col("end_time"))
-    own = stats.where(F.col("run_id") != -1).join(nr, F.col("run_id") == F.col("nr_run_id")).where(between)
     bucket = lambda c: F.floor(F.unix_micros(F.to_timestamp(c)) / (bucket_seconds * 1_000_000))
     nr_b = nr.withColumn("b", F.explode(F.sequence(bucket(F.col("start_time")), bucket(F.col("end_time")))))
-    sentinel = (
-        stats.where(F.col("run_id") == -1)
-        .withColumn("b", bucket(F.col("timestamp")))
-        .join(nr_b, "b")
+    s_b = stats.withColumn("b", bucket(F.col("timestamp")))
+    own = (
+        s_b.where(F.col("run_id") != -1)
+        .join(nr_b, (F.col("run_id") == F.col("nr_run_id")) & (s_b["b"] == nr_b["b"]))
         .where(between)
-        .drop("b")
     )
+    sentinel = s_b.where(F.col("run_id") == -1).join(nr_b, "b").where(between)
     cols = ["node_run_id", "timestamp", "run_id"] + STAT_COLS
     joined = own.select(cols).unionByName(sentinel.select(cols))
     if min_samples:
-        joined = joined.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("node_run_id"))).where(
-            F.col("n") >= min_samples
-        ).drop("n")
+        joined = min_rows(joined, ["node_run_id"], min_samples)
     return joined
 
 

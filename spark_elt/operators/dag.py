@@ -223,17 +223,28 @@ def lanes(df: DataFrame, group: Sequence[str], start: str, end: str, order_tie:
     schema += ", lane long"
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        import heapq
+
+        import numpy as np
+
         pdf = pdf.sort_values([start, order_tie], kind="mergesort")
-        ends: list = []
-        out = []
-        for s, e in zip(pdf[start], pdf[end]):
-            lane = next((i for i, last in enumerate(ends) if last <= s), None)
-            if lane is None:
-                ends.append(e)
-                lane = len(ends) - 1
+        starts = pdf[start].to_numpy("datetime64[us]").astype(np.int64)
+        ends = pdf[end].to_numpy("datetime64[us]").astype(np.int64)
+        busy: list[tuple[int, int]] = []  # (end, lane) of lanes in use
+        free: list[int] = []  # lanes whose last bar ended, smallest first
+        n_lanes = 0
+        out = np.empty(len(starts), dtype=np.int64)
+        for i in range(len(starts)):
+            s_i = starts[i]
+            while busy and busy[0][0] <= s_i:
+                heapq.heappush(free, heapq.heappop(busy)[1])
+            if free:
+                lane = heapq.heappop(free)
             else:
-                ends[lane] = e
-            out.append(lane)
+                lane = n_lanes
+                n_lanes += 1
+            out[i] = lane
+            heapq.heappush(busy, (ends[i], lane))
         res = pdf[list(group) + [order_tie]].copy()
         res["lane"] = out
         return res

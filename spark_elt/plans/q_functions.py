@@ -244,8 +244,35 @@ def retention_prune(spark, sf_dir):
     )
 
 
-@register("failure_digest")
+_DIGEST_D = with_views(["node_run", "node_output"], r""", failed AS (
+  SELECT node_run_id, array_to_string(node_path, '/') AS path FROM node_run WHERE succeeded = FALSE AND NOT is_pipeline),
+ev AS (
+  SELECT o.node_run_id, o.is_error, o.message, o.format,
+         row_number() OVER w AS i, lag(o.format) OVER w AS prev_f, lead(o.format) OVER w AS next_f
+  FROM node_output o WHERE o.node_run_id IN (SELECT node_run_id FROM failed)
+  WINDOW w AS (PARTITION BY o.node_run_id, o.is_error ORDER BY o."timestamp", o.node_output_id)),
+ev2 AS (SELECT *, max(CASE WHEN format = 'standard' THEN i END) OVER (PARTITION BY node_run_id, is_error) AS last_std FROM ev),
+pieces AS (
+  SELECT node_run_id, is_error, i,
+         CASE format
+           WHEN 'verbatim' THEN (CASE WHEN prev_f = 'verbatim' THEN chr(10) ELSE chr(10) || '<pre>' END) || message
+                                || (CASE WHEN next_f = 'verbatim' THEN '' ELSE '</pre>' END)
+           WHEN 'italics' THEN CASE WHEN message = '' THEN '' ELSE array_to_string(list_transform(
+                 string_split_regex(message, '\r\n|[\n\r\x0B\f\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]'),
+                 lambda l: chr(10) || chr(10) || replace(l, '_', '\_')), '') END
+           ELSE chr(10) || message END AS piece
+  FROM ev2 WHERE last_std IS NULL OR i >= last_std),
+body AS (SELECT node_run_id, string_agg(piece, '' ORDER BY is_error, i) AS txt FROM pieces GROUP BY node_run_id),
+msg AS (
+  SELECT f.node_run_id, '<font size="4">&#x1F424;</font> Ooops, a hiccup in [_' || replace(f.path, '_', '\_') || '_](/'
+         || f.path || ')' || coalesce(b.txt, '') AS t
+  FROM failed f LEFT JOIN body b USING (node_run_id))
+SELECT node_run_id, CASE WHEN length(t) > 2000 THEN substr(t, 1, 2000) || '</pre>' ELSE t END AS message FROM msg""").replace(
+    "\n, failed AS", ",\nfailed AS")
+
+
+@register("failure_digest", _DIGEST_D)
 def failure_digest(spark, sf_dir):
-    """One chat message per failed task. The sequential message fold has no
-    plain-SQL form; tests compare it with a Python replay of the fold."""
+    """One chat message per failed task: the sequential message fold expressed
+    with lag/lead and the position of the last standard line."""
     return rl.failure_digest(fx.node_run(spark, sf_dir), fx.node_output(spark, sf_dir))
