@@ -238,30 +238,46 @@ def merge_explicit(target: DataFrame, delta: DataFrame, keys: Sequence[str]) ->
     return updated.unionByName(inserted)
 
 
+def _committed(spark: SparkSession, path: str, fmt: str) -> bool:
+    """True when a completed write exists at ``path`` (the commit protocol moves data
+    files into place only when the whole job succeeded)."""
+    try:
+        spark.read.format(fmt).load(path).schema  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001 - missing or never committed
+        return False
+
+
 def upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequence[str], staging: str,
            partition_by: Sequence[str] | None = None, dedup_by: str | None = None, explicit: bool = False,
-           fmt: str = "parquet") -> None:
+           fmt: str = "parquet", resume: bool = False) -> None:
     """Keyed upsert into a parquet target (I09/I10) without MERGE.
 
     The merged rows are written to ``staging`` first (Spark cannot overwrite the
     path it reads), then copied over the target. With ``partition_by`` only the
     partitions the delta touches are read and rewritten (dynamic overwrite); keys
-    must then determine the partition."""
-    if dedup_by:
-        delta = latest_per_key(delta, keys, dedup_by)
-    elif not explicit:
-        check_unique(delta, keys)
-    target = spark.read.format(fmt).load(target_path)
-    if partition_by:
-        touched = delta.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
-    merged = (merge_explicit if explicit else merge_upsert)(target, delta, keys)
-    w = merged.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(staging)
+    must then determine the partition.
+
+    Crash safety: retry a failed upsert with the same ``staging`` and ``resume=True``.
+    A committed staging result is then copied again instead of being recomputed
+    from a target the failed copy may have left incomplete."""
+    if not (resume and _committed(spark, staging, fmt)):
+        if dedup_by:
+            delta = latest_per_key(delta, keys, dedup_by)
+        elif not explicit:
+            check_unique(delta, keys)
+        target = spark.read.format(fmt).load(target_path)
+        if partition_by:
+            touched = delta.select(*partition_by).distinct()
+            target = target.join(touched, list(partition_by), "left_semi")
+        merged = (merge_explicit if explicit else merge_upsert)(target, delta, keys)
+        w = merged.write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(staging)
     staged = spark.read.format(fmt).load(staging)
-    w2 = staged.select(target.columns).write.format(fmt).mode("overwrite")
+    cols = [c for c in staged.columns if c not in (partition_by or [])] + list(partition_by or [])
+    w2 = staged.select(cols).write.format(fmt).mode("overwrite")
     if partition_by:
         w2 = w2.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w2.save(target_path)
