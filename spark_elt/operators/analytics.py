@@ -112,9 +112,10 @@ def timeline(node_run: DataFrame, path: Sequence[str], run_id) -> DataFrame:
     partition holds one run only."""
     level = len(path)
     nr = for_run(node_run.where(path_has_prefix("node_path", path, strict=True)), run_id)
-    max_end = F.max("end_time").over(Window.partitionBy("run_id"))
+    # one run: its max end is a global aggregate (one row, broadcast), not a window
+    max_end = nr.agg(F.max("end_time").alias("max_end_time"))
     end = F.coalesce(F.col("end_time"), F.coalesce(F.col("max_end_time"), F.col("start_time")) + F.expr("INTERVAL 1 SECOND"))
-    return nr.withColumn("max_end_time", max_end).select(
+    return nr.join(F.broadcast(max_end), how="left", on=F.lit(True)).select(
         F.array_join("node_path", "/").alias("node_path"),
         relative_label("node_path", level).alias("label"),
         status_text("succeeded").alias("status"),
@@ -167,12 +168,13 @@ def run_time_chart(node_run: DataFrame, path: Sequence[str], n: int = 8) -> Data
     child_runs = node_run.join(top_b, "node_path").select(
         "run_id",
         "node_name",
+        "start_time",
         _run_data(duration(), F.col("succeeded"), "duration").alias("data"),
-        F.min("start_time").over(Window.partitionBy("run_id")).alias("first_start_time"),
     )
+    first_start = child_runs.groupBy("run_id").agg(F.min("start_time").alias("first_start_time"))
     all_runs = (
         node_runs.select("run_id", "start_time")
-        .join(child_runs.select("run_id", "first_start_time"), "run_id", "full")
+        .join(first_start, "run_id", "full")
         .select("run_id", F.coalesce("start_time", "first_start_time").alias("start_time"))
         .distinct()
     )

@@ -15,14 +15,19 @@ MIB = 1024 * 1024
 
 def counter_rates(df: DataFrame, partition: Sequence[str], ts: str, cols: Sequence[str], tie: str | None = None) -> DataFrame:
     """Turn cumulative byte counters into MiB per second since the previous sample
-    of the same partition (W04). The first sample of a partition has NULL rates."""
-    order = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    w = Window.partitionBy(*partition).orderBy(*order)
-    elapsed = F.timestamp_diff("MICROSECOND", F.lag(ts).over(w), F.col(ts)) / 1e6
-    out = df
+    of the same partition (W04). The first sample of a partition has NULL rates.
+
+    The previous sample comes from the distributed row index (range partitioning,
+    see ``ordered``), so a run with a very large number of samples is not one task."""
+    from spark_elt.operators.ordered import with_index, with_neighbours
+
+    order = [ts] + ([tie] if tie else [])
+    idx = with_index(df, partition, order)
+    out = with_neighbours(idx, partition, "_idx", [ts, *cols], lag=True)
+    elapsed = F.timestamp_diff("MICROSECOND", F.col(f"lag_{ts}"), F.col(ts)) / 1e6
     for c in cols:
-        out = out.withColumn(f"{c}_rate", (F.col(c) - F.lag(c).over(w)) / F.lit(float(MIB)) / elapsed)
-    return out
+        out = out.withColumn(f"{c}_rate", (F.col(c) - F.col(f"lag_{c}")) / F.lit(float(MIB)) / elapsed)
+    return out.drop("_idx", *[f"lag_{c}" for c in [ts, *cols]])
 
 
 def output_by_error(node_output: DataFrame) -> DataFrame:
@@ -124,15 +129,13 @@ def _digest_part(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``<pre>`` block; italics lines are added one by one; a standard line replaces
     everything written so far. So only events from the last standard line on count,
     and each event's piece depends on its neighbours' formats (lag/lead)."""
-    order = [F.col("timestamp"), F.col("node_output_id")]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    ev = (
-        events.withColumn("_i", F.row_number().over(w))
-        .withColumn("_prev", F.lag("format").over(w))
-        .withColumn("_next", F.lead("format").over(w))
-        .withColumn("_last_std", F.max(F.when(F.col("format") == "standard", F.col("_i"))).over(Window.partitionBy(*keys)))
-        .where(F.col("_last_std").isNull() | (F.col("_i") >= F.col("_last_std")))
-    )
+    from spark_elt.operators.ordered import with_index, with_neighbours
+
+    idx = with_index(events, keys, ["timestamp", "node_output_id"], index_col="_i")
+    ev = with_neighbours(idx, keys, "_i", ["format"], lag=True, lead=True).withColumnRenamed(
+        "lag_format", "_prev").withColumnRenamed("lead_format", "_next")
+    last_std = idx.where(F.col("format") == "standard").groupBy(*keys).agg(F.max("_i").alias("_last_std"))
+    ev = ev.join(last_std, list(keys), "left").where(F.col("_last_std").isNull() | (F.col("_i") >= F.col("_last_std")))
     msg = F.col("message")
     italics = F.when(msg == "", F.lit("")).otherwise(
         F.array_join(
@@ -159,6 +162,8 @@ def failure_digest(node_run: DataFrame, node_output: DataFrame, limit: int = DIG
 
     Only pieces that start inside the first ``limit`` characters are gathered, so
     the per-node collect is bounded by ``limit`` whatever the output size."""
+    from spark_elt.operators.ordered import with_index
+
     failed = node_run.where((F.col("succeeded") == F.lit(False)) & ~F.col("is_pipeline")).select(
         "node_run_id", "node_path"
     )
@@ -175,9 +180,10 @@ def failure_digest(node_run: DataFrame, node_output: DataFrame, limit: int = DIG
     body = parts.select(
         "node_run_id", F.when(F.col("is_error"), F.lit(1)).otherwise(F.lit(0)).alias("grp"), "_i", "piece"
     )
-    allp = header.unionByName(body).where(F.length("piece") > 0)
-    w = Window.partitionBy("node_run_id").orderBy("grp", "_i").rowsBetween(Window.unboundedPreceding, -1)
-    allp = allp.withColumn("_start", F.coalesce(F.sum(F.length("piece")).over(w), F.lit(0)))
+    allp = header.unionByName(body).where(F.length("piece") > 0).withColumn("_len", F.length("piece"))
+    # start offset of each piece = running length before it (distributed running sum)
+    allp = with_index(allp, ["node_run_id"], ["grp", "_i"], sums=["_len"], index_col="_k")
+    allp = allp.withColumn("_start", F.col("_len_cum") - F.col("_len"))
     kept = allp.where(F.col("_start") < limit)
     text = kept.groupBy("node_run_id").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("grp", "_i", "piece"))), lambda x: x["piece"]), "")

@@ -112,16 +112,15 @@ def system_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cumulative byte counters per run (input of the counter→rate window)."""
-    from pyspark.sql import Window
+    """Cumulative byte counters per run (input of the counter→rate step); the running
+    sum is the distributed one (no run is gathered into one task)."""
+    from spark_elt.operators.ordered import with_index
 
-    e = table(spark, sf_dir, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return e.select(
-        F.col("user_id").alias("run_id"),
-        "ts",
-        "event_id",
-        F.sum(F.round(F.col("value") * 1000).cast("bigint")).over(w).alias("read_bytes"),
+    e = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run_id"), "ts", "event_id", F.round(F.col("value") * 1000).cast("bigint").alias("b")
+    )
+    return with_index(e, ["run_id"], ["ts", "event_id"], sums=["b"]).select(
+        "run_id", "ts", "event_id", F.col("b_cum").alias("read_bytes")
     )
 
 
