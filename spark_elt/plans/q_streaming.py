@@ -20,7 +20,7 @@ from spark_elt.plans.q_files import SCHEMA, TS_FMT, _events
 from spark_elt.plans.q_incremental import _ORD, _ord
 from spark_elt.plans.registry import register
 from spark_elt.session import scratch_dir
-from spark_elt.streaming.ingest import VersionedTable, ingest_new_files, stream_fold_node_runs, stream_upsert
+from spark_elt.streaming.ingest import ingest_new_files, stream_fold_node_runs, stream_upsert
 
 
 @register("stream_only_new", "SELECT event_id, ts, user_id, event_type, value FROM events")
@@ -51,18 +51,23 @@ UNION ALL SELECT {_ORD} FROM orders_v2 WHERE o_orderkey % 7 = 0""",
 @register("stream_upsert", _UPSERT_D)
 def stream_upsert_q(spark, sf_dir):
     """The first snapshot arrives as one batch, the repriced orders (with
-    an older copy of each, to be deduplicated by version) as the next."""
-    src, tgt, ck = (scratch_dir(spark, n) for n in ("upsert_src", "upsert_tgt", "upsert_ck"))
-    v1 = fx.orders_v1(spark, sf_dir).withColumn("version", F.lit(1))
-    v1.write.mode("append").parquet(src)
+    an older copy of each, to be deduplicated by version) as the next. The target is
+    partitioned by order year, so the second batch rewrites only the years it touches."""
+    src, tgt, ck, stg = (scratch_dir(spark, n) for n in ("upsert_src", "upsert_tgt", "upsert_ck", "upsert_stg"))
+    year = lambda df: df.withColumn("o_year", F.year("o_orderdate"))
+    year(fx.orders_v1(spark, sf_dir)).withColumn("version", F.lit(1)).write.mode("append").parquet(src)
     schema = spark.read.parquet(src).schema
-    target = VersionedTable(spark, tgt, fx.orders_v1(spark, sf_dir).schema)
-    stream_upsert(spark, spark.readStream.schema(schema).parquet(src), target, ["o_orderkey"], "version", ck)
-    changed = fx.orders_v2(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0)
-    older = fx.orders_v1(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0)
+
+    def run():
+        stream_upsert(spark, spark.readStream.schema(schema).parquet(src), tgt, ["o_orderkey"], "version", ck, stg,
+                      partition_by=["o_year"])
+
+    run()
+    changed = year(fx.orders_v2(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0))
+    older = year(fx.orders_v1(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0))
     changed.withColumn("version", F.lit(3)).unionByName(older.withColumn("version", F.lit(2))).write.mode("append").parquet(src)
-    stream_upsert(spark, spark.readStream.schema(schema).parquet(src), target, ["o_orderkey"], "version", ck)
-    return _ord(target.read())
+    run()
+    return _ord(spark.read.parquet(tgt))
 
 
 NODE_RUN_SCHEMA = StructType([
@@ -80,15 +85,14 @@ NODE_RUN_SCHEMA = StructType([
 def stream_fold_node_runs_q(spark, sf_dir):
     """Node events arrive in two parts (before / after 2024-01-15, by event
     time); the final folded table equals the batch fold."""
-    src, tgt, ck = (scratch_dir(spark, n) for n in ("fold_src", "fold_tgt", "fold_ck"))
+    src, tgt, ck, stg = (scratch_dir(spark, n) for n in ("fold_src", "fold_tgt", "fold_ck", "fold_stg"))
     ev = fx.run_events(spark, sf_dir).where(F.col("event") != "Output").withColumn(
         "path_key", F.array_join("node_path", "/")
     ).drop("node_path", "message", "format", "is_error")
     cut = F.lit("2024-01-15").cast("timestamp_ntz")
     ev.where(F.col("ts") < cut).write.mode("append").parquet(src)
     schema = spark.read.parquet(src).schema
-    target = VersionedTable(spark, tgt, NODE_RUN_SCHEMA)
-    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), target, ck)
+    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), tgt, ck, stg)
     ev.where(F.col("ts") >= cut).write.mode("append").parquet(src)
-    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), target, ck)
-    return target.read().withColumnRenamed("path_key", "node_path")
+    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), tgt, ck, stg)
+    return spark.read.schema(NODE_RUN_SCHEMA).parquet(tgt).withColumnRenamed("path_key", "node_path")

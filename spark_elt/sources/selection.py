@@ -83,7 +83,9 @@ def select_files(
 
 
 def files_per_day(selected: DataFrame) -> DataFrame:
-    """Selected files grouped by date (A11): ``file_date``, sorted file list, count."""
+    """Selected files grouped by date (A11): count and first/last file name. The file
+    list itself stays in the listing frame (join on ``file_date``), so a day with very
+    many files is never gathered into one row."""
     return selected.groupBy("file_date").agg(
-        F.sort_array(F.collect_list("file_name")).alias("files"), F.count(F.lit(1)).alias("n_files")
+        F.count(F.lit(1)).alias("n_files"), F.min("file_name").alias("first_file"), F.max("file_name").alias("last_file")
     )

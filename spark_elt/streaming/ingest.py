@@ -5,12 +5,12 @@
   ``Trigger.AvailableNow`` reads what is new and stops, like one scheduled load.
   (Rewritten files are not re-read by the file source; ONLY_CHANGED stays batch.)
 * I13 ``stream_upsert``: every micro-batch is deduplicated (newest per key) and
-  upserted into the target. Each batch writes a new target version named by its
-  batch id, computed from the previous version, so a replayed batch (after a
-  failure) rewrites the same version: idempotent, and never overwrites what it reads.
+  upserted into the target with the staged upsert, which rewrites only the target
+  partitions the batch touches. The staging of a batch is named by its batch id and
+  reused on replay; an upsert is idempotent, so a replayed batch changes nothing.
 * I17 ``stream_fold_node_runs``: node events aggregated per (run, path) in update
-  mode; each batch upserts the changed rows into the node-run table (same versioned
-  layout). Unfinished nodes keep NULL end and status until their finish arrives.
+  mode; each batch upserts the changed rows into the node-run table the same way.
+  Unfinished nodes keep NULL end and status until their finish arrives.
 
 The checkpoint folder of every query lives under the session's checkpoint root.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from spark_elt.operators.incremental import latest_per_key, merge_upsert
+from spark_elt.operators.incremental import _committed, latest_per_key, upsert
 from spark_elt.session import ship_code
 
 
@@ -43,40 +43,31 @@ def ingest_new_files(spark: SparkSession, source_dir: str, schema: StructType |
     q.awaitTermination()
 
 
-class VersionedTable:
-    """Target written as ``<root>/v=<batch id>``; the newest version is current."""
-
-    def __init__(self, spark: SparkSession, root: str, schema: StructType):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-
-    def versions(self) -> list[int]:
-        try:
-            listing = self.spark.read.format("binaryFile").load(self.root).select(
-                F.regexp_extract("path", r"/v=(\d+)/", 1).cast("long").alias("v")
-            ).distinct()
-        except Exception:  # noqa: BLE001 - nothing written yet
-            return []
-        return sorted(r["v"] for r in listing.collect() if r["v"] is not None)
-
-    def read(self, before: int | None = None) -> DataFrame:
-        vs = [v for v in self.versions() if before is None or v < before]
-        if not vs:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={vs[-1]}")
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/v={version}")
-
-
-def stream_upsert(spark: SparkSession, source: DataFrame, target: VersionedTable, keys: Sequence[str],
-                  order_by: str, checkpoint: str) -> None:
-    """Upsert every micro-batch of ``source`` into ``target`` by ``keys``."""
+def _upsert_batch(spark: SparkSession, delta: DataFrame, target_path: str, keys: Sequence[str], staging_root: str,
+                  batch_id: int, partition_by: Sequence[str] | None) -> None:
+    """Apply one micro-batch: the first batch creates the target, later ones run the
+    staged upsert (only partitions the batch touches are rewritten). Upserting the
+    same delta twice gives the same table, and the staging of a batch id is reused
+    when that batch is replayed, so a replay after a failure is harmless."""
+    if not _committed(spark, target_path, "parquet"):
+        w = delta.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(target_path)
+        return
+    upsert(spark, target_path, delta, keys, f"{staging_root.rstrip('/')}/batch={batch_id}",
+           partition_by=partition_by, resume=True)
+
+
+def stream_upsert(spark: SparkSession, source: DataFrame, target_path: str, keys: Sequence[str], order_by: str,
+                  checkpoint: str, staging_root: str, partition_by: Sequence[str] | None = None) -> None:
+    """Upsert every micro-batch of ``source`` into ``target_path`` by ``keys`` (I13);
+    within a batch the newest row per key (``order_by``) wins."""
     ship_code(spark)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        delta = latest_per_key(batch, keys, order_by).select(target.schema.fieldNames())
-        current = target.read(before=batch_id)
-        target.write(merge_upsert(current, delta, keys), batch_id)
+        delta = latest_per_key(batch, keys, order_by).drop(order_by)
+        _upsert_batch(spark, delta, target_path, keys, staging_root, batch_id, partition_by)
 
     q = (
         source.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
@@ -85,8 +76,13 @@ def stream_upsert(spark: SparkSession, source: DataFrame, target: VersionedTable
     q.awaitTermination()
 
 
-def stream_fold_node_runs(spark: SparkSession, events: DataFrame, target: VersionedTable, checkpoint: str) -> None:
-    """Fold a stream of NodeStarted / NodeFinished events into node runs."""
+def stream_fold_node_runs(spark: SparkSession, events: DataFrame, target_path: str, checkpoint: str,
+                          staging_root: str) -> None:
+    """Fold a stream of NodeStarted / NodeFinished events into node runs.
+
+    The aggregation state is keyed by (run_id, path) and spread over the state-store
+    partitions; in update mode each batch emits the changed node runs, which are
+    upserted into the table."""
     ship_code(spark)
     ev = F.col("event")
     agg = (
@@ -103,8 +99,7 @@ def stream_fold_node_runs(spark: SparkSession, events: DataFrame, target: Versio
     )
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        current = target.read(before=batch_id)
-        target.write(merge_upsert(current, batch.select(target.schema.fieldNames()), ["run_id", "path_key"]), batch_id)
+        _upsert_batch(spark, batch, target_path, ["run_id", "path_key"], staging_root, batch_id, None)
 
     q = (
         agg.writeStream.outputMode("update").foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
