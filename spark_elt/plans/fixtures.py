@@ -50,15 +50,16 @@ NODE_RUN_COLS = ["node_run_id", "run_id", "node_path", "start_time", "end_time",
 def node_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``node_run``: the first node run per natural key (run_id, node_path).
 
-    Kept as a hash aggregate of ``min(struct(node_run_id, …))`` rather than a
-    row_number window: the aggregate combines map-side, so a hot key costs one
-    partial row per task instead of one sorted group in one task."""
+    A hash aggregate of ``min(node_run_id)`` and ``min_by(column, node_run_id)`` (all
+    fixed-width buffers) rather than a row_number window or a struct minimum (which
+    plans as a sort aggregate): it combines map-side, so a hot key costs one partial
+    row per task, and needs no sort."""
     nr0 = node_run_all(spark, sf_dir)
-    rest = [c for c in NODE_RUN_COLS if c not in ("run_id", "node_path")]
+    rest = [c for c in NODE_RUN_COLS if c not in ("node_run_id", "run_id", "node_path")]
     return (
         nr0.groupBy("run_id", "node_path")
-        .agg(F.min(F.struct(*rest)).alias("r"))
-        .select(*[F.col(f"r.{c}").alias(c) if c in rest else F.col(c) for c in NODE_RUN_COLS])
+        .agg(F.min("node_run_id").alias("node_run_id"), *[F.min_by(c, "node_run_id").alias(c) for c in rest])
+        .select(*NODE_RUN_COLS)
     )
 
 
