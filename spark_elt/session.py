@@ -19,6 +19,25 @@ TABLES = (
 ).split()
 
 
+def scale_conf(target_partition_mb: int = 256, initial_partitions: int = 8192) -> dict[str, str]:
+    """Settings meant for large clusters (set them when the session is created):
+    AQE starts from many shuffle partitions and coalesces them to ~256 MB, splits
+    skewed join partitions, reads files in 256 MB splits, and keeps streaming state
+    in RocksDB (off-heap, spills to local disk) instead of the JVM heap."""
+    mb = f"{target_partition_mb}m"
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial_partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": mb,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": mb,
+        "spark.sql.files.maxPartitionBytes": mb,
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "spark_elt") -> SparkSession:
     """Session for tests and the bench (UI off, AQE on, UTC)."""
     return (
