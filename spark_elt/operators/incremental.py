@@ -299,6 +299,7 @@ def copy_incrementally(
     explicit: bool = False,
     dedup_by: str | None = None,
     fmt: str = "parquet",
+    lookback: str | None = None,
 ) -> str:
     """Incremental copy of ``source`` into ``target_path``.
 
@@ -307,7 +308,10 @@ def copy_incrementally(
     4. Empty target or no/'' stored value: full load (stale value deleted first).
        Otherwise: delta = rows with ``expr >= last`` (inclusive; pushed into the
        source scan), upserted by ``keys``. 5. The max from step 1 is stored last,
-       so a crash before it repeats the load. Returns 'empty', 'full' or 'delta'."""
+       so a crash before it repeats the load. Returns 'empty', 'full' or 'delta'.
+    ``lookback`` (e.g. ``"INTERVAL 2 DAYS"``) widens the delta window so that late
+    changes below the stored value are read again (off by default, as in the
+    reference, where such rows are never re-read)."""
     max_value = source.select(F.max(F.expr(modification_expr)).cast("string").alias("m")).first()["m"]
     if max_value is None:
         return "empty"
@@ -323,7 +327,10 @@ def copy_incrementally(
         mode = "full"
     else:
         typ = comparison_type or source.select(F.expr(modification_expr).alias("e")).schema["e"].dataType.simpleString()
-        delta = source.where(F.expr(modification_expr) >= F.lit(last).cast(typ))
+        bound = F.lit(last).cast(typ)
+        if lookback:
+            bound = bound - F.expr(lookback)
+        delta = source.where(F.expr(modification_expr) >= bound)
         upsert(spark, target_path, delta, keys, staging, dedup_by=dedup_by, explicit=explicit, fmt=fmt)
         mode = "delta"
     set_last_value(status, node_path, source_name, max_value)

@@ -51,20 +51,24 @@ def select_files(
     *,
     date_regex: str | None = None,
     first_date: dt.date | None = DEFAULT_FIRST_DATE,
+    last_date: dt.date | None = None,
     reload_all: bool = False,
 ) -> DataFrame:
     """Files to read for one load.
 
     ``processed``: the processed-file state of this node (``file_name``,
     ``last_modified_timestamp``). ``reload_all``: the node's code dependencies
-    changed, so the state is ignored (S20). Order: newest date first, then file
-    name descending."""
+    changed, so the state is ignored (S20). ``last_date`` (off by default, as in
+    the reference, where it only enters the dependency hash) adds an upper bound.
+    Order: newest date first, then file name descending."""
     files = listing
     dated = date_regex is not None
     if dated:
         files = with_file_date(files, date_regex)
         if first_date is not None:
             files = files.where(F.col("file_date") >= F.lit(first_date))
+        if last_date is not None:
+            files = files.where(F.col("file_date") <= F.lit(last_date))
     order = _order_cols(dated)
     if mode in (ReadMode.ONLY_LATEST, ReadMode.ONLY_NEW_EXCEPT_LATEST):
         # top-1 by the file order: a distributed TakeOrderedAndProject, one row out

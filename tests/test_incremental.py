@@ -120,3 +120,42 @@ def test_dependency_hash_file_and_frame_agree(spark, tmp_dir):
         files.append(p)
     h = inc.dependency_hash(files, dt.date(2000, 1, 1))
     assert inc.dependency_hash_frame(spark, files, dt.date(2000, 1, 1)).collect()[0]["hash"] == h
+
+
+def test_state_saved_only_after_successful_load(spark):
+    target, staging = scratch_dir(spark, "t_fail"), scratch_dir(spark, "t_fail_stg")
+    st = inc.StateTable(spark, scratch_dir(spark, "t_fail_st"), inc.COPY_STATUS, ["node_path", "source_table"])
+    good = frame(spark, [(1, "a", D)])
+    assert _copy(spark, good, target, st, staging) == "full"
+    bad = frame(spark, [(1, "a", D + dt.timedelta(1))]).withColumn(
+        "v", F.when(F.col("k") == 1, F.raise_error(F.lit("boom"))).otherwise(F.col("v")).cast("string"))
+    with pytest.raises(Exception):
+        _copy(spark, bad, target, st, staging)
+    assert inc.get_last_value(st, ["copy"], "db.src") == "2024-01-01 00:00:00"
+
+
+def test_lookback_rereads_late_rows(spark):
+    target, staging = scratch_dir(spark, "t_lb"), scratch_dir(spark, "t_lb_stg")
+    st = inc.StateTable(spark, scratch_dir(spark, "t_lb_st"), inc.COPY_STATUS, ["node_path", "source_table"])
+    v1 = frame(spark, [(1, "a", D), (2, "b", D + dt.timedelta(2))])
+    inc.copy_incrementally(spark, v1, target, "ts", ["k"], st, ["c"], "s", staging)
+    v2 = frame(spark, [(1, "A", D + dt.timedelta(1)), (2, "b", D + dt.timedelta(2))])
+    inc.copy_incrementally(spark, v2, target, "ts", ["k"], st, ["c"], "s", scratch_dir(spark, "x"),
+                           lookback="INTERVAL 1 DAY")
+    assert rows(spark.read.parquet(target).select("k", "v")) == [(1, "A"), (2, "b")]
+
+
+def test_catalog_insert_and_analyze(spark, tmp_dir):
+    import uuid
+
+    from spark_elt.operators import sinks
+
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {name} (k BIGINT, v STRING, day_id INT) USING parquet PARTITIONED BY (day_id) "
+              f"LOCATION '{tmp_dir}/{name}'")
+    try:
+        sinks.insert_into(spark, spark.createDataFrame([(1, "a", 20240101)], "x long, y string, d int"), name)
+        sinks.analyze(spark, name, {"day_id": 20240101})
+        assert spark.table(name).count() == 1
+    finally:
+        spark.sql(f"DROP TABLE {name}")
