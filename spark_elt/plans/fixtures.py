@@ -63,6 +63,15 @@ def node_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def node_run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``node_run`` written once into the checkpoint folder, for queries that read the
+    run table several times (as a stored run table would be read)."""
+    from spark_elt.session import checkpoint_root
+
+    checkpoint_root(spark)
+    return node_run(spark, sf_dir).checkpoint(eager=True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``run``: one row per run with the root path."""
     return (
@@ -77,10 +86,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def node_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+def node_output(spark: SparkSession, sf_dir: str, nr: DataFrame | None = None) -> DataFrame:
     """``node_output``: every event is an output line of the kept node run of its key."""
     nr0 = node_run_all(spark, sf_dir)
-    kept = node_run(spark, sf_dir).select(
+    kept = (nr if nr is not None else node_run(spark, sf_dir)).select(
         "run_id", "node_path", F.col("node_run_id").alias("kept_id")
     )
     fmt = F.when(F.col("node_run_id") % 3 == 0, "standard").when(F.col("node_run_id") % 3 == 1, "verbatim").otherwise("italics")

@@ -275,4 +275,5 @@ SELECT node_run_id, CASE WHEN length(t) > 2000 THEN substr(t, 1, 2000) || '</pre
 def failure_digest(spark, sf_dir):
     """One chat message per failed task: the sequential message fold expressed
     with lag/lead and the position of the last standard line."""
-    return rl.failure_digest(fx.node_run(spark, sf_dir), fx.node_output(spark, sf_dir))
+    nr = fx.node_run_table(spark, sf_dir)
+    return rl.failure_digest(nr, fx.node_output(spark, sf_dir, nr))
