@@ -214,39 +214,51 @@ def lanes(df: DataFrame, group: Sequence[str], start: str, end: str, order_tie:
     ``order_tie``) take the first lane whose last interval ended at or before their
     start, else a new lane.
 
-    First-fit is sequential inside a group, so each group is packed by one pandas
-    task (``applyInPandas``) with a vectorised sort; groups are runs (one run's
-    nodes), which the pipeline definition bounds."""
+    First-fit is sequential inside a group, so rows are hash-partitioned by the
+    group and sorted within partitions; one ``mapInPandas`` pass per partition walks
+    the sorted rows with two heaps (busy lanes by end, free lanes by index), carrying
+    its state across Arrow batches and resetting it at each group change. There is
+    no per-group pandas call, so many small groups cost one vectorised pass; one
+    group stays in one task (runs are bounded by their pipeline's node count)."""
     ship_code(df.sparkSession)
-    cols = list(group) + [order_tie, start, end]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*group, order_tie).schema.fields)
+    keys = list(group)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys, order_tie).schema.fields)
     schema += ", lane long"
+    sorted_df = (
+        df.select(*keys, order_tie, start, end)
+        .repartition(*[F.col(k) for k in keys])
+        .sortWithinPartitions(*keys, start, order_tie)
+    )
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(batches):
         import heapq
 
         import numpy as np
 
-        pdf = pdf.sort_values([start, order_tie], kind="mergesort")
-        starts = pdf[start].to_numpy("datetime64[us]").astype(np.int64)
-        ends = pdf[end].to_numpy("datetime64[us]").astype(np.int64)
-        busy: list[tuple[int, int]] = []  # (end, lane) of lanes in use
-        free: list[int] = []  # lanes whose last bar ended, smallest first
+        current = None
+        busy: list = []
+        free: list = []
         n_lanes = 0
-        out = np.empty(len(starts), dtype=np.int64)
-        for i in range(len(starts)):
-            s_i = starts[i]
-            while busy and busy[0][0] <= s_i:
-                heapq.heappush(free, heapq.heappop(busy)[1])
-            if free:
-                lane = heapq.heappop(free)
-            else:
-                lane = n_lanes
-                n_lanes += 1
-            out[i] = lane
-            heapq.heappush(busy, (ends[i], lane))
-        res = pdf[list(group) + [order_tie]].copy()
-        res["lane"] = out
-        return res
-
-    return df.select(*cols).groupBy(*group).applyInPandas(pack, schema)
+        for pdf in batches:
+            starts = pdf[start].to_numpy("datetime64[us]").astype(np.int64)
+            ends = pdf[end].to_numpy("datetime64[us]").astype(np.int64)
+            gkeys = list(zip(*[pdf[k].tolist() for k in keys]))
+            out = np.empty(len(pdf), dtype=np.int64)
+            for i in range(len(pdf)):
+                if gkeys[i] != current:
+                    current, busy, free, n_lanes = gkeys[i], [], [], 0
+                s_i = starts[i]
+                while busy and busy[0][0] <= s_i:
+                    heapq.heappush(free, heapq.heappop(busy)[1])
+                if free:
+                    lane = heapq.heappop(free)
+                else:
+                    lane = n_lanes
+                    n_lanes += 1
+                out[i] = lane
+                heapq.heappush(busy, (int(ends[i]), lane))
+            res = pdf[keys + [order_tie]].copy()
+            res["lane"] = out
+            yield res
+
+    return sorted_df.mapInPandas(run, schema)

@@ -24,11 +24,29 @@ def _n_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+# Groups up to this many rows are numbered with a plain window (one task per group
+# is fine for them); a larger group switches to the range-partitioned form.
+WINDOW_GROUP_LIMIT = 2_000_000
+
+
 def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-               sums: Sequence[str] = (), index_col: str = "_idx", partitions: int | None = None) -> DataFrame:
+               sums: Sequence[str] = (), index_col: str = "_idx", partitions: int | None = None,
+               window_group_limit: int | None = WINDOW_GROUP_LIMIT) -> DataFrame:
     """Add ``index_col`` (1-based row number within the group in ``order``) and
-    ``<c>_cum`` running sums (``ROWS UNBOUNDED PRECEDING``) for ``sums``."""
+    ``<c>_cum`` running sums (``ROWS UNBOUNDED PRECEDING``) for ``sums``.
+
+    The size of the largest group is checked first (a partial-aggregated count):
+    when it is at most ``window_group_limit`` rows a window per group is used,
+    otherwise the range-partitioned form below. Both give the same values."""
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    if window_group_limit is not None and partitions is None:
+        biggest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
+        if biggest <= window_group_limit:
+            w = Window.partitionBy(*group).orderBy(*order_cols)
+            out = df.withColumn(index_col, F.row_number().over(w).cast("bigint"))
+            for c in sums:
+                out = out.withColumn(f"{c}_cum", F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            return out
     n = partitions or _n_partitions(df)
     ranged = df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid", *group).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)

@@ -23,3 +23,12 @@ def test_index_sum_lag_on_skewed_groups(spark):
     )
     cols = ["g", "o", "_idx", "x_cum", "lag_x", "lead_x"]
     assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(tuple(r) for r in want.select(cols).collect())
+
+
+def test_window_path_equals_range_path(spark):
+    rows = [(g, i, float(i)) for g in range(5) for i in range(50)]
+    df = spark.createDataFrame(rows, "g long, o long, x double")
+    a = with_index(df, ["g"], ["o"], sums=["x"])  # small groups: window path
+    b = with_index(df, ["g"], ["o"], sums=["x"], window_group_limit=10)  # forced range path
+    cols = ["g", "o", "_idx", "x_cum"]
+    assert sorted(tuple(r) for r in a.select(cols).collect()) == sorted(tuple(r) for r in b.select(cols).collect())
