@@ -20,6 +20,10 @@ from spark_elt.functions.paths import empty_path
 from spark_elt.session import checkpoint_root, ship_code
 
 
+# The known set is re-checkpointed every few rounds; each round's frontier always is.
+CUT_EVERY = 4
+
+
 def _cut(df: DataFrame) -> DataFrame:
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -42,12 +46,14 @@ def upstream_closure(edges: DataFrame, seeds: DataFrame, max_rounds: int | None
     known = _cut(seeds.select("node").distinct())
     frontier = known
     limit = max_rounds or edges.select("u").union(edges.select("v")).distinct().count() + 1
-    for _ in range(limit):
+    for r in range(limit):
         nxt = frontier.join(rev, "node").select(F.col("up").alias("node")).distinct().join(known, "node", "left_anti")
         nxt = _cut(nxt)
         if nxt.isEmpty():
             return known
-        known = _cut(known.unionByName(nxt))
+        known = known.unionByName(nxt)
+        if r % CUT_EVERY == CUT_EVERY - 1:  # bound the lineage of the known set
+            known = _cut(known)
         frontier = nxt
     raise ValueError("upstream closure did not converge: the graph has a cycle")
 
@@ -62,7 +68,7 @@ def reach_pairs(edges: DataFrame, sources: DataFrame | None = None, through: Dat
     known = _cut(start.select(F.col("u").alias("src"), F.col("v").alias("dst")).distinct())
     frontier = known
     limit = max_rounds or e.select("u").union(e.select("v")).distinct().count() + 1
-    for _ in range(limit):
+    for r in range(limit):
         f = frontier if through is None else frontier.join(through.select(F.col("node").alias("dst")), "dst", "left_semi")
         nxt = (
             f.join(e, f["dst"] == e["u"]).select("src", F.col("v").alias("dst")).distinct()
@@ -71,7 +77,9 @@ def reach_pairs(edges: DataFrame, sources: DataFrame | None = None, through: Dat
         nxt = _cut(nxt)
         if nxt.isEmpty():
             return known
-        known = _cut(known.unionByName(nxt))
+        known = known.unionByName(nxt)
+        if r % CUT_EVERY == CUT_EVERY - 1:  # bound the lineage of the known set
+            known = _cut(known)
         frontier = nxt
     raise ValueError("reachability did not converge: the graph has a cycle")
 

@@ -49,14 +49,19 @@ class StateTable:
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
+        self._version: int | None = None
 
     def version(self) -> int | None:
+        """Newest committed version (listed once, then tracked by this writer)."""
+        if self._version is not None:
+            return self._version
         try:
             listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(self.path)
         except Exception:  # noqa: BLE001 - no table yet
             return None
         v = listing.select(F.max(F.regexp_extract("path", r"/v=(\d+)/", 1).cast("long")).alias("v")).first()
-        return None if v is None or v["v"] is None else int(v["v"])
+        self._version = None if v is None or v["v"] is None else int(v["v"])
+        return self._version
 
     def read(self) -> DataFrame:
         v = self.version()
@@ -73,6 +78,7 @@ class StateTable:
         marker = self.spark.createDataFrame([tuple([None] * len(self.schema.fields))], self.schema)
         out = rows.withColumn("_live", F.lit(True)).unionByName(marker.withColumn("_live", F.lit(False)))
         out.write.mode("overwrite").parquet(f"{self.path}/v={v}")
+        self._version = v
 
     def upsert(self, rows: DataFrame) -> None:
         current = self.read()
