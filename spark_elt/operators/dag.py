@@ -89,22 +89,23 @@ def critical_path_cost(nodes: DataFrame, edges: DataFrame, max_rounds: int | Non
 
     Relaxation from the leaves: each round recomputes every cost from the current
     costs of the downstreams (join + grouped max); the values only grow and reach
-    the fixed point after (longest path length) rounds."""
-    own = nodes.select("node", F.coalesce(F.col("cost"), F.lit(0.0)).alias("own"))
-    cost = _cut(own.select("node", F.col("own").alias("cost")))
-    limit = max_rounds or own.count() + 1
+    the fixed point after (longest path length) rounds. Each round is one
+    checkpointed job that also flags changed costs, so the convergence test is a
+    scan of that checkpoint."""
+    cost = _cut(nodes.select("node", F.coalesce(F.col("cost"), F.lit(0.0)).alias("own")).withColumn("cost", F.col("own")))
+    limit = max_rounds or cost.count() + 1
     for _ in range(limit):
         best = edges.join(cost.select(F.col("node").alias("v"), F.col("cost").alias("c")), "v").groupBy("u").agg(
             F.max("c").alias("down")
         )
-        new = own.join(best.withColumnRenamed("u", "node"), "node", "left").select(
-            "node", (F.col("own") + F.coalesce(F.col("down"), F.lit(0.0))).alias("cost")
+        new = cost.join(best.withColumnRenamed("u", "node"), "node", "left").select(
+            "node", "own", (F.col("own") + F.coalesce(F.col("down"), F.lit(0.0))).alias("new_cost"), "cost"
         )
-        new = _cut(new)
-        changed = new.join(cost.withColumnRenamed("cost", "old"), "node").where(F.col("cost") != F.col("old"))
-        if changed.isEmpty():
-            return new
-        cost = new
+        new = _cut(new.select("node", "own", F.col("new_cost").alias("cost"),
+                              (F.col("new_cost") != F.col("cost")).alias("changed")))
+        if new.where(F.col("changed")).isEmpty():
+            return new.select("node", "cost")
+        cost = new.select("node", "own", "cost")
     raise ValueError("cost did not converge: the graph has a cycle")
 
 
