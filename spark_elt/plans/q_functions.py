@@ -175,12 +175,24 @@ def events_to_json(spark, sf_dir):
     )
 
 
-@register("run_data_json")
+_TS_JSON_D = "coalesce('\"' || strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') || '\"', 'null')"
+
+
+@register(
+    "run_data_json",
+    with_views(["node_run"], """SELECT node_run_id, '{"node_run_id":' || node_run_id || ',"run_id":' || run_id
+       || ',"node_path":' || CAST(to_json(node_path) AS VARCHAR)
+       || ',"start_time":' || """ + _TS_JSON_D.format(c="start_time") + """
+       || ',"end_time":' || """ + _TS_JSON_D.format(c="end_time") + """
+       || ',"succeeded":' || coalesce(CAST(succeeded AS VARCHAR), 'null')
+       || ',"is_pipeline":' || CAST(is_pipeline AS VARCHAR) || '}' AS json
+FROM node_run"""),
+)
 def run_data_json(spark, sf_dir):
-    """whole node-run rows as JSON text (rows-only check: JSON key order and
-    number formatting differ between engines)."""
+    """whole node-run rows as JSON text (``row_to_json``), NULL fields kept."""
     nr = fx.node_run(spark, sf_dir)
-    return nr.select("node_run_id", F.to_json(F.struct(*nr.columns)).alias("json"))
+    opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
+    return nr.select("node_run_id", F.to_json(F.struct(*nr.columns), opts).alias("json"))
 
 
 # ---------------------------------------------------------------- folds I14–I19

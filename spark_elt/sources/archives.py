@@ -19,13 +19,24 @@ from pyspark.sql import functions as F
 from spark_elt.session import ship_code
 
 
-def _open_output(path: str):
+def _fs_path(path: str):
     from pyarrow import fs
 
-    filesystem, p = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+
+
+def write_bytes(path: str, data: bytes) -> None:
+    """Write a whole file from a task: to a unique temporary name first, then renamed,
+    so a retried or speculative task attempt never leaves a half-written file."""
+    import uuid
+
+    filesystem, p = _fs_path(path)
     parent = p.rsplit("/", 1)[0]
     filesystem.create_dir(parent, recursive=True)
-    return filesystem.open_output_stream(p, compression=None)
+    tmp = f"{p}.tmp-{uuid.uuid4().hex}"
+    with filesystem.open_output_stream(tmp, compression=None) as f:
+        f.write(data)
+    filesystem.move(tmp, p)
 
 
 def pack(spark: SparkSession, files: DataFrame, key: str, target_dir: str, kind: str) -> DataFrame:
@@ -55,8 +66,7 @@ def pack(spark: SparkSession, files: DataFrame, key: str, target_dir: str, kind:
                     info.mtime = int(time.time())
                     t.addfile(info, io.BytesIO(bytes(c)))
         out = f"{target_dir.rstrip('/')}/{k}.{ext}"
-        with _open_output(out) as f:
-            f.write(buf.getvalue())
+        write_bytes(out, buf.getvalue())
         return pd.DataFrame({"k": [k], "archive": [out]})
 
     return grouped.groupBy("k").applyInPandas(build, "k string, archive string").withColumnRenamed("k", key)
@@ -70,8 +80,7 @@ def write_lines_per_group(spark: SparkSession, df: DataFrame, key: str, line: st
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         k = pdf[key].iloc[0]
         out = f"{target_dir.rstrip('/')}/{k}{suffix}"
-        with _open_output(out) as f:
-            f.write(("\n".join(pdf[line].astype(str)) + "\n").encode("utf-8"))
+        write_bytes(out, ("\n".join(pdf[line].astype(str)) + "\n").encode("utf-8"))
         return pd.DataFrame({key: [k], "file": [out]})
 
     return df.select(key, line).groupBy(key).applyInPandas(run, f"{key} string, file string")

@@ -108,7 +108,7 @@ def write_sqlite_per_group(spark: SparkSession, df: DataFrame, key: str, table_n
     cols = [c for c in df.columns if c != key]
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        from spark_elt.sources.archives import _open_output
+        from spark_elt.sources.archives import write_bytes
 
         k = str(pdf[key].iloc[0])
         fd, local = tempfile.mkstemp(suffix=".sqlite")
@@ -123,8 +123,8 @@ def write_sqlite_per_group(spark: SparkSession, df: DataFrame, key: str, table_n
             con.commit()
             con.close()
             out = f"{target_dir.rstrip('/')}/{k}.sqlite"
-            with open(local, "rb") as f, _open_output(out) as o:
-                o.write(f.read())
+            with open(local, "rb") as f:
+                write_bytes(out, f.read())
         finally:
             os.remove(local)
         return pd.DataFrame({key: [k], "file": [out]})
