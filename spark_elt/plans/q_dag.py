@@ -14,7 +14,7 @@ from spark_elt.plans.oracle_views import with_views
 from spark_elt.plans.registry import register
 from spark_elt.session import table
 
-SEEDS_D = "SELECT node FROM dag_node WHERE cost = 1 AND node >= 1000"
+SEEDS_D = "SELECT node FROM dag_node WHERE cost = 1"
 
 
 def _rec(names, ctes: str, body: str) -> str:
@@ -24,7 +24,7 @@ def _rec(names, ctes: str, body: str) -> str:
 
 def _seeds(spark, sf_dir) -> DataFrame:
     n = fx.dag_node(spark, sf_dir)
-    return n.where((F.col("cost") == 1) & (F.col("node") >= 1000)).select("node")
+    return n.where(F.col("cost") == 1).select("node")
 
 
 @register(

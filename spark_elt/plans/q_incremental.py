@@ -258,16 +258,16 @@ def upsert_on_conflict(spark, sf_dir):
         f"""SELECT {_ORD_COLS} FROM orders_v1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_v2 WHERE o_orderkey % 7 = 0)
 UNION ALL SELECT {_ORD_COLS} FROM orders_v2 WHERE o_orderkey % 7 = 0
 UNION ALL SELECT NULL AS o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6), o_orderdate, o_orderpriority
-          FROM orders WHERE o_orderkey % 1000 = 1""",
+          FROM orders WHERE o_orderstatus = 'P'""",
     ),
 )
 def explicit_upsert(spark, sf_dir):
-    """UPDATE matched keys then INSERT the rest; rows with a NULL key never
-    match and are inserted."""
+    """UPDATE matched keys then INSERT the rest; rows with a NULL key (here the
+    pending orders, sent without key) never match and are inserted."""
     target = scratch_dir(spark, "explicit_target")
     fx.orders_v1(spark, sf_dir).write.parquet(target)
     delta = fx.orders_v2(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0).unionByName(
-        table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 1000 == 1).withColumn("o_orderkey", F.lit(None).cast("bigint"))
+        table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P").withColumn("o_orderkey", F.lit(None).cast("bigint"))
     )
     inc.upsert(spark, target, delta, ["o_orderkey"], scratch_dir(spark, "explicit_staging"), explicit=True)
     return _ord(spark.read.parquet(target))
