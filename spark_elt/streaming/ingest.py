@@ -8,9 +8,10 @@
   upserted into the target with the staged upsert, which rewrites only the target
   partitions the batch touches. The staging of a batch is named by its batch id and
   reused on replay; an upsert is idempotent, so a replayed batch changes nothing.
-* I17 ``stream_fold_node_runs``: node events aggregated per (run, path) in update
-  mode; each batch upserts the changed rows into the node-run table the same way.
-  Unfinished nodes keep NULL end and status until their finish arrives.
+* I17 ``stream_fold_node_runs``: node events folded per (run, path) in each batch and
+  merged with the stored rows of the touched keys (an idempotent min/last fold), then
+  upserted the same way; no state store, so state does not grow with the number of
+  runs. Unfinished nodes keep NULL end and status until their finish arrives.
 
 The checkpoint folder of every query lives under the session's checkpoint root.
 """
@@ -76,33 +77,51 @@ def stream_upsert(spark: SparkSession, source: DataFrame, target_path: str, keys
     q.awaitTermination()
 
 
+def _fold_rows(rows: DataFrame) -> DataFrame:
+    """Node runs from partial node runs of the same key (min start, last finish)."""
+    fin = F.when(F.col("end_time").isNotNull(), F.struct("end_time", "succeeded"))
+    return rows.groupBy("run_id", "path_key").agg(
+        F.min("node_run_id").alias("node_run_id"),
+        F.min("start_time").alias("start_time"),
+        F.max(fin).alias("fin"),
+        F.max("is_pipeline").alias("is_pipeline"),
+    ).select("node_run_id", "run_id", "path_key", "start_time", F.col("fin.end_time").alias("end_time"),
+             F.col("fin.succeeded").alias("succeeded"), "is_pipeline")
+
+
 def stream_fold_node_runs(spark: SparkSession, events: DataFrame, target_path: str, checkpoint: str,
                           staging_root: str) -> None:
     """Fold a stream of NodeStarted / NodeFinished events into node runs.
 
-    The aggregation state is keyed by (run_id, path) and spread over the state-store
-    partitions; in update mode each batch emits the changed node runs, which are
-    upserted into the table."""
+    No streaming state is kept: each micro-batch is folded per (run, path), the
+    stored rows of the keys it touches are folded in again (min start, last finish;
+    both are idempotent, so a replayed batch or events arriving out of order give
+    the same row), and the result is upserted. The node-run table is the state, so
+    nothing grows in executor memory with the number of runs."""
     ship_code(spark)
+    keys = ["run_id", "path_key"]
     ev = F.col("event")
-    agg = (
-        events.where(ev.isin("NodeStarted", "NodeFinished"))
-        .groupBy("run_id", "path_key")
-        .agg(
-            F.min(F.when(ev == "NodeStarted", F.col("seq"))).alias("node_run_id"),
-            F.min(F.when(ev == "NodeStarted", F.col("ts"))).alias("start_time"),
-            F.max(F.when(ev == "NodeFinished", F.struct("ts", "succeeded"))).alias("fin"),
-            F.max(F.when(ev == "NodeStarted", F.col("is_pipeline"))).alias("is_pipeline"),
-        )
-        .select("node_run_id", "run_id", "path_key", "start_time", F.col("fin.ts").alias("end_time"),
-                F.col("fin.succeeded").alias("succeeded"), "is_pipeline")
-    )
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        _upsert_batch(spark, batch, target_path, ["run_id", "path_key"], staging_root, batch_id, None)
+        part = (
+            batch.where(ev.isin("NodeStarted", "NodeFinished"))
+            .select(
+                F.when(ev == "NodeStarted", F.col("seq")).alias("node_run_id"),
+                "run_id", "path_key",
+                F.when(ev == "NodeStarted", F.col("ts")).alias("start_time"),
+                F.when(ev == "NodeFinished", F.col("ts")).alias("end_time"),
+                F.when(ev == "NodeFinished", F.col("succeeded")).alias("succeeded"),
+                F.when(ev == "NodeStarted", F.col("is_pipeline")).alias("is_pipeline"),
+            )
+        )
+        part = _fold_rows(part)
+        if _committed(spark, target_path, "parquet"):
+            stored = spark.read.parquet(target_path).join(part.select(*keys), keys, "left_semi")
+            part = _fold_rows(stored.unionByName(part))
+        _upsert_batch(spark, part, target_path, keys, staging_root, batch_id, None)
 
     q = (
-        agg.writeStream.outputMode("update").foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
+        events.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
