@@ -306,6 +306,7 @@ def copy_incrementally(
     dedup_by: str | None = None,
     fmt: str = "parquet",
     lookback: str | None = None,
+    partition_by: Sequence[str] | None = None,
 ) -> str:
     """Incremental copy of ``source`` into ``target_path``.
 
@@ -317,7 +318,8 @@ def copy_incrementally(
        so a crash before it repeats the load. Returns 'empty', 'full' or 'delta'.
     ``lookback`` (e.g. ``"INTERVAL 2 DAYS"``) widens the delta window so that late
     changes below the stored value are read again (off by default, as in the
-    reference, where such rows are never re-read)."""
+    reference, where such rows are never re-read). With ``partition_by`` the target
+    is partitioned and a delta rewrites only the partitions it touches."""
     max_value = source.select(F.max(F.expr(modification_expr)).cast("string").alias("m")).first()["m"]
     if max_value is None:
         return "empty"
@@ -329,7 +331,10 @@ def copy_incrementally(
     if target_empty or not last:
         if target_empty and last:
             delete_last_value(status, node_path, source_name)
-        source.write.mode("overwrite").format(fmt).save(target_path)
+        w = source.write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(target_path)
         mode = "full"
     else:
         typ = comparison_type or source.select(F.expr(modification_expr).alias("e")).schema["e"].dataType.simpleString()
@@ -337,7 +342,8 @@ def copy_incrementally(
         if lookback:
             bound = bound - F.expr(lookback)
         delta = source.where(F.expr(modification_expr) >= bound)
-        upsert(spark, target_path, delta, keys, staging, dedup_by=dedup_by, explicit=explicit, fmt=fmt)
+        upsert(spark, target_path, delta, keys, staging, partition_by=partition_by, dedup_by=dedup_by,
+               explicit=explicit, fmt=fmt)
         mode = "delta"
     set_last_value(status, node_path, source_name, max_value)
     return mode

@@ -159,3 +159,14 @@ def test_catalog_insert_and_analyze(spark, tmp_dir):
         assert spark.table(name).count() == 1
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_copy_incrementally_partitioned_target(spark):
+    target, staging = scratch_dir(spark, "t_pc"), scratch_dir(spark, "t_pc_stg")
+    st = inc.StateTable(spark, scratch_dir(spark, "t_pc_st"), inc.COPY_STATUS, ["node_path", "source_table"])
+    v1 = frame(spark, [(1, "a", D), (2, "b", D + dt.timedelta(1))]).withColumn("day", F.dayofmonth("ts"))
+    inc.copy_incrementally(spark, v1, target, "ts", ["k"], st, ["c"], "s", staging, partition_by=["day"])
+    v2 = frame(spark, [(2, "B", D + dt.timedelta(1)), (3, "c", D + dt.timedelta(1))]).withColumn("day", F.dayofmonth("ts"))
+    assert inc.copy_incrementally(spark, v2, target, "ts", ["k"], st, ["c"], "s", scratch_dir(spark, "s2"),
+                                  partition_by=["day"]) == "delta"
+    assert rows(spark.read.parquet(target).select("k", "v", "day")) == [(1, "a", 1), (2, "B", 2), (3, "c", 2)]
