@@ -10,9 +10,29 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def wall_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a wall-clock (``TIMESTAMP_NTZ``) value,
+    computed from its date and time fields only, so the session time zone never
+    enters (a difference across a daylight-saving gap stays exact)."""
+    c = _col(ts)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    secs = F.extract(F.lit("SECOND"), c)  # seconds with the fraction, decimal(8,6)
+    return (
+        days * F.lit(86_400_000_000)
+        + F.hour(c).cast("bigint") * F.lit(3_600_000_000)
+        + F.minute(c).cast("bigint") * F.lit(60_000_000)
+        + (secs * 1_000_000).cast("bigint")
+    )
+
+
+def micros_between(start, end) -> Column:
+    """``end - start`` in microseconds (wall clock)."""
+    return wall_micros(end) - wall_micros(start)
+
+
 def epoch_seconds(start, end) -> Column:
     """Seconds between two timestamps as double (microsecond exact); NULL if either is NULL."""
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(1_000_000.0)
+    return micros_between(start, end) / F.lit(1_000_000.0)
 
 
 def format_duration(seconds) -> Column:
@@ -64,7 +84,7 @@ def format_time_difference(t1, t2) -> Column:
     anchor0 = a + F.make_ym_interval(F.lit(0), months0)
     months = F.when(anchor0 > b, months0 - 1).otherwise(months0)
     anchor = a + F.make_ym_interval(F.lit(0), months)
-    us = F.timestamp_diff("MICROSECOND", anchor, b)
+    us = micros_between(anchor, b)
     total_s = F.floor(us / 1_000_000)
     parts = F.array(
         F.struct(F.floor(months / 12).alias("n"), F.lit("years").alias("u")),

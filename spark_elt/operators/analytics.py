@@ -233,9 +233,10 @@ def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 3
         "node_run_id", F.col("run_id").alias("nr_run_id"), "start_time", "end_time"
     )
     between = (F.col("timestamp") >= F.col("start_time")) & (F.col("timestamp") <= F.col("end_time"))
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    from spark_elt.functions.durations import wall_micros
+
     # wall-clock micros since 1970 (no session time zone involved)
-    bucket = lambda c: F.floor(F.timestamp_diff("MICROSECOND", epoch, c) / (bucket_seconds * 1_000_000))
+    bucket = lambda c: F.floor(wall_micros(c) / (bucket_seconds * 1_000_000))
     nr_b = nr.withColumn("b", F.explode(F.sequence(bucket(F.col("start_time")), bucket(F.col("end_time")))))
     s_b = stats.withColumn("b", bucket(F.col("timestamp")))
     own = (

@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 MIB = 1024 * 1024
 
 
+def _ntz(t: dt.datetime) -> "Column":
+    """A wall-clock literal (from text, so no time zone is applied)."""
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def counter_rates(df: DataFrame, partition: Sequence[str], ts: str, cols: Sequence[str], tie: str | None = None) -> DataFrame:
     """Turn cumulative byte counters into MiB per second since the previous sample
     of the same partition (W04). The first sample of a partition has NULL rates.
@@ -24,7 +29,9 @@ def counter_rates(df: DataFrame, partition: Sequence[str], ts: str, cols: Sequen
     order = [ts] + ([tie] if tie else [])
     idx = with_index(df, partition, order)
     out = with_neighbours(idx, partition, "_idx", [ts, *cols], lag=True)
-    elapsed = F.timestamp_diff("MICROSECOND", F.col(f"lag_{ts}"), F.col(ts)) / 1e6
+    from spark_elt.functions.durations import epoch_seconds
+
+    elapsed = epoch_seconds(F.col(f"lag_{ts}"), F.col(ts))
     for c in cols:
         out = out.withColumn(f"{c}_rate", (F.col(c) - F.col(f"lag_{c}")) / F.lit(float(MIB)) / elapsed)
     return out.drop("_idx", *[f"lag_{c}" for c in [ts, *cols]])
@@ -90,7 +97,7 @@ def fold_node_output(run_events: DataFrame, node_runs: DataFrame) -> DataFrame:
 def close_open_runs(df: DataFrame, run_id: int, now: dt.datetime) -> DataFrame:
     """Rows of ``run_id`` that have no end are closed as failed at ``now``."""
     hit = (F.col("run_id") == run_id) & F.col("end_time").isNull()
-    now_c = F.lit(now).cast("timestamp_ntz")
+    now_c = _ntz(now)
     return df.withColumn("succeeded", F.when(hit, F.lit(False)).otherwise(F.col("succeeded"))).withColumn(
         "end_time", F.when(hit, now_c).otherwise(F.col("end_time"))
     )
@@ -101,7 +108,7 @@ def retention_prune(run: DataFrame, node_run: DataFrame, node_output: DataFrame,
     """Drop runs that started more than ``days`` days before ``now`` (strict), with
     their node runs and output; statistics by their own timestamp (I19). Returns the
     four kept tables; the cascade is a chain of anti/semi joins."""
-    now_c = F.lit(now).cast("timestamp_ntz")
+    now_c = _ntz(now)
     old = F.col("start_time") + F.make_dt_interval(F.lit(days)) < now_c
     old_runs = run.where(old).select("run_id")
     kept_run = run.where(~old)

@@ -29,7 +29,7 @@ def _dep_state(spark, sf_dir) -> inc.StateTable:
         F.array(F.lit("load"), F.col("event_type")).alias("node_path"),
         F.lit("ParallelReadFile").alias("dependency_type"),
         F.when(F.col("event_type") == "error", F.lit("stale")).otherwise(F.md5("event_type")).alias("hash"),
-        F.lit(T0).cast("timestamp_ntz").alias("timestamp"),
+        F.lit(T0.isoformat(sep=" ")).cast("timestamp_ntz").alias("timestamp"),
     )
     st.replace(rows)
     return st

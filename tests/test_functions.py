@@ -100,3 +100,15 @@ def test_day_id(spark):
 @pytest.mark.parametrize("v", [None])
 def test_format_duration_null(spark, v):
     assert one(spark, sf.format_duration(F.lit(v).cast("double")), [(1,)], "x int") == [""]
+
+
+def test_durations_ignore_session_time_zone(spark):
+    """Wall-clock differences must not depend on the session zone (DST gap)."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = [(dt.datetime(2001, 3, 31, 23, 0), dt.datetime(2001, 4, 1, 2, 30))]
+        got = one(spark, sf.epoch_seconds("a", "b"), rows, "a timestamp_ntz, b timestamp_ntz")
+        assert got == [3.5 * 3600]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
