@@ -25,6 +25,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
+    TimestampType,
 )
 
 from spark_elt.functions.paths import path_has_prefix, path_literal
@@ -36,7 +37,7 @@ FILE_DEPENDENCY = StructType([
 ])
 PROCESSED_FILE = StructType([
     StructField("node_path", _PATH), StructField("file_name", StringType()),
-    StructField("last_modified_timestamp", TimestampNTZType()),
+    StructField("last_modified_timestamp", TimestampType()),  # an instant, as file times are
 ])
 COPY_STATUS = StructType([
     StructField("node_path", _PATH), StructField("source_table", StringType()),

@@ -197,7 +197,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool
     return df.select(
         "path",
         rel.alias("file_name"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("modification_time"),
+        F.col("modificationTime").alias("modification_time"),  # an instant (TIMESTAMP), zone-free
         "length",
     )
 
