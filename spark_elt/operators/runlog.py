@@ -7,13 +7,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 
 
-def _ntz(t: dt.datetime) -> "Column":
+def _ntz(t: dt.datetime) -> Column:
     """A wall-clock literal (from text, so no time zone is applied)."""
     return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 

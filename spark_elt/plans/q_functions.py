@@ -10,7 +10,7 @@ from spark_elt import functions as sf
 from spark_elt.operators import runlog as rl
 from spark_elt.plans import fixtures as fx
 from spark_elt.plans.oracle_views import with_views
-from spark_elt.plans.q_runlog import DUR_D, _format_duration_d
+from spark_elt.plans.q_runlog import _format_duration_d
 from spark_elt.plans.registry import register
 from spark_elt.session import table
 
