@@ -118,7 +118,7 @@ def _copy_state(spark, sf_dir) -> inc.StateTable:
     rows = e.groupBy("event_type").agg(F.max("ts").alias("m")).select(
         F.array(F.lit("copy"), F.col("event_type")).alias("node_path"),
         F.concat(F.lit("db.events_"), F.col("event_type")).alias("source_table"),
-        F.col("m").cast("string").alias("last_comparison_value"),
+        F.date_format("m", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_comparison_value"),
     )
     st.replace(rows)
     return st
