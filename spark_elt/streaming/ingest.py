@@ -90,14 +90,18 @@ def _fold_rows(rows: DataFrame) -> DataFrame:
 
 
 def stream_fold_node_runs(spark: SparkSession, events: DataFrame, target_path: str, checkpoint: str,
-                          staging_root: str) -> None:
+                          staging_root: str, runs_per_partition: int = 1000) -> None:
     """Fold a stream of NodeStarted / NodeFinished events into node runs.
 
     No streaming state is kept: each micro-batch is folded per (run, path), the
     stored rows of the keys it touches are folded in again (min start, last finish;
     both are idempotent, so a replayed batch or events arriving out of order give
     the same row), and the result is upserted. The node-run table is the state, so
-    nothing grows in executor memory with the number of runs."""
+    nothing grows in executor memory with the number of runs.
+
+    The table is partitioned by ``run_block = run_id // runs_per_partition``. Run ids
+    are serial, so a batch (recent runs) touches few blocks: only those are read
+    (static partition pruning on the touched block list) and rewritten."""
     ship_code(spark)
     keys = ["run_id", "path_key"]
     ev = F.col("event")
@@ -114,11 +118,17 @@ def stream_fold_node_runs(spark: SparkSession, events: DataFrame, target_path: s
                 F.when(ev == "NodeStarted", F.col("is_pipeline")).alias("is_pipeline"),
             )
         )
-        part = _fold_rows(part)
+        block = F.floor(F.col("run_id") / runs_per_partition).cast("long")
+        part = _fold_rows(part).withColumn("run_block", block)
         if _committed(spark, target_path, "parquet"):
-            stored = spark.read.parquet(target_path).join(part.select(*keys), keys, "left_semi")
-            part = _fold_rows(stored.unionByName(part))
-        _upsert_batch(spark, part, target_path, keys, staging_root, batch_id, None)
+            # touched blocks: at most one value per partition of the table
+            blocks = [r[0] for r in part.select("run_block").distinct().collect()]
+            stored = (
+                spark.read.parquet(target_path).where(F.col("run_block").isin(blocks))
+                .join(part.select(*keys), keys, "left_semi")
+            )
+            part = _fold_rows(stored.drop("run_block").unionByName(part.drop("run_block"))).withColumn("run_block", block)
+        _upsert_batch(spark, part, target_path, keys, staging_root, batch_id, ["run_block"])
 
     q = (
         events.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
