@@ -31,7 +31,9 @@ def _events(spark, sf_dir) -> DataFrame:
 
 
 def write_daily_csv(spark: SparkSession, sf_dir: str, label: str, df: DataFrame | None = None, **options) -> str:
-    """Events as CSV, one directory per day ``y=YYYY/m=MM/d=DD`` (one file per day)."""
+    """Events as CSV, one directory per day ``y=YYYY/m=MM/d=DD``. Rows are range
+    partitioned by time first, so a day with very many rows is written by several
+    tasks (several files in its directory) instead of one."""
     root = scratch_dir(spark, label)
     df = df if df is not None else _events(spark, sf_dir)
     opts = {"timestampNTZFormat": TS_FMT, "header": "false"}
@@ -39,7 +41,7 @@ def write_daily_csv(spark: SparkSession, sf_dir: str, label: str, df: DataFrame
     (
         df.withColumn("y", F.date_format("ts", "yyyy")).withColumn("m", F.date_format("ts", "MM"))
         .withColumn("d", F.date_format("ts", "dd"))
-        .repartition("y", "m", "d")
+        .repartitionByRange("ts")
         .write.partitionBy("y", "m", "d").options(**opts).csv(root)
     )
     return root
@@ -89,7 +91,11 @@ def read_file_gzip(spark, sf_dir):
 def _archive_query(spark, sf_dir, kind: str) -> DataFrame:
     src = write_daily_csv(spark, sf_dir, f"src_{kind}")
     listing = list_files(spark, src, "*.csv")
-    days = listing.withColumn("day", F.regexp_extract("file_name", r"d=(\d{2})", 1))
+    # one archive per written file (each file came from one bounded task), named by day and part
+    days = listing.withColumn(
+        "day", F.concat_ws("_", F.regexp_extract("file_name", r"d=(\d{2})", 1),
+                           F.regexp_extract("file_name", r"part-(\d+)", 1))
+    )
     target = scratch_dir(spark, f"archives_{kind}")
     done = archives.pack(spark, days, "day", target, kind).collect()  # one row per archive (a file list)
     paths = sorted(r["archive"] for r in done)
@@ -223,12 +229,17 @@ def read_dependency_reload(spark, sf_dir):
 
 @register(
     "files_per_day",
-    "SELECT strftime(ts, '%Y-%m-%d') AS file_date, CAST(1 AS BIGINT) AS n_files FROM events GROUP BY 1",
+    "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS file_date, strftime(ts, '%d') AS first_file_day, TRUE AS has_files FROM events",
 )
 def files_per_day_q(spark, sf_dir):
+    """The selected files grouped by their date (a day may have several files)."""
     root = write_daily_csv(spark, sf_dir, "files_per_day")
     sel = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
-    return files_per_day(sel).select(F.date_format("file_date", "yyyy-MM-dd").alias("file_date"), "n_files")
+    return files_per_day(sel).select(
+        F.date_format("file_date", "yyyy-MM-dd").alias("file_date"),
+        F.regexp_extract("first_file", r"d=(\d{2})", 1).alias("first_file_day"),
+        (F.col("n_files") >= 1).alias("has_files"),
+    )
 
 
 @register("file_listing")

@@ -91,8 +91,7 @@ def dependency_delete(spark, sf_dir):
 
 @register(
     "track_processed_files",
-    """SELECT 'load_events' AS node_path, strftime(ts, '%d') AS day, CAST(count(DISTINCT 1) AS BIGINT) AS n_files
-FROM events GROUP BY 2""",
+    """SELECT DISTINCT 'load_events' AS node_path, strftime(ts, '%d') AS day FROM events""",
 )
 def track_processed_files(spark, sf_dir):
     """The whole selection is recorded with one upsert after the load; a
@@ -107,9 +106,12 @@ def track_processed_files(spark, sf_dir):
     inc.track_processed(st, ["load_events"], sel)
     inc.track_processed(st, ["load_events"], sel)
     s = st.read()
-    return s.groupBy(
+    n_files = sel.count()
+    if s.count() != n_files:
+        raise AssertionError("tracking the same files twice must not add rows")
+    return s.select(
         F.array_join("node_path", "/").alias("node_path"), F.regexp_extract("file_name", r"d=(\d{2})", 1).alias("day")
-    ).agg(F.count(F.lit(1)).alias("n_files"))
+    ).distinct()
 
 
 def _copy_state(spark, sf_dir) -> inc.StateTable:

@@ -31,7 +31,7 @@ def stream_only_new(spark, sf_dir):
     e = _events(spark, sf_dir)
 
     def drop(df):
-        (df.withColumn("d", F.date_format("ts", "dd")).repartition("d").write.mode("append").partitionBy("d")
+        (df.withColumn("d", F.date_format("ts", "dd")).repartitionByRange("ts").write.mode("append").partitionBy("d")
          .option("timestampNTZFormat", TS_FMT).csv(src))
 
     drop(e.where(F.dayofmonth("ts") <= 15))

@@ -101,16 +101,23 @@ def read_sqlite(spark: SparkSession, paths: Sequence[str], query: str, schema: s
 
 
 def write_sqlite_per_group(spark: SparkSession, df: DataFrame, key: str, table_name: str, target_dir: str,
-                           ddl: str) -> DataFrame:
-    """Write each ``key`` group of ``df`` into ``<target_dir>/<key>.sqlite`` (one task
-    per group; groups are chosen by the caller, e.g. one day)."""
+                           ddl: str, rows_per_file: int = 200_000) -> DataFrame:
+    """Write each ``key`` group of ``df`` into SQLite files ``<target_dir>/<key>_<n>.sqlite``.
+
+    A group is split into ``ceil(rows / rows_per_file)`` files by a hash of the row
+    (the group sizes come from a partial-aggregated count), so no task ever builds a
+    file from more than about ``rows_per_file`` rows, however large one group is."""
+    from pyspark.sql import functions as F
+
     ship_code(spark)
     cols = [c for c in df.columns if c != key]
+    sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_nb"))
+    split = df.join(sizes, key).withColumn("_b", F.pmod(F.xxhash64(*cols), F.col("_nb"))).drop("_nb")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         from spark_elt.sources.archives import write_bytes
 
-        k = str(pdf[key].iloc[0])
+        k, b = str(pdf[key].iloc[0]), int(pdf["_b"].iloc[0])
         fd, local = tempfile.mkstemp(suffix=".sqlite")
         os.close(fd)
         try:
@@ -122,11 +129,11 @@ def write_sqlite_per_group(spark: SparkSession, df: DataFrame, key: str, table_n
             con.executemany(f"INSERT INTO {table_name} VALUES ({', '.join('?' * len(cols))})", rows)
             con.commit()
             con.close()
-            out = f"{target_dir.rstrip('/')}/{k}.sqlite"
+            out = f"{target_dir.rstrip('/')}/{k}_{b}.sqlite"
             with open(local, "rb") as f:
                 write_bytes(out, f.read())
         finally:
             os.remove(local)
         return pd.DataFrame({key: [k], "file": [out]})
 
-    return df.groupBy(key).applyInPandas(build, f"{key} string, file string")
+    return split.groupBy(key, "_b").applyInPandas(build, f"{key} string, file string")
