@@ -206,9 +206,10 @@ def system_stats(node_run: DataFrame, stats: DataFrame, path: Sequence[str], run
 
     The reference condition ``ts BETWEEN start AND end AND (stats.run_id = nr.run_id
     OR stats.run_id = -1)`` would plan as a nested-loop join. It is split into two
-    disjoint equi-joins: (a) samples of the same run, joined on run_id; (b) sentinel
-    samples (run -1), joined on a time bucket that each node run explodes over its
-    interval. Both keep the BETWEEN as a post-join filter."""
+    disjoint equi-joins on a time bucket that each node run explodes over its
+    interval: (a) samples of the same run on (run_id, bucket); (b) sentinel samples
+    (run -1) on the bucket. Both keep the BETWEEN as a post-join filter. With
+    ``min_samples`` the rows are returned only when there are that many (P07)."""
     return interval_join_stats(
         for_run(node_run.where(F.col("node_path") == path_literal(path)), run_id),
         stats,
