@@ -53,10 +53,14 @@ def main() -> None:
     QUERIES["node_durations_root"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.range(0, 64, 1, cpus).mapInPandas(lambda it: it, "id long").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for k in keys:
         t0 = time.perf_counter()
-        QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[k] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[k] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report and go on with the other keys
+            errors[k] = f"{type(e).__name__}: {str(e)[:200]}"
     spark.stop()
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
@@ -66,6 +70,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
 
 
