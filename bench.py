@@ -3,7 +3,8 @@
 
 Each query is fully executed into the ``noop`` sink (no collect to the driver).
 The time includes building the query, i.e. writing its own input files where the
-query is a load."""
+query is a load. Headline keys run ``$BENCH_REPEAT`` times (default 2) and the
+best time is reported; the others run once."""
 
 from __future__ import annotations
 
@@ -54,13 +55,20 @@ def main() -> None:
     spark.range(0, 64, 1, cpus).mapInPandas(lambda it: it, "id long").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     errors: dict[str, str] = {}
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     for k in keys:
-        t0 = time.perf_counter()
-        try:
-            QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times[k] = round(time.perf_counter() - t0, 3)
-        except Exception as e:  # noqa: BLE001 - report and go on with the other keys
-            errors[k] = f"{type(e).__name__}: {str(e)[:200]}"
+        best = None
+        for _ in range(repeat if k in HEADLINE else 1):
+            t0 = time.perf_counter()
+            try:
+                QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            except Exception as e:  # noqa: BLE001 - report and go on with the other keys
+                errors[k] = f"{type(e).__name__}: {str(e)[:200]}"
+                break
+            dt = time.perf_counter() - t0
+            best = dt if best is None else min(best, dt)
+        if best is not None:
+            times[k] = round(best, 3)
     spark.stop()
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
