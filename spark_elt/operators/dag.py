@@ -223,21 +223,29 @@ def lanes(df: DataFrame, group: Sequence[str], start: str, end: str, order_tie:
     ``order_tie``) take the first lane whose last interval ended at or before their
     start, else a new lane.
 
-    First-fit is sequential inside a group, so rows are hash-partitioned by the
-    group and sorted within partitions; one ``mapInPandas`` pass per partition walks
-    the sorted rows with two heaps (busy lanes by end, free lanes by index), carrying
-    its state across Arrow batches and resetting it at each group change. There is
-    no per-group pandas call, so many small groups cost one vectorised pass; one
-    group stays in one task (runs are bounded by their pipeline's node count)."""
+    First-fit is sequential, but it restarts at every quiet point: when all earlier
+    intervals of the group have ended by an interval's start, every lane is free and
+    the packing from there on is the same as for a fresh group. So each group is
+    first cut into segments at quiet points (the maximum end of the earlier rows,
+    from the distributed ordered scan, so a long run is not one task), and only a
+    segment, a stretch of continuously overlapping work, is packed sequentially:
+    rows are hash-partitioned by (group, segment), sorted, and walked once per
+    partition by ``mapInPandas`` with two heaps (busy lanes by end, free lanes by
+    index), state carried across Arrow batches and reset at each segment change."""
+    from spark_elt.operators.ordered import with_index
+
     ship_code(df.sparkSession)
     keys = list(group)
+    base = df.select(*keys, order_tie, start, end)
+    scanned = with_index(base, keys, [start, order_tie], prev_max=[end], index_col="_i")
+    quiet = F.when(F.col(f"{end}_prev_max").isNull() | (F.col(f"{end}_prev_max") <= F.col(start)), 1).otherwise(0)
+    seg = with_index(scanned.withColumn("_quiet", quiet).drop("_i", f"{end}_prev_max"), keys, [start, order_tie],
+                     sums=["_quiet"], index_col="_i2")
+    seg = seg.withColumn("_seg", F.col("_quiet_cum")).drop("_quiet", "_quiet_cum", "_i2")
+    pkeys = keys + ["_seg"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys, order_tie).schema.fields)
     schema += ", lane long"
-    sorted_df = (
-        df.select(*keys, order_tie, start, end)
-        .repartition(*[F.col(k) for k in keys])
-        .sortWithinPartitions(*keys, start, order_tie)
-    )
+    sorted_df = seg.repartition(*[F.col(k) for k in pkeys]).sortWithinPartitions(*pkeys, start, order_tie)
 
     def run(batches):
         import heapq
@@ -251,7 +259,7 @@ def lanes(df: DataFrame, group: Sequence[str], start: str, end: str, order_tie:
         for pdf in batches:
             starts = pdf[start].to_numpy("datetime64[us]").astype(np.int64)
             ends = pdf[end].to_numpy("datetime64[us]").astype(np.int64)
-            gkeys = list(zip(*[pdf[k].tolist() for k in keys]))
+            gkeys = list(zip(*[pdf[k].tolist() for k in pkeys]))
             out = np.empty(len(pdf), dtype=np.int64)
             for i in range(len(pdf)):
                 if gkeys[i] != current:

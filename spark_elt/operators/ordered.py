@@ -31,9 +31,11 @@ WINDOW_GROUP_LIMIT = 2_000_000
 
 def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
                sums: Sequence[str] = (), index_col: str = "_idx", partitions: int | None = None,
-               window_group_limit: int | None = WINDOW_GROUP_LIMIT) -> DataFrame:
-    """Add ``index_col`` (1-based row number within the group in ``order``) and
-    ``<c>_cum`` running sums (``ROWS UNBOUNDED PRECEDING``) for ``sums``.
+               window_group_limit: int | None = WINDOW_GROUP_LIMIT, prev_max: Sequence[str] = ()) -> DataFrame:
+    """Add ``index_col`` (1-based row number within the group in ``order``),
+    ``<c>_cum`` running sums (``ROWS UNBOUNDED PRECEDING``) for ``sums`` and
+    ``<c>_prev_max`` (maximum over the earlier rows of the group, NULL for the
+    first) for ``prev_max``.
 
     The size of the largest group is checked first (a partial-aggregated count):
     when it is at most ``window_group_limit`` rows a window per group is used,
@@ -46,6 +48,8 @@ def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
             out = df.withColumn(index_col, F.row_number().over(w).cast("bigint"))
             for c in sums:
                 out = out.withColumn(f"{c}_cum", F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            for c in prev_max:
+                out = out.withColumn(f"{c}_prev_max", F.max(c).over(w.rowsBetween(Window.unboundedPreceding, -1)))
             return out
     n = partitions or _n_partitions(df)
     ranged = df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols).withColumn("_pid", F.spark_partition_id())
@@ -53,6 +57,9 @@ def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
     local = ranged.withColumn("_loc", F.row_number().over(Window.partitionBy("_pid", *group).orderBy(*order_cols)))
     for c in sums:
         local = local.withColumn(f"_loc_{c}", F.sum(c).over(w))
+    wprev = Window.partitionBy("_pid", *group).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    for c in prev_max:
+        local = local.withColumn(f"_locmax_{c}", F.max(c).over(wprev))
     from spark_elt.operators.dag import _cut  # reliable checkpoint into spark.checkpoint.dir
 
     local = _cut(local)
@@ -60,20 +67,26 @@ def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
     ends = local.groupBy("_pid").agg(F.min(gkey).alias("_first"), F.max(gkey).alias("_last"))
     edge = ends.select("_pid", F.explode(F.array("_first", "_last")).alias("_g")).distinct()
     per = local.withColumn("_g", gkey).join(F.broadcast(edge), ["_pid", "_g"], "left_semi").groupBy("_pid", "_g").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in sums]
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in sums],
+        *[F.max(c).alias(f"_m_{c}") for c in prev_max],
     )
     # at most two rows per partition: offsets are a prefix sum over partitions per group
     wp = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select(
         "_pid", "_g", F.coalesce(F.sum("_n").over(wp), F.lit(0)).alias("_off"),
         *[F.coalesce(F.sum(f"_s_{c}").over(wp), F.lit(0)).alias(f"_off_{c}") for c in sums],
+        *[F.max(f"_m_{c}").over(wp).alias(f"_offmax_{c}") for c in prev_max],
     )
-    offsets = offsets.select("_pid", *[F.col("_g")[g].alias(g) for g in group], "_off", *[f"_off_{c}" for c in sums])
+    offsets = offsets.select("_pid", *[F.col("_g")[g].alias(g) for g in group], "_off", *[f"_off_{c}" for c in sums],
+                             *[f"_offmax_{c}" for c in prev_max])
     out = local.join(F.broadcast(offsets), ["_pid", *group], "left")
     out = out.withColumn(index_col, (F.col("_loc") + F.coalesce("_off", F.lit(0))).cast("bigint"))
     for c in sums:
         out = out.withColumn(f"{c}_cum", F.col(f"_loc_{c}") + F.coalesce(F.col(f"_off_{c}"), F.lit(0)))
-    drop = ["_pid", "_loc", "_off"] + [f"_loc_{c}" for c in sums] + [f"_off_{c}" for c in sums]
+    for c in prev_max:
+        out = out.withColumn(f"{c}_prev_max", F.greatest(F.col(f"_locmax_{c}"), F.col(f"_offmax_{c}")))
+    drop = (["_pid", "_loc", "_off"] + [f"_loc_{c}" for c in sums] + [f"_off_{c}" for c in sums]
+            + [f"_locmax_{c}" for c in prev_max] + [f"_offmax_{c}" for c in prev_max])
     return out.drop(*drop)
 
 

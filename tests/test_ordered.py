@@ -11,7 +11,7 @@ def test_index_sum_lag_on_skewed_groups(spark):
     hot = [(1, i, float(i % 7)) for i in range(3000)]
     cold = [(g, i, float(i)) for g in range(2, 40) for i in range(5)]
     df = spark.createDataFrame(hot + cold, "g long, o long, x double")
-    got = with_index(df, ["g"], ["o"], sums=["x"], partitions=16)
+    got = with_index(df, ["g"], ["o"], sums=["x"], partitions=16, prev_max=["x"])
     got = with_neighbours(got, ["g"], "_idx", ["x"], lag=True, lead=True)
     w = Window.partitionBy("g").orderBy("o")
     want = df.select(
@@ -20,15 +20,16 @@ def test_index_sum_lag_on_skewed_groups(spark):
         F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("x_cum"),
         F.lag("x").over(w).alias("lag_x"),
         F.lead("x").over(w).alias("lead_x"),
+        F.max("x").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("x_prev_max"),
     )
-    cols = ["g", "o", "_idx", "x_cum", "lag_x", "lead_x"]
+    cols = ["g", "o", "_idx", "x_cum", "lag_x", "lead_x", "x_prev_max"]
     assert sorted(tuple(r) for r in got.select(cols).collect()) == sorted(tuple(r) for r in want.select(cols).collect())
 
 
 def test_window_path_equals_range_path(spark):
     rows = [(g, i, float(i)) for g in range(5) for i in range(50)]
     df = spark.createDataFrame(rows, "g long, o long, x double")
-    a = with_index(df, ["g"], ["o"], sums=["x"])  # small groups: window path
-    b = with_index(df, ["g"], ["o"], sums=["x"], window_group_limit=10)  # forced range path
-    cols = ["g", "o", "_idx", "x_cum"]
+    a = with_index(df, ["g"], ["o"], sums=["x"], prev_max=["x"])  # small groups: window path
+    b = with_index(df, ["g"], ["o"], sums=["x"], prev_max=["x"], window_group_limit=10)  # forced range path
+    cols = ["g", "o", "_idx", "x_cum", "x_prev_max"]
     assert sorted(tuple(r) for r in a.select(cols).collect()) == sorted(tuple(r) for r in b.select(cols).collect())

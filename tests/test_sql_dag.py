@@ -94,3 +94,35 @@ def test_status_rollup_ignore_errors(spark):
     flags = spark.createDataFrame([(["q"],)], "node_path array<string>")
     got = {tuple(r["pipeline"]): r["n_failed_tasks"] for r in dag.status_rollup(nr, flags).collect()}
     assert got == {(): 1, ("p",): 1}
+
+
+def _first_fit(intervals):
+    ends, out = [], {}
+    for s, e, i in sorted(intervals, key=lambda x: (x[0], x[2])):
+        lane = next((k for k, last in enumerate(ends) if last <= s), None)
+        if lane is None:
+            ends.append(e)
+            lane = len(ends) - 1
+        else:
+            ends[lane] = e
+        out[i] = lane
+    return out
+
+
+def test_lanes_equal_sequential_first_fit_with_quiet_points(spark):
+    import random
+
+    rnd = random.Random(7)
+    t = dt.datetime(2024, 1, 1)
+    rows, expect = [], {}
+    for run in range(4):
+        ivs, clock = [], 0
+        for i in range(120):
+            clock += rnd.choice([0, 1, 2, 30])  # sometimes a long gap: a quiet point
+            s, e = clock, clock + rnd.randint(0, 10)
+            ivs.append((s, e, run * 1000 + i))
+        expect.update(_first_fit(ivs))
+        rows += [(run, i, t + dt.timedelta(minutes=s), t + dt.timedelta(minutes=e)) for s, e, i in ivs]
+    df = spark.createDataFrame(rows, "run long, id long, s timestamp_ntz, e timestamp_ntz")
+    got = {r["id"]: r["lane"] for r in dag.lanes(df, ["run"], "s", "e", "id").collect()}
+    assert got == expect
