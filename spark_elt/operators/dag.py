@@ -232,16 +232,28 @@ def lanes(df: DataFrame, group: Sequence[str], start: str, end: str, order_tie:
     rows are hash-partitioned by (group, segment), sorted, and walked once per
     partition by ``mapInPandas`` with two heaps (busy lanes by end, free lanes by
     index), state carried across Arrow batches and reset at each segment change."""
-    from spark_elt.operators.ordered import with_index
+    from pyspark.sql import Window
+
+    from spark_elt.operators.ordered import WINDOW_GROUP_LIMIT, _n_partitions, with_index
 
     ship_code(df.sparkSession)
     keys = list(group)
     base = df.select(*keys, order_tie, start, end)
-    scanned = with_index(base, keys, [start, order_tie], prev_max=[end], index_col="_i")
-    quiet = F.when(F.col(f"{end}_prev_max").isNull() | (F.col(f"{end}_prev_max") <= F.col(start)), 1).otherwise(0)
-    seg = with_index(scanned.withColumn("_quiet", quiet).drop("_i", f"{end}_prev_max"), keys, [start, order_tie],
-                     sums=["_quiet"], index_col="_i2")
-    seg = seg.withColumn("_seg", F.col("_quiet_cum")).drop("_quiet", "_quiet_cum", "_i2")
+    prev = f"{end}_prev_max"
+    quiet = lambda d: d.withColumn(
+        "_quiet", F.when(F.col(prev).isNull() | (F.col(prev) <= F.col(start)), 1).otherwise(0))
+    biggest = base.groupBy(*keys).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if biggest <= WINDOW_GROUP_LIMIT:
+        # small groups: both running values in one window stage (one shuffle)
+        w = Window.partitionBy(*keys).orderBy(start, order_tie)
+        seg = quiet(base.withColumn(prev, F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))))
+        seg = seg.withColumn("_seg", F.sum("_quiet").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        n = _n_partitions(base)
+        scanned = with_index(base, keys, [start, order_tie], prev_max=[end], index_col="_i", partitions=n)
+        seg = with_index(quiet(scanned).drop("_i", prev), keys, [start, order_tie], sums=["_quiet"],
+                         index_col="_i2", partitions=n).withColumn("_seg", F.col("_quiet_cum"))
+    seg = seg.select(*keys, order_tie, start, end, "_seg")
     pkeys = keys + ["_seg"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys, order_tie).schema.fields)
     schema += ", lane long"

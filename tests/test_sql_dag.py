@@ -126,3 +126,15 @@ def test_lanes_equal_sequential_first_fit_with_quiet_points(spark):
     df = spark.createDataFrame(rows, "run long, id long, s timestamp_ntz, e timestamp_ntz")
     got = {r["id"]: r["lane"] for r in dag.lanes(df, ["run"], "s", "e", "id").collect()}
     assert got == expect
+
+
+def test_lanes_range_path_matches(spark, monkeypatch):
+    import spark_elt.operators.ordered as ordered
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, i, t + dt.timedelta(minutes=3 * i), t + dt.timedelta(minutes=3 * i + (i % 5) * 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "run long, id long, s timestamp_ntz, e timestamp_ntz")
+    want = {r["id"]: r["lane"] for r in dag.lanes(df, ["run"], "s", "e", "id").collect()}
+    monkeypatch.setattr(ordered, "WINDOW_GROUP_LIMIT", 10)
+    got = {r["id"]: r["lane"] for r in dag.lanes(df, ["run"], "s", "e", "id").collect()}
+    assert got == want == _first_fit([(3 * i, 3 * i + (i % 5) * 2, i) for i in range(60)])
