@@ -29,6 +29,11 @@ def _n_partitions(df: DataFrame) -> int:
 WINDOW_GROUP_LIMIT = 2_000_000
 
 
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group (a partial-aggregated count, one number back)."""
+    return df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
+
+
 def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
                sums: Sequence[str] = (), index_col: str = "_idx", partitions: int | None = None,
                window_group_limit: int | None = WINDOW_GROUP_LIMIT, prev_max: Sequence[str] = ()) -> DataFrame:
@@ -39,11 +44,11 @@ def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
 
     The size of the largest group is checked first (a partial-aggregated count):
     when it is at most ``window_group_limit`` rows a window per group is used,
-    otherwise the range-partitioned form below. Both give the same values."""
+    otherwise the range-partitioned form below (``inf``: the caller already knows the
+    groups are small; ``None``: always the range form). Both give the same values."""
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     if window_group_limit is not None and partitions is None:
-        biggest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
-        if biggest <= window_group_limit:
+        if window_group_limit == float("inf") or largest_group(df, group) <= window_group_limit:
             w = Window.partitionBy(*group).orderBy(*order_cols)
             out = df.withColumn(index_col, F.row_number().over(w).cast("bigint"))
             for c in sums:

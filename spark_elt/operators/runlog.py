@@ -129,20 +129,35 @@ HEADER = '<font size="4">&#x1F424;</font> Ooops, a hiccup in [_'
 LINE_BREAKS = r"\r\n|[\n\r\x0B\f\x1C\x1D\x1E\x85\u2028\u2029]"  # Python str.splitlines()
 
 
-def _digest_part(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _digest_part(events: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Digest text of one (node, is_error) output list, re-expressed set-wise.
 
     The sequential rules are: a verbatim line after a verbatim line joins the same
     ``<pre>`` block; italics lines are added one by one; a standard line replaces
     everything written so far. So only events from the last standard line on count,
     and each event's piece depends on its neighbours' formats (lag/lead)."""
+    from pyspark.sql import Window
+
     from spark_elt.operators.ordered import with_index, with_neighbours
 
-    idx = with_index(events, keys, ["timestamp", "node_output_id"], index_col="_i")
-    ev = with_neighbours(idx, keys, "_i", ["format"], lag=True, lead=True).withColumnRenamed(
-        "lag_format", "_prev").withColumnRenamed("lead_format", "_next")
-    last_std = idx.where(F.col("format") == "standard").groupBy(*keys).agg(F.max("_i").alias("_last_std"))
-    ev = ev.join(last_std, list(keys), "left").where(F.col("_last_std").isNull() | (F.col("_i") >= F.col("_last_std")))
+    order = ["timestamp", "node_output_id"]
+    if small:
+        # bounded groups: row number, neighbours and last standard line in one window stage
+        w = Window.partitionBy(*keys).orderBy(*order)
+        ev = (
+            events.withColumn("_i", F.row_number().over(w))
+            .withColumn("_prev", F.lag("format").over(w))
+            .withColumn("_next", F.lead("format").over(w))
+            .withColumn("_last_std", F.max(F.when(F.col("format") == "standard", F.col("_i"))).over(
+                Window.partitionBy(*keys)))
+        )
+    else:
+        idx = with_index(events, keys, order, index_col="_i", window_group_limit=None)
+        ev = with_neighbours(idx, keys, "_i", ["format"], lag=True, lead=True).withColumnRenamed(
+            "lag_format", "_prev").withColumnRenamed("lead_format", "_next")
+        last_std = idx.where(F.col("format") == "standard").groupBy(*keys).agg(F.max("_i").alias("_last_std"))
+        ev = ev.join(last_std, list(keys), "left")
+    ev = ev.where(F.col("_last_std").isNull() | (F.col("_i") >= F.col("_last_std")))
     msg = F.col("message")
     italics = F.when(msg == "", F.lit("")).otherwise(
         F.array_join(
@@ -169,13 +184,15 @@ def failure_digest(node_run: DataFrame, node_output: DataFrame, limit: int = DIG
 
     Only pieces that start inside the first ``limit`` characters are gathered, so
     the per-node collect is bounded by ``limit`` whatever the output size."""
-    from spark_elt.operators.ordered import with_index
+    from spark_elt.operators.ordered import WINDOW_GROUP_LIMIT, largest_group, with_index
 
     failed = node_run.where((F.col("succeeded") == F.lit(False)) & ~F.col("is_pipeline")).select(
         "node_run_id", "node_path"
     )
     out = node_output.join(failed.select("node_run_id"), "node_run_id", "left_semi")
-    parts = _digest_part(out, ["node_run_id", "is_error"])
+    # one size check: (node, is_error) groups are parts of the node groups
+    small = largest_group(out, ["node_run_id"]) <= WINDOW_GROUP_LIMIT
+    parts = _digest_part(out, ["node_run_id", "is_error"], small)
     path_txt = F.array_join("node_path", "/")
     header = failed.select(
         "node_run_id",
@@ -189,7 +206,8 @@ def failure_digest(node_run: DataFrame, node_output: DataFrame, limit: int = DIG
     )
     allp = header.unionByName(body).where(F.length("piece") > 0).withColumn("_len", F.length("piece"))
     # start offset of each piece = running length before it (distributed running sum)
-    allp = with_index(allp, ["node_run_id"], ["grp", "_i"], sums=["_len"], index_col="_k")
+    allp = with_index(allp, ["node_run_id"], ["grp", "_i"], sums=["_len"], index_col="_k",
+                      window_group_limit=(float("inf") if small else None))
     allp = allp.withColumn("_start", F.col("_len_cum") - F.col("_len"))
     kept = allp.where(F.col("_start") < limit)
     text = kept.groupBy("node_run_id").agg(

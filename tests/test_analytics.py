@@ -170,3 +170,17 @@ def test_close_open_runs_and_retention(spark):
     assert {x["node_run_id"] for x in n.collect()} == {6, 7, 8, 9}
     assert [x["node_output_id"] for x in o.collect()] == [2]
     assert st.count() == 1
+
+
+def test_failure_digest_range_path_matches(spark, monkeypatch):
+    import spark_elt.operators.ordered as ordered
+
+    nr = spark.createDataFrame([(1, 1, ["p", "t"], s(0), s(5), False, False)], NR_SCHEMA)
+    outs = [("verbatim", "v1"), ("standard", "s"), ("verbatim", "v2"), ("verbatim", "v3"), ("italics", "a_b")]
+    rows = [(i, 1, s(i), m, f, False) for i, (f, m) in enumerate(outs)]
+    out = spark.createDataFrame(rows, "node_output_id long, node_run_id long, timestamp timestamp_ntz, message string, "
+                                      "format string, is_error boolean")
+    want = rl.failure_digest(nr, out).collect()[0]["message"]
+    monkeypatch.setattr(ordered, "WINDOW_GROUP_LIMIT", 0)
+    got = rl.failure_digest(nr, out).collect()[0]["message"]
+    assert got == want == rl.HEADER + "p/t_](/p/t)" + _py_digest(outs)
