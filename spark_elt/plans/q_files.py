@@ -18,7 +18,7 @@ from spark_elt.plans.registry import register
 from spark_elt.session import scratch_dir, table
 from spark_elt.sources import archives
 from spark_elt.sources.files import Compression, list_files, read_delimited
-from spark_elt.sources.selection import ReadMode, files_per_day, select_files
+from spark_elt.sources.selection import ReadMode, file_date_of_path, files_per_day, select_files
 
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -132,14 +132,14 @@ def read_file_make_unique(spark, sf_dir):
     "SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS file_date FROM events",
 )
 def parallel_read_files_all(spark, sf_dir):
-    """All daily files in one scan, with the date taken from the file name."""
+    """All daily files in one scan; each row's file date comes from its own
+    file path (no join of the rows with the listing)."""
     root = write_daily_csv(spark, sf_dir, "parallel_read_all")
     listing = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
     paths = [r["path"] for r in listing.select("path").collect()]
     df = read_delimited(spark, paths, SCHEMA, with_file=True)
-    dates = listing.select(F.col("path").alias("file"), F.date_format("file_date", "yyyy-MM-dd").alias("file_date"))
-    # one row per file: Spark broadcasts it when its measured size allows (AQE)
-    return df.join(dates, "file").drop("file")
+    day = file_date_of_path(F.col("file"), root, DATE_REGEX)
+    return df.withColumn("file_date", F.date_format(day, "yyyy-MM-dd")).drop("file")
 
 
 @register(
@@ -151,8 +151,8 @@ def file_dates(spark, sf_dir):
     listing = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
     paths = [r["path"] for r in listing.select("path").collect()]
     df = read_delimited(spark, paths, SCHEMA, with_file=True)
-    dates = listing.select(F.col("path").alias("file"), F.date_format("file_date", "yyyy-MM-dd").alias("file_date"))
-    return df.join(dates, "file").groupBy("file_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    day = F.date_format(file_date_of_path(F.col("file"), root, DATE_REGEX), "yyyy-MM-dd")
+    return df.groupBy(day.alias("file_date")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("file_first_date", EV_D + " WHERE ts >= TIMESTAMP '2024-01-15'")

@@ -40,6 +40,19 @@ def with_file_date(listing: DataFrame, date_regex: str, name_col: str = "file_na
     )
 
 
+def file_date_of_path(path_col, root: str, date_regex: str):
+    """The same file date as ``with_file_date``, computed from each row's own file
+    path (``_metadata.file_path``): a narrow projection, so loaded rows never have to
+    be joined with the listing to learn their date."""
+    import re
+
+    tail = re.escape(root.rstrip("/").split(":", 1)[-1].lstrip("/"))
+    rel = F.regexp_replace(path_col, r"^.*?" + tail + "/", "")
+    anchored = "^(?:" + date_regex + ")"
+    y, m, d = (F.regexp_extract(rel, anchored, i).cast("int") for i in (1, 2, 3))
+    return F.make_date(y, m, d)
+
+
 def _order_cols(dated: bool) -> list:
     return ([F.col("file_date").desc()] if dated else []) + [F.col("file_name").desc()]
 
