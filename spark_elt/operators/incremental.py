@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import re
 from collections.abc import Callable, Sequence
 from pathlib import Path
 
@@ -350,10 +349,6 @@ def copy_incrementally(
     return mode
 
 
-def _safe(s: str) -> str:
-    return re.sub(r"[^0-9A-Za-z_]", "_", s)
-
-
 def modified_dependencies(state: DataFrame, current: DataFrame) -> DataFrame:
     """Set-wise ``is_modified`` (I02) for many nodes at once: ``current`` has
     (node_path, dependency_type, hash); a node is modified unless the state holds
