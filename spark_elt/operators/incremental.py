@@ -118,6 +118,8 @@ def dependency_hash_frame(spark: SparkSession, paths: Sequence[str], first_date:
 
 def is_modified(state: StateTable, node_path: Sequence[str], dependency_type: str, hash_value: str) -> bool:
     """True unless the stored hash of (node, type) equals ``hash_value``."""
+    if state.version() is None:
+        return True
     hit = state.read().where(
         _node_key(node_path) & (F.col("dependency_type") == dependency_type) & (F.col("hash") == hash_value)
     )
@@ -168,6 +170,8 @@ def processed_files(state: StateTable, node_path: Sequence[str]) -> DataFrame:
 # ------------------------------------------------------------ copy status
 
 def get_last_value(state: StateTable, node_path: Sequence[str], source_table: str) -> str | None:
+    if state.version() is None:  # no state written yet: nothing to read
+        return None
     r = state.read().where(_node_key(node_path) & (F.col("source_table") == source_table)).select(
         "last_comparison_value"
     ).first()
