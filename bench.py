@@ -43,7 +43,6 @@ def main() -> None:
     from spark_elt.session import build_session
 
     load_all()
-    os.environ.setdefault("SPARK_DRIVER_MEMORY", "16g")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="spark_elt_bench")
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir():

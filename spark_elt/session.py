@@ -38,6 +38,15 @@ def scale_conf(target_partition_mb: int = 256, initial_partitions: int = 8192) -
     }
 
 
+def default_driver_memory(cap_gb: int = 16) -> str:
+    """Local-mode heap: 60 % of the machine's memory, at most ``cap_gb``."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(cap_gb, int(total * 0.6 / 2**30)))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "spark_elt") -> SparkSession:
     """Session for tests and the bench (UI off, AQE on, UTC)."""
     return (
@@ -51,7 +60,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", default_driver_memory()))
         .getOrCreate()
     )
 
