@@ -39,3 +39,15 @@ def test_run_output_limited_is_top_k(spark):
     nr = fx.node_run(spark, SF)
     out = an.run_output_limited(nr, fx.node_output(spark, SF), [], an.latest_run_id(nr, []))
     assert "TakeOrderedAndProject" in plan(out) or "Limit" in plan(out)
+
+
+def test_file_dates_of_loaded_rows_need_no_shuffle(spark):
+    from spark_elt.plans.q_files import parallel_read_files_all
+
+    p = plan(parallel_read_files_all(spark, SF))
+    assert "Exchange" not in p and "Join" not in p
+
+
+def test_fixture_node_run_is_hash_aggregate(spark):
+    p = plan(fx.node_run(spark, SF))
+    assert "HashAggregate" in p and "SortAggregate" not in p
