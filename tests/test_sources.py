@@ -128,3 +128,11 @@ def test_sqlite_source(spark, tmp_dir):
     df = read_sqlite(spark, paths, "SELECT a, b FROM t WHERE a < 10", "a long, b string")
     assert df.rdd.getNumPartitions() == 3
     assert sorted(r["a"] for r in df.collect()) == [0, 1, 2]
+
+
+def test_parse_lines_from_csv(spark):
+    from spark_elt.sources.files import csv_options, parse_lines
+
+    lines = spark.createDataFrame([("1;'a;b'",), ("2;\\N",)], "value string")
+    df = parse_lines(lines, "id int, v string", csv_options(sep=";", quote="'", null_value="\\N"))
+    assert sorted(tuple(r) for r in df.collect()) == [(1, "a;b"), (2, None)]
