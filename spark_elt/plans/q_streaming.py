@@ -37,7 +37,7 @@ def stream_only_new(spark, sf_dir):
     drop(e.where(F.dayofmonth("ts") <= 15))
     ingest_new_files(spark, src, SCHEMA, sink, ck, timestampNTZFormat=TS_FMT)
     drop(e.where(F.dayofmonth("ts") > 15))
-    ingest_new_files(spark, src, SCHEMA, sink, ck, timestampNTZFormat=TS_FMT)
+    ingest_new_files(spark, src, SCHEMA, sink, ck, max_files_per_trigger=8, timestampNTZFormat=TS_FMT)
     return spark.read.schema(SCHEMA).parquet(sink)
 
 

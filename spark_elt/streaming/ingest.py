@@ -29,14 +29,17 @@ from spark_elt.session import ship_code
 
 
 def ingest_new_files(spark: SparkSession, source_dir: str, schema: StructType | str, sink_dir: str,
-                     checkpoint: str, fmt: str = "csv", glob: str = "*.csv", **options) -> None:
-    """Load the files of ``source_dir`` that this query has not loaded before."""
+                     checkpoint: str, fmt: str = "csv", glob: str = "*.csv", max_files_per_trigger: int | None = None,
+                     **options) -> None:
+    """Load the files of ``source_dir`` that this query has not loaded before.
+
+    ``max_files_per_trigger`` splits a large backlog into several micro-batches
+    (``availableNow`` still processes all of it, batch by batch)."""
     ship_code(spark)
-    stream = (
-        spark.readStream.format(fmt).schema(schema).options(**options)
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-        .load(source_dir)
-    )
+    reader = spark.readStream.format(fmt).schema(schema).options(**options)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(source_dir)
     q = (
         stream.writeStream.format("parquet").option("path", sink_dir).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
