@@ -132,7 +132,11 @@ def hash_shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndar
 
 def shingle_sets(column: pa.Array, k: int, in_word: np.ndarray = SPACED) -> Iterator[np.ndarray]:
     """For each value its sorted distinct shingle hashes (A-Z lowered)."""
-    raw, offsets = buffers(column)
+    yield from shingle_sets_of(*buffers(column), k, in_word)
+
+
+def shingle_sets_of(raw: np.ndarray, offsets: np.ndarray, k: int, in_word: np.ndarray = SPACED) -> Iterator[np.ndarray]:
+    """``shingle_sets`` over bytes and offsets."""
     for lo, hi in slices(offsets):
         at = offsets[lo : hi + 1] - offsets[lo]
         part = LOWER[raw[offsets[lo] : offsets[hi]]]
@@ -148,8 +152,3 @@ def list_array(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     flat = np.concatenate(parts) if parts else np.zeros(0)
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, kind))
 
-
-def code_points(text: bytes) -> int:
-    """Number of code points in UTF-8 bytes."""
-    raw = np.frombuffer(text, np.uint8)
-    return int(np.count_nonzero((raw & 0xC0) != 0x80))
