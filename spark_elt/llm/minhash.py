@@ -15,14 +15,17 @@ From bands to links, without all pairs of a band's bucket:
    class with ``c`` below the threshold of its own size drops out.
 3. In each bucket the class with the largest share ``c / n`` is the pivot; every other
    member is compared with it on full sets.
-4. Members not yet in the pivot's component are compared with each other, as far as
-   their sizes and ``c`` allow the threshold.
+4. Members not yet in the pivot's component meet each other where their sizes and ``c``
+   allow the threshold and their bit sketches (the lowest bits of ``SKETCH_BITS`` more
+   coordinates) differ by no more than five standard deviations above what the
+   threshold lets expect. A pair meets only in the first bucket it shares.
 
 Links are confirmed on the full sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -37,23 +40,25 @@ from .text import list_array, mix, shingle_sets
 SLOT_BITS = 20
 BANDS = 24
 ROWS = 4
+SKETCH_BITS = 2048
 SEED = 20
 
 
-@lru_cache(1)
-def _windows(width: int) -> np.ndarray:
+@lru_cache(2)
+def _windows(width: int, seed: int) -> np.ndarray:
     """Row ``s``: the second permutation at slot ``s`` under each circular shift."""
-    order = np.random.default_rng(SEED).permutation(1 << SLOT_BITS).astype(np.uint32)
+    order = np.random.default_rng(seed).permutation(1 << SLOT_BITS).astype(np.uint32)
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([order, order[: width - 1]]), width)
 
 
-def signature(hashes: np.ndarray, width: int = BANDS * ROWS) -> np.ndarray:
+def signature(hashes: np.ndarray, width: int = BANDS * ROWS, seed: int = SEED) -> np.ndarray:
     """The circulant MinHash coordinates of a non-empty set of hashes."""
-    windows = _windows(width)
-    slots = (mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    out = windows[slots[:2048]].min(axis=0)
-    for i in range(2048, len(slots), 2048):
-        np.minimum(out, windows[slots[i : i + 2048]].min(axis=0), out=out)
+    windows = _windows(width, seed)
+    slots = (mix(hashes ^ np.uint64(0x5851F42D4C957F2D + seed)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    step = max(1, (1 << 18) // width)
+    out = windows[slots[:step]].min(axis=0)
+    for i in range(step, len(slots), step):
+        np.minimum(out, windows[slots[i : i + step]].min(axis=0), out=out)
     return out
 
 
@@ -103,6 +108,29 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), list_array(sets, pa.int64())], ["node", "hashes"])
 
 
+def _bit_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows (node, hashes)."""
+    for batch in batches:
+        bits = [
+            np.packbits((signature(np.asarray(x.values).view(np.uint64), SKETCH_BITS, SEED + 1) & 1).astype(bool)).view(np.int64)
+            for x in batch.column(1)
+        ]
+        yield pa.RecordBatch.from_arrays([batch.column(0), list_array(bits, pa.int64())], ["node", "sketch"])
+
+
+def _alike(percent: int, a, b):
+    """Whether two bit sketches may belong to sets at the threshold: at Jaccard j, two
+    lowest bits differ with probability (1 - j) / 2."""
+    q = (1 - percent / 100) / 2
+    most = math.ceil(SKETCH_BITS * q + 5 * math.sqrt(SKETCH_BITS * q * (1 - q)))
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_BITS // 64)), F.lit(0)) <= most
+
+
+def _first_shared(a, b):
+    """The first key that two lists of band keys share."""
+    return F.filter(F.zip_with(a, b, lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())[0]
+
+
 def _reaches(percent: int, shared, a, b):
     """Whether ``shared`` elements of sets of ``a`` and ``b`` reach the threshold."""
     return 100 * shared >= percent * (a + b - shared)
@@ -164,6 +192,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
 
 
+def drop_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs``, all columns, with one document of each group of near duplicates: that
+    of the smallest ``doc_id``. Rows without ``doc_id`` stay; the rows of one ``doc_id``
+    are one document and stay or go together."""
+    kept = near_duplicates(docs, shingle, percent).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+
+
 def _links(docs: DataFrame, heads: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between classes, enough for their components."""
     banded = heads.select("node", F.explode("bands").alias("key"))
@@ -199,12 +235,20 @@ def _links(docs: DataFrame, heads: DataFrame, shingle: int, percent: int) -> Dat
     roots = components(links)
     placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    placed = settle(
-        placed.join(split, "key").join(pivots.select("key", F.col("b").alias("pivot")), "key").where("node <> pivot")
-    )
-    a = placed.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("root").alias("ra"))
-    b = placed.select(
-        F.col("key").alias("kb"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("root").alias("rb")
+    placed = placed.join(split, "key").join(pivots.select("key", F.col("b").alias("pivot")), "key").where("node <> pivot")
+    placed = settle(placed.select("key", "node", "n", "c", "root"))
+    sketches = sets.join(placed.select("node").distinct(), "node").mapInArrow(_bit_sketches, "node long, sketch array<long>")
+    more = sketches.join(heads.select("node", "bands"), "node")
+    placed = placed.join(more, "node")
+    a = placed.select(*(F.col(c).alias(f"{c}_a") for c in placed.columns))
+    b = placed.select(*(F.col(c).alias(f"{c}_b") for c in placed.columns))
+    meets = (
+        (F.col("key_a") == F.col("key_b"))
+        & (F.col("node_a") < F.col("node_b"))
+        & (F.col("root_a") != F.col("root_b"))
+        & _reaches(percent, F.least("c_a", "c_b"), F.col("n_a"), F.col("n_b"))
+        & _alike(percent, F.col("sketch_a"), F.col("sketch_b"))
+        & (_first_shared(F.col("bands_a"), F.col("bands_b")) == F.col("key_a"))
     )
-    rest = a.join(b, (a.key == b.kb) & (a.a < b.b) & (a.ra != b.rb) & possible).select("a", "b").distinct()
+    rest = a.join(b, meets).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     return links.union(_confirm(rest, sets, percent))
