@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,21 +17,33 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the shared checkpoint folder and cut its lineage.
-
-    The folder is the one the session names (``spark.checkpoint.dir``). Only a local
-    session without one, as in tests, gets a folder of its own."""
-    spark = df.sparkSession
+def _checkpoints(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Store ``df`` in the shared checkpoint folder and cut its lineage.
+
+    The folder is the one the session names (``spark.checkpoint.dir``). Only a local
+    session without one, as in tests, gets a folder of its own."""
+    _checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder, and read again."""
+    spark = df.sparkSession
+    path = f"{_checkpoints(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, root), root the smallest
     node of its component, for every node that has an edge.

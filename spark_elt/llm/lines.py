@@ -77,15 +77,15 @@ WITH pages AS (
   SELECT host, line FROM held GROUP BY host, line
   HAVING count(*) >= {LEAST_PAGES} AND count(*) > {RATIO} * (SELECT count(*) FROM pages p WHERE p.host IS NOT DISTINCT FROM held.host)
 ), numbered AS (
-  SELECT r, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM pages
+  SELECT r, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM pages
 ), marked AS (
-  SELECT n.r, n.line, n.at, c.line IS NOT NULL AS drop, trim(n.line, ' ') <> '' AND c.line IS NULL AS own
+  SELECT n.r, n.line, n.pos, c.line IS NOT NULL AS gone, trim(n.line, ' ') <> '' AND c.line IS NULL AS stays
   FROM numbered n LEFT JOIN common c ON n.host IS NOT DISTINCT FROM c.host AND n.line = c.line
-), kept AS (
-  SELECT r, count(*) AS n_lines, count(*) FILTER (drop) AS n_drop, bool_or(own) AS some,
-    coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT drop), '') AS cut, string_agg(line, chr(10) ORDER BY at) AS whole
+), left_over AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_gone, bool_or(stays) AS has_own,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS cut, string_agg(line, chr(10) ORDER BY pos) AS whole
   FROM marked GROUP BY r
 )
-SELECT doc_id, n_lines, CASE WHEN some THEN n_drop ELSE 0 END AS n_dropped, md5(CASE WHEN some THEN cut ELSE whole END) AS kept_md5
-FROM kept JOIN pages USING (r)
+SELECT doc_id, n_lines, CASE WHEN has_own THEN n_gone ELSE 0 END AS n_dropped, md5(CASE WHEN has_own THEN cut ELSE whole END) AS kept_md5
+FROM left_over JOIN pages USING (r)
 """
