@@ -2,10 +2,14 @@
 incremental table copy.
 
 State tables (file dependency hashes, processed files, copy status) are small
-parquet tables keyed by node path. Each change writes a new version partition
-``v=N`` next to the old ones (append), so a job never overwrites what it
-reads and a failed write leaves the previous version in force; readers take the
-newest committed version.
+parquet tables keyed by node path. Each change writes a new version ``v=N`` next to the
+old ones, so a job never overwrites what it reads and a failed write leaves the previous
+version in force; readers take the newest committed version. A writer claims its version
+number first, so of two writers that started from the same version one fails instead of
+losing the other's change. The last two versions are kept.
+
+Whether a table is there is asked of the file system. Every other error, of a storage
+service or of rights, rises and leaves targets as they are.
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable, Sequence
+from functools import partial, reduce
+from operator import and_
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +34,7 @@ from pyspark.sql.types import (
 )
 
 from spark_elt.functions.paths import path_has_prefix, path_literal
+from spark_elt.sources import file_system
 
 _PATH = ArrayType(StringType())
 FILE_DEPENDENCY = StructType([
@@ -43,28 +50,33 @@ COPY_STATUS = StructType([
     StructField("last_comparison_value", StringType()),
 ])
 _LIVE = StructField("_live", BooleanType())
+#: A claimed but uncommitted version younger than this belongs to a running writer.
+CLAIM_SECONDS = 3600
+
+
+class StateChanged(RuntimeError):
+    """Another writer has changed the state table since it was read."""
+
 
 class StateTable:
-    """A keyed state table with versioned, append-only storage."""
+    """A keyed state table with versioned storage."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
-        self._version: int | None = None
+
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first."""
+        found = (n for n in file_system.children(self.spark, self.path) if n.startswith("v="))
+        return sorted(int(n[2:]) for n in found if file_system.committed(self.spark, f"{self.path}/{n}"))
 
     def version(self) -> int | None:
-        """Newest committed version (listed once, then tracked by this writer)."""
-        if self._version is not None:
-            return self._version
-        try:
-            listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(self.path)
-        except Exception:  # noqa: BLE001 - no table yet
-            return None
-        v = listing.select(F.max(F.regexp_extract("path", r"/v=(\d+)/", 1).cast("long")).alias("v")).first()
-        self._version = None if v is None or v["v"] is None else int(v["v"])
-        return self._version
+        """Newest committed version."""
+        return max(self.versions(), default=None)
 
     def read(self) -> DataFrame:
-        v = self.version()
+        return self._read(self.version())
+
+    def _read(self, v: int | None) -> DataFrame:
         if v is None:
             return self.spark.createDataFrame([], self.schema)
         df = self.spark.read.schema(
@@ -73,19 +85,38 @@ class StateTable:
         return df.where(F.col("_live")).drop("_live")
 
     def replace(self, rows: DataFrame) -> None:
-        v = (self.version() or 0) + 1
+        self._write(rows, self.version())
+
+    def _write(self, rows: DataFrame, base: int | None) -> None:
+        """Write ``rows`` as the version after ``base``, if no one else has claimed it."""
+        taken = [int(n[len("_claim-"):]) for n in file_system.children(self.spark, self.path) if n.startswith("_claim-")]
+        v = max([base or 0, *(t for t in taken if not self._pending(t, base))]) + 1
+        if not file_system.create_new(self.spark, f"{self.path}/_claim-{v}"):
+            raise StateChanged(f"version {v} of {self.path} is being written by another job")
+        if (self.version() or 0) != (base or 0):
+            raise StateChanged(f"{self.path} has changed since version {base}")
         rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         marker = self.spark.createDataFrame([tuple([None] * len(self.schema.fields))], self.schema)
         out = rows.withColumn("_live", F.lit(True)).unionByName(marker.withColumn("_live", F.lit(False)))
-        out.write.mode("overwrite").parquet(f"{self.path}/v={v}")
-        self._version = v
+        out.write.mode("errorifexists").parquet(f"{self.path}/v={v}")
+        for old in self.versions()[:-2]:
+            file_system.delete(self.spark, f"{self.path}/v={old}")
+            file_system.delete(self.spark, f"{self.path}/_claim-{old}")
+
+    def _pending(self, claim: int, base: int | None) -> bool:
+        """Whether a claim after ``base`` is young enough to belong to a running writer."""
+        return claim > (base or 0) and file_system.age(self.spark, f"{self.path}/_claim-{claim}") < CLAIM_SECONDS
 
     def upsert(self, rows: DataFrame) -> None:
-        current = self.read()
-        self.replace(current.join(rows.select(*self.keys), self.keys, "left_anti").unionByName(rows.select(current.columns)))
+        base = self.version()
+        current = self._read(base)
+        kept = current.join(rows.select(*self.keys), self.keys, "left_anti")
+        self._write(kept.unionByName(rows.select(current.columns)), base)
 
     def delete_where(self, cond: Column) -> None:
-        self.replace(self.read().where(~cond))
+        """Delete the rows where ``cond`` is true (not those where it is NULL)."""
+        base = self.version()
+        self._write(self._read(base).where(~F.coalesce(cond, F.lit(False))), base)
 
 
 def _node_key(node_path: Sequence[str]) -> Column:
@@ -107,8 +138,8 @@ def dependency_hash_frame(spark: SparkSession, paths: Sequence[str], first_date:
                           last_date: dt.date | None = None) -> DataFrame:
     """The same hash computed by Spark over ``binaryFile`` contents, in list order."""
     contents = spark.read.format("binaryFile").load(list(paths)).select("path", F.md5("content").alias("md5"))
-    order = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "p string, i int")
-    joined = contents.join(order, F.col("path").endswith(F.col("p")))
+    order = spark.createDataFrame([(file_system.qualified(spark, p), i) for i, p in enumerate(paths)], "path string, i int")
+    joined = contents.join(order, "path")
     return joined.agg(
         F.concat_ws(" ", F.lit(f"{first_date} {last_date}"),
                     F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "md5"))), lambda x: x["md5"]), " "))
@@ -211,18 +242,26 @@ def reset(states: dict[str, StateTable], prefix: Sequence[str]) -> None:
 
 # ------------------------------------------------------------ upsert
 
+def _all_keys(keys: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(k).isNotNull() for k in keys))
+
+
 def latest_per_key(delta: DataFrame, keys: Sequence[str], order_by: str | Column) -> DataFrame:
     """Newest row per key (I11) as an aggregate of ``max(struct(order, row))``: it
-    combines map-side, so a hot key never gathers in one task."""
+    combines map-side, so a hot key never gathers in one task. Rows with a NULL in a key
+    equal no other row and all stay."""
     o = F.col(order_by) if isinstance(order_by, str) else order_by
     rest = [c for c in delta.columns if c not in keys]
-    packed = delta.groupBy(*keys).agg(F.max(F.struct(o.alias("_o"), *[F.col(c) for c in rest])).alias("_r"))
-    return packed.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(delta.columns)
+    keyed = delta.where(_all_keys(keys))
+    packed = keyed.groupBy(*keys).agg(F.max(F.struct(o.alias("_o"), *[F.col(c) for c in rest])).alias("_r"))
+    newest = packed.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(delta.columns)
+    return newest.unionByName(delta.where(~_all_keys(keys)))
 
 
 def check_unique(delta: DataFrame, keys: Sequence[str]) -> None:
-    """Fail when the delta has two rows with one key (the database refuses them)."""
-    dup = delta.where(F.coalesce(*[F.col(k).isNotNull() for k in keys])).groupBy(*keys).count().where(F.col("count") > 1)
+    """Fail when the delta has two rows with one key (the database refuses them). As in a
+    unique index, a key with a NULL in it equals no other."""
+    dup = delta.where(_all_keys(keys)).groupBy(*keys).count().where(F.col("count") > 1)
     if not dup.isEmpty():
         raise ValueError(f"delta has duplicate keys {keys}; pass dedup_by= to keep the newest row per key")
 
@@ -233,6 +272,13 @@ def merge_upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> Da
     return target.join(delta.select(*keys), list(keys), "left_anti").unionByName(delta.select(target.columns))
 
 
+def merge_newer(target: DataFrame, delta: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """Per key the row of the highest ``version``, the delta's among equals: a delta that
+    arrives late does not replace a newer row."""
+    both = target.withColumn("_new", F.lit(0)).unionByName(delta.select(target.columns).withColumn("_new", F.lit(1)))
+    return latest_per_key(both, keys, F.struct(version, "_new")).drop("_new")
+
+
 def merge_explicit(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """UPDATE … FROM then INSERT … WHERE NOT EXISTS (I10). Every target column takes
     the source value when matched (also NULLs); unmatched source rows are inserted."""
@@ -248,56 +294,86 @@ def merge_explicit(target: DataFrame, delta: DataFrame, keys: Sequence[str]) ->
     return updated.unionByName(inserted)
 
 
-def _committed(spark: SparkSession, path: str, fmt: str) -> bool:
-    """True when a completed write exists at ``path`` (the commit protocol moves data
-    files into place only when the whole job succeeded)."""
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001 - missing or never committed
-        return False
-
-
 def upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequence[str], staging: str,
            partition_by: Sequence[str] | None = None, dedup_by: str | None = None, explicit: bool = False,
-           fmt: str = "parquet", resume: bool = False) -> None:
+           fmt: str = "parquet", resume: bool = False, version: str | None = None) -> None:
     """Keyed upsert into a parquet target (I09/I10) without MERGE.
 
-    The merged rows are written to ``staging`` first (Spark cannot overwrite the
-    path it reads), then copied over the target. With ``partition_by`` only the
-    partitions the delta touches are read and rewritten (dynamic overwrite); keys
-    must then determine the partition.
+    The delta is written to ``staging`` once and read from there, so a changing source
+    gives every step the same rows. The merged rows are staged too (Spark cannot
+    overwrite the path it reads), then copied over the target. With ``partition_by`` only
+    the partitions that the delta touches, or that hold older rows of its keys, are read
+    and rewritten (dynamic overwrite); a partition left without rows is removed. With
+    ``version`` a stored row of a higher version stays.
 
     Crash safety: retry a failed upsert with the same ``staging`` and ``resume=True``.
     A committed staging result is then copied again instead of being recomputed
-    from a target the failed copy may have left incomplete."""
-    if not (resume and _committed(spark, staging, fmt)):
+    from a target the failed copy may have left incomplete. A finished upsert removes
+    its staging."""
+    staging = staging.rstrip("/")
+    if not (resume and staged(spark, staging)):
+        file_system.delete(spark, staging)
         if dedup_by:
             delta = latest_per_key(delta, keys, dedup_by)
-        elif not explicit:
+        delta.write.format("parquet").save(f"{staging}/delta")
+        delta = spark.read.schema(delta.schema).parquet(f"{staging}/delta")
+        if not dedup_by and not explicit:
             check_unique(delta, keys)
+        _stage(spark, target_path, delta, keys, staging, list(partition_by or []), explicit, fmt, version)
+    finish_staged(spark, target_path, staging, partition_by, fmt)
+
+
+def staged(spark: SparkSession, staging: str) -> bool:
+    """Whether ``staging`` holds a merge that is complete but perhaps not yet copied."""
+    return file_system.committed(spark, f"{staging.rstrip('/')}/merged")
+
+
+def _stage(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequence[str], staging: str,
+           parts: list[str], explicit: bool, fmt: str, version: str | None) -> None:
+    if file_system.has_data(spark, target_path):
         target = spark.read.format(fmt).load(target_path)
-        if partition_by:
-            touched = delta.select(*partition_by).distinct()
-            target = target.join(touched, list(partition_by), "left_semi")
-        merged = (merge_explicit if explicit else merge_upsert)(target, delta, keys)
-        w = merged.write.mode("overwrite").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(staging)
-    staged = spark.read.format(fmt).load(staging)
-    cols = [c for c in staged.columns if c not in (partition_by or [])] + list(partition_by or [])
-    w2 = staged.select(cols).write.format(fmt).mode("overwrite")
-    if partition_by:
-        w2 = w2.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w2.save(target_path)
+    else:
+        target = spark.createDataFrame([], delta.schema)
+    emptied = spark.createDataFrame([], "path string")
+    merge = merge_explicit if explicit else partial(merge_newer, version=version) if version else merge_upsert
+    if parts and file_system.has_data(spark, target_path):
+        files = target.select("*", F.col("_metadata.file_path").alias("_path"))
+        moved = target.select(*keys, *parts).join(delta.select(*keys), list(keys), "left_semi").select(*parts)
+        touched = delta.select(*parts).union(moved).distinct().select(*[F.col(p).alias(f"_t_{p}") for p in parts])
+        same = [F.col(p).eqNullSafe(F.col(f"_t_{p}")) for p in parts]
+        merged = merge(target.join(touched, same, "left_semi"), delta, keys)
+        # files of touched partitions that get no row: the dynamic overwrite leaves them
+        after = merged.select(*[F.col(p).alias(f"_t_{p}") for p in parts]).distinct()
+        gone = files.select(*parts, "_path").distinct().join(touched, same, "left_semi").join(after, same, "left_anti")
+        emptied = gone.select(F.col("_path").alias("path")).distinct()
+    else:
+        merged = merge(target, delta, keys)
+    emptied.write.parquet(f"{staging}/emptied")
+    w = merged.write.format(fmt)
+    (w.partitionBy(*parts) if parts else w).save(f"{staging}/merged")
+
+
+def finish_staged(spark: SparkSession, target_path: str, staging: str, partition_by: Sequence[str] | None = None,
+                  fmt: str = "parquet") -> None:
+    """Copy a complete staged merge over the target and remove the staging. Doing so
+    twice gives the same target."""
+    staging = staging.rstrip("/")
+    parts = list(partition_by or [])
+    merged = spark.read.format(fmt).load(f"{staging}/merged")
+    w = merged.select([c for c in merged.columns if c not in parts] + parts).write.format(fmt).mode("overwrite")
+    if parts:
+        w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+    w.save(target_path)
+    for row in spark.read.schema("path string").parquet(f"{staging}/emptied").toLocalIterator():
+        file_system.delete_file(spark, row.path)
+    file_system.delete(spark, staging)
 
 
 # ------------------------------------------------------------ CopyIncrementally
 
 def copy_incrementally(
     spark: SparkSession,
-    source: DataFrame,
+    source: DataFrame | Callable[[str], DataFrame],
     target_path: str,
     modification_expr: str,
     keys: Sequence[str],
@@ -314,6 +390,12 @@ def copy_incrementally(
 ) -> str:
     """Incremental copy of ``source`` into ``target_path``.
 
+    ``source`` is a frame, or a function that makes one from a predicate: it gets
+    ``(1=1)`` for all rows and ``(expr >= CAST('last' AS type))`` for a delta
+    (``sql_source`` puts the predicate into a SQL text).
+
+    0. A merge that an earlier, broken run left complete in ``staging`` (a folder of this
+       node, the same in every run) is finished first.
     1. ``max(modification_expr)`` of the source, read before the load (a NULL max:
        nothing to copy, succeed). 2. target empty? 3. stored last value.
     4. Empty target or no/'' stored value: full load (stale value deleted first).
@@ -321,38 +403,45 @@ def copy_incrementally(
        source scan), upserted by ``keys``. 5. The max from step 1 is stored last,
        so a crash before it repeats the load. Returns 'empty', 'full' or 'delta'.
     ``lookback`` (e.g. ``"INTERVAL 2 DAYS"``) widens the delta window so that late
-    changes below the stored value are read again (off by default, as in the
-    reference, where such rows are never re-read). With ``partition_by`` the target
-    is partitioned and a delta rewrites only the partitions it touches."""
-    max_value = source.select(F.max(F.expr(modification_expr)).cast("string").alias("m")).first()["m"]
+    changes below the stored value are read again (off by default: such rows are then
+    never re-read). With ``partition_by`` the target is partitioned and a delta rewrites
+    only the partitions it touches."""
+    read = source if callable(source) else lambda predicate: source.where(F.expr(predicate))
+    if staged(spark, staging):
+        finish_staged(spark, target_path, staging, partition_by, fmt)
+    everything = read("(1=1)")
+    max_value = everything.select(F.max(F.expr(modification_expr)).cast("string").alias("m")).first()["m"]
     if max_value is None:
         return "empty"
-    try:
-        target_empty = spark.read.format(fmt).load(target_path).isEmpty()
-    except Exception:  # noqa: BLE001 - no target files yet
-        target_empty = True
+    target_empty = not file_system.has_data(spark, target_path) or spark.read.format(fmt).load(target_path).isEmpty()
     last = get_last_value(status, node_path, source_name)
     if target_empty or not last:
         if target_empty and last:
             delete_last_value(status, node_path, source_name)
-        w = source.write.mode("overwrite").format(fmt)
+        w = everything.write.mode("overwrite").format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(target_path)
         mode = "full"
     else:
-        typ = comparison_type or source.select(F.expr(modification_expr).alias("e")).schema["e"].dataType.simpleString()
-        bound = F.lit(last).cast(typ)
-        if lookback:
-            bound = bound - F.expr(lookback)
-        delta = source.where(F.expr(modification_expr) >= bound)
-        upsert(spark, target_path, delta, keys, staging, partition_by=partition_by, dedup_by=dedup_by,
-               explicit=explicit, fmt=fmt)
+        typ = comparison_type or everything.select(F.expr(modification_expr).alias("e")).schema["e"].dataType.simpleString()
+        quoted = last.replace("\\", "\\\\").replace("'", "\\'")
+        bound = f"CAST('{quoted}' AS {typ})" + (f" - {lookback}" if lookback else "")
+        upsert(spark, target_path, read(f"({modification_expr} >= {bound})"), keys, staging, partition_by=partition_by,
+               dedup_by=dedup_by, explicit=explicit, fmt=fmt)
         mode = "delta"
     set_last_value(status, node_path, source_name, max_value)
     return mode
 
 
+def sql_source(spark: SparkSession, sql: str, placeholder: str = "@@comparison@@") -> Callable[[str], DataFrame]:
+    """A source for ``copy_incrementally`` from a SQL text that has ``placeholder`` where
+    the comparison with the last value belongs (in a WHERE clause)."""
+    if placeholder not in sql:
+        raise ValueError(f"the source SQL has no {placeholder}")
+    return lambda predicate: spark.sql(sql.replace(placeholder, predicate))
+
+
 def modified_dependencies(state: DataFrame, current: DataFrame) -> DataFrame:
     """Set-wise ``is_modified`` (I02) for many nodes at once: ``current`` has
     (node_path, dependency_type, hash); a node is modified unless the state holds

@@ -45,14 +45,19 @@ def _dep_out(df: DataFrame) -> DataFrame:
     return df.select(F.array_join("node_path", "/").alias("node_path"), "dependency_type", "hash")
 
 
-@register("dependency_hash")
+@register(
+    "dependency_hash",
+    """SELECT '2000-01-01 None ' || string_agg(md5(event_type || chr(10)), ' ' ORDER BY event_type) AS hash
+FROM (SELECT DISTINCT event_type FROM events) t""",
+)
 def dependency_hash(spark, sf_dir):
-    """I01 over files Spark wrote from the driver data (rows-only check)."""
-    from spark_elt.plans.q_files import write_daily_csv
-    from spark_elt.sources.files import list_files
-
-    root = write_daily_csv(spark, sf_dir, "dependency_hash")
-    paths = sorted(r["path"] for r in list_files(spark, root, "*.csv").select("path").collect())
+    """I01 over one file per event type that holds the type's name as its line, in the order
+    of the names."""
+    root = scratch_dir(spark, "dependency_files")
+    types = table(spark, sf_dir, "events").select("event_type").distinct()
+    types.repartition(4, "event_type").select(F.col("event_type").alias("value"), "event_type").write.partitionBy("event_type").text(root)
+    files = spark.read.format("binaryFile").load(root).select("path", "event_type").distinct()
+    paths = [r["path"] for r in files.orderBy("event_type").collect()]
     return inc.dependency_hash_frame(spark, paths, dt.date(2000, 1, 1))
 
 
@@ -186,13 +191,13 @@ def reset_incremental(spark, sf_dir):
 def _copy(spark, sf_dir, label, runs):
     target = scratch_dir(spark, f"{label}_target")
     st = inc.StateTable(spark, scratch_dir(spark, f"{label}_status"), inc.COPY_STATUS, ["node_path", "source_table"])
-    modes = []
-    for src in runs:
-        modes.append(
-            inc.copy_incrementally(spark, src, target, "o_orderdate", ["o_orderkey"], st, ["copy_orders"], "db.orders",
-                                   scratch_dir(spark, f"{label}_staging"))
-        )
-    return spark.read.parquet(target), modes
+    staging = scratch_dir(spark, f"{label}_staging")  # one folder per node, the same in every run
+    modes = [
+        inc.copy_incrementally(spark, src, target, "o_orderdate", ["o_orderkey"], st, ["copy_orders"], "db.orders", staging,
+                               partition_by=["o_orderstatus"])
+        for src in runs
+    ]
+    return spark.read.schema(fx.orders_v1(spark, sf_dir).schema).parquet(target), modes
 
 
 _ORD = _ORD_COLS = "o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice, o_orderdate, o_orderpriority"
@@ -227,6 +232,21 @@ def copy_incrementally_delta(spark, sf_dir):
     return _ord(out)
 
 
+@register("copy_incrementally_sql", _DELTA_D)
+def copy_incrementally_sql(spark, sf_dir):
+    """I08 from a SQL text with a placeholder for the comparison with the last value."""
+    fx.orders_v1(spark, sf_dir).createOrReplaceTempView("copy_sql_orders")
+    sql = inc.sql_source(spark, "SELECT * FROM copy_sql_orders WHERE @@comparison@@")
+    target, staging = scratch_dir(spark, "copy_sql_target"), scratch_dir(spark, "copy_sql_staging")
+    st = inc.StateTable(spark, scratch_dir(spark, "copy_sql_status"), inc.COPY_STATUS, ["node_path", "source_table"])
+    modes = []
+    for version in (fx.orders_v1, fx.orders_v2):
+        version(spark, sf_dir).createOrReplaceTempView("copy_sql_orders")
+        modes.append(inc.copy_incrementally(spark, sql, target, "o_orderdate", ["o_orderkey"], st, ["copy_orders"], "db.orders", staging))
+    assert modes == ["full", "delta"], modes
+    return _ord(spark.read.parquet(target))
+
+
 @register("copy_incrementally_empty", with_views(["orders_v1"], f"SELECT {_ORD_COLS} FROM orders_v1"))
 def copy_incrementally_empty(spark, sf_dir):
     """A source without rows (max is NULL) changes nothing and succeeds."""
@@ -289,9 +309,8 @@ def delta_latest_per_key(spark, sf_dir):
     both = fx.orders_v1(spark, sf_dir).withColumn("version", F.lit(1)).unionByName(
         fx.orders_v2(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0).withColumn("version", F.lit(2))
     )
-    return _ord(inc.latest_per_key(both, ["o_orderkey"], "version")).join(
-        inc.latest_per_key(both, ["o_orderkey"], "version").select("o_orderkey", "version"), "o_orderkey"
-    )
+    newest = inc.latest_per_key(both, ["o_orderkey"], "version")
+    return newest.select(*_ord(newest).columns, "version").withColumn("o_totalprice", F.round("o_totalprice", 6))
 
 
 @register("max_modification_value", "SELECT max(o_orderdate) AS maxval FROM orders")

@@ -6,8 +6,9 @@
   (Rewritten files are not re-read by the file source; ONLY_CHANGED stays batch.)
 * I13 ``stream_upsert``: every micro-batch is deduplicated (newest per key) and
   upserted into the target with the staged upsert, which rewrites only the target
-  partitions the batch touches. The staging of a batch is named by its batch id and
-  reused on replay; an upsert is idempotent, so a replayed batch changes nothing.
+  partitions the batch touches and keeps a stored row that is newer. The staging of a
+  batch is named by its batch id; an upsert is idempotent, so a replayed batch changes
+  nothing.
 * I17 ``stream_fold_node_runs``: node events folded per (run, path) in each batch and
   merged with the stored rows of the touched keys (an idempotent min/last fold), then
   upserted the same way; no state store, so state does not grow with the number of
@@ -24,8 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from spark_elt.operators.incremental import _committed, latest_per_key, upsert
+from spark_elt.operators.incremental import latest_per_key, upsert
 from spark_elt.session import ship_code
+from spark_elt.sources import file_system
 
 
 def ingest_new_files(spark: SparkSession, source_dir: str, schema: StructType | str, sink_dir: str,
@@ -48,30 +50,25 @@ def ingest_new_files(spark: SparkSession, source_dir: str, schema: StructType |
 
 
 def _upsert_batch(spark: SparkSession, delta: DataFrame, target_path: str, keys: Sequence[str], staging_root: str,
-                  batch_id: int, partition_by: Sequence[str] | None) -> None:
-    """Apply one micro-batch: the first batch creates the target, later ones run the
-    staged upsert (only partitions the batch touches are rewritten). Upserting the
-    same delta twice gives the same table, and the staging of a batch id is reused
-    when that batch is replayed, so a replay after a failure is harmless."""
-    if not _committed(spark, target_path, "parquet"):
-        w = delta.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(target_path)
-        return
+                  batch_id: int, partition_by: Sequence[str] | None, version: str | None = None) -> None:
+    """Apply one micro-batch by the staged upsert (only partitions the batch touches are
+    rewritten; the first batch creates the target). Upserting the same delta twice gives
+    the same table, and a staging that a failed batch left complete is finished when the
+    batch is replayed, so a replay is harmless. A finished batch leaves no staging."""
     upsert(spark, target_path, delta, keys, f"{staging_root.rstrip('/')}/batch={batch_id}",
-           partition_by=partition_by, resume=True)
+           partition_by=partition_by, resume=True, version=version)
 
 
 def stream_upsert(spark: SparkSession, source: DataFrame, target_path: str, keys: Sequence[str], order_by: str,
                   checkpoint: str, staging_root: str, partition_by: Sequence[str] | None = None) -> None:
-    """Upsert every micro-batch of ``source`` into ``target_path`` by ``keys`` (I13);
-    within a batch the newest row per key (``order_by``) wins."""
+    """Upsert every micro-batch of ``source`` into ``target_path`` by ``keys`` (I13). The
+    newest row per key (``order_by``) wins, within a batch and against the stored row,
+    so the target keeps ``order_by``."""
     ship_code(spark)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        delta = latest_per_key(batch, keys, order_by).drop(order_by)
-        _upsert_batch(spark, delta, target_path, keys, staging_root, batch_id, partition_by)
+        delta = latest_per_key(batch, keys, order_by)
+        _upsert_batch(spark, delta, target_path, keys, staging_root, batch_id, partition_by, version=order_by)
 
     q = (
         source.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
@@ -123,7 +120,7 @@ def stream_fold_node_runs(spark: SparkSession, events: DataFrame, target_path: s
         )
         block = F.floor(F.col("run_id") / runs_per_partition).cast("long")
         part = _fold_rows(part).withColumn("run_block", block)
-        if _committed(spark, target_path, "parquet"):
+        if file_system.has_data(spark, target_path):
             # touched blocks: at most one value per partition of the table
             blocks = [r[0] for r in part.select("run_block").distinct().collect()]
             stored = (
