@@ -37,7 +37,7 @@ def epoch_seconds(start, end) -> Column:
 
 def format_duration(seconds) -> Column:
     """Human-readable duration: ``h:mmh`` from one hour, ``m:ssm`` from one minute,
-    else seconds rounded to one decimal with an ``s`` suffix; NULL gives ''."""
+    else seconds rounded to one decimal (ties to even) with an ``s`` suffix; NULL gives ''."""
     d = _col(seconds).cast("double")
     hours = F.floor(d / 3600)
     rest = d - hours * 3600
@@ -48,7 +48,7 @@ def format_duration(seconds) -> Column:
         F.when(d.isNull(), F.lit(""))
         .when(hours != 0, F.concat(hours.cast("string"), F.lit(":"), F.lpad(minutes.cast("string"), 2, "0"), F.lit("h")))
         .when(minutes != 0, F.concat(minutes.cast("string"), F.lit(":"), F.lpad(secs.cast("string"), 2, "0"), F.lit("m")))
-        .otherwise(F.concat(F.round(rest2, 1).cast("string"), F.lit("s")))
+        .otherwise(F.concat(F.bround(rest2, 1).cast("string"), F.lit("s")))
     )
 
 

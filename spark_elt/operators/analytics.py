@@ -55,10 +55,10 @@ def latest_run_id(node_run: DataFrame, path: Sequence[str]) -> DataFrame:
 
 
 def for_run(df: DataFrame, run_id: int | DataFrame) -> DataFrame:
-    """Rows of one run. ``run_id`` is a number or a one-row frame with a ``run_id``
-    column (e.g. ``latest_run_id``); the one-row frame is broadcast."""
+    """Rows of one run. ``run_id`` is a number or a frame with a ``run_id`` column whose
+    first row counts (e.g. ``latest_run_id``)."""
     if isinstance(run_id, DataFrame):
-        return df.join(F.broadcast(run_id.select("run_id")), "run_id", "left_semi")
+        return df.join(F.broadcast(run_id.select("run_id").limit(1)), "run_id", "left_semi")
     return df.where(F.col("run_id") == F.lit(run_id))
 
 
@@ -154,49 +154,30 @@ def _run_data(c_duration: Column, c_succeeded: Column, first: str) -> Column:
 
 def run_time_chart(node_run: DataFrame, path: Sequence[str], n: int = 8) -> DataFrame:
     """Per run: first start, node name, own run data and the aligned run data of the
-    top ``n`` children (C01). Children that did not run give NULL entries; the
-    arrays are built from (rank, data) structs so that NULLs keep their slot.
+    top ``n`` children (C01). Children that did not run give NULL entries.
 
-    The top-children list is at most ``n`` rows (a top-k), which is the only
-    broadcast side; every other step is an equi-join or aggregate by run_id."""
+    The ranked children are at most ``n`` rows, read first; they go into the plan as a
+    literal list. The node's own runs and the children's runs then come from one filtered
+    scan and meet in one aggregate by run, in a slot per child."""
+    children = [(r["node_path"], r["node_name"]) for r in top_children(node_run, path, n).orderBy("rank").collect()]
     p = path_literal(path)
-    node_runs = node_run.where((F.col("node_path") == p) & F.col("succeeded").isNotNull()).select(
-        "run_id", "start_time", _run_data(duration(), F.col("succeeded"), "succeeded").alias("data")
-    )
-    top = top_children(node_run, path, n).select("node_path", "node_name", "rank")
-    top_b = F.broadcast(top)
-    child_runs = node_run.join(top_b, "node_path").select(
+    own = (F.col("node_path") == p) & F.col("succeeded").isNotNull()
+    paths = F.array(*[path_literal(c) for c, _ in children]) if children else F.lit(None).cast("array<array<string>>")
+    slot = F.coalesce(F.array_position(paths, F.col("node_path")), F.lit(0))
+    data = F.when(own, _run_data(duration(), F.col("succeeded"), "succeeded")).otherwise(_run_data(duration(), F.col("succeeded"), "duration"))
+    rows = node_run.where(own | (slot > 0)).select("run_id", "start_time", slot.cast("int").alias("slot"), data.alias("data"))
+    runs = rows.groupBy("run_id").agg(
+        F.coalesce(F.min(F.when(F.col("slot") == 0, F.col("start_time"))), F.min("start_time")).alias("time"),
+        *[F.max(F.when(F.col("slot") == i, F.col("data"))).alias(f"_{i}") for i in range(len(children) + 1)],
+    )
+    none = F.lit(None).cast("array<string>")
+    return runs.select(
         "run_id",
-        "node_name",
-        "start_time",
-        _run_data(duration(), F.col("succeeded"), "duration").alias("data"),
-    )
-    first_start = child_runs.groupBy("run_id").agg(F.min("start_time").alias("first_start_time"))
-    all_runs = (
-        node_runs.select("run_id", "start_time")
-        .join(first_start, "run_id", "full")
-        .select("run_id", F.coalesce("start_time", "first_start_time").alias("start_time"))
-        .distinct()
-    )
-    # LEFT JOIN top ON TRUE: each run gets one slot per top child (at most n rows, broadcast).
-    runs = all_runs.groupBy("run_id").agg(F.min("start_time").alias("time"))
-    grid = runs.join(top_b.select("node_name", "rank"), how="left", on=F.lit(True))
-    filled = grid.join(child_runs.select("run_id", "node_name", "data"), ["run_id", "node_name"], "left")
-    names = top.agg(F.sort_array(F.collect_list(F.struct("rank", "node_name"))).alias("s")).select(
-        F.when(F.size("s") > 0, F.transform("s", lambda x: x["node_name"])).alias("child_names")
-    )
-    agg = filled.groupBy("run_id", "time").agg(F.sort_array(F.collect_list(F.struct("rank", "data"))).alias("s"))
-    return (
-        agg.join(node_runs.select("run_id", F.col("data").alias("node_run")), "run_id", "left")
-        .join(F.broadcast(names), how="left", on=F.lit(True))
-        .select(
-            "run_id",
-            "time",
-            last_name(p).alias("node_name"),
-            "node_run",
-            "child_names",
-            F.when(F.col("child_names").isNotNull(), F.transform("s", lambda x: x["data"])).alias("child_runs"),
-        )
+        "time",
+        last_name(p).alias("node_name"),
+        F.col("_0").alias("node_run"),
+        (F.array(*[F.lit(name) for _, name in children]) if children else none).alias("child_names"),
+        (F.array(*[F.col(f"_{i + 1}") for i in range(len(children))]) if children else none).alias("child_runs"),
     )
 
 

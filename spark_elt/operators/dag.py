@@ -11,12 +11,13 @@ the session's checkpoint folder, so a lost executor recomputes one round only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spark_elt.functions.paths import empty_path
+from spark_elt.operators.ordered import ordered_scan
 from spark_elt.session import checkpoint_root, ship_code
 
 
@@ -84,29 +85,57 @@ def reach_pairs(edges: DataFrame, sources: DataFrame | None = None, through: Dat
     raise ValueError("reachability did not converge: the graph has a cycle")
 
 
-def critical_path_cost(nodes: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def _peel(edges: DataFrame, what: DataFrame, known: str) -> DataFrame:
+    """Rounds over a DAG from its sinks: ``what`` (node, value, left) has a value for
+    every node so far and the number of downstreams it waits for. A node whose
+    downstreams are all done is done; it hands its value to its upstreams (the largest
+    counts) in the next round. Each edge is joined once, in the round its downstream gets
+    done. Returns (node, value). A cycle leaves nodes waiting when no more get done."""
+    edges = _cut(edges.select("u", "v").distinct())
+    waiting = _cut(what)
+    done: list[DataFrame] = []
+    while True:
+        ready = _cut(waiting.where(F.col("left") == 0).select("node", F.expr(known).alias("value")))
+        if ready.isEmpty():
+            break
+        done.append(ready)
+        if len(done) % CUT_EVERY == 0:
+            done = [_cut(reduce(DataFrame.unionByName, done))]
+        told = edges.join(ready.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(
+            F.max("value").alias("more"), F.count("*").alias("fewer")
+        )
+        rest = waiting.where(F.col("left") > 0).join(told, "node", "left")
+        waiting = _cut(rest.select(
+            "node", "own", F.greatest("best", "more").alias("best"), (F.col("left") - F.coalesce("fewer", F.lit(0))).alias("left")
+        ))
+    if not waiting.isEmpty():
+        raise ValueError("the graph has a cycle")
+    return reduce(DataFrame.unionByName, done) if done else waiting.select("node", F.expr(known).alias("value"))
+
+
+def _start(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, own, best, left) before the first round; edges to unknown nodes do not count."""
+    known = nodes.select("node").distinct()
+    inner = edges.select("u", "v").distinct().join(known.withColumnRenamed("node", "v"), "v", "left_semi")
+    waits = inner.groupBy(F.col("u").alias("node")).agg(F.count("*").alias("left"))
+    return nodes.join(waits, "node", "left").select(
+        "node", F.coalesce(F.col("cost"), F.lit(0.0)).alias("own"), F.lit(0.0).alias("best"), F.coalesce("left", F.lit(0)).alias("left")
+    )
+
+
+def critical_path_cost(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """cost(n) = own(n) + max(cost of n's downstreams), 0 without downstreams.
 
-    Relaxation from the leaves: each round recomputes every cost from the current
-    costs of the downstreams (join + grouped max); the values only grow and reach
-    the fixed point after (longest path length) rounds. Each round is one
-    checkpointed job that also flags changed costs, so the convergence test is a
-    scan of that checkpoint."""
-    cost = _cut(nodes.select("node", F.coalesce(F.col("cost"), F.lit(0.0)).alias("own")).withColumn("cost", F.col("own")))
-    limit = max_rounds or cost.count() + 1
-    for _ in range(limit):
-        best = edges.join(cost.select(F.col("node").alias("v"), F.col("cost").alias("c")), "v").groupBy("u").agg(
-            F.max("c").alias("down")
-        )
-        new = cost.join(best.withColumnRenamed("u", "node"), "node", "left").select(
-            "node", "own", (F.col("own") + F.coalesce(F.col("down"), F.lit(0.0))).alias("new_cost"), "cost"
-        )
-        new = _cut(new.select("node", "own", F.col("new_cost").alias("cost"),
-                              (F.col("new_cost") != F.col("cost")).alias("changed")))
-        if new.where(F.col("changed")).isEmpty():
-            return new.select("node", "cost")
-        cost = new.select("node", "own", "cost")
-    raise ValueError("cost did not converge: the graph has a cycle")
+    Nodes get their cost once all their downstreams have theirs, so each edge is joined
+    once, the rounds are the levels of the graph, and a cycle fails as soon as nothing
+    more can be done."""
+    return _peel(edges, _start(nodes, edges), "own + best").withColumnRenamed("value", "cost")
+
+
+def heights(edges: DataFrame) -> DataFrame:
+    """(node, height): edges on the longest path from each node down to a sink."""
+    nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct().withColumn("cost", F.lit(1.0))
+    return critical_path_cost(nodes, edges).select("node", (F.col("cost") - 1).cast("int").alias("height"))
 
 
 def remove_nodes(edges: DataFrame, drop: DataFrame) -> DataFrame:
@@ -126,17 +155,38 @@ def remove_nodes(edges: DataFrame, drop: DataFrame) -> DataFrame:
 
 
 def redundant_edges(edges: DataFrame) -> DataFrame:
-    """Edges u→v where v is also reachable from u by a path of two or more edges
-    (G05). Only nodes with two or more downstreams can have such an edge, so only
-    those start the search."""
-    e = edges.select("u", "v").distinct()
-    multi = e.groupBy("u").count().where(F.col("count") > 1).select(F.col("u").alias("node"))
-    first = e.join(multi.withColumnRenamed("node", "u"), "u", "left_semi")
-    # paths of length >= 2: one edge out of u, then any path of length >= 1
-    mids = first.select(F.col("v").alias("node")).distinct()
-    tails = reach_pairs(e, mids)
-    two_plus = first.join(tails, first["v"] == tails["src"]).select(F.col("u"), F.col("dst").alias("v")).distinct()
-    return e.join(two_plus.withColumn("redundant", F.lit(True)), ["u", "v"], "left").select(
+    """Edges u→v where v is also reachable from u by a path of two or more edges.
+
+    Heights (longest path to a sink) fall along every edge, so a second way to v needs a
+    first step w with ``height(w) > height(v)``, and its nodes stay above v. Each open
+    edge searches level by level from such first steps through nodes above its v only,
+    and leaves the search as soon as v is found. Searches of one start are shared: a
+    state is (u, node, the lowest height that u still looks for), not a pair per edge."""
+    e = _cut(edges.select("u", "v").distinct())
+    h = _cut(heights(e))
+    hv = h.select(F.col("node").alias("v"), F.col("height").alias("hv"))
+    tall = _cut(e.join(hv, "v"))
+    # an edge can only be redundant if u has a taller other child
+    top = tall.groupBy("u").agg(F.max("hv").alias("top"))
+    open_ = _cut(tall.join(top, "u").where("hv < top").select("u", "v", "hv"))
+    found = open_.select("u", "v").limit(0)
+    lowest = open_.groupBy("u").agg(F.min("hv").alias("low"))
+    frontier = _cut(tall.join(lowest, "u").where("hv > low").select(F.col("u").alias("src"), F.col("v").alias("node")))
+    seen = frontier
+    rounds = 0
+    while not frontier.isEmpty():
+        step = frontier.join(tall, frontier["node"] == tall["u"]).select("src", F.col("v").alias("node"), "hv").distinct()
+        step = _cut(step)
+        hit = _cut(open_.join(step, (open_["u"] == step["src"]) & (open_["v"] == step["node"]), "left_semi").select("u", "v"))
+        found = found.unionByName(hit)
+        open_ = _cut(open_.join(hit, ["u", "v"], "left_anti"))
+        lowest = open_.groupBy(F.col("u").alias("src")).agg(F.min("hv").alias("low"))
+        frontier = _cut(step.join(lowest, "src").where("hv > low").select("src", "node").join(seen, ["src", "node"], "left_anti"))
+        seen = seen.unionByName(frontier)
+        rounds += 1
+        if rounds % CUT_EVERY == 0:
+            seen, found = _cut(seen), _cut(found)
+    return e.join(found.withColumn("redundant", F.lit(True)), ["u", "v"], "left").select(
         "u", "v", F.coalesce("redundant", F.lit(False)).alias("redundant")
     )
 
@@ -232,27 +282,13 @@ def lanes(df: DataFrame, group: Sequence[str], start: str, end: str, order_tie:
     rows are hash-partitioned by (group, segment), sorted, and walked once per
     partition by ``mapInPandas`` with two heaps (busy lanes by end, free lanes by
     index), state carried across Arrow batches and reset at each segment change."""
-    from pyspark.sql import Window
-
-    from spark_elt.operators.ordered import WINDOW_GROUP_LIMIT, _n_partitions, with_index
-
     ship_code(df.sparkSession)
     keys = list(group)
     base = df.select(*keys, order_tie, start, end)
-    prev = f"{end}_prev_max"
-    quiet = lambda d: d.withColumn(
-        "_quiet", F.when(F.col(prev).isNull() | (F.col(prev) <= F.col(start)), 1).otherwise(0))
-    biggest = base.groupBy(*keys).count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if biggest <= WINDOW_GROUP_LIMIT:
-        # small groups: both running values in one window stage (one shuffle)
-        w = Window.partitionBy(*keys).orderBy(start, order_tie)
-        seg = quiet(base.withColumn(prev, F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))))
-        seg = seg.withColumn("_seg", F.sum("_quiet").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    else:
-        n = _n_partitions(base)
-        scanned = with_index(base, keys, [start, order_tie], prev_max=[end], index_col="_i", partitions=n)
-        seg = with_index(quiet(scanned).drop("_i", prev), keys, [start, order_tie], sums=["_quiet"],
-                         index_col="_i2", partitions=n).withColumn("_seg", F.col("_quiet_cum"))
+    prev = F.col(f"{end}_prev_max")
+    scanned = ordered_scan(base, keys, [start, order_tie], prev_max=[end])
+    quiet = scanned.withColumn("_quiet", F.when(prev.isNull() | (prev <= F.col(start)), 1).otherwise(0)).drop("_idx", f"{end}_prev_max")
+    seg = ordered_scan(quiet, keys, [start, order_tie], sums=["_quiet"]).withColumn("_seg", F.col("_quiet_cum"))
     seg = seg.select(*keys, order_tie, start, end, "_seg")
     pkeys = keys + ["_seg"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys, order_tie).schema.fields)

@@ -1,109 +1,193 @@
-"""Ordered per-group values (row index, running sum, lag, lead) without putting a
-group into one task.
-
-A window ``PARTITION BY g ORDER BY o`` sends every row of a group to one task, so
-one hot group (a run with a third of all samples) becomes one huge task. Here the
-rows are range-partitioned on ``(g, o)`` instead: Spark samples the keys, so a hot
-group is spread over many balanced partitions. Each row gets its index and running
-sum inside its partition; groups that cross a partition boundary are the first or
-last group of some partition, so at most two rows per partition carry the counts
-needed to offset the later pieces. That summary is bounded by the partition count
-and is the only thing broadcast. ``lag``/``lead`` are then equi-joins on
-``(g, index ± 1)``, which hash-partition a hot group like any other key.
+"""Ordered per-group values (row index, running sum, running maximum, lag, lead) without
+putting a group into one task.
+
+A window ``PARTITION BY g ORDER BY o`` sends every row of a group to one task. Here the
+rows are range-partitioned on ``(g, o)`` instead: Spark samples the keys, so a hot group
+is spread over many balanced partitions. One vectorised pass over each sorted partition
+gives the values as far as the partition knows; only the group that a partition starts
+with, and the first and last row of a partition, lack what lies in other partitions. The
+first and last rows of all partitions (at most two per partition) hold what is missing,
+and are the only thing broadcast. The plan is the same for all sizes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-
-def _n_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-# Groups up to this many rows are numbered with a plain window (one task per group
-# is fine for them); a larger group switches to the range-partitioned form.
-WINDOW_GROUP_LIMIT = 2_000_000
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group (a partial-aggregated count, one number back)."""
-    return df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
-
-
-def with_index(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-               sums: Sequence[str] = (), index_col: str = "_idx", partitions: int | None = None,
-               window_group_limit: int | None = WINDOW_GROUP_LIMIT, prev_max: Sequence[str] = ()) -> DataFrame:
-    """Add ``index_col`` (1-based row number within the group in ``order``),
-    ``<c>_cum`` running sums (``ROWS UNBOUNDED PRECEDING``) for ``sums`` and
-    ``<c>_prev_max`` (maximum over the earlier rows of the group, NULL for the
-    first) for ``prev_max``.
-
-    The size of the largest group is checked first (a partial-aggregated count):
-    when it is at most ``window_group_limit`` rows a window per group is used,
-    otherwise the range-partitioned form below (``inf``: the caller already knows the
-    groups are small; ``None``: always the range form). Both give the same values."""
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    if window_group_limit is not None and partitions is None:
-        if window_group_limit == float("inf") or largest_group(df, group) <= window_group_limit:
-            w = Window.partitionBy(*group).orderBy(*order_cols)
-            out = df.withColumn(index_col, F.row_number().over(w).cast("bigint"))
-            for c in sums:
-                out = out.withColumn(f"{c}_cum", F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            for c in prev_max:
-                out = out.withColumn(f"{c}_prev_max", F.max(c).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-            return out
-    n = partitions or _n_partitions(df)
-    ranged = df.repartitionByRange(n, *[F.col(g) for g in group], *order_cols).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid", *group).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_loc", F.row_number().over(Window.partitionBy("_pid", *group).orderBy(*order_cols)))
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, IntegralType, LongType, StructField, StructType
+
+from spark_elt.session import checkpoint_root, ship_code
+
+
+def _differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Where two arrays differ; nulls equal each other."""
+    other = pc.fill_null(pc.not_equal(a, b), False)
+    return pc.or_(other, pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+
+
+def _shifted(first: pa.Array, rest: pa.Array) -> pa.Array:
+    return pa.concat_arrays([first, rest])
+
+
+class _Pass:
+    """The values of one partition, batch by batch; a batch waits for the next one, whose
+    first row its last row's leads need."""
+
+    def __init__(self, group: list[str], sums: list[str], maxima: list[str], lags: list[str], leads: list[str]):
+        self.group, self.sums, self.maxima, self.lags, self.leads = group, sums, maxima, lags, leads
+        self.last: pa.RecordBatch | None = None  # the last row so far
+        self.count, self.in_first = 0, True
+        self.total: dict[str, float] = {}
+        self.most: dict[str, int | float | None] = {}
+
+    def read(self, batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        n = batch.num_rows
+        new = np.zeros(n, bool)
+        for g in self.group:
+            column = batch.column(g)
+            new[1:] |= _differs(column[1:], column[:-1])
+            if self.last is not None:
+                new[0] |= _differs(column[:1], self.last.column(g))[0]
+        first = self.last is None
+        new[0] |= first
+        begins = np.flatnonzero(new)
+        run = np.cumsum(new)  # 0: the group of the row before this batch
+        at = np.concatenate([[0], begins])[run]
+        own = np.arange(n) - at + 1
+        own[run == 0] += self.count
+        out: dict[str, pa.Array] = {"_index": pa.array(own)}
+        head = (run == 0) if not first else (run == 1)
+        out["_head"] = pa.array(head & self.in_first)
+        out["_first"] = pa.array((np.arange(n) == 0) & first)
+        for c in self.sums:
+            x = batch.column(c).fill_null(0).to_numpy(zero_copy_only=False)
+            cum = np.cumsum(x, dtype=np.int64 if x.dtype.kind in "iu" else np.float64)
+            before = np.concatenate([[0], cum[begins - 1] * (begins > 0)])[run]
+            value = cum - before
+            value[run == 0] += self.total.get(c, 0)
+            self.total[c] = value[-1]
+            out[f"{c}_cum"] = pa.array(value.astype(np.int64 if x.dtype.kind in "iu" else np.float64))
+        for c in self.maxima:
+            out[f"{c}_prev_max"], out[f"{c}_max"] = self._maxima(c, batch.column(c), begins)
+        for c in self.lags:
+            column = batch.column(c)
+            before = self.last.column(c) if self.last is not None else pa.nulls(1, column.type)
+            out[f"lag_{c}"] = pc.if_else(pa.array(new), pa.nulls(n, column.type), _shifted(before, column[:-1]))
+        for c in self.leads:
+            column = batch.column(c)
+            ends = np.append(new[1:], True)
+            out[f"lead_{c}"] = pc.if_else(pa.array(ends), pa.nulls(n, column.type), _shifted(column[1:], pa.nulls(1, column.type)))
+        self.in_first = bool(self.in_first and head[-1])
+        self.count, self.last = int(own[-1]), batch.slice(n - 1)
+        self.next_continues = not new[0]
+        return out
+
+    def _maxima(self, c: str, column: pa.Array, begins: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        plain = column.cast(pa.int64()) if pa.types.is_temporal(column.type) else column
+        floating = pa.types.is_floating(plain.type)
+        low = -np.inf if floating else np.iinfo(np.int64).min
+        x = plain.fill_null(low).to_numpy(zero_copy_only=False)
+        top = np.empty_like(x)
+        for s, e in zip([0, *begins], [*begins, len(x)], strict=True):
+            if e > s:
+                top[s:e] = np.maximum.accumulate(x[s:e])
+        if (begin := begins[0] if len(begins) else len(x)) and c in self.most:
+            top[:begin] = np.maximum(top[:begin], self.most[c])
+        before = np.concatenate([[self.most.get(c, low)], top[:-1]]).astype(x.dtype)
+        before[begins] = low
+        self.most[c] = top[-1]
+        return tuple(pa.array(v, mask=v == low).cast(column.type) for v in (before, top))
+
+
+def _scan(batches: Iterator[pa.RecordBatch], names: list[str], added: list[str], **columns: list[str]) -> Iterator[pa.RecordBatch]:
+    state = _Pass(**columns)
+    waiting: tuple[pa.RecordBatch, dict[str, pa.Array]] | None = None
+    pid = TaskContext.get().partitionId()
+
+    def finished(batch: pa.RecordBatch, values: dict[str, pa.Array], follows: pa.RecordBatch | None) -> pa.RecordBatch:
+        n = batch.num_rows
+        if follows is not None and state.next_continues:
+            for c in state.leads:
+                values[f"lead_{c}"] = _shifted(values[f"lead_{c}"][: n - 1], follows.column(c)[:1])
+        values["_pid"] = pa.array(np.full(n, pid, np.int32))
+        values["_last"] = pa.array((np.arange(n) == n - 1) & (follows is None))
+        return pa.RecordBatch.from_arrays([*batch.columns, *(values[a] for a in added)], [*names, *added])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = state.read(batch)
+        if waiting:
+            yield finished(*waiting, batch)
+        waiting = batch, values
+    if waiting:
+        yield finished(*waiting, None)
+
+
+def ordered_scan(df: DataFrame, group: Sequence[str], order: Sequence[str], index_col: str = "_idx", sums: Sequence[str] = (),
+                 prev_max: Sequence[str] = (), lag: Sequence[str] = (), lead: Sequence[str] = (),
+                 partitions: int | None = None) -> DataFrame:
+    """``df`` with, per row and within its group in ``order``: ``index_col`` (from 1),
+    ``<c>_cum`` running sums of ``sums`` (nulls count as 0), ``<c>_prev_max`` the maximum
+    over the earlier rows, ``lag_<c>`` and ``lead_<c>`` the neighbours' values.
+
+    ``order`` should have no ties within a group. Null group values form a group. The
+    scanned rows are stored in the checkpoint folder, so their partitions are fixed."""
+    ship_code(df.sparkSession)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group, order, sums, prev_max, lag, lead = (list(x) for x in (group, order, sums, prev_max, lag, lead))
+    of = {f.name: f for f in df.schema.fields}
+    kinds = {"_pid": IntegerType(), "_index": LongType(), "_head": BooleanType(), "_first": BooleanType(), "_last": BooleanType()}
     for c in sums:
-        local = local.withColumn(f"_loc_{c}", F.sum(c).over(w))
-    wprev = Window.partitionBy("_pid", *group).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+        kinds[f"{c}_cum"] = LongType() if isinstance(of[c].dataType, IntegralType) else DoubleType()
     for c in prev_max:
-        local = local.withColumn(f"_locmax_{c}", F.max(c).over(wprev))
-    from spark_elt.operators.dag import _cut  # reliable checkpoint into spark.checkpoint.dir
-
-    local = _cut(local)
-    gkey = F.struct(*[F.col(g) for g in group])
-    ends = local.groupBy("_pid").agg(F.min(gkey).alias("_first"), F.max(gkey).alias("_last"))
-    edge = ends.select("_pid", F.explode(F.array("_first", "_last")).alias("_g")).distinct()
-    per = local.withColumn("_g", gkey).join(F.broadcast(edge), ["_pid", "_g"], "left_semi").groupBy("_pid", "_g").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in sums],
-        *[F.max(c).alias(f"_m_{c}") for c in prev_max],
+        kinds[f"{c}_prev_max"] = kinds[f"{c}_max"] = of[c].dataType
+    kinds |= {f"lag_{c}": of[c].dataType for c in lag} | {f"lead_{c}": of[c].dataType for c in lead}
+    schema = StructType([*df.schema.fields, *(StructField(k, t) for k, t in kinds.items())])
+    keys = [F.col(c) for c in (*group, *order)]
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    columns = {"group": group, "sums": sums, "maxima": prev_max, "lags": lag, "leads": lead}
+    checkpoint_root(df.sparkSession)
+    rows = ranged.mapInArrow(partial(_scan, names=df.columns, added=list(kinds), **columns), schema).checkpoint(eager=True)
+
+    # first and last rows of the partitions: at most two per partition
+    edges = rows.where("_first or _last").select(
+        "_pid", F.struct(*group).alias("_g"),
+        F.explode(F.filter(F.array(F.when(F.col("_first"), 0), F.when(F.col("_last"), 1)), lambda x: x.isNotNull())).alias("_end"),
+        "_index", *[f"{c}_cum" for c in sums], *[f"{c}_max" for c in prev_max], *dict.fromkeys([*lag, *lead]),
     )
-    # at most two rows per partition: offsets are a prefix sum over partitions per group
-    wp = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per.select(
-        "_pid", "_g", F.coalesce(F.sum("_n").over(wp), F.lit(0)).alias("_off"),
-        *[F.coalesce(F.sum(f"_s_{c}").over(wp), F.lit(0)).alias(f"_off_{c}") for c in sums],
-        *[F.max(f"_m_{c}").over(wp).alias(f"_offmax_{c}") for c in prev_max],
+    last = F.col("_end") == 1
+    before = Window.partitionBy("_g").orderBy("_pid", "_end").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("_g").orderBy("_pid", "_end").rowsBetween(1, Window.unboundedFollowing)
+    missing = edges.select(
+        F.col("_pid"), "_end",
+        F.sum(F.when(last, F.col("_index"))).over(before).alias("_add"),
+        *[F.sum(F.when(last, F.col(f"{c}_cum"))).over(before).alias(f"_add_{c}") for c in sums],
+        *[F.max(F.when(last, F.col(f"{c}_max"))).over(before).alias(f"_most_{c}") for c in prev_max],
+        *[F.last(F.when(last, F.struct(c)), ignorenulls=True).over(before)[c].alias(f"_lag_{c}") for c in lag],
+        *[F.first(F.when(~last, F.struct(c)), ignorenulls=True).over(after)[c].alias(f"_lead_{c}") for c in lead],
     )
-    offsets = offsets.select("_pid", *[F.col("_g")[g].alias(g) for g in group], "_off", *[f"_off_{c}" for c in sums],
-                             *[f"_offmax_{c}" for c in prev_max])
-    out = local.join(F.broadcast(offsets), ["_pid", *group], "left")
-    out = out.withColumn(index_col, (F.col("_loc") + F.coalesce("_off", F.lit(0))).cast("bigint"))
-    for c in sums:
-        out = out.withColumn(f"{c}_cum", F.col(f"_loc_{c}") + F.coalesce(F.col(f"_off_{c}"), F.lit(0)))
-    for c in prev_max:
-        out = out.withColumn(f"{c}_prev_max", F.greatest(F.col(f"_locmax_{c}"), F.col(f"_offmax_{c}")))
-    drop = (["_pid", "_loc", "_off"] + [f"_loc_{c}" for c in sums] + [f"_off_{c}" for c in sums]
-            + [f"_locmax_{c}" for c in prev_max] + [f"_offmax_{c}" for c in prev_max])
-    return out.drop(*drop)
-
-
-def with_neighbours(df: DataFrame, group: Sequence[str], index_col: str, cols: Sequence[str],
-                    lag: bool = True, lead: bool = False) -> DataFrame:
-    """``lag_<c>`` / ``lead_<c>`` of ``cols`` from the rows with index ∓ 1 of the
-    same group (an equi-join on (group, index))."""
-    out = df
-    if lag:
-        prev = df.select(*group, (F.col(index_col) + 1).alias(index_col), *[F.col(c).alias(f"lag_{c}") for c in cols])
-        out = out.join(prev, [*group, index_col], "left")
+    starts = missing.where("_end = 0").select("_pid", "_add", *[f"_add_{c}" for c in sums], *[f"_most_{c}" for c in prev_max], *[f"_lag_{c}" for c in lag])
+    out = rows.join(F.broadcast(starts), "_pid", "left")
     if lead:
-        nxt = df.select(*group, (F.col(index_col) - 1).alias(index_col), *[F.col(c).alias(f"lead_{c}") for c in cols])
-        out = out.join(nxt, [*group, index_col], "left")
-    return out
+        ends = missing.where("_end = 1").select("_pid", *[f"_lead_{c}" for c in lead])
+        out = out.join(F.broadcast(ends), "_pid", "left")
+
+    def plus(value: str, extra: str) -> Column:
+        return F.when(F.col("_head"), F.col(value) + F.coalesce(F.col(extra), F.lit(0))).otherwise(F.col(value))
+
+    return out.select(
+        *df.columns,
+        plus("_index", "_add").cast("bigint").alias(index_col),
+        *[plus(f"{c}_cum", f"_add_{c}").alias(f"{c}_cum") for c in sums],
+        *[F.when(F.col("_head"), F.greatest(f"{c}_prev_max", f"_most_{c}")).otherwise(F.col(f"{c}_prev_max")).alias(f"{c}_prev_max") for c in prev_max],
+        *[F.when(F.col("_first"), F.col(f"_lag_{c}")).otherwise(F.col(f"lag_{c}")).alias(f"lag_{c}") for c in lag],
+        *[F.when(F.col("_last"), F.col(f"_lead_{c}")).otherwise(F.col(f"lead_{c}")).alias(f"lead_{c}") for c in lead],
+    )

@@ -10,6 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spark_elt.functions.durations import epoch_seconds
+from spark_elt.operators.ordered import ordered_scan
+
 MIB = 1024 * 1024
 
 
@@ -22,15 +25,9 @@ def counter_rates(df: DataFrame, partition: Sequence[str], ts: str, cols: Sequen
     """Turn cumulative byte counters into MiB per second since the previous sample
     of the same partition (W04). The first sample of a partition has NULL rates.
 
-    The previous sample comes from the distributed row index (range partitioning,
-    see ``ordered``), so a run with a very large number of samples is not one task."""
-    from spark_elt.operators.ordered import with_index, with_neighbours
-
-    order = [ts] + ([tie] if tie else [])
-    idx = with_index(df, partition, order)
-    out = with_neighbours(idx, partition, "_idx", [ts, *cols], lag=True)
-    from spark_elt.functions.durations import epoch_seconds
-
+    The previous sample comes from one ordered scan (range partitioning, see
+    ``ordered``), so a run with a very large number of samples is not one task."""
+    out = ordered_scan(df, partition, [ts, *([tie] if tie else [])], lag=[ts, *cols])
     elapsed = epoch_seconds(F.col(f"lag_{ts}"), F.col(ts))
     for c in cols:
         out = out.withColumn(f"{c}_rate", (F.col(c) - F.col(f"lag_{c}")) / F.lit(float(MIB)) / elapsed)
@@ -52,13 +49,15 @@ def output_by_error(node_output: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ folds
 
 def fold_runs(run_events: DataFrame) -> DataFrame:
-    """``run`` rows from node events (I14): start = first NodeStarted, end = last
-    NodeFinished, succeeded = all finished nodes succeeded."""
+    """``run`` rows from RunStarted and RunFinished events (I14); a run that has not
+    finished keeps a NULL end and status, whatever its nodes did."""
     ev = F.col("event")
-    return run_events.groupBy("run_id").agg(
-        F.min(F.when(ev == "NodeStarted", F.col("ts"))).alias("start_time"),
-        F.max(F.when(ev == "NodeFinished", F.col("ts"))).alias("end_time"),
-        F.bool_and(F.when(ev == "NodeFinished", F.col("succeeded"))).alias("succeeded"),
+    fin = F.struct("ts", "succeeded")
+    return (
+        run_events.where(ev.isin("RunStarted", "RunFinished"))
+        .groupBy("run_id")
+        .agg(F.min(F.when(ev == "RunStarted", F.col("ts"))).alias("start_time"), F.max(F.when(ev == "RunFinished", fin)).alias("fin"))
+        .select("run_id", "start_time", F.col("fin.ts").alias("end_time"), F.col("fin.succeeded").alias("succeeded"))
     )
 
 
@@ -106,16 +105,18 @@ def close_open_runs(df: DataFrame, run_id: int, now: dt.datetime) -> DataFrame:
 def retention_prune(run: DataFrame, node_run: DataFrame, node_output: DataFrame, stats: DataFrame,
                     days: int, now: dt.datetime) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Drop runs that started more than ``days`` days before ``now`` (strict), with
-    their node runs and output; statistics by their own timestamp (I19). Returns the
-    four kept tables; the cascade is a chain of anti/semi joins."""
+    their node runs and output; statistics by their own timestamp (I19). Rows without a time
+    are never too old. Returns the four kept tables; the cascade is a chain of anti/semi
+    joins."""
     now_c = _ntz(now)
-    old = F.col("start_time") + F.make_dt_interval(F.lit(days)) < now_c
+    too_old = lambda c: F.coalesce(F.col(c) + F.make_dt_interval(F.lit(days)) < now_c, F.lit(False))
+    old = too_old("start_time")
     old_runs = run.where(old).select("run_id")
     kept_run = run.where(~old)
     kept_nr = node_run.join(old_runs, "run_id", "left_anti")
     old_nr = node_run.join(old_runs, "run_id", "left_semi").select("node_run_id")
     kept_out = node_output.join(old_nr, "node_run_id", "left_anti")
-    kept_stats = stats.where(~(F.col("timestamp") + F.make_dt_interval(F.lit(days)) < now_c))
+    kept_stats = stats.where(~too_old("timestamp"))
     return kept_run, kept_nr, kept_out, kept_stats
 
 
@@ -129,39 +130,25 @@ HEADER = '<font size="4">&#x1F424;</font> Ooops, a hiccup in [_'
 LINE_BREAKS = r"\r\n|[\n\r\x0B\f\x1C\x1D\x1E\x85\u2028\u2029]"  # Python str.splitlines()
 
 
-def _digest_part(events: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+def _digest_part(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Digest text of one (node, is_error) output list, re-expressed set-wise.
 
     The sequential rules are: a verbatim line after a verbatim line joins the same
     ``<pre>`` block; italics lines are added one by one; a standard line replaces
     everything written so far. So only events from the last standard line on count,
     and each event's piece depends on its neighbours' formats (lag/lead)."""
-    from pyspark.sql import Window
-
-    from spark_elt.operators.ordered import with_index, with_neighbours
-
-    order = ["timestamp", "node_output_id"]
-    if small:
-        # bounded groups: row number, neighbours and last standard line in one window stage
-        w = Window.partitionBy(*keys).orderBy(*order)
-        ev = (
-            events.withColumn("_i", F.row_number().over(w))
-            .withColumn("_prev", F.lag("format").over(w))
-            .withColumn("_next", F.lead("format").over(w))
-            .withColumn("_last_std", F.max(F.when(F.col("format") == "standard", F.col("_i"))).over(
-                Window.partitionBy(*keys)))
-        )
-    else:
-        idx = with_index(events, keys, order, index_col="_i", window_group_limit=None)
-        ev = with_neighbours(idx, keys, "_i", ["format"], lag=True, lead=True).withColumnRenamed(
-            "lag_format", "_prev").withColumnRenamed("lead_format", "_next")
-        last_std = idx.where(F.col("format") == "standard").groupBy(*keys).agg(F.max("_i").alias("_last_std"))
-        ev = ev.join(last_std, list(keys), "left")
+    ev = ordered_scan(events, keys, ["timestamp", "node_output_id"], index_col="_i", lag=["format"], lead=["format"])
+    ev = ev.withColumnsRenamed({"lag_format": "_prev", "lead_format": "_next"})
+    last_std = ev.where(F.col("format") == "standard").groupBy(*keys).agg(F.max("_i").alias("_last_std"))
+    ev = ev.join(last_std, list(keys), "left")
     ev = ev.where(F.col("_last_std").isNull() | (F.col("_i") >= F.col("_last_std")))
     msg = F.col("message")
+    # a break at the end ends the last line and starts no other
+    split = F.split(msg, LINE_BREAKS, -1)
+    lines = F.when(F.element_at(split, -1) == "", F.slice(split, 1, F.size(split) - 1)).otherwise(split)
     italics = F.when(msg == "", F.lit("")).otherwise(
         F.array_join(
-            F.transform(F.split(msg, LINE_BREAKS), lambda ln: F.concat(F.lit("\n\n"), F.replace(ln, F.lit("_"), F.lit("\\_")))),
+            F.transform(lines, lambda ln: F.concat(F.lit("\n\n"), F.replace(ln, F.lit("_"), F.lit("\\_")))),
             "",
         )
     )
@@ -184,15 +171,11 @@ def failure_digest(node_run: DataFrame, node_output: DataFrame, limit: int = DIG
 
     Only pieces that start inside the first ``limit`` characters are gathered, so
     the per-node collect is bounded by ``limit`` whatever the output size."""
-    from spark_elt.operators.ordered import WINDOW_GROUP_LIMIT, largest_group, with_index
-
     failed = node_run.where((F.col("succeeded") == F.lit(False)) & ~F.col("is_pipeline")).select(
         "node_run_id", "node_path"
     )
     out = node_output.join(failed.select("node_run_id"), "node_run_id", "left_semi")
-    # one size check: (node, is_error) groups are parts of the node groups
-    small = largest_group(out, ["node_run_id"]) <= WINDOW_GROUP_LIMIT
-    parts = _digest_part(out, ["node_run_id", "is_error"], small)
+    parts = _digest_part(out, ["node_run_id", "is_error"])
     path_txt = F.array_join("node_path", "/")
     header = failed.select(
         "node_run_id",
@@ -205,9 +188,8 @@ def failure_digest(node_run: DataFrame, node_output: DataFrame, limit: int = DIG
         "node_run_id", F.when(F.col("is_error"), F.lit(1)).otherwise(F.lit(0)).alias("grp"), "_i", "piece"
     )
     allp = header.unionByName(body).where(F.length("piece") > 0).withColumn("_len", F.length("piece"))
-    # start offset of each piece = running length before it (distributed running sum)
-    allp = with_index(allp, ["node_run_id"], ["grp", "_i"], sums=["_len"], index_col="_k",
-                      window_group_limit=(float("inf") if small else None))
+    # start offset of each piece = running length before it
+    allp = ordered_scan(allp, ["node_run_id"], ["grp", "_i"], sums=["_len"], index_col="_k")
     allp = allp.withColumn("_start", F.col("_len_cum") - F.col("_len"))
     kept = allp.where(F.col("_start") < limit)
     text = kept.groupBy("node_run_id").agg(

@@ -1,14 +1,16 @@
 """Run-log, state and DAG tables derived from the driver tables.
 
 The driver data has no run log, so ``events`` plays it: each event is one node run
-of a pipeline run (``user_id`` is the run). Every frame here is a lazy DataFrame over
+of a pipeline run of its user. Every frame here is a lazy DataFrame over
 the parquet scans, so its work grows with the input and Catalyst prunes what a query
 does not use. Definitions are listed in FIXTURES.md §3.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spark_elt.functions.paths import empty_path
@@ -20,20 +22,22 @@ def events_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def node_run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a node run (``nr0``); a path may repeat within a run."""
+    """Every event as a node run (``nr0``). A path that a user repeats belongs to that
+    user's next run, so every event is one (run_id, node_path)."""
     e = events_k(spark, sf_dir)
     eid = F.col("event_id")
     path = (
         F.when(eid % 50 == 0, empty_path())
         .when(eid % 5 == 1, F.array("event_type"))
-        .otherwise(F.array(F.col("event_type"), F.concat(F.lit("task_"), (F.col("k") % 7).cast("string"))))
+        .otherwise(F.array(F.col("event_type"), F.concat(F.lit("task_"), (F.col("k") % 12).cast("string"))))
     )
     finished = eid % 97 != 0
     end = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("value").cast("decimal(18,6)"))
-    return e.select(
+    turn = F.row_number().over(Window.partitionBy("user_id", "node_path").orderBy("event_id"))
+    return e.withColumn("node_path", path).select(
         eid.alias("node_run_id"),
-        F.col("user_id").alias("run_id"),
-        path.alias("node_path"),
+        (F.col("user_id") * 1000 + turn).alias("run_id"),
+        "node_path",
         F.col("ts").alias("start_time"),
         F.when(finished, end).alias("end_time"),
         F.when(finished, F.col("k") % 10 != 0).alias("succeeded"),
@@ -48,19 +52,8 @@ NODE_RUN_COLS = ["node_run_id", "run_id", "node_path", "start_time", "end_time",
 
 
 def node_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``node_run``: the first node run per natural key (run_id, node_path).
-
-    A hash aggregate of ``min(node_run_id)`` and ``min_by(column, node_run_id)`` (all
-    fixed-width buffers) rather than a row_number window or a struct minimum (which
-    plans as a sort aggregate): it combines map-side, so a hot key costs one partial
-    row per task, and needs no sort."""
-    nr0 = node_run_all(spark, sf_dir)
-    rest = [c for c in NODE_RUN_COLS if c not in ("node_run_id", "run_id", "node_path")]
-    return (
-        nr0.groupBy("run_id", "node_path")
-        .agg(F.min("node_run_id").alias("node_run_id"), *[F.min_by(c, "node_run_id").alias(c) for c in rest])
-        .select(*NODE_RUN_COLS)
-    )
+    """``node_run``: one row per (run_id, node_path)."""
+    return node_run_all(spark, sf_dir).select(*NODE_RUN_COLS)
 
 
 def node_run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,33 +66,33 @@ def node_run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``run``: one row per run with the root path."""
+    """``run``: one row per run with the root path; every tenth run is still open."""
+    closed = F.col("run_id") % 10 != 3
     return (
         node_run(spark, sf_dir)
         .groupBy("run_id")
         .agg(
             F.min("start_time").alias("start_time"),
-            F.max("end_time").alias("end_time"),
-            F.bool_and("succeeded").alias("succeeded"),
+            F.max(F.coalesce("end_time", "start_time")).alias("last"),
+            F.count_if(F.col("succeeded") == F.lit(False)).alias("failed"),
         )
-        .select("run_id", empty_path().alias("node_path"), "start_time", "end_time", "succeeded")
+        .select("run_id", empty_path().alias("node_path"), "start_time", F.when(closed, F.col("last")).alias("end_time"),
+                F.when(closed, F.col("failed") == 0).alias("succeeded"))
     )
 
 
-def node_output(spark: SparkSession, sf_dir: str, nr: DataFrame | None = None) -> DataFrame:
-    """``node_output``: every event is an output line of the kept node run of its key."""
-    nr0 = node_run_all(spark, sf_dir)
-    kept = (nr if nr is not None else node_run(spark, sf_dir)).select(
-        "run_id", "node_path", F.col("node_run_id").alias("kept_id")
-    )
-    fmt = F.when(F.col("node_run_id") % 3 == 0, "standard").when(F.col("node_run_id") % 3 == 1, "verbatim").otherwise("italics")
-    return nr0.join(kept, ["run_id", "node_path"]).select(
-        F.col("node_run_id").alias("node_output_id"),
-        F.col("kept_id").alias("node_run_id"),
-        F.col("start_time").alias("timestamp"),
-        F.concat(F.col("event_type"), F.lit(" "), F.col("props"), F.lit("  ")).alias("message"),
-        fmt.alias("format"),
-        (F.col("k") % 10 == 0).alias("is_error"),
+def node_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``node_output``: one to five lines per node run."""
+    j = F.col("j")
+    kind = (F.col("node_run_id") + F.floor(j / 2)) % 3
+    lines = node_run_all(spark, sf_dir).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") % 5)))
+    return lines.select(
+        (F.col("node_run_id") * 10 + j).alias("node_output_id"),
+        "node_run_id",
+        (F.col("start_time") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), j.cast("decimal(18,6)"))).alias("timestamp"),
+        F.concat("event_type", F.lit(" "), "props", F.lit("  "), F.when(j == 2, "\n").otherwise("")).alias("message"),
+        F.when(kind == 0, "standard").when(kind == 1, "verbatim").otherwise("italics").alias("format"),
+        ((F.col("k") + j) % 4 == 0).alias("is_error"),
     )
 
 
@@ -109,7 +102,7 @@ def system_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k").cast("double")
     return e.select(
         F.col("ts").alias("timestamp"),
-        F.when(F.col("event_id") % 10 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("user_id")).alias("run_id"),
+        F.when(F.col("event_id") % 10 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("user_id") * 1000 + 1).alias("run_id"),
         k.alias("disc_read"),
         (k * 2).alias("disc_write"),
         (F.col("k") % 10).cast("double").alias("net_recv"),
@@ -124,12 +117,12 @@ def system_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative byte counters per run (input of the counter→rate step); the running
     sum is the distributed one (no run is gathered into one task)."""
-    from spark_elt.operators.ordered import with_index
+    from spark_elt.operators.ordered import ordered_scan
 
     e = table(spark, sf_dir, "events").select(
         F.col("user_id").alias("run_id"), "ts", "event_id", F.round(F.col("value") * 1000).cast("bigint").alias("b")
     )
-    return with_index(e, ["run_id"], ["ts", "event_id"], sums=["b"]).select(
+    return ordered_scan(e, ["run_id"], ["ts", "event_id"], sums=["b"]).select(
         "run_id", "ts", "event_id", F.col("b_cum").alias("read_bytes")
     )
 
@@ -153,27 +146,26 @@ def edge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long event form of the run log: NodeStarted, NodeFinished (finished only), Output."""
-    nr = node_run(spark, sf_dir)
-    out = node_output(spark, sf_dir).join(nr.select("node_run_id", "run_id", "node_path"), "node_run_id")
+    """Long event form of the run log: RunStarted, RunFinished (closed runs only),
+    NodeStarted, NodeFinished (finished nodes only), Output."""
     cols = ["run_id", "node_path", "event", "ts", "is_pipeline", "succeeded", "message", "format", "is_error", "seq"]
-    started = nr.select(
-        "run_id", "node_path", F.lit("NodeStarted").alias("event"), F.col("start_time").alias("ts"), "is_pipeline",
-        F.lit(None).cast("boolean").alias("succeeded"), F.lit(None).cast("string").alias("message"),
-        F.lit(None).cast("string").alias("format"), F.lit(None).cast("boolean").alias("is_error"),
-        F.col("node_run_id").alias("seq"),
-    )
-    finished = nr.where(F.col("end_time").isNotNull()).select(
-        "run_id", "node_path", F.lit("NodeFinished").alias("event"), F.col("end_time").alias("ts"), "is_pipeline",
-        "succeeded", F.lit(None).cast("string").alias("message"), F.lit(None).cast("string").alias("format"),
-        F.lit(None).cast("boolean").alias("is_error"), F.col("node_run_id").alias("seq"),
-    )
-    output = out.select(
-        "run_id", "node_path", F.lit("Output").alias("event"), F.col("timestamp").alias("ts"),
-        F.lit(None).cast("boolean").alias("is_pipeline"), F.lit(None).cast("boolean").alias("succeeded"),
-        "message", "format", "is_error", F.col("node_output_id").alias("seq"),
-    )
-    return started.select(cols).unionByName(finished.select(cols)).unionByName(output.select(cols))
+    kinds = {"is_pipeline": "boolean", "succeeded": "boolean", "message": "string", "format": "string", "is_error": "boolean", "seq": "bigint"}
+
+    def event(df: DataFrame, name: str, ts: str, **own: str) -> DataFrame:
+        fill = [F.col(own[c]).alias(c) if c in own else F.lit(None).cast(kinds[c]).alias(c) for c in cols[4:]]
+        return df.select("run_id", "node_path", F.lit(name).alias("event"), F.col(ts).alias("ts"), *fill)
+
+    runs, nr = run(spark, sf_dir), node_run(spark, sf_dir)
+    out = node_output(spark, sf_dir).join(nr.select("node_run_id", "run_id", "node_path"), "node_run_id")
+    parts = [
+        event(runs, "RunStarted", "start_time"),
+        event(runs.where(F.col("end_time").isNotNull()), "RunFinished", "end_time", succeeded="succeeded"),
+        event(nr, "NodeStarted", "start_time", is_pipeline="is_pipeline", seq="node_run_id"),
+        event(nr.where(F.col("end_time").isNotNull()), "NodeFinished", "end_time", is_pipeline="is_pipeline",
+              succeeded="succeeded", seq="node_run_id"),
+        event(out, "Output", "timestamp", message="message", format="format", is_error="is_error", seq="node_output_id"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def orders_v1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,39 +8,38 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "base": ([], "SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"),
     "nr0": (
         ["base"],
-        """SELECT event_id AS node_run_id, user_id AS run_id, ts AS start_time,
-       CASE WHEN event_id % 50 = 0 THEN CAST([] AS VARCHAR[])
-            WHEN event_id % 5 = 1 THEN [event_type]
-            ELSE [event_type, 'task_' || CAST(k % 7 AS VARCHAR)] END AS node_path,
+        """SELECT event_id AS node_run_id, user_id * 1000 + row_number() OVER (PARTITION BY user_id, path ORDER BY event_id) AS run_id,
+       ts AS start_time, path AS node_path,
        CASE WHEN event_id % 97 <> 0 THEN ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) END AS end_time,
        CASE WHEN event_id % 97 <> 0 THEN k % 10 <> 0 END AS succeeded,
        (event_id % 50 = 0 OR event_id % 5 = 1) AS is_pipeline,
        k, event_type, props
-FROM base""",
+FROM (SELECT *, CASE WHEN event_id % 50 = 0 THEN CAST([] AS VARCHAR[])
+                     WHEN event_id % 5 = 1 THEN [event_type]
+                     ELSE [event_type, 'task_' || CAST(k % 12 AS VARCHAR)] END AS path FROM base) p""",
     ),
     "node_run": (
         ["nr0"],
-        """SELECT node_run_id, run_id, node_path, start_time, end_time, succeeded, is_pipeline FROM (
-  SELECT *, row_number() OVER (PARTITION BY run_id, node_path ORDER BY node_run_id) AS rn_ FROM nr0) t
-WHERE rn_ = 1""",
+        "SELECT node_run_id, run_id, node_path, start_time, end_time, succeeded, is_pipeline FROM nr0",
     ),
     "run": (
         ["node_run"],
         """SELECT run_id, CAST([] AS VARCHAR[]) AS node_path, min(start_time) AS start_time,
-       max(end_time) AS end_time, bool_and(succeeded) AS succeeded
+       CASE WHEN run_id % 10 <> 3 THEN max(coalesce(end_time, start_time)) END AS end_time,
+       CASE WHEN run_id % 10 <> 3 THEN count(*) FILTER (succeeded = FALSE) = 0 END AS succeeded
 FROM node_run GROUP BY run_id""",
     ),
     "node_output": (
-        ["nr0", "node_run"],
-        """SELECT a.node_run_id AS node_output_id, b.node_run_id AS node_run_id, a.start_time AS "timestamp",
-       a.event_type || ' ' || a.props || '  ' AS message,
-       CASE a.node_run_id % 3 WHEN 0 THEN 'standard' WHEN 1 THEN 'verbatim' ELSE 'italics' END AS format,
-       a.k % 10 = 0 AS is_error
-FROM nr0 a JOIN node_run b ON a.run_id = b.run_id AND a.node_path = b.node_path""",
+        ["nr0"],
+        """SELECT node_run_id * 10 + j AS node_output_id, node_run_id, start_time + to_seconds(j) AS "timestamp",
+       event_type || ' ' || props || '  ' || CASE WHEN j = 2 THEN chr(10) ELSE '' END AS message,
+       CASE (node_run_id + j // 2) % 3 WHEN 0 THEN 'standard' WHEN 1 THEN 'verbatim' ELSE 'italics' END AS format,
+       (k + j) % 4 = 0 AS is_error
+FROM (SELECT *, unnest(generate_series(0, k % 5)) AS j FROM nr0) l""",
     ),
     "system_statistics": (
         ["base"],
-        """SELECT ts AS "timestamp", CASE WHEN event_id % 10 = 0 THEN -1 ELSE user_id END AS run_id,
+        """SELECT ts AS "timestamp", CASE WHEN event_id % 10 = 0 THEN -1 ELSE user_id * 1000 + 1 END AS run_id,
        CAST(k AS DOUBLE) AS disc_read, CAST(k AS DOUBLE) * 2 AS disc_write, CAST(k % 10 AS DOUBLE) AS net_recv,
        CAST(NULL AS DOUBLE) AS net_sent, value AS cpu_usage, CAST(k AS DOUBLE) AS mem_usage,
        CAST(NULL AS DOUBLE) AS swap_usage, CAST(NULL AS DOUBLE) AS iowait

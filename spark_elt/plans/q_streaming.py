@@ -92,7 +92,7 @@ def stream_fold_node_runs_q(spark, sf_dir):
     cut = F.lit("2024-01-15").cast("timestamp_ntz")
     ev.where(F.col("ts") < cut).write.mode("append").parquet(src)
     schema = spark.read.parquet(src).schema
-    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), tgt, ck, stg, runs_per_partition=25)
+    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), tgt, ck, stg, runs_per_partition=20_000)
     ev.where(F.col("ts") >= cut).write.mode("append").parquet(src)
-    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), tgt, ck, stg, runs_per_partition=25)
+    stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), tgt, ck, stg, runs_per_partition=20_000)
     return spark.read.parquet(tgt).select(*NODE_RUN_SCHEMA.fieldNames()).withColumnRenamed("path_key", "node_path")

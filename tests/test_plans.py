@@ -48,6 +48,19 @@ def test_file_dates_of_loaded_rows_need_no_shuffle(spark):
     assert "Exchange" not in p and "Join" not in p
 
 
-def test_fixture_node_run_is_hash_aggregate(spark):
-    p = plan(fx.node_run(spark, SF))
-    assert "HashAggregate" in p and "SortAggregate" not in p
+def test_chart_reads_once_without_nested_loop(spark):
+    p = plan(an.run_time_chart(fx.node_run(spark, SF), ["view"]))
+    assert "NestedLoop" not in p and "Cartesian" not in p and p.count("FileScan") <= 2
+
+
+def test_ordered_operators_have_no_window_over_groups(spark):
+    from spark_elt.operators import dag, runlog
+
+    rates = plan(runlog.counter_rates(fx.counter_samples(spark, SF), ["run_id"], "ts", ["read_bytes"], tie="event_id"))
+    digest = plan(runlog.failure_digest(fx.node_run(spark, SF), fx.node_output(spark, SF)))
+    bars = fx.node_run(spark, SF).select("run_id", "node_run_id", "start_time", F.coalesce("end_time", "start_time").alias("e"))
+    lanes = plan(dag.lanes(bars, ["run_id"], "start_time", "e", "node_run_id"))
+    for p in (rates, digest, lanes):
+        assert "NestedLoop" not in p
+        # windows are over the first and last rows of the partitions only
+        assert all("_g#" in line for line in p.splitlines() if "Window [" in line)
