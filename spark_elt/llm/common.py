@@ -21,7 +21,7 @@ def _checkpoints(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
+        if not named and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-checkpoints-"))
     return context.getCheckpointDir()

@@ -182,6 +182,14 @@ def run_if_changed(state: StateTable, node_path: Sequence[str], dependency_type:
     return True, result
 
 
+def run_if_files_changed(state: StateTable, node_path: Sequence[str], dependency_type: str, files: Sequence[str | Path],
+                         fn: Callable[[], object], now: dt.datetime, first_date: dt.date = dt.date(2000, 1, 1),
+                         last_date: dt.date | None = None) -> tuple[bool, object]:
+    """``run_if_changed`` on the content of the step's own files (its SQL or Python): for a
+    load, a copy or a function step alike."""
+    return run_if_changed(state, node_path, dependency_type, dependency_hash(files, first_date, last_date), fn, now)
+
+
 # ------------------------------------------------------------ processed files
 
 def track_processed(state: StateTable, node_path: Sequence[str], selected: DataFrame) -> None:

@@ -16,7 +16,6 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spark_elt.session import ship_code
 
@@ -71,9 +70,3 @@ def parallel_execute_python(params: DataFrame, fn: Callable[..., Iterable[tuple]
 
     return params.select(*arg_cols).mapInPandas(run, "task_id string, " + schema)
 
-
-def with_task_ids(params: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Task ids of parameter tuples as a column expression (no Python)."""
-    from spark_elt.functions import sanitize_id
-
-    return params.withColumn("task_id", F.concat_ws("_", *[sanitize_id(F.col(c)) for c in cols]))

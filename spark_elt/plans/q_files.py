@@ -18,6 +18,7 @@ from spark_elt.plans.registry import register
 from spark_elt.session import scratch_dir, table
 from spark_elt.sources import archives
 from spark_elt.sources.files import Compression, list_files, read_delimited
+from spark_elt.sources.loads import FileLoad, parallel_read_file, read_selected, select
 from spark_elt.sources.selection import ReadMode, file_date_of_path, files_per_day, select_files
 
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
@@ -47,11 +48,16 @@ def write_daily_csv(spark: SparkSession, sf_dir: str, label: str, df: DataFrame
     return root
 
 
-def _read(spark, root, mode=ReadMode.ALL, processed=None, first_date=dt.date(2000, 1, 1), **kw):
-    listing = list_files(spark, root, "*.csv*")
-    sel = select_files(listing, mode, processed, date_regex=DATE_REGEX, first_date=first_date)
-    paths = [r["path"] for r in sel.select("path").collect()]
-    return sel, read_delimited(spark, paths, SCHEMA, **kw)
+def _load(spark, root, mode=ReadMode.ALL, state=None, first_date=dt.date(2000, 1, 1), dependencies=None, files=(),
+          by_day=False, **options) -> DataFrame:
+    """Load the daily files of ``root`` with the library's file load and read the target."""
+    load = FileLoad(
+        root, "*.csv*", SCHEMA, scratch_dir(spark, "loaded"), ["load_events"], state=state, dependencies=dependencies,
+        file_dependencies=files, mode=mode, date_regex=DATE_REGEX, first_date=first_date, options=options, by_day=by_day,
+    )
+    parallel_read_file(spark, load, dt.datetime(2024, 1, 2))
+    schema = SCHEMA + (", day_id int" if by_day else "")
+    return spark.read.schema(schema).parquet(load.target)
 
 
 _TS_OPTS = {"timestampNTZFormat": TS_FMT}
@@ -60,7 +66,7 @@ _TS_OPTS = {"timestampNTZFormat": TS_FMT}
 @register("read_file_csv", EV_D)
 def read_file_csv(spark, sf_dir):
     root = write_daily_csv(spark, sf_dir, "read_file_csv")
-    return _read(spark, root)[1]
+    return _load(spark, root)
 
 
 @register(
@@ -72,20 +78,20 @@ def read_file_options(spark, sf_dir):
         "event_type", F.when(F.col("event_id") % 7 == 0, F.lit(None)).otherwise(F.col("event_type"))
     )
     root = write_daily_csv(spark, sf_dir, "read_file_options", e, sep="|", quote="'", nullValue="\\N", header="true")
-    return _read(spark, root, sep="|", quote="'", null_value="\\N", header=True)[1]
+    return _load(spark, root, sep="|", quote="'", null_value="\\N", header=True)
 
 
 @register("read_file_timezone", "SELECT event_id, ts - INTERVAL 1 HOUR AS ts, user_id, event_type, value FROM events")
 def read_file_timezone(spark, sf_dir):
     """Timestamps written as Berlin wall-clock time (UTC+1 in January) load as UTC."""
     root = write_daily_csv(spark, sf_dir, "read_file_timezone")
-    return _read(spark, root, timezone="Europe/Berlin")[1]
+    return _load(spark, root, timezone="Europe/Berlin")
 
 
 @register("read_file_gzip", EV_D)
 def read_file_gzip(spark, sf_dir):
     root = write_daily_csv(spark, sf_dir, "read_file_gzip", compression="gzip")
-    return _read(spark, root, compression=Compression.GZIP)[1]
+    return _load(spark, root, compression=Compression.GZIP)
 
 
 def _archive_query(spark, sf_dir, kind: str) -> DataFrame:
@@ -116,7 +122,7 @@ def read_file_tar_gzip(spark, sf_dir):
 @register("read_file_mapper", "SELECT event_id, ts, user_id, upper(event_type) AS event_type, value FROM events")
 def read_file_mapper(spark, sf_dir):
     root = write_daily_csv(spark, sf_dir, "read_file_mapper")
-    return _read(spark, root, mapper=lambda s: s.str.upper())[1]
+    return _load(spark, root, mapper=lambda s: s.str.upper())
 
 
 @register("read_file_make_unique", "SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events")
@@ -124,7 +130,7 @@ def read_file_make_unique(spark, sf_dir):
     """Every line written twice, with a header line; make_unique drops the copies."""
     e = _events(spark, sf_dir)
     root = write_daily_csv(spark, sf_dir, "read_file_make_unique", e.unionAll(e), header="true")
-    return _read(spark, root, header=True, make_unique=True)[1]
+    return _load(spark, root, header=True, make_unique=True)
 
 
 @register(
@@ -134,11 +140,9 @@ def read_file_make_unique(spark, sf_dir):
 def parallel_read_files_all(spark, sf_dir):
     """All daily files in one scan; each row's file date comes from its own
     file path (no join of the rows with the listing)."""
-    root = write_daily_csv(spark, sf_dir, "parallel_read_all")
-    listing = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
-    paths = [r["path"] for r in listing.select("path").collect()]
-    df = read_delimited(spark, paths, SCHEMA, with_file=True)
-    day = file_date_of_path(F.col("file"), root, DATE_REGEX)
+    load = FileLoad(write_daily_csv(spark, sf_dir, "parallel_read_all"), "*.csv", SCHEMA, "", ["load_events"], date_regex=DATE_REGEX)
+    df = read_selected(spark, load, select(spark, load))
+    day = file_date_of_path(F.col("file"), load.root, DATE_REGEX)
     return df.withColumn("file_date", F.date_format(day, "yyyy-MM-dd")).drop("file")
 
 
@@ -147,24 +151,22 @@ def parallel_read_files_all(spark, sf_dir):
     "SELECT strftime(ts, '%Y-%m-%d') AS file_date, CAST(count(*) AS BIGINT) AS n_rows FROM events GROUP BY 1",
 )
 def file_dates(spark, sf_dir):
-    root = write_daily_csv(spark, sf_dir, "file_dates")
-    listing = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
-    paths = [r["path"] for r in listing.select("path").collect()]
-    df = read_delimited(spark, paths, SCHEMA, with_file=True)
-    day = F.date_format(file_date_of_path(F.col("file"), root, DATE_REGEX), "yyyy-MM-dd")
+    load = FileLoad(write_daily_csv(spark, sf_dir, "file_dates"), "*.csv", SCHEMA, "", ["load_events"], date_regex=DATE_REGEX)
+    df = read_selected(spark, load, select(spark, load))
+    day = F.date_format(file_date_of_path(F.col("file"), load.root, DATE_REGEX), "yyyy-MM-dd")
     return df.groupBy(day.alias("file_date")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("file_first_date", EV_D + " WHERE ts >= TIMESTAMP '2024-01-15'")
 def file_first_date(spark, sf_dir):
     root = write_daily_csv(spark, sf_dir, "file_first_date")
-    return _read(spark, root, first_date=dt.date(2024, 1, 15))[1]
+    return _load(spark, root, first_date=dt.date(2024, 1, 15))
 
 
 @register("read_only_latest", EV_D + " WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)")
 def read_only_latest(spark, sf_dir):
     root = write_daily_csv(spark, sf_dir, "read_only_latest")
-    return _read(spark, root, ReadMode.ONLY_LATEST)[1]
+    return _load(spark, root, ReadMode.ONLY_LATEST)
 
 
 def _state_until(spark, root: str, last_day: int, node=("load_events",)) -> inc.StateTable:
@@ -179,8 +181,7 @@ def _state_until(spark, root: str, last_day: int, node=("load_events",)) -> inc.
 def read_only_new(spark, sf_dir):
     root = write_daily_csv(spark, sf_dir, "read_only_new")
     st = _state_until(spark, root, 10)
-    sel, df = _read(spark, root, ReadMode.ONLY_NEW, inc.processed_files(st, ["load_events"]))
-    return df
+    return _load(spark, root, ReadMode.ONLY_NEW, st)
 
 
 @register("read_only_changed", EV_D + " WHERE ts >= TIMESTAMP '2024-01-21' OR day(ts) IN (3, 4)")
@@ -189,12 +190,9 @@ def read_only_changed(spark, sf_dir):
     time is older than the file's); days 21+ were never loaded."""
     root = write_daily_csv(spark, sf_dir, "read_only_changed")
     st = _state_until(spark, root, 20)
-    state = inc.processed_files(st, ["load_events"]).withColumn(
-        "last_modified_timestamp",
-        F.when(F.col("file_name").rlike(r"d=0[34]/"), F.col("last_modified_timestamp") - F.expr("INTERVAL 1 HOUR"))
-        .otherwise(F.col("last_modified_timestamp")),
-    )
-    return _read(spark, root, ReadMode.ONLY_CHANGED, state)[1]
+    older = F.when(F.col("file_name").rlike(r"d=0[34]/"), F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOUR"))
+    st.replace(st.read().withColumn("last_modified_timestamp", F.col("last_modified_timestamp") - older))
+    return _load(spark, root, ReadMode.ONLY_CHANGED, st)
 
 
 @register(
@@ -204,7 +202,7 @@ def read_only_changed(spark, sf_dir):
 def read_only_new_except_latest(spark, sf_dir):
     root = write_daily_csv(spark, sf_dir, "read_only_new_except_latest")
     st = _state_until(spark, root, 10)
-    return _read(spark, root, ReadMode.ONLY_NEW_EXCEPT_LATEST, inc.processed_files(st, ["load_events"]))[1]
+    return _load(spark, root, ReadMode.ONLY_NEW_EXCEPT_LATEST, st)
 
 
 @register("read_dependency_reload", EV_D)
@@ -214,43 +212,52 @@ def read_dependency_reload(spark, sf_dir):
     root = write_daily_csv(spark, sf_dir, "read_dependency_reload")
     st = _state_until(spark, root, 10)
     deps = inc.StateTable(spark, scratch_dir(spark, "file_dependency"), inc.FILE_DEPENDENCY, ["node_path", "dependency_type"])
-    node = ["load_events"]
-    inc.update_dependency(deps, node, "ParallelReadFile", "2000-01-01 None old-hash", dt.datetime(2024, 1, 1))
-    new_hash = "2000-01-01 None " + "0" * 32
-    changed = inc.is_modified(deps, node, "ParallelReadFile", new_hash)
-    listing = list_files(spark, root, "*.csv")
-    sel = select_files(listing, ReadMode.ONLY_NEW, inc.processed_files(st, node), date_regex=DATE_REGEX,
-                       reload_all=changed)
-    paths = [r["path"] for r in sel.select("path").collect()]
-    df = read_delimited(spark, paths, SCHEMA)
-    inc.update_dependency(deps, node, "ParallelReadFile", new_hash, dt.datetime(2024, 1, 2))
-    return df
+    inc.update_dependency(deps, ["load_events"], "ParallelReadFile", "2000-01-01 None old-hash", dt.datetime(2024, 1, 1))
+    out = _load(spark, root, ReadMode.ONLY_NEW, st, dependencies=deps, files=[__file__])
+    assert not inc.is_modified(deps, ["load_events"], "ParallelReadFile", inc.dependency_hash([__file__], dt.date(2000, 1, 1)))
+    return out
+
+
+def _one_file_a_day(spark, sf_dir, label) -> str:
+    """The event ids of each day as the lines of one text file."""
+    root = scratch_dir(spark, label)
+    lines = _events(spark, sf_dir).select(F.col("event_id").cast("string").alias("value"), "event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    lines.repartition(8, "day").sortWithinPartitions("day", "event_id").select("value", "day").write.partitionBy("day").text(root)
+    return root
 
 
 @register(
     "files_per_day",
-    "SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS file_date, strftime(ts, '%d') AS first_file_day, TRUE AS has_files FROM events",
+    """SELECT strftime(ts, '%Y-%m-%d') AS file_date, CAST(1 AS BIGINT) AS n_files,
+       'day=' || strftime(ts, '%Y-%m-%d') AS first_folder, 'day=' || strftime(ts, '%Y-%m-%d') AS last_folder
+FROM events GROUP BY ts::DATE, 1, 3, 4""".replace("GROUP BY ts::DATE, 1, 3, 4", "GROUP BY ALL"),
 )
 def files_per_day_q(spark, sf_dir):
-    """The selected files grouped by their date (a day may have several files)."""
-    root = write_daily_csv(spark, sf_dir, "files_per_day")
-    sel = select_files(list_files(spark, root, "*.csv"), ReadMode.ALL, date_regex=DATE_REGEX)
+    """The selected files grouped by their date."""
+    root = _one_file_a_day(spark, sf_dir, "files_per_day")
+    sel = select_files(list_files(spark, root, "day=*/*.txt"), ReadMode.ALL, date_regex=r"day=(\d{4})-(\d{2})-(\d{2})/")
     return files_per_day(sel).select(
         F.date_format("file_date", "yyyy-MM-dd").alias("file_date"),
-        F.regexp_extract("first_file", r"d=(\d{2})", 1).alias("first_file_day"),
-        (F.col("n_files") >= 1).alias("has_files"),
+        F.col("n_files").cast("bigint").alias("n_files"),
+        F.split("first_file", "/")[0].alias("first_folder"),
+        F.split("last_file", "/")[0].alias("last_folder"),
     )
 
 
-@register("file_listing")
+@register(
+    "file_listing",
+    """SELECT 'day=' || strftime(ts, '%Y-%m-%d') AS folder, CAST(sum(length(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS length,
+       md5(string_agg(event_id || chr(10), '' ORDER BY event_id)) AS md5
+FROM events GROUP BY 1""",
+)
 def file_listing(spark, sf_dir):
-    """Listing with path, relative name, modification time, size and md5."""
-    root = write_daily_csv(spark, sf_dir, "file_listing")
-    listing = list_files(spark, root, "*.csv")
+    """Listing with relative name, size and md5 of the content."""
+    root = _one_file_a_day(spark, sf_dir, "file_listing")
+    listing = list_files(spark, root, "*.txt")
     hashes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(
         "path", F.md5("content").alias("md5")
     )
-    return listing.join(hashes, "path")
+    return listing.join(hashes, "path").select(F.split("file_name", "/")[0].alias("folder"), "length", "md5")
 
 
 # ---------------------------------------------------------------- sinks
@@ -261,9 +268,8 @@ def file_listing(spark, sf_dir):
        round(sum(value), 2) AS total FROM events GROUP BY 1""",
 )
 def load_by_day_id(spark, sf_dir):
-    target = scratch_dir(spark, "load_by_day")
-    sinks.load_by_day(_events(spark, sf_dir), "ts", target)
-    back = spark.read.parquet(target)
+    """Partitions by the date of the file that a row came from."""
+    back = _load(spark, write_daily_csv(spark, sf_dir, "load_by_day"), by_day=True)
     return back.groupBy("day_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 

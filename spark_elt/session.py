@@ -48,9 +48,13 @@ def default_driver_memory(cap_gb: int = 16) -> str:
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "spark_elt") -> SparkSession:
-    """Session for tests and the bench (UI off, AQE on, UTC)."""
+    """Session for tests and the bench (UI off, AQE on, UTC); with the settings of
+    ``scale_conf`` where the master is a cluster."""
+    builder = SparkSession.builder.master(master)
+    if not master.startswith("local"):
+        builder = builder.config(map=scale_conf())
     return (
-        SparkSession.builder.master(master)
+        builder
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -100,7 +104,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a private one only when unset."""
+    """The shared checkpoint folder of the session. Only a local session without one, as in
+    tests, gets a private folder; on a cluster a missing one is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -108,8 +113,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-elt-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return sc.getCheckpointDir()
 
 

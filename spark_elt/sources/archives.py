@@ -71,17 +71,3 @@ def pack(spark: SparkSession, files: DataFrame, key: str, target_dir: str, kind:
 
     return grouped.groupBy("k").applyInPandas(build, "k string, archive string").withColumnRenamed("k", key)
 
-
-def write_lines_per_group(spark: SparkSession, df: DataFrame, key: str, line: str, target_dir: str,
-                          suffix: str = ".csv") -> DataFrame:
-    """Write the ``line`` column of each ``key`` group as one text file
-    ``<target_dir>/<key><suffix>`` (one task per group)."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = pdf[key].iloc[0]
-        out = f"{target_dir.rstrip('/')}/{k}{suffix}"
-        write_bytes(out, ("\n".join(pdf[line].astype(str)) + "\n").encode("utf-8"))
-        return pd.DataFrame({key: [k], "file": [out]})
-
-    return df.select(key, line).groupBy(key).applyInPandas(run, f"{key} string, file string")
-

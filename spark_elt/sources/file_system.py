@@ -19,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches a glob pattern."""
+    fs, p = _open(spark, pattern)
+    return bool(fs.globStatus(p))
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its scheme, as Spark's file sources name it."""
     fs, p = _open(spark, path)

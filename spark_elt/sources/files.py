@@ -6,24 +6,28 @@ schema is always given (the reference loads into a table whose DDL exists first)
 nothing is inferred.
 
 Compression: none and gzip are read natively (by extension). zip and tar.gz are
-whole-archive codecs: each archive becomes one task that streams its members' lines
-(``binaryFile`` + ``mapInPandas``), as ``unzip -p`` / ``tar -xOzf`` would.
+whole-archive codecs: each archive becomes one task that reads its members' lines in
+batches (``binaryFile`` + ``mapInPandas``).
 """
 
 from __future__ import annotations
 
 import io
+import itertools
 import tarfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from enum import Enum
+from functools import partial
+from typing import IO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from spark_elt.session import ship_code
-from pyspark.sql.types import StructType
+from spark_elt.sources import file_system
 
 
 class Compression(Enum):
@@ -52,70 +56,73 @@ def _schema(spark: SparkSession, schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
-def _archive_lines(kind: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """mapInPandas body: every archive row → its members' text lines, in order."""
-
-    def split(data: bytes) -> list[str]:
-        text = data.decode("utf-8")
-        lines = text.split("\n")
-        if lines and lines[-1] == "":
-            lines.pop()
-        return [ln[:-1] if ln.endswith("\r") else ln for ln in lines]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                chunks: list[bytes] = []
-                if kind == "zip":
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for name in z.namelist():
-                            if not name.endswith("/"):
-                                chunks.append(z.read(name))
-                else:
-                    with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as t:
-                        for m in t.getmembers():
-                            if m.isfile():
-                                chunks.append(t.extractfile(m).read())
-                lines = split(b"".join(chunks))
-                yield pd.DataFrame({"file": [path] * len(lines), "line_no": range(len(lines)), "value": lines})
-
-    return run
-
-
-def read_lines(spark: SparkSession, paths: Sequence[str], compression: Compression = Compression.NONE) -> DataFrame:
-    """Text lines of the files with ``file`` (path) and ``first`` (true for the first
-    line of a file; used to drop header lines exactly, also when files are split)."""
+#: Lines that an archive reader holds at a time.
+ARCHIVE_LINES = 50_000
+
+
+def _members(kind: str, content: bytes) -> Iterator[IO[bytes]]:
+    """The files of an archive, opened one after the other."""
+    if kind == "zip":
+        with zipfile.ZipFile(io.BytesIO(content)) as z:
+            for name in z.namelist():
+                if not name.endswith("/"):
+                    with z.open(name) as f:
+                        yield f
+    else:
+        with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as t:
+            for m in t:
+                if m.isfile():
+                    yield t.extractfile(m)
+
+
+def _archive_lines(batches: Iterator[pd.DataFrame], kind: str) -> Iterator[pd.DataFrame]:
+    """Every archive row → its members' text lines, in order, decompressed as they are
+    read. ``first`` marks the first line of an archive."""
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"], strict=True):
+            lines = (ln for f in _members(kind, content) for ln in io.TextIOWrapper(f, "utf-8", newline="\n"))
+            begin = True
+            while part := [ln.rstrip("\n").removesuffix("\r") for ln in itertools.islice(lines, ARCHIVE_LINES)]:
+                yield pd.DataFrame({"file": path, "first": [begin] + [False] * (len(part) - 1), "value": part})
+                begin = False
+
+
+def _mark_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of one split arrive in file order; the first line of the split that starts
+    at byte 0 is the first line of its file."""
+    seen: set[str] = set()
+    for pdf in batches:
+        begins = (pdf["block_start"] == 0) & ~pdf["file"].duplicated() & ~pdf["file"].isin(seen)
+        seen.update(pdf["file"][begins])
+        yield pd.DataFrame({"file": pdf["file"], "first": begins, "value": pdf["value"]})
+
+
+def read_lines(spark: SparkSession, paths: Sequence[str], compression: Compression = Compression.NONE,
+               header: bool = False) -> DataFrame:
+    """Text lines of the files as ``file`` (path) and ``value``; with ``header`` without
+    the first line of each file (exactly, also when files are split). An archive is one
+    task: its bytes are in that task's memory (2 GB at most), its members are not."""
     ship_code(spark)
     if compression in (Compression.ZIP, Compression.TAR_GZIP):
         kind = "zip" if compression == Compression.ZIP else "tar.gz"
-        raw = spark.read.format("binaryFile").load(list(paths))
-        lines = raw.select("path", "content").mapInPandas(_archive_lines(kind), "file string, line_no long, value string")
-        return lines.select("file", (F.col("line_no") == 0).alias("first"), "value")
+        raw = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+        lines = raw.mapInPandas(partial(_archive_lines, kind=kind), "file string, first boolean, value string")
+        return (lines.where(~F.col("first")) if header else lines).select("file", "value")
     txt = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), "value"
     )
-    # Within one split lines arrive in file order; the first line of the split that
-    # starts at byte 0 is the first line of the file.
-    def mark_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[str] = set()
-        for pdf in batches:
-            first = []
-            for f, b in zip(pdf["file"], pdf["block_start"]):
-                is_first = b == 0 and f not in seen
-                if b == 0:
-                    seen.add(f)
-                first.append(is_first)
-            yield pd.DataFrame({"file": pdf["file"], "first": first, "value": pdf["value"]})
-
-    return txt.mapInPandas(mark_first, "file string, first boolean, value string")
-
-
-def parse_lines(lines: DataFrame, schema: StructType | str, options: dict) -> DataFrame:
-    """Parse text lines with ``from_csv`` (same options as the CSV reader)."""
-    ddl = _ddl(schema)
-    opts = {k: v for k, v in options.items() if k not in ("mode", "multiLine")}
-    parsed = lines.select(F.from_csv(F.col("value"), ddl, opts).alias("r"))
-    return parsed.select("r.*")
+    if not header:
+        return txt.select("file", "value")
+    marked = txt.mapInPandas(_mark_first, "file string, first boolean, value string")
+    return marked.where(~F.col("first")).select("file", "value")
+
+
+def parse_lines(lines: DataFrame, schema: StructType | str, options: dict, *keep: str) -> DataFrame:
+    """Parse text lines with ``from_csv`` (same options as the CSV reader; a malformed
+    line fails, blank lines are skipped), with the columns ``keep`` beside them."""
+    opts = {k: v for k, v in options.items() if k != "multiLine"}
+    parsed = lines.where("value <> ''").select(*keep, F.from_csv(F.col("value"), _ddl(schema), opts).alias("r"))
+    return parsed.select(*keep, "r.*")
 
 
 def read_delimited(
@@ -133,28 +140,33 @@ def read_delimited(
     mapper: Callable[[pd.Series], pd.Series] | None = None,
     make_unique: bool = False,
     with_file: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Rows of delimited files.
 
     ``mapper`` is applied to every line (vectorised over pandas batches) before
     parsing; ``make_unique`` drops duplicate raw lines of a file (the header is
-    removed first). ``timezone``: timestamps in the files are wall-clock times of
-    that zone; they are converted to UTC."""
+    removed first). ``timezone``: times in the files are wall-clock times of that zone;
+    TIMESTAMP columns hold the instants, whatever the session's zone, and TIMESTAMP_NTZ
+    columns the wall-clock times of UTC. ``multi_line``: quoted values may contain line
+    breaks (a file is then one task). A malformed line fails the load."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     st = _schema(spark, schema)
     opts = csv_options(sep, quote, null_value, escape)
+    if timezone:
+        opts["timeZone"] = timezone
     if not paths:
-        return spark.createDataFrame([], st)
+        return spark.createDataFrame([], StructType([*st.fields, StructField("file", StringType())]) if with_file else st)
     plain = compression in (Compression.NONE, Compression.GZIP) and mapper is None and not make_unique
     if plain:
-        reader = spark.read.schema(st).options(**opts).option("header", str(header).lower())
-        df = reader.csv(paths)
+        opts["multiLine"] = str(multi_line).lower()
+        df = spark.read.schema(st).options(**opts).option("header", str(header).lower()).csv(paths)
         if with_file:
             df = df.withColumn("file", F.col("_metadata.file_path"))
+    elif multi_line:
+        raise ValueError("line breaks in values cannot be read by line (archives, mapper, make_unique)")
     else:
-        lines = read_lines(spark, paths, compression)
-        if header:
-            lines = lines.where(~F.col("first"))
+        lines = read_lines(spark, paths, compression, header)
         if mapper is not None:
             fn = mapper
 
@@ -162,34 +174,37 @@ def read_delimited(
                 for pdf in batches:
                     yield pd.DataFrame({"file": pdf["file"], "value": fn(pdf["value"])})
 
-            lines = lines.select("file", "value").mapInPandas(apply, "file string, value string")
-        lines = lines.select("file", "value")
+            lines = lines.mapInPandas(apply, "file string, value string")
         if make_unique:
             lines = lines.dropDuplicates(["file", "value"])
-        ddl = _ddl(st)
-        o = {k: v for k, v in opts.items() if k not in ("mode", "multiLine")}
-        df = lines.select("file", F.from_csv(F.col("value"), ddl, o).alias("r")).select(
-            *(["file"] if with_file else []), "r.*"
-        )
+        df = parse_lines(lines, st, opts, "file").select(*st.names, *(["file"] if with_file else []))
     if timezone:
         for f in st.fields:
-            if f.dataType.typeName() in ("timestamp_ntz",):
+            if f.dataType.typeName() == "timestamp_ntz":
                 df = df.withColumn(f.name, F.convert_timezone(F.lit(timezone), F.lit("UTC"), F.col(f.name)))
-            elif f.dataType.typeName() == "timestamp":
-                df = df.withColumn(f.name, F.to_utc_timestamp(F.col(f.name), timezone))
     return df
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
     """File listing (S21): ``path``, ``file_name`` (relative to ``root``),
     ``modification_time`` and ``length``. Content is not read (the binary-file
-    source prunes the content column)."""
+    source prunes the content column).
+
+    ``glob`` without a folder matches file names in ``root`` and, with ``recursive``,
+    below it. With folders (``2024/*/part-*.csv``) it matches the path below ``root``;
+    ``**/`` at its start stands for any folders. Nothing found is an empty listing."""
     root_uri = root.rstrip("/")
+    folders, _, name = glob.removeprefix("**/").rpartition("/")
+    deep = glob.startswith("**/") or (recursive and not folders)
+    at = f"{root_uri}/{folders}" if folders else root_uri
+    names = "path string, file_name string, modification_time timestamp, length bigint"
+    if not file_system.matches(spark, at):
+        return spark.createDataFrame([], names)
     df = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(root_uri)
+        .option("pathGlobFilter", name)
+        .option("recursiveFileLookup", str(deep).lower())
+        .load(at if deep else f"{at}/{name}" if file_system.matches(spark, f"{at}/{name}") else at)
         .select("path", "modificationTime", "length")
     )
     # relative name: everything after the root directory
@@ -208,7 +223,3 @@ def _root_marker(root: str) -> str:
     tail = root.split(":", 1)[-1].lstrip("/")
     return re.escape(tail)
 
-
-def file_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``md5`` of each file's content (S21, F20), one row per file."""
-    return spark.read.format("binaryFile").load(list(paths)).select("path", F.md5("content").alias("md5"))

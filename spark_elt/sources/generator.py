@@ -2,8 +2,8 @@
 
 The reference loads whatever lines a script prints. Here the "script" is a Python
 function called once per input row (``mapInPandas``, vectorised over batches); the
-lines it yields are parsed with ``from_csv`` like a file load, optionally with
-duplicate lines dropped (``make_unique``)."""
+lines it yields are parsed with ``from_csv`` like a file load: a malformed line
+fails, blank lines are skipped, and duplicate lines are dropped with ``make_unique``."""
 
 from __future__ import annotations
 
@@ -30,7 +30,7 @@ def read_generator(inputs: DataFrame, fn: Callable[[dict], Iterable[str]], schem
     lines = inputs.mapInPandas(run, "value string")
     if make_unique:
         lines = lines.dropDuplicates(["value"])
-    opts = {"sep": sep}
+    opts = {"sep": sep, "mode": "FAILFAST"}
     if null_value is not None:
         opts["nullValue"] = null_value
-    return lines.select(F.from_csv("value", schema, opts).alias("r")).select("r.*")
+    return lines.where("value <> ''").select(F.from_csv("value", schema, opts).alias("r")).select("r.*")

@@ -31,13 +31,10 @@ def with_file_date(listing: DataFrame, date_regex: str, name_col: str = "file_na
     anchored = "^(?:" + date_regex + ")"
     name = F.col(name_col)
     y, m, d = (F.regexp_extract(name, anchored, i).cast("int") for i in (1, 2, 3))
-    date = F.make_date(y, m, d)
-    return listing.withColumn(
-        "file_date",
-        F.when(name.rlike(anchored), date).otherwise(
-            F.raise_error(F.concat(F.lit('file name "'), name, F.lit(f'" does not match date regex "{date_regex}"')))
-        ),
-    )
+    fails = F.raise_error(F.concat(F.lit('file name "'), name, F.lit(f'" does not match date regex "{date_regex}"')))
+    # as a filter: a column that no one reads would be pruned, and the failure with it
+    matching = listing.where(F.when(name.rlike(anchored), F.lit(True)).otherwise(fails.cast("boolean")))
+    return matching.withColumn("file_date", F.make_date(y, m, d))
 
 
 def file_date_of_path(path_col, root: str, date_regex: str):

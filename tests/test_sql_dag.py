@@ -128,13 +128,45 @@ def test_lanes_equal_sequential_first_fit_with_quiet_points(spark):
     assert got == expect
 
 
-def test_lanes_range_path_matches(spark, monkeypatch):
-    import spark_elt.operators.ordered as ordered
+def test_redundant_edges_on_random_graphs(spark):
+    import random
+    from collections import defaultdict
 
-    t = dt.datetime(2024, 1, 1)
-    rows = [(1, i, t + dt.timedelta(minutes=3 * i), t + dt.timedelta(minutes=3 * i + (i % 5) * 2)) for i in range(60)]
-    df = spark.createDataFrame(rows, "run long, id long, s timestamp_ntz, e timestamp_ntz")
-    want = {r["id"]: r["lane"] for r in dag.lanes(df, ["run"], "s", "e", "id").collect()}
-    monkeypatch.setattr(ordered, "WINDOW_GROUP_LIMIT", 10)
-    got = {r["id"]: r["lane"] for r in dag.lanes(df, ["run"], "s", "e", "id").collect()}
-    assert got == want == _first_fit([(3 * i, 3 * i + (i % 5) * 2, i) for i in range(60)])
+    rnd = random.Random(3)
+    edges = {tuple(sorted(rnd.sample(range(40), 2))) for _ in range(110)}
+    out = defaultdict(set)
+    for u, v in edges:
+        out[u].add(v)
+
+    def below(u):
+        seen, todo = set(), [u]
+        while todo:
+            for y in out[todo.pop()] - seen:
+                seen.add(y)
+                todo.append(y)
+        return seen
+
+    want = {(u, v): any(v in below(w) for w in out[u] - {v}) for u, v in edges}
+    got = dag.redundant_edges(spark.createDataFrame(list(edges), "u long, v long"))
+    assert {(r.u, r.v): r.redundant for r in got.collect()} == want
+
+
+def test_cycle_fails_at_once(spark):
+    nodes = spark.createDataFrame([(i, 1.0) for i in range(30)], "node long, cost double")
+    with pytest.raises(ValueError, match="cycle"):
+        dag.critical_path_cost(nodes, spark.createDataFrame([(1, 2), (2, 1), (3, 1)], "u long, v long"))
+    with pytest.raises(ValueError, match="cycle"):
+        dag.redundant_edges(spark.createDataFrame([(1, 2), (2, 1)], "u long, v long"))
+
+
+def test_scripts_keep_hints_and_blocks():
+    assert split_statements("SELECT /*+ BROADCAST(a) */ 1/*c*/+2 -- x\n; SELECT/*c*/3;") == ["SELECT /*+ BROADCAST(a) */ 1 +2", "SELECT 3"]
+    block = "BEGIN DECLARE x INT; IF x > 1 THEN SELECT CASE WHEN x = 2 THEN 1 END; END IF; WHILE x < 3 DO SET x = x + 1; END WHILE; END"
+    assert split_statements(f"SELECT 1; {block}; SELECT 'BEGIN; END'") == ["SELECT 1", block, "SELECT 'BEGIN; END'"]
+
+
+def test_script_block_runs(spark):
+    from spark_elt.operators.sql import run_sql
+
+    got = run_sql(spark, "SELECT 1; BEGIN DECLARE x INT DEFAULT 2; SET x = x * 3; SELECT x AS x; END")
+    assert [r[0] for r in got.collect()] == [6]
