@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_elt.functions import format_labels
@@ -231,21 +231,19 @@ def timeline_lanes(spark, sf_dir):
 
 @register(
     "pipeline_children_table",
-    with_views(["node_run"], """, d AS (
-  SELECT child, round(avg(avg_duration), 1) AS avg_duration, round(sum(avg_run_time), 1) AS avg_run_time FROM (
-    SELECT node_path[1:1] AS child,
-           avg(CASE WHEN len(node_path) = 1 THEN date_diff('microsecond', start_time, end_time) / 1e6 END) AS avg_duration,
-           avg(CASE WHEN NOT is_pipeline THEN date_diff('microsecond', start_time, end_time) / 1e6 END) AS avg_run_time
-    FROM node_run WHERE len(node_path) > 0 AND succeeded = TRUE GROUP BY node_path) x GROUP BY child),
-kids AS (SELECT DISTINCT node_path FROM node_run WHERE len(node_path) = 1)
-SELECT node_path[1] AS id, 'Pipeline ' || node_path[1] AS description, 'kind: ''pipeline''' AS labels,
-       coalesce(d.avg_duration, 0) AS avg_duration, coalesce(d.avg_run_time, 0) AS avg_run_time,
-       coalesce(d.avg_run_time, 0) AS cost
-FROM kids LEFT JOIN d ON d.child = kids.node_path""").replace("\n, d AS", ",\nd AS"),
+    with_views(["node_run"], """SELECT id, 'Pipeline ' || id AS description, 'kind: ''pipeline''' AS labels, avg_duration, avg_run_time,
+       round(sum(avg_run_time) OVER (ORDER BY id DESC), 6) AS cost
+FROM (SELECT k.id, round(coalesce((SELECT avg(date_diff('microsecond', o.start_time, o.end_time) / 1e6) FROM node_run o
+                                   WHERE o.node_path = [k.id] AND o.succeeded), 0), 1) AS avg_duration,
+             round(coalesce(sum(t.mean), 0), 1) AS avg_run_time
+      FROM (SELECT DISTINCT node_path[1] AS id FROM node_run WHERE len(node_path) = 1) k
+      LEFT JOIN (SELECT node_path[1] AS id, avg(date_diff('microsecond', start_time, end_time) / 1e6) AS mean
+                 FROM node_run WHERE succeeded AND NOT is_pipeline GROUP BY node_path) t ON t.id = k.id
+      GROUP BY k.id) c"""),
 )
 def pipeline_children_table(spark, sf_dir):
     """Children of the root with durations (A01, default 0 when never run) and
-    critical-path cost (G03; the children have no dependencies among each other)."""
+    critical-path cost (G03); each child runs before the next one by name."""
     nr = fx.node_run(spark, sf_dir)
     durs = an.node_durations(nr, [])
     kids = nr.where(F.size("node_path") == 1).select("node_path").distinct()
@@ -257,7 +255,7 @@ def pipeline_children_table(spark, sf_dir):
         F.coalesce("avg_run_time", F.lit(0.0)).alias("avg_run_time"),
     )
     nodes = table_.select(F.col("id").alias("node"), F.col("avg_run_time").alias("cost"))
-    edges = nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).where(F.lit(False))
+    # the next child by name: a window over the children of one pipeline
+    edges = nodes.select(F.col("node").alias("u"), F.lead("node").over(Window.orderBy("node")).alias("v")).where("v is not null")
     cost = dag.critical_path_cost(nodes, edges).withColumnRenamed("node", "id")
-    return table_.join(cost, "id")
-
+    return table_.join(cost, "id").withColumn("cost", F.round("cost", 6))
