@@ -62,7 +62,6 @@ def components(edges: DataFrame) -> DataFrame:
             F.col("a").alias("k"), F.least("a", "m").alias("m")
         )
         wide = both.join(least, both.a == least.k).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        wide = wide.where("a <> b").distinct()
         least = wide.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
         near = wide.join(least, wide.a == least.k)
         links = settle(
@@ -76,3 +75,21 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def joined_components(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """``components`` after more ``edges`` (a, b) come to a graph whose ``roots`` are known:
+    only the graph between its components is searched. Nodes need not have a root yet."""
+    def of(side: str):
+        return roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+
+    between = settle(
+        edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a <> b").distinct()
+    )
+    if between.isEmpty():
+        return roots
+    merged = components(between).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    known = roots.join(merged, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+    alone = merged.join(roots.select("node"), F.col("old") == F.col("node"), "left_anti")
+    return known.union(alone.select(F.col("old").alias("node"), F.col("new").alias("root")))

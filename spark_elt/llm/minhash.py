@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, settle
+from .common import components, joined_components, settle
 from .text import list_array, mix, shingle_sets
 
 SLOT_BITS = 20
@@ -175,8 +175,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     heads = settle(
         rows.where(linkable).join(classes.select("node"), F.col("row") == F.col("node")).select("node", "doc_id", "d1", "d2", "n", "bands")
     )
-    edges = _links(docs, heads, shingle, percent)
-    grouped = components(edges).join(classes.select("node", "first_id"), "node")
+    grouped = settle(_components(docs, heads, shingle, percent).join(classes.select("node", "first_id"), "node"))
     groups = grouped.groupBy("root").agg(F.min("first_id").alias("group_id")).join(grouped.select("node", "root"), "root")
     named = classes.join(groups.select("node", "group_id"), "node", "left").select(
         "d1", "d2", "n", F.coalesce("group_id", "first_id").alias("component_id")
@@ -200,8 +199,9 @@ def drop_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
 
 
-def _links(docs: DataFrame, heads: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes, enough for their components."""
+def _components(docs: DataFrame, heads: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Components (node, root) of the links between classes; classes without a link may
+    be missing."""
     banded = heads.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     buckets = settle(banded.join(shared.select("key"), "key"))
@@ -230,9 +230,8 @@ def _links(docs: DataFrame, heads: DataFrame, shingle: int, percent: int) -> Dat
     possible = _reaches(percent, F.least("ca", "cb"), F.col("na"), F.col("nb"))
     a = live.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
     tried = a.join(pivots, (a.key == pivots.key) & (a.a != pivots.b) & possible).select("a", "b").distinct()
-    links = settle(_confirm(tried, sets, percent))
     # members that are not in one component
-    roots = components(links)
+    roots = components(_confirm(tried, sets, percent))
     placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
     placed = placed.join(split, "key").join(pivots.select("key", F.col("b").alias("pivot")), "key").where("node <> pivot")
@@ -251,4 +250,4 @@ def _links(docs: DataFrame, heads: DataFrame, shingle: int, percent: int) -> Dat
         & (_first_shared(F.col("bands_a"), F.col("bands_b")) == F.col("key_a"))
     )
     rest = a.join(b, meets).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    return links.union(_confirm(rest, sets, percent))
+    return joined_components(roots, _confirm(rest, sets, percent))

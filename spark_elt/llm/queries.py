@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contamination, fingerprints, language, licenses, lines, minhash, mixing, personal, quality, secrets
+from . import contamination, fingerprints, language, licenses, lines, minhash, mixing, oracles, personal, quality, secrets
 from .common import read
 
 
@@ -38,7 +38,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words in every text."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    return contamination.contamination(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+    return contamination.contamination(docs, read(spark, sf_dir, "benchmark", "item_id", "text")).drop("hit_spans")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,4 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_decontamination, op7_license_scan, op8_line_dedup, op9_quality, op10_personal_data,
     )
 }
-ORACLES: dict[str, str] = {"op8_line_dedup": lines.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op6_decontamination": oracles.CONTAMINATION,
+    "op7_license_scan": oracles.LICENSES,
+    "op8_line_dedup": lines.ORACLE,
+}
