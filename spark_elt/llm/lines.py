@@ -4,8 +4,9 @@ For every host the distinct lines of its pages are counted; a line on more than
 ``ratio`` of the host's pages is boilerplate there and is dropped from them. Only
 (host, line hash) pairs are shuffled, aggregated before; the texts stay in place. A host
 has less than (distinct lines per page) / ``ratio`` boilerplate lines, so its list is
-small however many pages it has; the lists join the pages by host, as a broadcast only
-where their measured size allows it, else as a join whose hot hosts can be split.
+small however many pages it has. The lists are stored and measured: up to
+``BROADCAST_LINES`` lines they are broadcast, beyond it they join the pages by host, in a
+join whose hot hosts can be split.
 """
 
 from __future__ import annotations
@@ -13,8 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import settle
+
 RATIO = 0.1
 LEAST_PAGES = 5
+BROADCAST_LINES = 500_000
 
 
 def _lines(text: Column) -> Column:
@@ -44,7 +48,9 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     A null text stays null, an empty one empty; pages without host are one host.
     Repeated rows count as pages each. An empty table gives no rows.
     """
-    lists = boilerplate(docs, host, ratio, least_pages).select(F.col("host").alias("__host"), F.col("lines").alias("__lines"))
+    lists = settle(boilerplate(docs, host, ratio, least_pages).select(F.col("host").alias("__host"), F.col("lines").alias("__lines")))
+    if (lists.agg(F.sum(F.size("__lines"))).first()[0] or 0) <= BROADCAST_LINES:
+        lists = F.broadcast(lists)
     own = _lines(F.col("text").cast("string"))
     left = F.filter(own, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("__lines"), F.xxhash64(x)))
     some = F.exists(left, lambda x: F.trim(x) != "")

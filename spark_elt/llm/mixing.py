@@ -27,6 +27,9 @@ PERIOD = 1_000
 #: Exponent of the sources' sizes in the default weights.
 TEMPERATURE = 0.7
 MAX_SOURCES = 10_000
+#: Ranges of all sources (about the sum of the square roots of their sizes) up to which
+#: their sizes are broadcast; beyond it they are joined by source and range.
+BROADCAST_RANGES = 200_000
 
 
 def rounded(weights: Mapping[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
@@ -76,12 +79,13 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     ``weights`` names the target share of each source (None for rows without one); by
     default it is proportional to the number of documents to the power ``TEMPERATURE``.
     A source that has no weight is an error. A source that runs out leaves its later
-    slots empty; nothing is repeated or dropped. Documents of a source are in hashed
-    order of ``doc_id`` (then of the text), so ties and repeated rows get places of
-    their own. Columns of these names are replaced. An empty table gives no rows.
+    slots empty; nothing is repeated or dropped. Documents of a source are in the
+    order of the first 40 bits of md5 of ``doc_id`` (then of ``doc_id`` and the text), so
+    ties and repeated rows get places of their own. Columns of these names are replaced. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    place = F.pmod(F.xxhash64(F.lit("mix"), "doc_id"), F.lit(1 << 40)) / (1 << 40)
+    digits = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 10)
+    place = F.conv(digits, 16, 10).cast("long") / (1 << 40)
     counts = {r[0]: r[1] for r in docs.groupBy(F.col(source).cast("string")).agg(F.count("*")).limit(MAX_SOURCES + 1).collect()}
     if weights is None:
         weights = {s: n**TEMPERATURE for s, n in counts.items()}
@@ -91,27 +95,28 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     names = ["mix_block", "mix_slot", "mix_release", "mix_deadline", "mix_place"]
     own = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     size = sum(slots.values())
+    number_of = {s: k for k, s in enumerate(slots)}
+    ranges = {s: max(1, int(counts.get(s, 0) ** 0.5)) for s in slots}
     sources = F.broadcast(spark.createDataFrame(  # bounded by MAX_SOURCES
-        [(s, n, max(1, int(counts.get(s, 0) ** 0.5))) for s, n in slots.items()], "__source string, __n int, __ranges int"
+        [(s, number_of[s], n, ranges[s]) for s, n in slots.items()], "__source string, __k int, __n int, __ranges int"
     ))
     rows = docs.select(*own, place.alias("__at")).join(sources, F.col(source).cast("string").eqNullSafe(F.col("__source")))
     rows = rows.withColumn("__range", F.floor(F.col("__at") * F.col("__ranges")))
-    sizes = rows.groupBy("__source", "__range").agg(F.count("*").alias("__size"))
-    before = Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col("__source").alias("__s"), F.col("__range").alias("__r"), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before")
-    )
-    within = Window.partitionBy("__source", "__range").orderBy("__at", "doc_id", *([F.xxhash64("text")] if "text" in docs.columns else []))
-    placed = rows.withColumn("__number", F.row_number().over(within) - 1).join(
-        offsets, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__range") == F.col("__r"))
-    )
+    sizes = rows.groupBy("__k", "__range").agg(F.count("*").alias("__size"))
+    before = Window.partitionBy("__k").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__k", "__range", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"))
+    if sum(ranges.values()) <= BROADCAST_RANGES:
+        offsets = F.broadcast(offsets)
+    ties = [F.xxhash64("text")] if "text" in docs.columns else []
+    within = Window.partitionBy("__k", "__range").orderBy("__at", "doc_id", *ties)
+    placed = rows.withColumn("__number", F.row_number().over(within) - 1).join(offsets, ["__k", "__range"])
     number = F.col("__number") + F.col("__before")
     placed = placed.withColumn("__block", F.floor(number / block)).withColumn("__place", F.pmod(number, F.lit(block)))
     pattern = F.broadcast(spark.createDataFrame(  # bounded by the period
-        layout(slots), "__of string, __i int, __slot int, __release int, __deadline int"
+        [(number_of[x[0]], *x[1:]) for x in layout(slots)], "__of int, __i int, __slot int, __release int, __deadline int"
     ))
     turn = F.floor(F.col("__block") / F.col("__n")) * size
-    laid = placed.join(pattern, F.col("__source").eqNullSafe(F.col("__of")) & (F.pmod(F.col("__block"), F.col("__n")) == F.col("__i")))
+    laid = placed.join(pattern, (F.col("__k") == F.col("__of")) & (F.pmod(F.col("__block"), F.col("__n")) == F.col("__i")))
     return laid.select(
         *own,
         F.col("__block").alias("mix_block"),

@@ -22,7 +22,7 @@ def op2_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text; a document is a repository, its source the owner."""
-    return secrets.secrets(read(spark, sf_dir, "documents", "doc_id", "source", "text"))
+    return secrets.secrets(read(spark, sf_dir, "documents", "doc_id", "source", "text")).drop("verdicts")
 
 
 def op4_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text."""
-    return personal.personal_data(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return personal.personal_data(read(spark, sf_dir, "documents", "doc_id", "text")).drop("n_iban", "n_social", "scores")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -71,7 +71,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op2_pfair_mixing": oracles.MIXING,
+    "op3_secret_scan": oracles.SECRETS,
     "op6_decontamination": oracles.CONTAMINATION,
     "op7_license_scan": oracles.LICENSES,
     "op8_line_dedup": lines.ORACLE,
+    "op10_personal_data": oracles.PERSONAL,
 }

@@ -36,10 +36,10 @@ LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
 # Added kinds: prefixed service tokens, signed web tokens, logins in addresses, key blocks.
 _MORE = (
-    (3, re.compile(r"(?<![A-Za-z0-9_])(?:gh[oprsu]_|glpat-|xox[abprs]-|sk_live_)[A-Za-z0-9_-]{16,}"), 0),
+    (3, re.compile(r"\b(?:gh[oprsu]_|glpat-|xox[abprs]-|sk_live_)[A-Za-z0-9_-]{16,}", re.A), 0),
     (4, re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0),
-    (5, re.compile(r"://[^\s/:@]{1,64}:([^\s/:@]{6,128})@"), 1),
-    (6, re.compile(r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\s]*"), 0),
+    (5, re.compile(r"://[^\x09-\x0D\x20/:@]{1,64}:([^\x09-\x0D\x20/:@]{6,128})@"), 1),
+    (6, re.compile(r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\x09-\x0D\x20]*"), 0),
 )
 
 #: Bits per character from which a value looks random.
