@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -36,6 +37,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark remove the shuffles and checkpoints that no frame refers to any more. It
+    does so when the driver collects garbage, which in a job of many steps may otherwise
+    be long after their files have filled the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder, and read again."""
     spark = df.sparkSession
@@ -68,6 +77,7 @@ def components(edges: DataFrame) -> DataFrame:
             .union(least.select(F.col("k").alias("a"), F.col("m").alias("b")))
             .distinct()
         )
+        tidy(edges.sparkSession)
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 

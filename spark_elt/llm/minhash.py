@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, joined_components, settle
+from .common import components, joined_components, settle, tidy
 from .text import list_array, mix, shingle_sets
 
 SLOT_BITS = 20
@@ -176,6 +176,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         rows.where(linkable).join(classes.select("node"), F.col("row") == F.col("node")).select("node", "doc_id", "d1", "d2", "n", "bands")
     )
     grouped = settle(_components(docs, heads, shingle, percent).join(classes.select("node", "first_id"), "node"))
+    tidy(docs.sparkSession)
     groups = grouped.groupBy("root").agg(F.min("first_id").alias("group_id")).join(grouped.select("node", "root"), "root")
     named = classes.join(groups.select("node", "group_id"), "node", "left").select(
         "d1", "d2", "n", F.coalesce("group_id", "first_id").alias("component_id")
@@ -212,6 +213,7 @@ def _components(docs: DataFrame, heads: DataFrame, shingle: int, percent: int) -
         texts.join(wanted, "doc_id").select("node", "d1", "d2", "text")
         .mapInArrow(partial(_sets, shingle=shingle), "node long, hashes array<long>")
     )
+    tidy(docs.sparkSession)
     # shingles that one class alone has
     only = (
         sets.select("node", F.explode("hashes").alias("h")).groupBy("h")
@@ -230,12 +232,14 @@ def _components(docs: DataFrame, heads: DataFrame, shingle: int, percent: int) -
     possible = _reaches(percent, F.least("ca", "cb"), F.col("na"), F.col("nb"))
     a = live.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
     tried = a.join(pivots, (a.key == pivots.key) & (a.a != pivots.b) & possible).select("a", "b").distinct()
+    tidy(docs.sparkSession)
     # members that are not in one component
     roots = components(_confirm(tried, sets, percent))
     placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
     placed = placed.join(split, "key").join(pivots.select("key", F.col("b").alias("pivot")), "key").where("node <> pivot")
     placed = settle(placed.select("key", "node", "n", "c", "root"))
+    tidy(docs.sparkSession)
     sketches = sets.join(placed.select("node").distinct(), "node").mapInArrow(_bit_sketches, "node long, sketch array<long>")
     more = sketches.join(heads.select("node", "bands"), "node")
     placed = placed.join(more, "node")
