@@ -1,7 +1,7 @@
 """Licences in texts by sentence rules, with column expressions only.
 
-A text is split into sentences, each normalised (lower case, words and version numbers
-joined by single blanks). Known licence sentences, given as patterns of a normalised
+A text is split into sentences, whose lines are joined, each normalised (lower case, words
+and version numbers joined by single blanks). Known licence sentences, given as patterns of a normalised
 sentence, map to identifiers; a text becomes the sequence of its identifiers. Ordered
 rules are patterns over that sequence: the first ones name licences by their whole
 wording, later ones by parts or by a reference, and what a rule has read is closed to
@@ -115,25 +115,70 @@ HINTS = (
 )
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences: cut at line ends and after . ! ? ; : before a blank; then
-    runs of letters, digits and inner dots, in lower case, joined by single blanks."""
-    pieces = F.split(F.lower(text), r"[\r\n]+|[.!?;:]+(?=\s|$)", -1)
-    return F.transform(pieces, lambda s: F.trim(F.regexp_replace(F.regexp_replace(s, r"[^a-z0-9.]+", " "), r"(?<![0-9])\.|\.(?![0-9])", " ")))
+#: Line starts (after the comment leader) at which a new sentence begins without a sentence end before it.
+_STARTS = (
+    r"permission (?:is hereby granted|to use|is granted)|the above copyright notice and|the software is provided|in no event shall"
+    r"|redistributions? (?:and use|of source|in binary)|neither the name|all advertising materials|all rights reserved"
+    r"|this software is provided|unless required by applicable|you may (?:obtain a copy|not use this)|see the (?:gnu|license)"
+    r"|you should have received|this program is|this is free and unencumbered|licen[sc]ed under|(?:the )?mit license"
+)
+#: A line of its own with a year or sign; other lines that begin so are parts of sentences.
+_COPYRIGHT = r"copyright(?=[^\n]*(?:\(c\)|\u00a9|\b(?:19|20)\d\d))"
+_LEADER = r"(?imd)^[^a-z0-9\n]*+(?:(?:dnl|rem)(?:[ \t]+|$))?"
+
+
+def _paragraphs(text: Column) -> Column:
+    """The text without comment leaders; lines without letters and digits are empty."""
+    plain = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), _LEADER, "")
+    return F.regexp_replace(plain, rf"(?imd)^({_COPYRIGHT}[^\n]*)$", "\n$1\n")
+
+
+def _sentences(text: Column) -> Column:
+    """Sentences with their line ends: cut at empty lines, after . ! ? : before a blank, and
+    before lines that begin a sentence."""
+    return F.split(_paragraphs(text), rf"(?i)\n{{2,}}|[.!?:]+(?=\s|$)|\n(?=(?:{_STARTS})\b)", -1)
+
+
+def normalised(s: Column) -> Column:
+    """Runs of letters, digits and inner dots, in lower case, joined by single blanks."""
+    words = F.regexp_replace(F.regexp_replace(F.lower(s), r"[^a-z0-9.]+", " "), r"(?<![0-9])\.|\.(?![0-9])", " ")
+    return F.trim(F.regexp_replace(words, " +", " "))
 
 
 def _identifier(sentence: Column) -> Column:
-    found = F.lit(None).cast("string")
-    for name, pattern in reversed(SENTENCES):
-        found = F.when(sentence.rlike(f"^(?:{pattern})$"), name).otherwise(found)
-    return found
+    """Number of the first of SENTENCES that matches, or null."""
+    found = F.lit(None).cast("int")
+    for k, (_, pattern) in reversed(list(enumerate(SENTENCES))):
+        found = F.when(sentence.rlike(f"^(?:{pattern})$"), k).otherwise(found)
+    return F.when(sentence.rlike("|".join(HINTS)), found)
+
+
+def _known(s: Column) -> Column:
+    return F.array_compact(F.array(_identifier(normalised(s))))
+
+
+def _whole_or(whole: Column, parts: Column) -> Column:
+    """What a sentence says as a whole, where that is more than any of its parts says."""
+    return F.when((F.size(whole) > 0) & ((F.size(parts) == 0) | (F.element_at(whole, 1) < F.array_min(parts))), whole).otherwise(parts)
+
+
+def _either(s: Column, cut: str, known) -> Column:
+    """Numbers of a sentence read as a whole and, where it has several parts, by parts."""
+    pair = F.array(F.struct(_known(s).alias("whole"), F.flatten(F.transform(F.split(s, cut, -1), known)).alias("parts")))
+    both = F.element_at(F.transform(pair, lambda x: _whole_or(x["whole"], x["parts"])), 1)
+    return F.when(s.rlike(cut), both).otherwise(known(s))
 
 
 def identifiers(text: Column) -> Column:
-    """The known licence sentences of a text, in order."""
-    squeezed = F.transform(sentences(text), lambda s: F.regexp_replace(s, " +", " "))
-    likely = F.filter(squeezed, lambda s: s.rlike("|".join(HINTS)))
-    return F.filter(F.transform(likely, _identifier), lambda x: x.isNotNull())
+    """The known licence sentences of a text, in order.
+
+    A sentence is read with its lines joined, so wrapped texts are known. Its clauses
+    (between semicolons) and lines are read too; they count unless what they are part of
+    is a sentence that comes before theirs in SENTENCES."""
+    likely = F.filter(_sentences(text), lambda s: F.lower(s).rlike("|".join(HINTS)))
+    numbers = F.flatten(F.transform(likely, lambda s: _either(s, r";+(?=\s|$)", lambda c: _either(c, r"\n", _known))))
+    names = F.array(*(F.lit(n) for n, _ in SENTENCES))
+    return F.transform(numbers, lambda k: F.get(names, k))
 
 
 def licenses(docs: DataFrame) -> DataFrame:
