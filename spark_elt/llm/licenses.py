@@ -5,7 +5,8 @@ and version numbers joined by single blanks). Known licence sentences, given as
 sentence, map to identifiers; a text becomes the sequence of its identifiers. Ordered
 rules are patterns over that sequence: the first ones name licences by their whole
 wording, later ones by parts or by a reference, and what a rule has read is closed to
-the rules after it. Identifiers that no rule reads make the text ``UNKNOWN``.
+the rules after it. Identifiers that no rule reads make the text ``UNKNOWN``. An SPDX tag
+names its licences itself.
 """
 
 from __future__ import annotations
@@ -115,6 +116,24 @@ HINTS = (
 )
 
 
+#: An SPDX tag; what follows on its line is an expression of names.
+_TAG = r"spdx-license-identifier[ \t]*:"
+#: One name of an expression, after its start or an operator.
+_NAME = r"[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?"
+_NAMES = rf"(?i)(?:^[\s(]*|\G(?:[\s)]+(?:and|or)[\s(]+|/))({_NAME}(?:\s+with\s+{_NAME})?)(?![a-z0-9.+-]*:)"
+#: Names in their own spelling (SPDX names are the same in any case); other names stay as written.
+SPDX = (
+    "MIT", "MIT-0", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "Apache-1.1", "Apache-2.0", "AGPL-3.0-only", "AGPL-3.0-or-later",
+    "LGPL-2.0-only", "LGPL-2.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "GPL-1.0-only", "GPL-1.0-or-later", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later",
+    "MPL-1.1", "MPL-2.0", "ISC", "Unlicense", "Zlib", "BSL-1.0", "EPL-1.0", "EPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+    "CC-BY-ND-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "Artistic-2.0", "WTFPL", "Python-2.0", "PSF-2.0", "OFL-1.1",
+)
+_GNU = [f"{x}-{v}" for x, versions in (("AGPL", ("3.0",)), ("LGPL", ("2.0", "2.1", "3.0")), ("GPL", ("1.0", "2.0", "3.0"))) for v in versions]
+_SPELLING = {x.lower(): x for x in SPDX} | {f"{x.lower()}{e}": x + y for x in _GNU for e, y in (("", "-only"), ("+", "-or-later"))}
+#: Identifiers of names begin so; the licence is the rest.
+SPDX_PREFIX = "Spdx:"
+
 #: Line starts (after the comment leader) at which a new sentence begins without a sentence end before it.
 _STARTS = (
     r"permission (?:is hereby granted|to use|is granted)|the above copyright notice and|the software is provided|in no event shall"
@@ -130,13 +149,14 @@ _LEADER = r"(?imd)^[^a-z0-9\n]*+(?:(?:dnl|rem)(?:[ \t]+|$))?"
 def _paragraphs(text: Column) -> Column:
     """The text without comment leaders; lines without letters and digits are empty."""
     plain = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), _LEADER, "")
-    return F.regexp_replace(plain, rf"(?imd)^({_COPYRIGHT}[^\n]*)$", "\n$1\n")
+    plain = F.regexp_replace(plain, rf"(?imd)^({_COPYRIGHT}[^\n]*)$", "\n$1\n")
+    return F.regexp_replace(plain, rf"(?i)({_TAG}[^\n]*)", "\n\n$1\n\n")
 
 
 def _sentences(text: Column) -> Column:
     """Sentences with their line ends: cut at empty lines, after . ! ? : before a blank, and
     before lines that begin a sentence."""
-    return F.split(_paragraphs(text), rf"(?i)\n{{2,}}|[.!?:]+(?=\s|$)|\n(?=(?:{_STARTS})\b)", -1)
+    return F.split(_paragraphs(text), rf"(?i)\n{{2,}}|(?<!spdx-license-identifier[ \t]{{0,9}})[.!?:]+(?=\s|$)|\n(?=(?:{_STARTS})\b)", -1)
 
 
 def normalised(s: Column) -> Column:
@@ -157,6 +177,18 @@ def _known(s: Column) -> Column:
     return F.array_compact(F.array(_identifier(normalised(s))))
 
 
+def _spdx(s: Column) -> Column:
+    """Identifiers of the names of an SPDX tag; one of no public name is ``SpdxTag``."""
+    spelling = F.create_map(*(F.lit(x) for pair in _SPELLING.items() for x in pair))
+
+    def name(written: Column) -> Column:
+        return F.array_join(F.transform(F.split(written, r"(?i)\s+with\s+"), lambda x: F.coalesce(spelling[F.lower(x)], x)), " WITH ")
+
+    written = F.regexp_extract_all(F.regexp_replace(s, rf"(?i)^{_TAG}", ""), F.lit(_NAMES), 1)
+    named = F.transform(written, lambda x: F.when(x.rlike("(?i)^(?:licenseref-.*|none|noassertion)$"), "SpdxTag").otherwise(F.concat(F.lit(SPDX_PREFIX), name(x))))
+    return F.when(F.size(written) > 0, named).otherwise(F.array(F.lit("SpdxTag")))
+
+
 def _whole_or(whole: Column, parts: Column) -> Column:
     """What a sentence says as a whole, where that is more than any of its parts says."""
     return F.when((F.size(whole) > 0) & ((F.size(parts) == 0) | (F.element_at(whole, 1) < F.array_min(parts))), whole).otherwise(parts)
@@ -174,21 +206,27 @@ def identifiers(text: Column) -> Column:
 
     A sentence is read with its lines joined, so wrapped texts are known. Its clauses
     (between semicolons) and lines are read too; they count unless what they are part of
-    is a sentence that comes before theirs in SENTENCES."""
+    is a sentence that comes before theirs in SENTENCES. An SPDX tag is a sentence with an
+    identifier for each name of its expression."""
     likely = F.filter(_sentences(text), lambda s: F.lower(s).rlike("|".join(HINTS)))
-    numbers = F.flatten(F.transform(likely, lambda s: _either(s, r";+(?=\s|$)", lambda c: _either(c, r"\n", _known))))
     names = F.array(*(F.lit(n) for n, _ in SENTENCES))
-    return F.transform(numbers, lambda k: F.get(names, k))
+
+    def of(s: Column) -> Column:
+        numbers = _either(s, r";+(?=\s|$)", lambda c: _either(c, r"\n", _known))
+        return F.when(s.rlike(f"(?i)^{_TAG}"), _spdx(s)).otherwise(F.transform(numbers, lambda k: F.get(names, k)))
+
+    return F.flatten(F.transform(likely, of))
 
 
 def licenses(docs: DataFrame) -> DataFrame:
     """Licences of each text.
 
     ``docs`` needs ``doc_id`` and ``text``. Returns one row per input row: ``doc_id``,
-    ``n_sentences`` (known sentences), ``sentence_ids`` (their identifiers in order,
-    joined by commas), ``licenses`` (distinct names in the order of the rules, joined by
-    commas) and ``unknown`` (whether an identifier that names a licence was read by no
-    rule). A null text counts as empty: 0, '', '' and false. Repeated rows each get a
+    ``n_sentences`` (known sentences; an SPDX tag counts once for each of its names),
+    ``sentence_ids`` (their identifiers in order, joined by commas), ``licenses``
+    (distinct names in the order of the rules, then those of SPDX tags as they come,
+    joined by commas) and ``unknown`` (whether an identifier that names a licence was
+    read by no rule; also an SPDX tag without a public name). A null text counts as empty: 0, '', '' and false. Repeated rows each get a
     row; an empty table gives none. No shuffle.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -197,8 +235,9 @@ def licenses(docs: DataFrame) -> DataFrame:
     ids = F.when(worth, identifiers(text)).otherwise(F.expr("cast(array() as array<string>)"))
     rows = docs.select("doc_id", ids.alias("ids"))
     rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(f"(?<![^,])(?:{p})").alias("pattern")) for n, p in RULES))
+    tagged = F.filter("ids", lambda x: x.startswith(SPDX_PREFIX))
     start = F.struct(
-        F.concat(F.array_join("ids", ","), F.lit(",")).alias("rest"), F.expr("cast(array() as array<string>)").alias("names")
+        F.concat(F.array_join(F.filter("ids", lambda x: ~x.startswith(SPDX_PREFIX)), ","), F.lit(",")).alias("rest"), F.expr("cast(array() as array<string>)").alias("names")
     )
 
     def apply(state: Column, rule: Column) -> Column:
@@ -209,10 +248,11 @@ def licenses(docs: DataFrame) -> DataFrame:
 
     read = F.when(F.size("ids") > 0, F.aggregate(rules, start, apply))
     rest = F.filter(F.split(F.col("read.rest"), ","), lambda x: ~x.isin("", "-", *NEUTRAL))
+    names = F.concat("read.names", F.transform(tagged, lambda x: F.substr(x, F.lit(len(SPDX_PREFIX) + 1))))
     return rows.select("doc_id", "ids", read.alias("read")).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_sentences"),
         F.array_join("ids", ",").alias("sentence_ids"),
-        F.coalesce(F.array_join(F.array_distinct("read.names"), ","), F.lit("")).alias("licenses"),
+        F.coalesce(F.array_join(F.array_distinct(names), ","), F.lit("")).alias("licenses"),
         F.coalesce(F.size(rest) > 0, F.lit(False)).alias("unknown"),
     )

@@ -102,3 +102,23 @@ def test_wrapped_texts(spark):
 def test_clauses_and_lines_still_count(spark):
     texts = ["Licensed under the MIT License; licensed under CC BY-SA 4.0", "Copyright 2020 X\nLicensed under the MIT License\nLicensed under CC BY 4.0", "CC BY 4.0\nCC BY-NC 4.0"]
     assert [r.licenses for r in found(spark, texts)] == ["MIT,CC-BY-SA", "MIT,CC-BY", "CC-BY-NC,CC-BY"]
+
+
+TAGS = [
+    ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT", "Spdx:MIT", False),
+    ("/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */", "GPL-2.0-only WITH Linux-syscall-note", "Spdx:GPL-2.0-only WITH Linux-syscall-note", False),
+    ("# spdx-license-identifier: (mit OR apache-2.0) and BSD-3-Clause\n", "MIT,Apache-2.0,BSD-3-Clause", "Spdx:MIT,Spdx:Apache-2.0,Spdx:BSD-3-Clause", False),
+    ("<!-- SPDX-License-Identifier : GPL-2.0+ -->", "GPL-2.0-or-later", "Spdx:GPL-2.0-or-later", False),
+    ("This file: SPDX-License-Identifier: EUPL-1.2. Nothing more.", "EUPL-1.2", "Spdx:EUPL-1.2", False),
+    ("SPDX-License-Identifier:GPL-3.0", "GPL-3.0-only", "Spdx:GPL-3.0-only", False),
+    ("SPDX-License-Identifier: LicenseRef-Own", "", "SpdxTag", True),
+    ("SPDX-License-Identifier: DocumentRef-a:LicenseRef-b", "", "SpdxTag", True),
+    ("SPDX-License-Identifier:", "", "SpdxTag", True),
+    ("# Copyright 2020 X\n# SPDX-License-Identifier: MIT\n# Licensed under the ISC license", "ISC,MIT", "Copyright,Spdx:MIT,IscRef", False),
+    ("SPDX-License-Identifier: MIT see the file", "MIT", "Spdx:MIT", False),
+]
+
+
+def test_spdx_tags(spark):
+    for r, (text, name, ids, unknown) in zip(found(spark, [x[0] for x in TAGS]), TAGS, strict=True):
+        assert (r.licenses, r.sentence_ids, r.unknown, r.n_sentences) == (name, ids, unknown, ids.count(",") + 1), text
