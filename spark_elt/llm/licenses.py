@@ -112,7 +112,7 @@ NEUTRAL = ("Copyright", "AllRights", "SoftAsIs", "SoftNoLiability", "GnuNoWarran
 #: A sentence without any of these cannot be a known one (a test holds them against SENTENCES).
 HINTS = (
     "licen", "permission", "software", "redistribution", "neither", "liable", "general", "hope", "public", "copyright",
-    "reserved", "creative", "cc",
+    "reserved", "creative", "cc", "attribution",
 )
 
 

@@ -1,5 +1,8 @@
 """Licence texts as they are usually laid out."""
 
+import itertools
+import re._parser as parser
+
 from spark_elt.llm import licenses
 
 MIT = """MIT License
@@ -122,3 +125,37 @@ TAGS = [
 def test_spdx_tags(spark):
     for r, (text, name, ids, unknown) in zip(found(spark, [x[0] for x in TAGS]), TAGS, strict=True):
         assert (r.licenses, r.sentence_ids, r.unknown, r.n_sentences) == (name, ids, unknown, ids.count(",") + 1), text
+
+
+def expanded(parsed):
+    """Every text a pattern stands for, with optional parts left out where they can be."""
+    ways = []
+    for op, value in parsed:
+        if op is parser.LITERAL:
+            ways.append([chr(value)])
+        elif op is parser.BRANCH:
+            ways.append([x for branch in value[1] for x in expanded(branch)])
+        elif op is parser.SUBPATTERN:
+            ways.append(expanded(value[-1]))
+        elif op is parser.IN:
+            ways.append([chr(v) if o is parser.LITERAL else "1" for o, v in value])
+        elif op is parser.MAX_REPEAT:
+            ways.append([""] if value[0] == 0 else [x * value[0] for x in expanded(value[2])])
+        else:
+            assert op is parser.ANY, op
+            ways.append(["x"])
+    return ["".join(x) for x in itertools.product(*ways)]
+
+
+def test_every_alternative_has_a_hint():
+    for name, pattern in licenses.SENTENCES:
+        for text in expanded(parser.parse(pattern)):
+            assert any(h in text for h in licenses.HINTS), (name, text)
+
+
+def test_attribution_names(spark):
+    texts = [
+        "Attribution-NonCommercial-ShareAlike 4.0 International", "Attribution-NonCommercial-NoDerivatives 4.0 International",
+        "Attribution-Non-Commercial-Share Alike 3.0", "Attribution-Non-Commercial-No Derivatives 3.0",
+    ]
+    assert [r.licenses for r in found(spark, texts)] == ["CC-BY-NC-SA", "CC-BY-NC-ND"] * 2
