@@ -7,8 +7,11 @@ weights add up to one, every block gets a slot within its window, so at any slot
 source is less than one block away from its target.
 
 Weights are rounded to multiples of 1 / ``period``, so the schedule repeats after
-``period`` slots. One period is laid out once (its size is a parameter, not a property
-of the data); the slot of any block follows from its number by arithmetic. The numbers
+``period`` slots. The period given is doubled until the rounding moves no source by a
+whole block up to its last one: a source is less than one block from its rounded weight
+and less than two from its exact one. One period is laid out once, in the driver, which
+holds a row for each source and for each block of a period; the slot of any block
+follows from its number by arithmetic. The numbers
 of documents within a source come from a hashed order: about sqrt(n) ranges of sqrt(n)
 documents each, whose sizes are added up, so that no source is sorted in one task.
 """
@@ -16,8 +19,10 @@ documents each, whose sizes are added up, so that no source is sorted in one tas
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -30,6 +35,8 @@ MAX_SOURCES = 10_000
 #: Ranges of all sources (about the sum of the square roots of their sizes) up to which
 #: their sizes are broadcast; beyond it they are joined by source and range.
 BROADCAST_RANGES = 200_000
+#: Blocks of a period up to which their slots are broadcast; beyond it they are joined by source and block.
+BROADCAST_SLOTS = 200_000
 
 
 def rounded(weights: Mapping[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
@@ -50,22 +57,57 @@ def rounded(weights: Mapping[str | None, float], period: int = PERIOD) -> dict[s
     return slots
 
 
-def layout(slots: Mapping[str | None, int]) -> list[tuple[str | None, int, int, int, int]]:
-    """One period: (source, number of the block in it, slot, release, deadline)."""
+def fitted(weights: Mapping[str | None, float], blocks: Mapping[str | None, int], period: int = PERIOD) -> dict[str | None, int]:
+    """``rounded`` over a period, doubled until no source that has ``blocks`` is moved by
+    a whole block from its exact weight before its blocks end."""
+    total = sum(weights.values())
+    while True:
+        slots = rounded(weights, period)
+        size = sum(slots.values())
+        exact = {s: weights[s] / total * size for s in slots}
+        if all(blocks.get(s, 0) * abs(n - exact[s]) < min(n, exact[s]) for s, n in slots.items() if blocks.get(s)):
+            return slots
+        period = 2 * size
+
+
+def _laid(slots: Mapping[str | None, int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """One period: (rank of the source, number of the block in it, slot, release, deadline)."""
     period = sum(slots.values())
-    released: list[list[tuple]] = [[] for _ in range(period)]
-    for rank, (source, n) in enumerate(slots.items()):
-        for i in range(n):
-            release, deadline = i * period // n, -(-(i + 1) * period // n)
-            released[release].append((deadline, rank, i, source, release))
-    ready: list[tuple] = []
-    out = []
+    sizes = list(slots.values())
+    coming = [(0, rank, 0) for rank in range(len(sizes))]  # the next block of each source
+    ready: list[tuple[int, int, int, int]] = []
     for slot in range(period):
-        for block in released[slot]:
-            heapq.heappush(ready, block)
-        deadline, _, i, source, release = heapq.heappop(ready)
-        out.append((source, i, slot, release, deadline))
-    return out
+        while coming and coming[0][0] <= slot:
+            release, rank, i = coming[0]
+            n = sizes[rank]
+            heapq.heappush(ready, (-(-(i + 1) * period // n), rank, i, release))
+            if i + 1 < n:
+                heapq.heapreplace(coming, ((i + 1) * period // n, rank, i + 1))
+            else:
+                heapq.heappop(coming)
+        deadline, rank, i, release = heapq.heappop(ready)
+        yield rank, i, slot, release, deadline
+
+
+def layout(slots: Mapping[str | None, int]) -> list[tuple[str | None, int, int, int, int]]:
+    """One period: (source, number of the block in it, slot, release, deadline)."""
+    names = list(slots)
+    return [(names[rank], *rest) for rank, *rest in _laid(slots)]
+
+
+def _pattern(slots: Mapping[str | None, int], blocks: Mapping[str | None, int]) -> pa.Table:
+    """The layout of the blocks there are, without the slots that stay empty."""
+    there = [blocks.get(s, 0) for s in slots]
+    left = sum(min(n, there[k]) for k, n in enumerate(slots.values()))
+    out = np.empty((5, left), np.int64)
+    at = 0
+    for row in _laid(slots) if left else ():
+        if row[1] < there[row[0]]:
+            out[:, at] = row
+            at += 1
+            if at == left:
+                break
+    return pa.table(list(out), ["__of", "__i", "__slot", "__release", "__deadline"])
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, period: int = PERIOD, source: str = "source") -> DataFrame:
@@ -78,6 +120,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
 
     ``weights`` names the target share of each source (None for rows without one); by
     default it is proportional to the number of documents to the power ``TEMPERATURE``.
+    ``period`` is the least length of the schedule's period.
     A source that has no weight is an error. A source that runs out leaves its later
     slots empty; nothing is repeated or dropped. Documents of a source are in the
     order of the first 40 bits of md5 of ``doc_id`` (then of ``doc_id`` and the text), so
@@ -91,7 +134,8 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
         weights = {s: n**TEMPERATURE for s, n in counts.items()}
     if missing := [s for s in counts if s not in weights]:
         raise ValueError(f"sources without a weight: {missing[:5]}")
-    slots = rounded(weights, period) if weights else {}
+    blocks = {s: -(-n // block) for s, n in counts.items()}
+    slots = fitted(weights, blocks, period) if weights else {}
     names = ["mix_block", "mix_slot", "mix_release", "mix_deadline", "mix_place"]
     own = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     size = sum(slots.values())
@@ -112,9 +156,10 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     placed = rows.withColumn("__number", F.row_number().over(within) - 1).join(offsets, ["__k", "__range"])
     number = F.col("__number") + F.col("__before")
     placed = placed.withColumn("__block", F.floor(number / block)).withColumn("__place", F.pmod(number, F.lit(block)))
-    pattern = F.broadcast(spark.createDataFrame(  # bounded by the period
-        [(number_of[x[0]], *x[1:]) for x in layout(slots)], "__of int, __i int, __slot int, __release int, __deadline int"
-    ))
+    laid_out = _pattern(slots, blocks)
+    pattern = spark.createDataFrame(laid_out)
+    if laid_out.num_rows <= BROADCAST_SLOTS:
+        pattern = F.broadcast(pattern)
     turn = F.floor(F.col("__block") / F.col("__n")) * size
     laid = placed.join(pattern, (F.col("__k") == F.col("__of")) & (F.pmod(F.col("__block"), F.col("__n")) == F.col("__i")))
     return laid.select(
