@@ -31,7 +31,8 @@ BLOCK = 64
 PERIOD = 1_000
 #: Exponent of the sources' sizes in the default weights.
 TEMPERATURE = 0.7
-MAX_SOURCES = 10_000
+#: Sources up to which their slots are broadcast; beyond it they are joined by source.
+BROADCAST_SOURCES = 10_000
 #: Ranges of all sources (about the sum of the square roots of their sizes) up to which
 #: their sizes are broadcast; beyond it they are joined by source and range.
 BROADCAST_RANGES = 200_000
@@ -43,8 +44,6 @@ def rounded(weights: Mapping[str | None, float], period: int = PERIOD) -> dict[s
     """Slots of each source in a period: at least one, largest remainders first."""
     if any(not w > 0 for w in weights.values()):
         raise ValueError("weights must be positive")
-    if len(weights) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
     period = max(period, 4 * len(weights))
     total = sum(weights.values())
     names = sorted(weights, key=lambda s: (s is None, s or ""))
@@ -129,7 +128,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     spark = docs.sparkSession
     digits = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 10)
     place = F.conv(digits, 16, 10).cast("long") / (1 << 40)
-    counts = {r[0]: r[1] for r in docs.groupBy(F.col(source).cast("string")).agg(F.count("*")).limit(MAX_SOURCES + 1).collect()}
+    counts = {r[0]: r[1] for r in docs.groupBy(F.col(source).cast("string")).agg(F.count("*")).collect()}
     if weights is None:
         weights = {s: n**TEMPERATURE for s, n in counts.items()}
     if missing := [s for s in counts if s not in weights]:
@@ -141,9 +140,11 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     size = sum(slots.values())
     number_of = {s: k for k, s in enumerate(slots)}
     ranges = {s: max(1, int(counts.get(s, 0) ** 0.5)) for s in slots}
-    sources = F.broadcast(spark.createDataFrame(  # bounded by MAX_SOURCES
+    sources = spark.createDataFrame(
         [(s, number_of[s], n, ranges[s]) for s, n in slots.items()], "__source string, __k int, __n int, __ranges int"
-    ))
+    )
+    if len(slots) <= BROADCAST_SOURCES:
+        sources = F.broadcast(sources)
     rows = docs.select(*own, place.alias("__at")).join(sources, F.col(source).cast("string").eqNullSafe(F.col("__source")))
     rows = rows.withColumn("__range", F.floor(F.col("__at") * F.col("__ranges")))
     sizes = rows.groupBy("__k", "__range").agg(F.count("*").alias("__size"))

@@ -24,3 +24,13 @@ def test_slots_joined_instead_of_broadcast(spark, monkeypatch):
     one = mixing.mix(data, block=2).collect()
     monkeypatch.setattr(mixing, "BROADCAST_SLOTS", 0)
     assert sorted(map(tuple, mixing.mix(data, block=2).collect())) == sorted(map(tuple, one))
+
+
+def test_more_sources_than_are_broadcast(spark):
+    n = mixing.BROADCAST_SOURCES + 2_000
+    data = spark.range(n + 5).selectExpr("id as doc_id", f"case when id % {n} = 3 then null else concat('host', id % {n}) end as source")
+    got = mixing.mix(data, block=1).collect()
+    assert len(got) == n + 5 and len({r.mix_slot for r in got}) == n + 5
+    assert Counter(r.mix_place for r in got) == {0: n + 5}
+    assert sum(r.source is None for r in got) == 2
+    assert all(r.mix_release <= r.mix_slot < r.mix_deadline for r in got)
