@@ -35,6 +35,7 @@ _HEX = re.compile(r"[0-9a-f]{24,}")  # a run that is long enough is found whole
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
 # Added kinds: prefixed service tokens, signed web tokens, logins in addresses, key blocks.
+# The SQL reads all four; the scan reads the last two whole, as _LOGIN and by _key_blocks.
 _MORE = (
     (3, re.compile(r"\b(?:gh[oprsu]_|glpat-|xox[abprs]-|sk_live_)[A-Za-z0-9_-]{16,}", re.A), 0),
     (4, re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0),
@@ -42,12 +43,39 @@ _MORE = (
     (6, re.compile(r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\x09-\x0D\x20]*"), 0),
 )
 
+_LOGIN = re.compile(r"://[^\x09-\x0D\x20/:@]++:([^\x09-\x0D\x20/:@]{6,}+)@")
+_KEY_EDGE = re.compile(r"-----(BEGIN|END) (?:[A-Z0-9]+ ){0,3}PRIVATE KEY(?: BLOCK)?-----")
+# Line ends, also as written in string literals; the headers and the body of a key.
+_EOL = r"(?:\r?\n|\r|(?:\\r)?\\n)"
+_KEY_HEADERS = re.compile(rf"[\x09\x20]*+{_EOL}(?:[A-Za-z][A-Za-z-]*+:[^\r\n\\]*+{_EOL})*+")
+_KEY_BODY = re.compile(r"(?:[A-Za-z0-9+/=\x09-\x0D\x20]|\\[nr])*+")
+_KEY_BREAK = re.compile(r"\\[nr]|[^A-Za-z0-9+/=]")
+
 #: Bits per character from which a value looks random.
 LIVE_BITS = 2.8
 #: Owners above which a value counts as a widely copied example.
 MAX_OWNERS = 2
 
 
+def _key_blocks(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, body) of the private keys: from BEGIN to END or, where another one
+    begins before an END or none comes, through headers and body as far as they go. The
+    body is without headers and line ends; a block without one stands for itself."""
+    edges = list(_KEY_EDGE.finditer(text))
+    for k, m in enumerate(edges):
+        if m[1] != "BEGIN":
+            continue
+        follows = edges[k + 1] if k + 1 < len(edges) else None
+        stop = follows.start() if follows else len(text)
+        headers = _KEY_HEADERS.match(text, m.end(), stop)
+        begin = headers.end() if headers else m.end()
+        if follows and follows[1] == "END":
+            end = follows.end()
+        else:
+            end = stop = _KEY_BODY.match(text, begin, stop).end()
+        yield m.start(), end, _KEY_BREAK.sub("", text[begin:stop]) or text[m.start() : end]
+
+
 def find(text: str) -> list[tuple[int, int, int, str]]:
     """(start, number of the kind, end, value) of the candidates, in that order."""
     out = []
@@ -57,8 +85,10 @@ def find(text: str) -> list[tuple[int, int, int, str]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end(), m[0]) for m in _ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     out += [(m.start(), 2, m.end(), m[0]) for m in _HEX.finditer(text)]
-    for kind, pattern, group in _MORE:
+    for kind, pattern, group in (*_MORE[:2], (5, _LOGIN, 1)):
         out += [(m.start(), kind, m.end(), m[group]) for m in pattern.finditer(text)]
+    if "PRIVATE KEY" in text:
+        out += [(start, 6, end, body) for start, end, body in _key_blocks(text)]
     return sorted(out)
 
 
