@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contamination, fingerprints, language, licenses, lines, minhash, mixing, oracles, personal, quality, secrets
+from . import contamination, fingerprints, language, licenses, lines, minhash, mixing, oracles, personal, quality, secrets, sentencepieces
 from .common import read
 
 
@@ -62,11 +62,20 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.personal_data(read(spark, sf_dir, "documents", "doc_id", "text")).drop("n_iban", "n_social", "scores")
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every text, and the text of these ids."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return sentencepieces.digests(sentencepieces.decode(sentencepieces.encode(docs, model), model))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_pfair_mixing, op3_secret_scan, op4_scaled_fingerprints, op5_language_id,
-        op6_decontamination, op7_license_scan, op8_line_dedup, op9_quality, op10_personal_data,
+        op6_decontamination, op7_license_scan, op8_line_dedup, op9_quality, op10_personal_data, op12_sentencepiece,
     )
 }
 ORACLES: dict[str, str] = {
