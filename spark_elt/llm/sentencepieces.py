@@ -6,7 +6,9 @@ equals; the best pair is merged and its new neighbours join the agenda, until no
 left. What is no piece then becomes its bytes. No merge crosses a place where no piece
 holds a space mark after another character, nor a character that no longer piece has, so
 a text is cut there and equal cuts are merged once and remembered (at most ``REMEMBERED``
-short ones at a time; forgetting costs time only).
+short ones at a time; forgetting costs time only). The agendas of the short cuts of one
+length, new in a batch, lie side by side in a matrix, from each row of which the best
+pair is taken at a time; a longer cut has a heap.
 
 The sentencepiece library encodes and decodes every Arrow batch as well; a difference
 fails the job with both results. The model file travels with the job, so that workers
@@ -22,7 +24,9 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -34,8 +38,10 @@ from .text import buffers, slices
 
 SPACE = "▁"
 #: Cuts kept in memory by a worker, and the longest of them.
-REMEMBERED = 1 << 17
-LONGEST = 64
+REMEMBERED = 1 << 19
+LONGEST = 32
+#: Rank of a pair that is no piece.
+NEVER = np.iinfo(np.int32).max
 #: Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Text bytes that are encoded and checked at a time.
@@ -73,7 +79,69 @@ class Vocabulary:
         self.kinds = [p.type for p in proto.pieces]
         self.marked = [p.type == NORMAL and p.piece.startswith(SPACE) for p in proto.pieces]
         self.cuts = self._cuts()
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self._pairs()
+
+    def _pairs(self) -> None:
+        """Numbers of the symbols (pieces and their characters) and, sorted by (left,
+        right), all pairs that make a piece: its number, and its rank by score."""
+        symbols = sorted({*self.ids, *(c for p in self.ids for c in p)})
+        self.symbols = symbols
+        self.number = {s: i for i, s in enumerate(symbols)}
+        order = {s: i for i, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        rules = sorted(
+            (self.number[p[:k]] * len(symbols) + self.number[p[k:]], self.number[p], order[self.scores[p]])
+            for p in self.ids for k in range(1, len(p)) if p[:k] in self.number and p[k:] in self.number
+        )
+        table = np.array(rules, np.int64).reshape(-1, 3)
+        self.pair_keys = np.append(table[:, 0], np.iinfo(np.int64).max)
+        self.pair_makes = np.append(table[:, 1], -1)
+        self.pair_ranks = np.append(table[:, 2], NEVER).astype(np.int32)
+        codes = [ord(s) for s in symbols if len(s) == 1]
+        self.of_code = np.full(max(codes, default=0) + 2, -1, np.int32)
+        self.of_code[codes] = [self.number[chr(c)] for c in codes]
+        #: Token of each symbol, -1 where it is written as bytes.
+        self.token = np.array([self.ids.get(s, -1) for s in symbols], np.int32)
+
+    def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of pairs of symbol numbers (-1: none) and the numbers of what they make."""
+        keys = left.astype(np.int64) * len(self.symbols) + right
+        at = np.searchsorted(self.pair_keys, keys)
+        hit = (left >= 0) & (right >= 0) & (self.pair_keys[at] == keys)
+        return np.where(hit, self.pair_ranks[at], NEVER), self.pair_makes[at]
+
+    def _merge_all(self, cuts: list[str], n: int) -> None:
+        """Merge ``cuts`` of ``n`` characters, an agenda a row, and remember their ids."""
+        codes = np.frombuffer("".join(cuts).encode("utf-32-le"), np.uint32).reshape(-1, n)
+        at = self.of_code[np.minimum(codes, len(self.of_code) - 1)]
+        ends = np.full(len(cuts), n)
+        agenda = np.full((len(cuts), n), NEVER, np.int32)
+        agenda[:, :-1] = self._look(at[:, :-1].ravel(), at[:, 1:].ravel())[0].reshape(-1, n - 1)
+        live, column = np.arange(len(cuts)), np.arange(n - 1)
+        while True:
+            ranks = agenda[live]
+            left = ranks.argmin(axis=1)
+            some = np.flatnonzero(ranks[np.arange(len(live)), left] < NEVER)
+            if not len(some):
+                break
+            if len(some) < len(live):
+                live, left, ranks = live[some], left[some], ranks[some]
+            row, here = at[live], np.arange(len(live))
+            made = self._look(row[here, left], row[here, left + 1])[1]
+            after = column > left[:, None]
+            np.copyto(row[:, :-1], row[:, 1:], where=after)
+            np.copyto(ranks[:, :-1], ranks[:, 1:], where=after)
+            row[:, -1], ranks[:, -1] = -1, NEVER
+            row[here, left] = made
+            ranks[here, left] = self._look(made, np.where(left + 1 < n, row[here, np.minimum(left + 1, n - 1)], -1))[0]
+            before = np.flatnonzero(left > 0)
+            ranks[before, left[before] - 1] = self._look(row[before, left[before] - 1], made[before])[0]
+            at[live], agenda[live] = row, ranks
+            ends[live] -= 1
+        tokens = np.where(at >= 0, self.token[at], -1)
+        odd = ((tokens < 0) & (np.arange(n) < ends[:, None])).any(axis=1)
+        self.known.update(zip(cuts, (tuple(t[:end]) for t, end in zip(tokens.tolist(), ends.tolist()))))
+        self.known.update((cuts[i], self._tokens(self.pieces(cuts[i]))) for i in np.flatnonzero(odd).tolist())
 
     def _cuts(self) -> re.Pattern:
         """The pattern of the parts of a text that merge by themselves."""
@@ -114,30 +182,42 @@ class Vocabulary:
                         heapq.heappush(agenda, (-score, a, b, len(at[a]) + len(at[b])))
         return [p for p in at if p]
 
-    def _part(self, symbols: str) -> list[int]:
-        found = self.known.get(symbols)
-        if found is None:
-            found = []
-            for piece in self.pieces(symbols):
-                known = self.ids.get(piece)
-                found += [known] if known is not None else [self.bytes[b] for b in piece.encode()]
-            if len(symbols) <= LONGEST:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[symbols] = found
-        return found
-
-    def encode(self, text: str, end: bool = True) -> list[int]:
-        """Ids of ``text``, with the id of the end of a text if ``end``."""
+    def _tokens(self, pieces: list[str]) -> tuple[int, ...]:
         out: list[int] = []
-        if text:
-            part = self._part
-            for cut in self.cuts.findall(self.prefix + text.replace(" ", SPACE)):
-                out += part(cut)
-        if end:
-            out.append(self.end)
+        for piece in pieces:
+            known = self.ids.get(piece)
+            out += [known] if known is not None else [self.bytes[b] for b in piece.encode()]
+        return tuple(out)
+
+    def _learn(self, cuts: Iterable[str]) -> None:
+        """Remember the ids of ``cuts``."""
+        sizes: dict[int, list[str]] = {}
+        for cut in cuts:
+            sizes.setdefault(len(cut), []).append(cut)
+        for n, some in sizes.items():
+            if 1 < n <= LONGEST:
+                self._merge_all(some, n)
+            else:
+                self.known.update((c, self._tokens(self.pieces(c))) for c in some)
+
+    def encode_all(self, texts: list[str], end: bool = True) -> list[list[int]]:
+        """Ids of each text, with the id of the end of a text if ``end``."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        split = [self.cuts.findall(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
+        new = set(chain.from_iterable(split)) - known.keys()
+        self._learn(new)
+        last = [self.end] if end else []
+        out = [[*chain.from_iterable(map(known.__getitem__, cuts)), *last] for cuts in split]
+        for cut in [c for c in new if len(c) > LONGEST]:
+            del known[cut]
         return out
 
+    def encode(self, text: str, end: bool = True) -> list[int]:
+        """Ids of one text."""
+        return self.encode_all([text], end)[0]
+
     def decode(self, ids: Iterable[int]) -> str:
         """Text of ``ids``: pieces with their space marks as blanks, bytes joined to
         characters (those that make none become U+FFFD), no mark before the first."""
@@ -226,7 +306,7 @@ def encode(docs: DataFrame, model_path: str, check: bool = True) -> DataFrame:
             _, offsets = buffers(batch.column(1))
             for lo, hi in slices(offsets, STEP):
                 texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                ids = [words.encode(t) for t in texts]
+                ids = words.encode_all(texts)
                 if check:
                     _same("encoding", texts, ids, words.library.encode(texts, add_eos=True, num_threads=1))
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])

@@ -56,7 +56,10 @@ def test_as_library(text):
     assert ids == words.library.encode(text, add_eos=True)
     assert words.decode(ids) == words.library.decode(ids)
     symbols = words.prefix + text.replace(" ", sp.SPACE) if text else ""
-    assert [p for cut in words.cuts.findall(symbols) for p in words.pieces(cut)] == plain_pieces(words, symbols)
+    cuts = words.cuts.findall(symbols)
+    assert [p for cut in cuts for p in words.pieces(cut)] == plain_pieces(words, symbols)
+    words._learn(set(cuts))
+    assert all(words.known[c] == words._tokens(words.pieces(c)) for c in cuts)
 
 
 _KEPT = []
@@ -86,9 +89,10 @@ def test_long_texts(words):
 def test_memory_is_bounded(words, monkeypatch):
     monkeypatch.setattr(sp, "REMEMBERED", 10)
     words.known.clear()
-    text = " ".join(f"word{i}x{i * 7}" for i in range(200))
-    assert words.encode(text) == words.library.encode(text, add_eos=True)
-    assert len(words.known) <= 10
+    for i in range(100):
+        text = " ".join(f"word{i}x{i * j}" for j in range(3))
+        assert words.encode(text) == words.library.encode(text, add_eos=True)
+        assert len(words.known) <= 40
 
 
 def test_table(spark, docs):  # noqa: F811
