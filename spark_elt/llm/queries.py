@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contamination, fingerprints, language, licenses, lines, minhash, mixing, oracles, personal, quality, secrets, sentencepieces
+from . import contamination, conversation_oracles, fingerprints, language, licenses, lines, minhash, mixing, oracles, personal, quality, repair, secrets, sentencepieces, trie
 from .common import read
 
 
@@ -62,6 +62,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.personal_data(read(spark, sf_dir, "documents", "doc_id", "text")).drop("n_iban", "n_social", "scores")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return trie.conversation_trie(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every text, and the text of these ids."""
     import public_tokenizers
@@ -71,11 +76,16 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digests(sentencepieces.decode(sentencepieces.encode(docs, model), model))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after the damage."""
+    return repair.repairs(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_pfair_mixing, op3_secret_scan, op4_scaled_fingerprints, op5_language_id,
-        op6_decontamination, op7_license_scan, op8_line_dedup, op9_quality, op10_personal_data, op12_sentencepiece,
+        op6_decontamination, op7_license_scan, op8_line_dedup, op9_quality, op10_personal_data, op11_prefix_trie, op12_sentencepiece, op13_conversation_repair,
     )
 }
 ORACLES: dict[str, str] = {
@@ -86,4 +96,6 @@ ORACLES: dict[str, str] = {
     "op7_license_scan": oracles.LICENSES,
     "op8_line_dedup": lines.ORACLE,
     "op10_personal_data": oracles.PERSONAL,
+    "op11_prefix_trie": conversation_oracles.TRIE,
+    "op13_conversation_repair": conversation_oracles.REPAIR,
 }
