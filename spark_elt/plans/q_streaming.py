@@ -1,9 +1,11 @@
-"""Registered streaming queries (I12, I13, I17). Each runs its stream twice with
+"""Registered streaming queries (I12, I13, I16–I18). Each runs its stream twice with
 ``availableNow`` over input files that Spark writes from the driver tables (new
 files arrive between the runs) and returns the final table."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -21,6 +23,7 @@ from spark_elt.plans.q_incremental import _ORD, _ord
 from spark_elt.plans.registry import register
 from spark_elt.session import scratch_dir
 from spark_elt.streaming.ingest import ingest_new_files, stream_fold_node_runs, stream_upsert
+from spark_elt.streaming.runlog import CLOSED, stream_node_output, stream_open_runs
 
 
 @register("stream_only_new", "SELECT event_id, ts, user_id, event_type, value FROM events")
@@ -96,3 +99,77 @@ def stream_fold_node_runs_q(spark, sf_dir):
     ev.where(F.col("ts") >= cut).write.mode("append").parquet(src)
     stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), tgt, ck, stg, runs_per_partition=20_000)
     return spark.read.parquet(tgt).select(*NODE_RUN_SCHEMA.fieldNames()).withColumnRenamed("path_key", "node_path")
+
+
+def _arrivals(spark, sf_dir, run, *kinds):
+    """Run the stream ``run(events)`` on the events before 2024-01-15, and again when the
+    later ones have come; a file holds the events of some days, in the order of time."""
+    src = scratch_dir(spark, "run_events")
+    ev = fx.run_events(spark, sf_dir).where(F.col("event").isin(*kinds)).withColumn("path_key", F.array_join("node_path", "/"))
+    ev = ev.drop("node_path")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    for part in (ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)):
+        part.repartitionByRange("ts").write.mode("append").parquet(src)
+        schema = spark.read.parquet(src).schema
+        run(spark.readStream.schema(schema).parquet(src))
+
+
+@register(
+    "stream_fold_output",
+    with_views(["node_run", "node_output"], """SELECT o.* FROM node_output o JOIN node_run n ON n.node_run_id = o.node_run_id
+WHERE n.end_time IS NOT NULL"""),
+)
+def stream_fold_output(spark, sf_dir):
+    """I16: output lines are stored when their node finishes, those of unfinished nodes never."""
+    sink, ck = scratch_dir(spark, "output_sink"), scratch_dir(spark, "output_ck")
+    _arrivals(spark, sf_dir, lambda ev: stream_node_output(spark, ev, sink, ck), "Output", "NodeStarted", "NodeFinished")
+    return spark.read.schema(
+        "node_output_id long, node_run_id long, timestamp timestamp_ntz, message string, format string, is_error boolean"
+    ).parquet(sink)
+
+
+SILENCE = dt.timedelta(days=3)
+
+_CLOSE_D = with_views(
+    ["run", "node_run"],
+    """SELECT 'node_run' AS kind, run_id, path_key, node_run_id, start_time,
+  CASE WHEN closed THEN last + INTERVAL 3 DAYS ELSE end_time END AS end_time,
+  CASE WHEN closed THEN FALSE ELSE succeeded END AS succeeded, is_pipeline, closed AS timed_out
+FROM (SELECT n.*, array_to_string(n.node_path, '/') AS path_key, s.last,
+        coalesce(f.stretch <> s.stretch, TRUE) AS closed, s.over
+      FROM node_run n JOIN stretches s ON s.run_id = n.run_id AND n.start_time BETWEEN s.first AND s.last
+      LEFT JOIN stretches f ON f.run_id = n.run_id AND n.end_time BETWEEN f.first AND f.last)
+WHERE NOT closed OR over
+UNION ALL
+SELECT 'run', r.run_id, NULL, NULL, r.start_time,
+  CASE WHEN closed THEN last + INTERVAL 3 DAYS ELSE end_time END, CASE WHEN closed THEN FALSE ELSE succeeded END, NULL, closed
+FROM (SELECT r.*, s.last, s.over, coalesce(f.stretch <> s.stretch, TRUE) AS closed
+      FROM run r JOIN stretches s ON s.run_id = r.run_id AND r.start_time BETWEEN s.first AND s.last
+      LEFT JOIN stretches f ON f.run_id = r.run_id AND r.end_time BETWEEN f.first AND f.last) r
+WHERE NOT closed OR over
+UNION ALL
+SELECT 'run', r.run_id, NULL, NULL, NULL, r.end_time, r.succeeded, NULL, FALSE
+FROM run r JOIN stretches s ON s.run_id = r.run_id AND r.start_time BETWEEN s.first AND s.last
+  JOIN stretches f ON f.run_id = r.run_id AND r.end_time BETWEEN f.first AND f.last AND f.stretch <> s.stretch""",
+    [
+        ("heard", """SELECT run_id, start_time AS ts FROM run UNION ALL SELECT run_id, end_time FROM run WHERE end_time IS NOT NULL
+UNION ALL SELECT run_id, start_time FROM node_run UNION ALL SELECT run_id, end_time FROM node_run WHERE end_time IS NOT NULL"""),
+        ("stretched", """SELECT run_id, ts, sum(CASE WHEN ts > before + INTERVAL 3 DAYS THEN 1 ELSE 0 END)
+  OVER (PARTITION BY run_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stretch
+FROM (SELECT *, lag(ts) OVER (PARTITION BY run_id ORDER BY ts) AS before FROM heard)"""),
+        ("stretches", """SELECT run_id, stretch, min(ts) AS first, max(ts) AS last,
+  max(ts) + INTERVAL 3 DAYS < (SELECT max(ts) FROM heard) - INTERVAL 1 HOUR
+    OR stretch < max(stretch) OVER (PARTITION BY run_id) AS over
+FROM (SELECT run_id, ts, max(stretch) OVER (PARTITION BY run_id, ts) AS stretch FROM stretched) GROUP BY run_id, stretch"""),
+    ],
+)
+
+
+@register("stream_close_open_runs", _CLOSE_D)
+def stream_close_open_runs(spark, sf_dir):
+    """Finished node runs and runs leave the state; what is open in a run of which
+    nothing is heard for three days is closed as failed by the run's timer."""
+    sink, ck = scratch_dir(spark, "open_sink"), scratch_dir(spark, "open_ck")
+    kinds = ("RunStarted", "RunFinished", "NodeStarted", "NodeFinished")
+    _arrivals(spark, sf_dir, lambda ev: stream_open_runs(spark, ev, sink, ck, SILENCE), *kinds)
+    return spark.read.schema(CLOSED).parquet(sink)
