@@ -304,7 +304,7 @@ def merge_explicit(target: DataFrame, delta: DataFrame, keys: Sequence[str]) ->
 
 def upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequence[str], staging: str,
            partition_by: Sequence[str] | None = None, dedup_by: str | None = None, explicit: bool = False,
-           fmt: str = "parquet", resume: bool = False, version: str | None = None) -> None:
+           fmt: str = "parquet", resume: bool = False, version: str | None = None, discard: bool = False) -> None:
     """Keyed upsert into a parquet target (I09/I10) without MERGE.
 
     The delta is written to ``staging`` once and read from there, so a changing source
@@ -314,26 +314,32 @@ def upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequen
     and rewritten (dynamic overwrite); a partition left without rows is removed. With
     ``version`` a stored row of a higher version stays.
 
-    Crash safety: retry a failed upsert with the same ``staging`` and ``resume=True``.
-    A committed staging result is then copied again instead of being recomputed
-    from a target the failed copy may have left incomplete. A finished upsert removes
-    its staging."""
+    Crash safety: retry a failed upsert with the same ``staging``. A merge that is
+    complete there may be the only whole copy of a target that the failed copy left
+    incomplete, so it is finished first, whatever the call; ``discard`` throws it away
+    instead. With ``resume`` the delta is known to be the one of that merge, which then is
+    all that is done. A finished upsert removes its staging."""
     staging = staging.rstrip("/")
-    if not (resume and staged(spark, staging)):
-        file_system.delete(spark, staging)
-        if dedup_by:
-            delta = latest_per_key(delta, keys, dedup_by)
-        delta.write.format("parquet").save(f"{staging}/delta")
-        delta = spark.read.schema(delta.schema).parquet(f"{staging}/delta")
-        if not dedup_by and not explicit:
-            check_unique(delta, keys)
-        _stage(spark, target_path, delta, keys, staging, list(partition_by or []), explicit, fmt, version)
+    if staged(spark, staging) and not discard:
+        finish_staged(spark, target_path, staging, partition_by, fmt)
+        if resume:
+            return
+    file_system.delete(spark, staging)
+    if dedup_by:
+        delta = latest_per_key(delta, keys, dedup_by)
+    delta.write.format("parquet").save(f"{staging}/delta")
+    delta = spark.read.schema(delta.schema).parquet(f"{staging}/delta")
+    if not dedup_by and not explicit:
+        check_unique(delta, keys)
+    _stage(spark, target_path, delta, keys, staging, list(partition_by or []), explicit, fmt, version)
     finish_staged(spark, target_path, staging, partition_by, fmt)
 
 
 def staged(spark: SparkSession, staging: str) -> bool:
-    """Whether ``staging`` holds a merge that is complete but perhaps not yet copied."""
-    return file_system.committed(spark, f"{staging.rstrip('/')}/merged")
+    """Whether ``staging`` holds a merge, or a checked full load, that is complete but
+    perhaps not yet copied."""
+    staging = staging.rstrip("/")
+    return file_system.committed(spark, f"{staging}/merged") or file_system.exists(spark, f"{staging}/_checked")
 
 
 def _stage(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequence[str], staging: str,
@@ -363,15 +369,19 @@ def _stage(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequen
 
 def finish_staged(spark: SparkSession, target_path: str, staging: str, partition_by: Sequence[str] | None = None,
                   fmt: str = "parquet") -> None:
-    """Copy a complete staged merge over the target and remove the staging. Doing so
-    twice gives the same target."""
+    """Copy a complete staged merge, or a full load, over the target and remove the
+    staging. Doing so twice gives the same target."""
     staging = staging.rstrip("/")
     parts = list(partition_by or [])
-    merged = spark.read.format(fmt).load(f"{staging}/merged")
+    whole = file_system.exists(spark, f"{staging}/_checked")
+    merged = spark.read.format(fmt).load(f"{staging}/full" if whole else f"{staging}/merged")
     w = merged.select([c for c in merged.columns if c not in parts] + parts).write.format(fmt).mode("overwrite")
     if parts:
-        w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+        w = w.partitionBy(*parts).option("partitionOverwriteMode", "static" if whole else "dynamic")
     w.save(target_path)
+    if whole:
+        file_system.delete(spark, staging)
+        return
     for row in spark.read.schema("path string").parquet(f"{staging}/emptied").toLocalIterator():
         file_system.delete_file(spark, row.path)
     file_system.delete(spark, staging)
@@ -379,6 +389,44 @@ def finish_staged(spark: SparkSession, target_path: str, staging: str, partition
 
 # ------------------------------------------------------------ CopyIncrementally
 
+def full_load(spark: SparkSession, rows: DataFrame, target_path: str, keys: Sequence[str], staging: str,
+              partition_by: Sequence[str] | None = None, dedup_by: str | None = None, unique: bool = True,
+              fmt: str = "parquet") -> None:
+    """Replace the target by ``rows`` (I08b): the newest row per key with ``dedup_by``, else
+    with ``unique`` a key that two rows have fails, as a primary key would.
+
+    A target without data is written at once and emptied again on such a failure. One that
+    has data stays as it is until the new rows are written to ``staging`` and checked."""
+    staging = staging.rstrip("/")
+    file_system.delete(spark, staging)
+    fresh = not file_system.has_data(spark, target_path)
+    place = target_path if fresh else f"{staging}/full"
+    out = latest_per_key(rows, keys, dedup_by) if dedup_by else rows
+    w = out.write.mode("overwrite").format(fmt)
+    (w.partitionBy(*partition_by) if partition_by else w).save(place)
+    if unique and not dedup_by:
+        try:
+            check_unique(spark.read.format(fmt).load(place).select(*keys), keys)
+        except ValueError:
+            file_system.delete(spark, place)
+            raise
+    if not fresh:
+        file_system.create_new(spark, f"{staging}/_checked")
+        finish_staged(spark, target_path, staging, partition_by, fmt)
+
+
+def comparison_value(rows: DataFrame, expr: str) -> str | None:
+    """``max(expr)`` as text that reads as the same value in every session: an instant
+    (TIMESTAMP) with the offset of UTC, other types as Spark writes them."""
+    greatest = rows.select(F.max(F.expr(expr)).alias("m"))
+    if isinstance(greatest.schema["m"].dataType, TimestampType):
+        micros = greatest.select(F.unix_micros("m").alias("m")).first()["m"]
+        if micros is None:
+            return None
+        return f"{dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)}+00:00"
+    return greatest.select(F.col("m").cast("string").alias("m")).first()["m"]
+
+
 def copy_incrementally(
     spark: SparkSession,
     source: DataFrame | Callable[[str], DataFrame],
@@ -408,8 +456,9 @@ def copy_incrementally(
        nothing to copy, succeed). 2. target empty? 3. stored last value.
     4. Empty target or no/'' stored value: full load (stale value deleted first).
        Otherwise: delta = rows with ``expr >= last`` (inclusive; pushed into the
-       source scan), upserted by ``keys``. 5. The max from step 1 is stored last,
-       so a crash before it repeats the load. Returns 'empty', 'full' or 'delta'.
+       source scan), upserted by ``keys``. Both refuse two rows with one key, or keep the
+       newest by ``dedup_by``. 5. The max from step 1 is stored last (instants with their
+       offset), so a crash before it repeats the load. Returns 'empty', 'full' or 'delta'.
     ``lookback`` (e.g. ``"INTERVAL 2 DAYS"``) widens the delta window so that late
     changes below the stored value are read again (off by default: such rows are then
     never re-read). With ``partition_by`` the target is partitioned and a delta rewrites
@@ -418,18 +467,15 @@ def copy_incrementally(
     if staged(spark, staging):
         finish_staged(spark, target_path, staging, partition_by, fmt)
     everything = read("(1=1)")
-    max_value = everything.select(F.max(F.expr(modification_expr)).cast("string").alias("m")).first()["m"]
-    if max_value is None:
+    greatest = comparison_value(everything, modification_expr)
+    if greatest is None:
         return "empty"
     target_empty = not file_system.has_data(spark, target_path) or spark.read.format(fmt).load(target_path).isEmpty()
     last = get_last_value(status, node_path, source_name)
     if target_empty or not last:
         if target_empty and last:
             delete_last_value(status, node_path, source_name)
-        w = everything.write.mode("overwrite").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(target_path)
+        full_load(spark, everything, target_path, keys, staging, partition_by, dedup_by, unique=not explicit, fmt=fmt)
         mode = "full"
     else:
         typ = comparison_type or everything.select(F.expr(modification_expr).alias("e")).schema["e"].dataType.simpleString()
@@ -438,7 +484,7 @@ def copy_incrementally(
         upsert(spark, target_path, read(f"({modification_expr} >= {bound})"), keys, staging, partition_by=partition_by,
                dedup_by=dedup_by, explicit=explicit, fmt=fmt)
         mode = "delta"
-    set_last_value(status, node_path, source_name, max_value)
+    set_last_value(status, node_path, source_name, greatest)
     return mode
 
 

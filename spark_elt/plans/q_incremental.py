@@ -247,6 +247,20 @@ def copy_incrementally_sql(spark, sf_dir):
     return _ord(spark.read.parquet(target))
 
 
+@register(
+    "copy_incrementally_dedup",
+    with_views(["orders_v2"], f"SELECT {_ORD_COLS} FROM orders_v2"),
+)
+def copy_incrementally_dedup(spark, sf_dir):
+    """I08 over a source that has both snapshots of the orders, two rows for most keys: the
+    first (full) load keeps the newest per key."""
+    both = fx.orders_v1(spark, sf_dir).withColumn("snapshot", F.lit(1)).unionByName(fx.orders_v2(spark, sf_dir).withColumn("snapshot", F.lit(2)))
+    target, staging = scratch_dir(spark, "dedup_target"), scratch_dir(spark, "dedup_staging")
+    st = inc.StateTable(spark, scratch_dir(spark, "dedup_status"), inc.COPY_STATUS, ["node_path", "source_table"])
+    inc.copy_incrementally(spark, both, target, "o_orderdate", ["o_orderkey"], st, ["copy_orders"], "db.orders", staging, dedup_by="snapshot")
+    return _ord(spark.read.parquet(target))
+
+
 @register("copy_incrementally_empty", with_views(["orders_v1"], f"SELECT {_ORD_COLS} FROM orders_v1"))
 def copy_incrementally_empty(spark, sf_dir):
     """A source without rows (max is NULL) changes nothing and succeeds."""

@@ -151,3 +151,93 @@ def test_sql_source(spark):
     assert rows(spark.read.parquet(target).select("k", "v")) == [(1, "a"), (2, "b2")]
     with pytest.raises(ValueError):
         inc.sql_source(spark, "SELECT 1")
+
+
+def _copier(spark, staging=None):
+    target, stg = scratch_dir(spark, "cp"), staging or scratch_dir(spark, "cp_stg")
+    st = inc.StateTable(spark, scratch_dir(spark, "cp_st"), inc.COPY_STATUS, ["node_path", "source_table"])
+
+    def copy(src, expr="k", **more):
+        return inc.copy_incrementally(spark, src, target, expr, ["k"], st, ["n"], "s", stg, **more)
+
+    return target, st, copy
+
+
+def test_full_load_refuses_duplicate_keys(spark):
+    target, st, copy = _copier(spark)
+    twice = frame(spark, [(1, "a", "x"), (1, "b", "y"), (2, "c", "x")])
+    with pytest.raises(ValueError, match="duplicate keys"):
+        copy(twice)
+    assert not file_system.has_data(spark, target) and inc.get_last_value(st, ["n"], "s") is None
+    assert copy(twice, dedup_by="v") == "full"
+    assert rows(spark.read.parquet(target)) == [(1, "b", "y"), (2, "c", "x")]
+    assert copy(frame(spark, [(2, "d", "x"), (2, "e", "x")]), dedup_by="v") == "delta"
+    assert rows(spark.read.parquet(target)) == [(1, "b", "y"), (2, "e", "x")]
+    # without a stored value a full load replaces what is there, once it is checked
+    inc.delete_last_value(st, ["n"], "s")
+    with pytest.raises(ValueError, match="duplicate keys"):
+        copy(twice)
+    assert rows(spark.read.parquet(target)) == [(1, "b", "y"), (2, "e", "x")]
+    _, _, explicit = _copier(spark)
+    assert explicit(twice, explicit=True) == "full"  # a target without a unique key
+
+
+@pytest.mark.parametrize("parts", [None, ["p"]])
+def test_failing_full_load_leaves_the_target(spark, monkeypatch, parts):
+    target, st, copy = _copier(spark)
+    copy(frame(spark, [(1, "a", "x"), (2, "b", "y")]), partition_by=parts)
+    inc.delete_last_value(st, ["n"], "s")
+    fails = spark.range(5, 9).select(F.col("id").alias("k"), F.when(F.col("id") < 8, "v").otherwise(F.raise_error(F.lit("gone"))).alias("v"), F.lit("x").alias("p"))
+    with pytest.raises(Exception, match="gone"):
+        copy(fails, partition_by=parts)
+    assert rows(spark.read.parquet(target).select("k", "v", "p")) == [(1, "a", "x"), (2, "b", "y")]
+    finish = inc.finish_staged
+
+    def crash(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(inc, "finish_staged", crash)
+    with pytest.raises(OSError):
+        copy(frame(spark, [(3, "c", "x")]), partition_by=parts)
+    monkeypatch.setattr(inc, "finish_staged", finish)
+    assert copy(frame(spark, [(3, "c", "x")]), partition_by=parts) == "full"
+    assert rows(spark.read.parquet(target).select("k", "v", "p")) == [(3, "c", "x")]
+
+
+def test_instants_are_stored_with_their_offset(spark):
+    target, st, copy = _copier(spark)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+
+    def source(*times):
+        return spark.createDataFrame([(i, t) for i, t in times], "k long, text string").select("k", F.to_timestamp("text").alias("m"))
+
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert copy(source((1, "2024-05-01 10:00:00.000001+00:00")), "m") == "full"
+        assert inc.get_last_value(st, ["n"], "s") == "2024-05-01 10:00:00.000001+00:00"
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert copy(source((1, "2024-05-01 10:00:00.000001+00:00"), (2, "2024-05-01 12:00:00+00:00")), "m") == "delta"
+        assert spark.read.parquet(target).count() == 2
+        assert inc.get_last_value(st, ["n"], "s") == "2024-05-01 12:00:00+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_plain_retry_keeps_the_whole_copy(spark, monkeypatch):
+    """A target that a broken copy left without its data is whole after any later upsert
+    with the same staging."""
+    target, staging = scratch_dir(spark, "rt"), scratch_dir(spark, "rt_stg")
+    frame(spark, [(1, "a", "x"), (2, "b", "x")]).write.parquet(target)
+    finish = inc.finish_staged
+
+    def crash(*args):
+        file_system.delete(spark, target)
+        raise OSError("lost")
+
+    monkeypatch.setattr(inc, "finish_staged", crash)
+    with pytest.raises(OSError):
+        inc.upsert(spark, target, frame(spark, [(2, "B", "x")]), ["k"], staging)
+    monkeypatch.setattr(inc, "finish_staged", finish)
+    inc.upsert(spark, target, frame(spark, [(3, "c", "x")]), ["k"], staging)
+    assert rows(spark.read.parquet(target)) == [(1, "a", "x"), (2, "B", "x"), (3, "c", "x")]
+    assert not file_system.exists(spark, staging)
