@@ -56,14 +56,24 @@ def stream_upsert_q(spark, sf_dir):
     """The first snapshot arrives as one batch, the repriced orders (with
     an older copy of each, to be deduplicated by version) as the next. The target is
     partitioned by order year, so the second batch rewrites only the years it touches."""
+    return _two_snapshots(spark, sf_dir, partition_by=["o_year"])
+
+
+@register("stream_upsert_indexed", _UPSERT_D)
+def stream_upsert_indexed(spark, sf_dir):
+    """I13 as above into a target without partitions: a batch replaces the files that may
+    hold its keys, by the target's key index."""
+    return _two_snapshots(spark, sf_dir, indexed=True)
+
+
+def _two_snapshots(spark, sf_dir, **how):
     src, tgt, ck, stg = (scratch_dir(spark, n) for n in ("upsert_src", "upsert_tgt", "upsert_ck", "upsert_stg"))
     year = lambda df: df.withColumn("o_year", F.year("o_orderdate"))
     year(fx.orders_v1(spark, sf_dir)).withColumn("version", F.lit(1)).write.mode("append").parquet(src)
     schema = spark.read.parquet(src).schema
 
     def run():
-        stream_upsert(spark, spark.readStream.schema(schema).parquet(src), tgt, ["o_orderkey"], "version", ck, stg,
-                      partition_by=["o_year"])
+        stream_upsert(spark, spark.readStream.schema(schema).parquet(src), tgt, ["o_orderkey"], "version", ck, stg, **how)
 
     run()
     changed = year(fx.orders_v2(spark, sf_dir).where(F.col("o_orderkey") % 7 == 0))

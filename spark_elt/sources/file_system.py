@@ -74,3 +74,37 @@ def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or folder; one that is not there is fine."""
     fs, p = _open(spark, path)
     fs.delete(p, True)
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files in a folder and its folders, below it; none where it is not there."""
+    fs, p = _open(spark, path)
+    if not fs.exists(p):
+        return []
+    found, root = fs.listFiles(p, True), len(fs.makeQualified(p).toString()) + 1
+    out = []
+    while found.hasNext():
+        out.append(found.next().getPath().toString()[root:])
+    return out
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, making the folder it goes to; one already moved is fine."""
+    fs, p = _open(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not fs.exists(p) and fs.exists(to):
+        return
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"{source} cannot be moved to {target}")
+
+
+def plain_path(spark: SparkSession, path: str) -> str:
+    """The absolute path without scheme and authority, not encoded."""
+    fs, p = _open(spark, path)
+    return fs.makeQualified(p).toUri().getPath()
+
+
+def escaped(path: str) -> str:
+    """A path as a reader takes it, without glob patterns."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)

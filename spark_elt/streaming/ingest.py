@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spark_elt.operators.incremental import latest_per_key, upsert
+from spark_elt.operators.key_index import upsert_indexed
 from spark_elt.session import ship_code
 from spark_elt.sources import file_system
 
@@ -60,14 +61,19 @@ def _upsert_batch(spark: SparkSession, delta: DataFrame, target_path: str, keys:
 
 
 def stream_upsert(spark: SparkSession, source: DataFrame, target_path: str, keys: Sequence[str], order_by: str,
-                  checkpoint: str, staging_root: str, partition_by: Sequence[str] | None = None) -> None:
+                  checkpoint: str, staging_root: str, partition_by: Sequence[str] | None = None, indexed: bool = False) -> None:
     """Upsert every micro-batch of ``source`` into ``target_path`` by ``keys`` (I13). The
     newest row per key (``order_by``) wins, within a batch and against the stored row,
-    so the target keeps ``order_by``."""
+    so the target keeps ``order_by``. With ``indexed`` a batch reads and replaces only files
+    that may hold its keys, by the target's key index (``operators.key_index``)."""
     ship_code(spark)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         delta = latest_per_key(batch, keys, order_by)
+        if indexed:
+            upsert_indexed(spark, target_path, delta, keys, f"{staging_root.rstrip('/')}/batch={batch_id}", partition_by,
+                           version=order_by, resume=True)
+            return
         _upsert_batch(spark, delta, target_path, keys, staging_root, batch_id, partition_by, version=order_by)
 
     q = (
