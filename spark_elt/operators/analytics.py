@@ -181,16 +181,13 @@ def run_time_chart(node_run: DataFrame, path: Sequence[str], n: int = 8) -> Data
     )
 
 
-def system_stats(node_run: DataFrame, stats: DataFrame, path: Sequence[str], run_id, bucket_seconds: int = 3600,
+def system_stats(node_run: DataFrame, stats: DataFrame, path: Sequence[str], run_id, bucket_seconds: int = 4,
                  min_samples: int = 15) -> DataFrame:
     """Statistics samples taken while the node at ``path`` ran in run ``run_id``.
 
     The reference condition ``ts BETWEEN start AND end AND (stats.run_id = nr.run_id
-    OR stats.run_id = -1)`` would plan as a nested-loop join. It is split into two
-    disjoint equi-joins on a time bucket that each node run explodes over its
-    interval: (a) samples of the same run on (run_id, bucket); (b) sentinel samples
-    (run -1) on the bucket. Both keep the BETWEEN as a post-join filter. With
-    ``min_samples`` the rows are returned only when there are that many (P07)."""
+    OR stats.run_id = -1)`` would plan as a nested-loop join; see ``interval_join_stats``.
+    With ``min_samples`` the rows are returned only when there are that many (P07)."""
     return interval_join_stats(
         for_run(node_run.where(F.col("node_path") == path_literal(path)), run_id),
         stats,
@@ -202,31 +199,57 @@ def system_stats(node_run: DataFrame, stats: DataFrame, path: Sequence[str], run
 STAT_COLS = ["disc_read", "disc_write", "net_recv", "net_sent", "cpu_usage", "mem_usage", "swap_usage", "iowait"]
 
 
-def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 3600, min_samples: int = 0) -> DataFrame:
+def interval_cells(low: str, high: str) -> Column:
+    """The fewest cells that make up the whole numbers from ``low`` to ``high`` (columns), as
+    an array of (level, cell): a cell of level l has 4^l numbers and begins at a multiple of
+    that. An interval of n numbers has at most six cells a level, on log4(n) levels.
+
+    Level l has whole cells first..last; those that lie in whole cells of the next level are
+    left to it, so what remains are up to three at each end."""
+    def whole(level: str) -> tuple[str, str]:
+        return f"-shiftright(-{low}, 2 * ({level}))", f"shiftright({high} + 1, 2 * ({level})) - 1"
+
+    (first, last), (above, above_last) = whole("l"), whole("l + 1")
+    # one test for both ends: without a whole cell above, all cells of the level are its own
+    cells = f"""CASE WHEN {first} > {last} THEN array()
+      WHEN {above} > {above_last} THEN sequence({first}, {last})
+      ELSE concat(CASE WHEN {first} < 4 * ({above}) THEN sequence({first}, 4 * ({above}) - 1) ELSE array() END,
+                  CASE WHEN 4 * ({above_last}) + 4 <= {last} THEN sequence(4 * ({above_last}) + 4, {last}) ELSE array() END) END"""
+    levels = f"sequence(0, cast(log2({high} - {low} + 1) / 2 AS int))"
+    return F.expr(f"""CASE WHEN {low} <= {high}
+      THEN flatten(transform({levels}, l -> transform({cells}, c -> struct(l AS level, cast(c AS bigint) AS cell)))) END""")
+
+
+def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 4, min_samples: int = 0) -> DataFrame:
     """Interval join of node runs with statistics samples (J03); see ``system_stats``.
 
-    Both branches join on a time bucket: each node run is exploded over the buckets
-    its interval touches, each sample falls into one bucket. Samples of the same
-    run join on (run_id, bucket), sentinel samples (run -1) on the bucket alone.
-    Candidate pairs are thus limited to one bucket, so a run with very many samples
-    and node runs does not produce all its sample × node pairs before the BETWEEN
-    filter; only pairs that share an hour are compared."""
-    nr = nr.where(F.col("end_time").isNotNull()).select(
-        "node_run_id", F.col("run_id").alias("nr_run_id"), "start_time", "end_time"
-    )
-    between = (F.col("timestamp") >= F.col("start_time")) & (F.col("timestamp") <= F.col("end_time"))
+    Time is cut into cells of ``bucket_seconds`` and of 4, 16, 64 … times that. A node run
+    becomes the fewest cells that cover its interval (a year less than 70), a sample one
+    cell for each level that any run has. Samples of the same run join on (run_id, level, cell),
+    sentinel samples (run -1) on (level, cell). A pair of a run and a sample meets in one
+    cell, and nearly always belongs together: only the finest cells at the two ends of a run
+    have others, which the BETWEEN drops. So neither long runs nor many sentinel samples
+    make more pairs than there are results."""
     from spark_elt.functions.durations import wall_micros
 
     # wall-clock micros since 1970 (no session time zone involved)
-    bucket = lambda c: F.floor(wall_micros(c) / (bucket_seconds * 1_000_000))
-    nr_b = nr.withColumn("b", F.explode(F.sequence(bucket(F.col("start_time")), bucket(F.col("end_time")))))
-    s_b = stats.withColumn("b", bucket(F.col("timestamp")))
-    own = (
-        s_b.where(F.col("run_id") != -1)
-        .join(nr_b, (F.col("run_id") == F.col("nr_run_id")) & (s_b["b"] == nr_b["b"]))
-        .where(between)
+    finest = lambda c: F.floor(wall_micros(c) / (bucket_seconds * 1_000_000))
+    nr = nr.where("end_time IS NOT NULL AND start_time <= end_time").select(
+        "node_run_id", F.col("run_id").alias("nr_run_id"), "start_time", "end_time",
+        finest(F.col("start_time")).alias("_lo"), finest(F.col("end_time")).alias("_hi"),
+    )
+    between = (F.col("timestamp") >= F.col("start_time")) & (F.col("timestamp") <= F.col("end_time"))
+    nr_b = nr.withColumn("_c", F.explode(interval_cells("_lo", "_hi"))).select(
+        "node_run_id", "nr_run_id", "start_time", "end_time", F.col("_c.level").alias("nr_level"), F.col("_c.cell").alias("nr_cell")
     )
-    sentinel = s_b.where(F.col("run_id") == -1).join(nr_b, "b").where(between)
+    levels = sorted(r["nr_level"] for r in nr_b.select("nr_level").distinct().collect())  # at most 32
+    cell = finest(F.col("timestamp"))
+    cells = [F.struct(F.lit(n).alias("level"), F.shiftright(cell, 2 * n).alias("cell")) for n in levels]
+    s_b = stats.withColumn("_c", F.explode(F.array(*cells))) if cells else stats.limit(0).withColumn(
+        "_c", F.struct(F.lit(0).alias("level"), F.lit(0).cast("long").alias("cell")))
+    meet = (F.col("_c.level") == F.col("nr_level")) & (F.col("_c.cell") == F.col("nr_cell"))
+    own = s_b.where(F.col("run_id") != -1).join(nr_b, (F.col("run_id") == F.col("nr_run_id")) & meet).where(between)
+    sentinel = s_b.where(F.col("run_id") == -1).join(nr_b, meet).where(between)
     cols = ["node_run_id", "timestamp", "run_id"] + STAT_COLS
     joined = own.select(cols).unionByName(sentinel.select(cols))
     if min_samples:

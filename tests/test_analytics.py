@@ -89,6 +89,35 @@ def test_interval_join_has_no_nested_loop_and_matches_naive(spark):
     assert key(fast) == key(naive)
 
 
+def test_interval_cells_cover_once(spark):
+    import random
+
+    rng = random.Random(3)
+    pairs = [(lo, lo + rng.choice([0, 1, 5, 40, 3000])) for lo in (rng.randrange(-500, 500) for _ in range(200))] + [(5, 4), (-4, 3), (0, 63)]
+    got = spark.createDataFrame(pairs, "lo long, hi long").withColumn("c", an.interval_cells("lo", "hi")).collect()
+    for r in got:
+        covered = sorted(n for c in r.c or [] for n in range(c.cell << 2 * c.level, (c.cell + 1) << 2 * c.level))
+        assert covered == list(range(r.lo, r.hi + 1))
+        assert len(r.c or []) <= 6 * max(1, (r.hi - r.lo + 1).bit_length() / 2 + 1)
+
+
+def test_interval_join_from_seconds_to_years(spark):
+    """Runs of seconds and of a year with many sentinel samples: few cells, few pairs."""
+    day = 86_400
+    starts = [(i, 1, s(i * 40 * day // 100), s(i * 40 * day // 100 + 3)) for i in range(100)]
+    runs = [(1000, 1, s(0), s(365 * day)), (1001, 2, s(-3), s(40 * day + 1)), (1002, 2, s(7), s(7)), (1003, 1, s(9), s(8)), *starts]
+    nr = spark.createDataFrame([(*r, ["n"]) for r in runs], "node_run_id long, run_id long, start_time timestamp_ntz, end_time timestamp_ntz, node_path array<string>")
+    samples = [(s(i * 3571), -1 if i % 3 else i % 2 + 1) for i in range(1000)] + [(s(7), -1), (s(365 * day), 1)]
+    stats = spark.createDataFrame(samples, "timestamp timestamp_ntz, run_id long")
+    for c in an.STAT_COLS:
+        stats = stats.withColumn(c, F.lit(1.0))
+    got = sorted(tuple(r)[:3] for r in an.interval_join_stats(nr, stats).collect())
+    want = sorted((n, t, r) for n, run, a, b in runs for t, r in samples if a <= t <= b and r in (run, -1))
+    assert got == want
+    year = nr.where("node_run_id = 1000").select(F.lit(0).cast("long").alias("lo"), F.lit(365 * day // 4).cast("long").alias("hi"))
+    assert year.select(F.size(an.interval_cells("lo", "hi"))).first()[0] < 100
+
+
 def test_min_rows_gate(spark):
     df = spark.createDataFrame([(1, i) for i in range(15)] + [(2, 1)], "k long, v long")
     assert sorted({r["k"] for r in an.min_rows(df, ["k"], 15).collect()}) == [1]
