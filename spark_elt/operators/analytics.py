@@ -231,6 +231,7 @@ def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 4
     have others, which the BETWEEN drops. So neither long runs nor many sentinel samples
     make more pairs than there are results."""
     from spark_elt.functions.durations import wall_micros
+    from spark_elt.session import checkpoint_root
 
     # wall-clock micros since 1970 (no session time zone involved)
     finest = lambda c: F.floor(wall_micros(c) / (bucket_seconds * 1_000_000))
@@ -242,6 +243,9 @@ def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 4
     nr_b = nr.withColumn("_c", F.explode(interval_cells("_lo", "_hi"))).select(
         "node_run_id", "nr_run_id", "start_time", "end_time", F.col("_c.level").alias("nr_level"), F.col("_c.cell").alias("nr_cell")
     )
+    # stored: its levels are asked for first, and both kinds of samples meet it
+    checkpoint_root(nr.sparkSession)
+    nr_b = nr_b.checkpoint(eager=True)
     levels = sorted(r["nr_level"] for r in nr_b.select("nr_level").distinct().collect())  # at most 32
     cell = finest(F.col("timestamp"))
     cells = [F.struct(F.lit(n).alias("level"), F.shiftright(cell, 2 * n).alias("cell")) for n in levels]

@@ -4,8 +4,11 @@ A pipeline DAG is two DataFrames: nodes and edges ``(u, v)`` meaning u runs befo
 v. Graph searches are iterative frontier joins: each round joins only the new
 frontier to the edge table, drops what is already known (anti join), and stops
 when the frontier is empty. Rounds are bounded by the node count (a longer run
-means a cycle and fails). Lineage is cut every round with ``checkpoint()`` into
-the session's checkpoint folder, so a lost executor recomputes one round only.
+means a cycle and fails). A graph that is not done after ``LEVELS`` rounds may have
+long chains, which are then shortened by pointer doubling, so that rounds grow with the
+logarithm of a chain and not with its length. Lineage is cut every round with
+``checkpoint()`` into the session's checkpoint folder, so a lost executor recomputes one
+round only.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from spark_elt.session import checkpoint_root, ship_code
 
 # The known set is re-checkpointed every few rounds; each round's frontier always is.
 CUT_EVERY = 4
+# Rounds of a level each before chains are looked for.
+LEVELS = 16
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -42,12 +47,18 @@ def ancestors(df: DataFrame, path_col: str = "node_path", include_self: bool = F
 
 
 def upstream_closure(edges: DataFrame, seeds: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """The seeds and all their (transitive) upstreams (G02); ``seeds`` has ``node``."""
+    """The seeds and all their (transitive) upstreams (G02); ``seeds`` has ``node``.
+
+    When the search goes on after ``LEVELS`` rounds, shortcuts along chains of nodes with one
+    upstream are added to its edges, so the rounds left are about the logarithm of a chain."""
     rev = edges.select(F.col("v").alias("node"), F.col("u").alias("up"))
     known = _cut(seeds.select("node").distinct())
     frontier = known
     limit = max_rounds or edges.select("u").union(edges.select("v")).distinct().count() + 1
     for r in range(limit):
+        if r == LEVELS:
+            rev = _cut(rev.unionByName(_shortcuts(rev)))
+            frontier = known  # nodes found before have shortcuts too
         nxt = frontier.join(rev, "node").select(F.col("up").alias("node")).distinct().join(known, "node", "left_anti")
         nxt = _cut(nxt)
         if nxt.isEmpty():
@@ -59,6 +70,21 @@ def upstream_closure(edges: DataFrame, seeds: DataFrame, max_rounds: int | None
     raise ValueError("upstream closure did not converge: the graph has a cycle")
 
 
+def _shortcuts(rev: DataFrame) -> DataFrame:
+    """(node, up) over 2, 4, 8 … steps, of nodes with one upstream whose next steps have
+    one each, too. A chain of n nodes gives them n log n; a cycle ends with the doubling."""
+    once = rev.distinct().groupBy("node").agg(F.min("up").alias("up"), F.count("*").alias("n")).where("n = 1").select("node", "up")
+    step = _cut(once)
+    found = step.limit(0)
+    for k in range(max(1, step.count()).bit_length() + 1):
+        on = step.select(F.col("node").alias("up"), F.col("up").alias("further"))
+        step = _cut(step.join(on, "up").select("node", F.col("further").alias("up")))
+        if step.isEmpty():
+            break
+        found = found.unionByName(step)
+    return found
+
+
 def reach_pairs(edges: DataFrame, sources: DataFrame | None = None, through: DataFrame | None = None,
                 max_rounds: int | None = None) -> DataFrame:
     """Pairs (src, dst) with a path of length >= 1 from src to dst. With
@@ -85,32 +111,70 @@ def reach_pairs(edges: DataFrame, sources: DataFrame | None = None, through: Dat
     raise ValueError("reachability did not converge: the graph has a cycle")
 
 
-def _peel(edges: DataFrame, what: DataFrame, known: str) -> DataFrame:
-    """Rounds over a DAG from its sinks: ``what`` (node, value, left) has a value for
-    every node so far and the number of downstreams it waits for. A node whose
-    downstreams are all done is done; it hands its value to its upstreams (the largest
-    counts) in the next round. Each edge is joined once, in the round its downstream gets
-    done. Returns (node, value). A cycle leaves nodes waiting when no more get done."""
-    edges = _cut(edges.select("u", "v").distinct())
+def _peel(edges: DataFrame, what: DataFrame) -> DataFrame:
+    """Rounds over a DAG from its sinks: ``what`` (node, own, best, left) has for every node
+    its own value, the greatest value of its downstreams so far, and the number of those it
+    waits for. A node whose downstreams are all done is done with ``own + best``; it hands
+    this value to its upstreams in the next round. Returns (node, value).
+
+    An edge (u, v, a, w) hands on ``max(a, w + value of v)``; at first the value itself.
+    After every ``LEVELS`` rounds the edges between waiting nodes are shortened along chains
+    (``_contract``). Nodes that still wait when none gets done are on a cycle, or behind one."""
+    edges = _cut(edges.select("u", "v", F.lit(float("-inf")).alias("a"), F.lit(0.0).alias("w")).distinct())
     waiting = _cut(what)
     done: list[DataFrame] = []
+    rounds = 0
     while True:
-        ready = _cut(waiting.where(F.col("left") == 0).select("node", F.expr(known).alias("value")))
+        ready = waiting.where(F.col("left") == 0).select("node", (F.col("own") + F.col("best")).alias("value"))
         if ready.isEmpty():
             break
         done.append(ready)
-        if len(done) % CUT_EVERY == 0:
+        rounds += 1
+        if rounds % CUT_EVERY == 0:
             done = [_cut(reduce(DataFrame.unionByName, done))]
         told = edges.join(ready.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(
-            F.max("value").alias("more"), F.count("*").alias("fewer")
+            F.max(F.greatest("a", F.col("w") + F.col("value"))).alias("more"), F.count("*").alias("fewer")
         )
         rest = waiting.where(F.col("left") > 0).join(told, "node", "left")
         waiting = _cut(rest.select(
             "node", "own", F.greatest("best", "more").alias("best"), (F.col("left") - F.coalesce("fewer", F.lit(0))).alias("left")
         ))
+        if rounds % LEVELS == 0:
+            edges, waiting = _contract(edges, waiting)
     if not waiting.isEmpty():
         raise ValueError("the graph has a cycle")
-    return reduce(DataFrame.unionByName, done) if done else waiting.select("node", F.expr(known).alias("value"))
+    return reduce(DataFrame.unionByName, done) if done else waiting.select("node", F.lit(0.0).alias("value"))
+
+
+def _contract(edges: DataFrame, waiting: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The graph of waiting nodes with its chains shortened; done nodes leave the edges.
+
+    The value of a node that waits for one other is ``max(least, plus + value of that one)``, and so
+    is what it hands on. So an edge to it can lead to the node behind it instead, for all such
+    edges at once: a chain halves every round. Edges of one node that come to lead to the same
+    one are one edge, and a node with one edge left joins a chain. Rounds end when no edge is
+    shortened, or after those that the longest chain could need: then a cycle is left."""
+    ids = waiting.select("node")
+    edges = edges.join(ids.withColumnRenamed("node", "u"), "u", "left_semi").join(ids.withColumnRenamed("node", "v"), "v", "left_semi")
+    # nodes to be done in the next round end a chain
+    edges = _cut(edges.select("u", "v", "a", "w"))
+    for _ in range(max(1, edges.count()).bit_length() + 1):
+        single = edges.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("to"), F.min("a").alias("a"), F.min("w").alias("w")).where("n = 1")
+        single = single.join(waiting.withColumnRenamed("node", "u"), "u").select(
+            F.col("u").alias("v"), "to", (F.col("own") + F.greatest("best", "a")).alias("least"), (F.col("own") + F.col("w")).alias("plus")
+        )
+        over = edges.join(single, "v", "left")
+        shorter = over.select(
+            "u", F.coalesce("to", "v").alias("v"),
+            F.when(F.col("to").isNull(), F.col("a")).otherwise(F.greatest("a", F.col("w") + F.col("least"))).alias("a"),
+            (F.col("w") + F.coalesce("plus", F.lit(0.0))).alias("w"), F.col("to").isNotNull().alias("cut"),
+        )
+        merged = _cut(shorter.groupBy("u", "v").agg(F.max("a").alias("a"), F.max("w").alias("w"), F.max("cut").alias("cut")))
+        edges = merged.drop("cut")
+        if merged.where("cut").isEmpty():
+            break
+    left = edges.groupBy(F.col("u").alias("node")).agg(F.count("*").alias("left"))
+    return edges, _cut(waiting.drop("left").join(left, "node", "left").select("node", "own", "best", F.coalesce("left", F.lit(0)).alias("left")))
 
 
 def _start(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -126,10 +190,10 @@ def _start(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def critical_path_cost(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """cost(n) = own(n) + max(cost of n's downstreams), 0 without downstreams.
 
-    Nodes get their cost once all their downstreams have theirs, so each edge is joined
-    once, the rounds are the levels of the graph, and a cycle fails as soon as nothing
-    more can be done."""
-    return _peel(edges, _start(nodes, edges), "own + best").withColumnRenamed("value", "cost")
+    Nodes get their cost once all their downstreams have theirs. The rounds are the levels
+    of the graph with its long chains shortened, and a cycle fails as soon as nothing more
+    can be done."""
+    return _peel(edges, _start(nodes, edges)).withColumnRenamed("value", "cost")
 
 
 def heights(edges: DataFrame) -> DataFrame:
@@ -168,8 +232,7 @@ def redundant_edges(edges: DataFrame) -> DataFrame:
     tall = _cut(e.join(hv, "v"))
     # an edge can only be redundant if u has a taller other child
     top = tall.groupBy("u").agg(F.max("hv").alias("top"))
-    open_ = _cut(tall.join(top, "u").where("hv < top").select("u", "v", "hv"))
-    found = open_.select("u", "v").limit(0)
+    open_ = _cut(tall.join(top, "u").where("hv < top").select("u", "v", "hv", F.lit(False).alias("redundant")))
     lowest = open_.groupBy("u").agg(F.min("hv").alias("low"))
     frontier = _cut(tall.join(lowest, "u").where("hv > low").select(F.col("u").alias("src"), F.col("v").alias("node")))
     seen = frontier
@@ -177,16 +240,18 @@ def redundant_edges(edges: DataFrame) -> DataFrame:
     while not frontier.isEmpty():
         step = frontier.join(tall, frontier["node"] == tall["u"]).select("src", F.col("v").alias("node"), "hv").distinct()
         step = _cut(step)
-        hit = _cut(open_.join(step, (open_["u"] == step["src"]) & (open_["v"] == step["node"]), "left_semi").select("u", "v"))
-        found = found.unionByName(hit)
-        open_ = _cut(open_.join(hit, ["u", "v"], "left_anti"))
-        lowest = open_.groupBy(F.col("u").alias("src")).agg(F.min("hv").alias("low"))
+        hit = step.select(F.col("src").alias("u"), F.col("node").alias("v"), F.lit(True).alias("hit"))
+        open_ = _cut(open_.join(hit, ["u", "v"], "left").select(
+            "u", "v", "hv", (F.col("redundant") | F.coalesce("hit", F.lit(False))).alias("redundant")
+        ))
+        lowest = open_.where("NOT redundant").groupBy(F.col("u").alias("src")).agg(F.min("hv").alias("low"))
         frontier = _cut(step.join(lowest, "src").where("hv > low").select("src", "node").join(seen, ["src", "node"], "left_anti"))
         seen = seen.unionByName(frontier)
         rounds += 1
         if rounds % CUT_EVERY == 0:
-            seen, found = _cut(seen), _cut(found)
-    return e.join(found.withColumn("redundant", F.lit(True)), ["u", "v"], "left").select(
+            # starts without an open edge search no more
+            seen = _cut(seen.join(lowest.select("src"), "src", "left_semi"))
+    return e.join(open_.where("redundant").select("u", "v", "redundant"), ["u", "v"], "left").select(
         "u", "v", F.coalesce("redundant", F.lit(False)).alias("redundant")
     )
 
@@ -200,6 +265,68 @@ def roots_and_leaves(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def _inner(edges: DataFrame, ends: DataFrame) -> DataFrame:
+    """Edges other than from a pipeline's initial node or to its final one."""
+    e = edges.join(ends, "parent", "left")
+    outer = F.coalesce(F.col("u") == F.col("initial"), F.lit(False)) | F.coalesce(F.col("v") == F.col("final"), F.lit(False))
+    return e.where(~outer).select("parent", "u", "v").distinct()
+
+
+def with_initial_and_final(nodes: DataFrame, edges: DataFrame, ends: DataFrame) -> DataFrame:
+    """Edges of pipelines whose initial node runs before every root and whose final one
+    after every leaf (G06). ``nodes`` (parent, node), ``edges`` (parent, u, v) and ``ends``
+    (parent, initial, final: null where a pipeline has none). A pipeline without other nodes
+    has the edge from its initial to its final node."""
+    inner = _inner(edges, ends)
+    own = nodes.select("parent", "node").distinct().join(ends, "parent")
+    own = own.where(~(F.col("node").eqNullSafe(F.col("initial")) | F.col("node").eqNullSafe(F.col("final"))))
+    roots = own.join(inner.select("parent", F.col("v").alias("node")), ["parent", "node"], "left_anti").where("initial IS NOT NULL")
+    leaves = own.join(inner.select("parent", F.col("u").alias("node")), ["parent", "node"], "left_anti").where("final IS NOT NULL")
+    bare = ends.join(own.select("parent"), "parent", "left_anti").where("initial IS NOT NULL AND final IS NOT NULL")
+    return (
+        inner.unionByName(roots.select("parent", F.col("initial").alias("u"), F.col("node").alias("v")))
+        .unionByName(leaves.select("parent", F.col("node").alias("u"), F.col("final").alias("v")))
+        .unionByName(bare.select("parent", F.col("initial").alias("u"), F.col("final").alias("v")))
+    )
+
+
+def edge_changes(current: DataFrame, ends: DataFrame, new_nodes: DataFrame, new_edges: DataFrame) -> DataFrame:
+    """What an insert of nodes and edges changes in ``current``, edges as
+    ``with_initial_and_final`` gives them (G06): rows (parent, u, v, change), change being
+    'add' or 'drop'. An edge drops the one from the initial node to its downstream and the
+    one from its upstream to the final node; a node without other edges gets both.
+
+    Only edges at the inserted nodes and ends of edges are looked up, so the work beyond one
+    pass over ``current`` follows the insert. Inserts in any order lead to the same edges; an
+    edge may come before its nodes."""
+    inner = _inner(new_edges, ends).join(current, ["parent", "u", "v"], "left_anti")
+    nodes = new_nodes.select("parent", "node").distinct().join(ends, "parent")
+    nodes = nodes.where(~(F.col("node").eqNullSafe(F.col("initial")) | F.col("node").eqNullSafe(F.col("final"))))
+    specific = _inner(current.join(new_nodes.select("parent").distinct(), "parent", "left_semi"), ends).unionByName(inner)
+    roots = nodes.join(specific.select("parent", F.col("v").alias("node")), ["parent", "node"], "left_anti").where("initial IS NOT NULL")
+    leaves = nodes.join(specific.select("parent", F.col("u").alias("node")), ["parent", "node"], "left_anti").where("final IS NOT NULL")
+    added = (
+        inner.unionByName(roots.select("parent", F.col("initial").alias("u"), F.col("node").alias("v")))
+        .unionByName(leaves.select("parent", F.col("node").alias("u"), F.col("final").alias("v")))
+        .join(current, ["parent", "u", "v"], "left_anti")
+    )
+    at = inner.join(ends, "parent")
+    loose = (
+        at.select("parent", F.col("initial").alias("u"), "v").unionByName(at.select("parent", "u", F.col("final").alias("v")))
+        .unionByName(nodes.select("parent", F.col("initial").alias("u"), F.col("final").alias("v"))).distinct()
+    )
+    dropped = current.join(loose, ["parent", "u", "v"], "left_semi").select("parent", "u", "v")
+    return added.withColumn("change", F.lit("add")).unionByName(dropped.withColumn("change", F.lit("drop")))
+
+
+def apply_changes(current: DataFrame, changes: DataFrame) -> DataFrame:
+    """``current`` edges after ``edge_changes``."""
+    drop = changes.where("change = 'drop'").select("parent", "u", "v")
+    return current.join(drop, ["parent", "u", "v"], "left_anti").select("parent", "u", "v").unionByName(
+        changes.where("change = 'add'").select("parent", "u", "v")
+    )
+
+
 def neighbourhood(edges: DataFrame, centers: DataFrame) -> DataFrame:
     """Upstreams, the node itself and downstreams of each center."""
     c = centers.select("node")

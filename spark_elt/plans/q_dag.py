@@ -101,6 +101,42 @@ def dag_roots_leaves(spark, sf_dir):
     return dag.roots_and_leaves(fx.dag_node(spark, sf_dir), fx.edge(spark, sf_dir))
 
 
+_ENDS_D = with_views(
+    ["edge"],
+    """SELECT p.brand AS parent, u, v FROM inner_edge p
+UNION ALL SELECT p_brand, -1, p_partkey FROM part WHERE p_partkey > 0 AND p_partkey NOT IN (SELECT v FROM inner_edge)
+UNION ALL SELECT p_brand, p_partkey, -2 FROM part WHERE p_partkey > 0 AND p_partkey NOT IN (SELECT u FROM inner_edge)""",
+    [("inner_edge", """SELECT a.p_brand AS brand, u, v FROM edge JOIN part a ON a.p_partkey = u JOIN part b ON b.p_partkey = v
+WHERE a.p_brand = b.p_brand""")],
+)
+
+
+def _brands(spark, sf_dir):
+    """A pipeline for each brand: its parts, the edges between them, an initial (-1) and a
+    final node (-2)."""
+    brand = table(spark, sf_dir, "part").where("p_partkey > 0").select(F.col("p_brand").alias("parent"), F.col("p_partkey").alias("node"))
+    e = fx.edge(spark, sf_dir).join(brand.select("parent", F.col("node").alias("u")), "u")
+    e = e.join(brand.select(F.col("parent").alias("to"), F.col("node").alias("v")), "v").where("parent = to").select("parent", "u", "v")
+    first, last = F.lit(-1).cast("long").alias("initial"), F.lit(-2).cast("long").alias("final")
+    return brand, e, brand.select("parent").distinct().select("parent", first, last)
+
+
+@register("dag_initial_final", _ENDS_D)
+def dag_initial_final(spark, sf_dir):
+    """Edges from the initial node to every root and from every leaf to the final one."""
+    return dag.with_initial_and_final(*_brands(spark, sf_dir))
+
+
+@register("dag_insert_edges", _ENDS_D)
+def dag_insert_edges(spark, sf_dir):
+    """G06 under inserts: the parts and edges of odd upstreams come first, the others as a
+    second insert, which drops the edges of the ends that more specific ones replace."""
+    nodes, edges, ends = _brands(spark, sf_dir)
+    current = dag.with_initial_and_final(nodes.where("node % 2 = 1"), edges.where("u % 2 = 1 AND v % 2 = 1"), ends)
+    changes = dag.edge_changes(current, ends, nodes.where("node % 2 = 0"), edges.where("NOT (u % 2 = 1 AND v % 2 = 1)"))
+    return dag.apply_changes(current, changes)
+
+
 @register(
     "neighbourhood",
     with_views(["dag_node", "edge"], """, c AS (SELECT node FROM dag_node WHERE cost = 1)
