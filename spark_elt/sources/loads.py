@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from spark_elt.functions import day_id
 from spark_elt.operators import incremental as inc
 from spark_elt.operators import sinks
+from spark_elt.session import checkpoint_root
 from spark_elt.sources.files import Compression, list_files, read_delimited
 from spark_elt.sources.selection import DEFAULT_FIRST_DATE, ReadMode, file_date_of_path, select_files
 
@@ -87,25 +88,24 @@ def parallel_read_file(spark: SparkSession, load: FileLoad, now: dt.datetime | N
     changed = bool(digest) and inc.is_modified(load.dependencies, load.node_path, DEPENDENCY_TYPE, digest)
     if changed:
         inc.delete_dependency(load.dependencies, load.node_path, DEPENDENCY_TYPE)
-    selected = select(spark, load, changed).persist()
-    try:
-        n = selected.count()
-        if n:
-            rows = read_selected(spark, load, selected)
-            if load.by_day:
-                _load_days(spark, load, rows)
-            else:
-                rows.drop("file").write.mode("append").parquet(load.target)
-            if load.state:
-                inc.track_processed(load.state, load.node_path, selected)
-    finally:
-        selected.unpersist()
+    # stored, not cached: a selection made again after a loss would list other file times
+    checkpoint_root(spark)
+    selected = select(spark, load, changed).checkpoint(eager=True)
+    n = selected.count()
+    if n:
+        rows = read_selected(spark, load, selected)
+        if load.by_day:
+            _load_days(spark, load, rows, selected)
+        else:
+            rows.drop("file").write.mode("append").parquet(load.target)
+        if load.state:
+            inc.track_processed(load.state, load.node_path, selected)
     if changed:
         inc.update_dependency(load.dependencies, load.node_path, DEPENDENCY_TYPE, digest, now or dt.datetime.now())
     return n
 
 
-def _load_days(spark: SparkSession, load: FileLoad, rows: DataFrame) -> None:
+def _load_days(spark: SparkSession, load: FileLoad, rows: DataFrame, selected: DataFrame) -> None:
     if load.date_regex is None:
         raise ValueError("a load by day needs date_regex")
     day = day_id(file_date_of_path(F.col("file"), load.root, load.date_regex))
@@ -117,5 +117,6 @@ def _load_days(spark: SparkSession, load: FileLoad, rows: DataFrame) -> None:
     out.parquet(load.target)
     if load.table_name:
         spark.sql(f"ALTER TABLE {load.table_name} RECOVER PARTITIONS")
-        for r in rows.select(day.alias("d")).distinct().collect():  # one per loaded day
+        # one per loaded day, as the listing has them: the files are not read again
+        for r in selected.select(day_id(F.col("file_date")).alias("d")).distinct().collect():
             sinks.analyze(spark, load.table_name, {"day_id": r["d"]})

@@ -44,10 +44,14 @@ def file_date_of_path(path_col, root: str, date_regex: str):
     import re
 
     tail = re.escape(root.rstrip("/").split(":", 1)[-1].lstrip("/"))
-    rel = F.regexp_replace(path_col, r"^.*?" + tail + "/", "")
+    # metadata columns have encoded paths, the root is as the user wrote it; the paths of
+    # archives are not encoded
+    decoded = F.coalesce(F.try_url_decode(F.replace(path_col, F.lit("+"), F.lit("%2B"))), path_col)
+    rel = F.regexp_replace(decoded, r"^.*?" + tail + "/", "")
     anchored = "^(?:" + date_regex + ")"
     y, m, d = (F.regexp_extract(rel, anchored, i).cast("int") for i in (1, 2, 3))
-    return F.make_date(y, m, d)
+    fails = F.raise_error(F.concat(F.lit('file "'), decoded, F.lit(f'" does not match date regex "{date_regex}"')))
+    return F.when(rel.rlike(anchored), F.make_date(y, m, d)).otherwise(fails.cast("date"))
 
 
 def _order_cols(dated: bool) -> list:

@@ -174,3 +174,42 @@ def test_run_if_files_changed(spark, tmp_dir):
         ran, _ = inc.run_if_files_changed(deps, ["n"], "RunFunction", [code], lambda: calls.append(1), dt.datetime(2024, 1, 1))
         assert ran is want
     assert len(calls) == 2
+
+
+def test_load_by_day_from_a_folder_with_blanks(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "in dir+é")
+    write(root, "2024/01/01/a b.csv", "1\n")
+    write(root, "2024/01/02/c+d.csv", "2\n")
+    processed, _ = states(spark)
+    load = FileLoad(root, "*.csv", "id int", f"{tmp_dir}/out dir", ["n"], state=processed, mode=ReadMode.ONLY_NEW, date_regex=RX, by_day=True)
+    assert parallel_read_file(spark, load) == 2
+    assert sorted((r.id, r.day_id) for r in spark.read.parquet(load.target).collect()) == [(1, 20240101), (2, 20240102)]
+    assert parallel_read_file(spark, load) == 0
+
+
+def test_file_without_a_date_is_named(spark):
+    from spark_elt.sources.selection import file_date_of_path
+
+    path = spark.createDataFrame([("file:/data/in%20dir/odd.csv",)], "file string")
+    with pytest.raises(Exception, match="odd.csv"):
+        path.select(file_date_of_path(F.col("file"), "/data/in dir", RX)).collect()
+
+
+def test_files_rewritten_while_loading_are_new_again(spark, tmp_dir, monkeypatch):
+    """The state records the times that the selection saw, whatever happens after it."""
+    from spark_elt.sources import loads
+
+    path = write(tmp_dir, "in/2024/01/01/a.csv", "1\n")
+    os.utime(path, (1_700_000_000, 1_700_000_000))
+    processed, _ = states(spark)
+    load = FileLoad(f"{tmp_dir}/in", "*.csv", "id int", f"{tmp_dir}/out", ["n"], state=processed, mode=ReadMode.ONLY_CHANGED, date_regex=RX)
+    read = loads.read_selected
+
+    def meanwhile(*args):
+        os.utime(path, (1_700_000_500, 1_700_000_500))
+        return read(*args)
+
+    monkeypatch.setattr(loads, "read_selected", meanwhile)
+    assert parallel_read_file(spark, load) == 1
+    monkeypatch.setattr(loads, "read_selected", read)
+    assert parallel_read_file(spark, load) == 1
