@@ -6,7 +6,8 @@ parquet tables keyed by node path. Each change writes a new version ``v=N`` next
 old ones, so a job never overwrites what it reads and a failed write leaves the previous
 version in force; readers take the newest committed version. A writer claims its version
 number first, so of two writers that started from the same version one fails instead of
-losing the other's change. The last two versions are kept.
+losing the other's change. The last two versions are kept. For many nodes, or nodes of
+many files, ``state_log.StateLog`` keeps the same state as changes by node.
 
 Whether a table is there is asked of the file system. Every other error, of a storage
 service or of rights, rises and leaves targets as they are.
@@ -73,8 +74,10 @@ class StateTable:
         """Newest committed version."""
         return max(self.versions(), default=None)
 
-    def read(self) -> DataFrame:
-        return self._read(self.version())
+    def read(self, node_path: Sequence[str] | None = None) -> DataFrame:
+        """The state, or the rows of one node."""
+        rows = self._read(self.version())
+        return rows if node_path is None else rows.where(_node_key(node_path))
 
     def _read(self, v: int | None) -> DataFrame:
         if v is None:
@@ -151,9 +154,7 @@ def is_modified(state: StateTable, node_path: Sequence[str], dependency_type: st
     """True unless the stored hash of (node, type) equals ``hash_value``."""
     if state.version() is None:
         return True
-    hit = state.read().where(
-        _node_key(node_path) & (F.col("dependency_type") == dependency_type) & (F.col("hash") == hash_value)
-    )
+    hit = state.read(node_path).where((F.col("dependency_type") == dependency_type) & (F.col("hash") == hash_value))
     return hit.isEmpty()
 
 
@@ -203,7 +204,7 @@ def track_processed(state: StateTable, node_path: Sequence[str], selected: DataF
 
 
 def processed_files(state: StateTable, node_path: Sequence[str]) -> DataFrame:
-    return state.read().where(_node_key(node_path)).select("file_name", "last_modified_timestamp")
+    return state.read(node_path).select("file_name", "last_modified_timestamp")
 
 
 # ------------------------------------------------------------ copy status
@@ -211,9 +212,7 @@ def processed_files(state: StateTable, node_path: Sequence[str]) -> DataFrame:
 def get_last_value(state: StateTable, node_path: Sequence[str], source_table: str) -> str | None:
     if state.version() is None:  # no state written yet: nothing to read
         return None
-    r = state.read().where(_node_key(node_path) & (F.col("source_table") == source_table)).select(
-        "last_comparison_value"
-    ).first()
+    r = state.read(node_path).where(F.col("source_table") == source_table).select("last_comparison_value").first()
     return None if r is None else r[0]
 
 

@@ -11,7 +11,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spark_elt.functions.durations import wall_micros
 from spark_elt.operators import incremental as inc
+from spark_elt.operators.state_log import StateLog
 from spark_elt.plans import fixtures as fx
 from spark_elt.plans.oracle_views import with_views
 from spark_elt.plans.registry import register
@@ -119,6 +121,28 @@ def track_processed_files(spark, sf_dir):
     ).distinct()
 
 
+@register(
+    "processed_files_log",
+    """SELECT 'load/' || event_type AS node_path, strftime(ts, '%Y-%m-%d') AS file_name, epoch_us(max(ts)) AS modified_us
+FROM events WHERE event_type <> 'click' GROUP BY 1, 2""",
+)
+def processed_files_log(spark, sf_dir):
+    """I05, I07 in a log of changes: each event type is a node whose files are its days, with
+    the time of the first event at first and of the last one later; one node is reset."""
+    st = StateLog(spark, scratch_dir(spark, "processed_log"), inc.PROCESSED_FILE, ["node_path", "file_name"])
+    micros = wall_micros(F.col("ts"))
+    days = table(spark, sf_dir, "events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("file_name")).agg(
+        F.min(micros).alias("first"), F.max(micros).alias("last")
+    )
+    days = days.withColumn("node_path", F.array(F.lit("load"), F.col("event_type")))
+    st.upsert(days.select("node_path", "file_name", F.timestamp_micros("first").alias("last_modified_timestamp")))
+    for (node,) in days.select("node_path").distinct().collect():  # a node for each event type
+        st.compact(node)
+    st.upsert(days.select("node_path", "file_name", F.timestamp_micros("last").alias("last_modified_timestamp")))
+    inc.reset({"processed_file": st}, ["load", "click"])
+    return st.read().select(F.array_join("node_path", "/").alias("node_path"), "file_name", F.unix_micros("last_modified_timestamp").alias("modified_us"))
+
+
 def _copy_state(spark, sf_dir) -> inc.StateTable:
     st = inc.StateTable(spark, scratch_dir(spark, "copy_status"), inc.COPY_STATUS, ["node_path", "source_table"])
     e = table(spark, sf_dir, "events")
