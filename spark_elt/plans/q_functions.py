@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from spark_elt import functions as sf
 from spark_elt.operators import runlog as rl
+from spark_elt.operators.run_tables import RunTables
 from spark_elt.plans import fixtures as fx
 from spark_elt.plans.oracle_views import with_views
 from spark_elt.plans.q_runlog import _format_duration_d
 from spark_elt.plans.registry import register
-from spark_elt.session import table
+from spark_elt.session import scratch_dir, table
 
 
 @register(
@@ -238,24 +239,47 @@ def close_open_runs(spark, sf_dir):
 _OLD_D = "coalesce({t} + INTERVAL 20 DAY < TIMESTAMP '2024-01-31 00:00:00', FALSE)"
 
 
-@register(
-    "retention_prune",
-    with_views(["node_run", "node_output", "run", "system_statistics"], f"""SELECT 'run' AS tbl, run_id AS id, start_time AS t FROM kept
+_RETENTION_D = with_views(["node_run", "node_output", "run", "system_statistics"], f"""SELECT 'run' AS tbl, run_id AS id, start_time AS t FROM kept
 UNION ALL SELECT 'node_run', node_run_id, start_time FROM node_run WHERE run_id IN (SELECT run_id FROM kept)
 UNION ALL SELECT 'node_output', node_output_id, "timestamp" FROM node_output
   WHERE node_run_id IN (SELECT node_run_id FROM node_run JOIN kept USING (run_id))
 UNION ALL SELECT 'system_statistics', run_id, seen FROM (
   SELECT run_id, CASE WHEN disc_read <> 7 THEN "timestamp" END AS seen FROM system_statistics) s WHERE NOT {_OLD_D.format(t="seen")}""",
                extra=[("kept", f"""SELECT * FROM (SELECT run_id, CASE WHEN run_id % 11 <> 5 THEN start_time END AS start_time FROM run) r
-WHERE NOT {_OLD_D.format(t="start_time")}""")]),
-)
+WHERE NOT {_OLD_D.format(t="start_time")}""")])
+
+
+@register("retention_prune", _RETENTION_D)
 def retention_prune(spark, sf_dir):
     """I19 with a 20-day retention at 2024-01-31: the rows kept in the four tables. Some
     runs and samples have no time and stay."""
+    return _kept_rows(*rl.retention_prune(*_run_log(spark, sf_dir), 20, NOW))
+
+
+@register("retention_stored", _RETENTION_D)
+def retention_stored(spark, sf_dir):
+    """I19 on stored tables: old days leave the manifest of the four tables, the day of the
+    limit is rewritten; the rows come in two parts, by run."""
+    tables = RunTables(spark, scratch_dir(spark, "run_tables"))
+    run, nr, out, stats = _run_log(spark, sf_dir)
+    of = nr.select("node_run_id", (F.col("run_id") % 2).alias("part"))
+    for part in (0, 1):
+        tables.append(
+            run.where(F.col("run_id") % 2 == part), nr.where(F.col("run_id") % 2 == part),
+            out.join(of, "node_run_id").where(F.col("part") == part).drop("part"), stats.where(F.pmod("run_id", F.lit(2)) == part),
+        )
+    tables.prune(20, NOW)
+    return _kept_rows(*tables.read())
+
+
+def _run_log(spark, sf_dir):
     nr = fx.node_run(spark, sf_dir)
     run = fx.run(spark, sf_dir).withColumn("start_time", F.when(F.col("run_id") % 11 != 5, F.col("start_time")))
     stats = fx.system_statistics(spark, sf_dir).withColumn("timestamp", F.when(F.col("disc_read") != 7, F.col("timestamp")))
-    r, n, o, s = rl.retention_prune(run, nr, fx.node_output(spark, sf_dir), stats, 20, NOW)
+    return run, nr, fx.node_output(spark, sf_dir), stats
+
+
+def _kept_rows(r, n, o, s):
     rows = lambda df, name, key, t: df.select(F.lit(name).alias("tbl"), F.col(key).alias("id"), F.col(t).alias("t"))
     return (
         rows(r, "run", "run_id", "start_time").union(rows(n, "node_run", "node_run_id", "start_time"))

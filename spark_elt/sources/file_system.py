@@ -108,3 +108,24 @@ def plain_path(spark: SparkSession, path: str) -> str:
 def escaped(path: str) -> str:
     """A path as a reader takes it, without glob patterns."""
     return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: under another name, then renamed."""
+    fs, p = _open(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, p):
+        raise OSError(f"{path} cannot be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, p = _open(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
