@@ -132,7 +132,7 @@ WHERE n.end_time IS NOT NULL"""),
 def stream_fold_output(spark, sf_dir):
     """I16: output lines are stored when their node finishes, those of unfinished nodes never."""
     sink, ck = scratch_dir(spark, "output_sink"), scratch_dir(spark, "output_ck")
-    _arrivals(spark, sf_dir, lambda ev: stream_node_output(spark, ev, sink, ck), "Output", "NodeStarted", "NodeFinished")
+    _arrivals(spark, sf_dir, lambda ev: stream_node_output(spark, ev, sink, ck, state_partitions=8), "Output", "NodeStarted", "NodeFinished")
     return spark.read.schema(
         "node_output_id long, node_run_id long, timestamp timestamp_ntz, message string, format string, is_error boolean"
     ).parquet(sink)
@@ -181,5 +181,5 @@ def stream_close_open_runs(spark, sf_dir):
     nothing is heard for three days is closed as failed by the run's timer."""
     sink, ck = scratch_dir(spark, "open_sink"), scratch_dir(spark, "open_ck")
     kinds = ("RunStarted", "RunFinished", "NodeStarted", "NodeFinished")
-    _arrivals(spark, sf_dir, lambda ev: stream_open_runs(spark, ev, sink, ck, SILENCE), *kinds)
+    _arrivals(spark, sf_dir, lambda ev: stream_open_runs(spark, ev, sink, ck, SILENCE, state_partitions=8), *kinds)
     return spark.read.schema(CLOSED).parquet(sink)

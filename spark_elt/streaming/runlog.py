@@ -39,22 +39,25 @@ def _instant(ts: str) -> Column:
 
 
 @contextmanager
-def _state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
-    """Streams started here keep their state in RocksDB."""
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+def _settings(spark: SparkSession, **conf: str | int | None) -> Iterator[None]:
+    """Streams started here get these settings (None: the session's own)."""
+    names = {"provider": _PROVIDER, "partitions": "spark.sql.shuffle.partitions"}
+    wanted = {names[k]: str(v) for k, v in conf.items() if v is not None}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def _append(out: DataFrame, sink: str, checkpoint: str) -> None:
-    with _state_in_rocksdb(out.sparkSession):
-        query = (
-            out.writeStream.format("parquet").outputMode("append").option("path", sink)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
+    query = (
+        out.writeStream.format("parquet").outputMode("append").option("path", sink)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
     query.awaitTermination()
 
 
@@ -95,10 +98,14 @@ def node_output_stream(events: DataFrame, longest: str = "2 days", late: str = "
 
 
 def stream_node_output(spark: SparkSession, events: DataFrame, sink: str, checkpoint: str, longest: str = "2 days",
-                       late: str = "1 hour") -> None:
-    """Append to ``sink`` the output lines of the nodes that finish (``node_output_stream``)."""
+                       late: str = "1 hour", state_partitions: int | None = None) -> None:
+    """Append to ``sink`` the output lines of the nodes that finish (``node_output_stream``).
+    The joins keep their state in the session's store, RocksDB with ``session.scale_conf``,
+    in ``state_partitions`` parts (the session's shuffle partitions by default); a stream keeps
+    the number of its first start, and each part costs files in every batch."""
     ship_code(spark)
-    _append(node_output_stream(events, longest, late), sink, checkpoint)
+    with _settings(spark, partitions=state_partitions):
+        _append(node_output_stream(events, longest, late), sink, checkpoint)
 
 
 # ---------------------------------------------------------------- open runs
@@ -233,9 +240,10 @@ def open_runs_stream(events: DataFrame, silence: dt.timedelta, late: str = "1 ho
 
 
 def stream_open_runs(spark: SparkSession, events: DataFrame, sink: str, checkpoint: str, silence: dt.timedelta,
-                     late: str = "1 hour") -> None:
+                     late: str = "1 hour", state_partitions: int | None = None) -> None:
     """Append to ``sink`` the finished and given-up runs and node runs (``open_runs_stream``).
-    What is open stays in the state of the checkpoint, for the next call."""
+    What is open stays in the state of the checkpoint, for the next call. ``state_partitions``
+    as in ``stream_node_output``."""
     ship_code(spark)
-    with _state_in_rocksdb(spark):
+    with _settings(spark, provider=ROCKSDB, partitions=state_partitions):
         _append(open_runs_stream(events, silence, late), sink, checkpoint)
