@@ -23,8 +23,8 @@ import functools
 import hashlib
 import heapq
 import re
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,45 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 STEP = 1 << 19
 
 
+class Known(Mapping):
+    """Cuts and their ids, which lie one after the other in ``flat``: those of number ``k``
+    are ``sizes[k]`` from ``starts[k]`` on."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.starts = self.sizes = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
+
+    def add(self, parts: list[tuple[list[str], np.ndarray, np.ndarray]]) -> None:
+        """Add new cuts: lists of them, with their ids and numbers of ids."""
+        for cuts, _, _ in parts:
+            self.numbers.update(zip(cuts, range(len(self.numbers), len(self.numbers) + len(cuts))))
+        self.flat = np.concatenate([self.flat, *(ids for _, ids, _ in parts)])
+        self.sizes = np.concatenate([self.sizes, *(sizes for _, _, sizes in parts)])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def drop(self, last: list[str]) -> None:
+        """Forget the cuts that were added last."""
+        for cut in last:
+            del self.numbers[cut]
+        kept = len(self.numbers)
+        self.sizes, self.starts = self.sizes[:kept].copy(), self.starts[:kept].copy()
+        self.flat = self.flat[: int(self.sizes.sum())].copy()
+
+    def __getitem__(self, cut: str) -> tuple[int, ...]:
+        k = self.numbers[cut]
+        return tuple(self.flat[self.starts[k] : self.starts[k] + self.sizes[k]].tolist())
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.numbers)
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+
 class Vocabulary:
     """Pieces and scores of a SentencePiece model whose pieces are made by merging."""
 
@@ -79,69 +118,93 @@ class Vocabulary:
         self.kinds = [p.type for p in proto.pieces]
         self.marked = [p.type == NORMAL and p.piece.startswith(SPACE) for p in proto.pieces]
         self.cuts = self._cuts()
-        self.known: dict[str, tuple[int, ...]] = {}
+        sizes = np.array([len(x) for x in self.surface], np.int64)
+        self.surface_sizes, self.surface_starts = sizes, np.cumsum(sizes) - sizes
+        self.surface_bytes = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.control = np.array([k == CONTROL for k in self.kinds])
+        self.known = Known()
         self._pairs()
 
     def _pairs(self) -> None:
-        """Numbers of the symbols (pieces and their characters) and, sorted by (left,
-        right), all pairs that make a piece: its number, and its rank by score."""
+        """Numbers of the symbols (pieces and their characters), and a table of all pairs
+        that make a piece: its number, and its rank by score. The pair (left, right) lies
+        at ``place[left] + right``; the rows of the left symbols interleave, each at the
+        first of some places tried where its cells are free."""
         symbols = sorted({*self.ids, *(c for p in self.ids for c in p)})
-        self.symbols = symbols
         self.number = {s: i for i, s in enumerate(symbols)}
         order = {s: i for i, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
-        rules = sorted(
-            (self.number[p[:k]] * len(symbols) + self.number[p[k:]], self.number[p], order[self.scores[p]])
-            for p in self.ids for k in range(1, len(p)) if p[:k] in self.number and p[k:] in self.number
-        )
-        table = np.array(rules, np.int64).reshape(-1, 3)
-        self.pair_keys = np.append(table[:, 0], np.iinfo(np.int64).max)
-        self.pair_makes = np.append(table[:, 1], -1)
-        self.pair_ranks = np.append(table[:, 2], NEVER).astype(np.int32)
+        rows: dict[int, list[tuple[int, int, int]]] = {}
+        for p in self.ids:
+            for k in range(1, len(p)):
+                if p[:k] in self.number and p[k:] in self.number:
+                    rows.setdefault(self.number[p[:k]], []).append((self.number[p[k:]], self.number[p], order[self.scores[p]]))
+        room = 1 << max(10, (8 * sum(map(len, rows.values()))).bit_length())
+        self.place = np.ones(len(symbols) + 1, np.int64)  # the last one is for no symbol, -1
+        self.left_of = np.full(room + len(symbols) + 1, -9, np.int32)
+        self.makes = np.full(len(self.left_of), -1, np.int32)
+        self.ranks = np.full(len(self.left_of), NEVER, np.int32)
+        for left, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+            right, makes, ranks = np.array(row, np.int64).T
+            at, step = 1, 0
+            while (self.left_of[at + right] >= 0).any():
+                step += 1
+                at = 1 + step * 7919 * (left + 1) % (room - 1) if step < 5_000 else self._more_room()
+            self.place[left] = at
+            self.left_of[at + right], self.makes[at + right], self.ranks[at + right] = left, makes, ranks
         codes = [ord(s) for s in symbols if len(s) == 1]
         self.of_code = np.full(max(codes, default=0) + 2, -1, np.int32)
         self.of_code[codes] = [self.number[chr(c)] for c in codes]
         #: Token of each symbol, -1 where it is written as bytes.
-        self.token = np.array([self.ids.get(s, -1) for s in symbols], np.int32)
+        self.token = np.array([*(self.ids.get(s, -1) for s in symbols), -1], np.int32)
+
+    def _more_room(self) -> int:
+        """A place behind all others, after making the table as long again."""
+        at = len(self.left_of)
+        self.left_of, self.makes, self.ranks = (
+            np.append(x, np.full(len(x), rest, np.int32)) for x, rest in ((self.left_of, -9), (self.makes, -1), (self.ranks, NEVER))
+        )
+        return at
 
     def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks of pairs of symbol numbers (-1: none) and the numbers of what they make."""
-        keys = left.astype(np.int64) * len(self.symbols) + right
-        at = np.searchsorted(self.pair_keys, keys)
-        hit = (left >= 0) & (right >= 0) & (self.pair_keys[at] == keys)
-        return np.where(hit, self.pair_ranks[at], NEVER), self.pair_makes[at]
-
-    def _merge_all(self, cuts: list[str], n: int) -> None:
-        """Merge ``cuts`` of ``n`` characters, an agenda a row, and remember their ids."""
-        codes = np.frombuffer("".join(cuts).encode("utf-32-le"), np.uint32).reshape(-1, n)
-        at = self.of_code[np.minimum(codes, len(self.of_code) - 1)]
-        ends = np.full(len(cuts), n)
-        agenda = np.full((len(cuts), n), NEVER, np.int32)
-        agenda[:, :-1] = self._look(at[:, :-1].ravel(), at[:, 1:].ravel())[0].reshape(-1, n - 1)
-        live, column = np.arange(len(cuts)), np.arange(n - 1)
+        at = self.place[left] + right
+        return np.where((self.left_of[at] == left) & (left >= 0), self.ranks[at], NEVER), self.makes[at]
+
+    def _merge_all(self, cuts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merge ``cuts`` of ``n`` characters, an agenda a row. Returns their ids in order,
+        their numbers of ids, and the numbers of the cuts that hold other symbols than pieces."""
+        m, width = len(cuts), n + 1  # the last column stands for no symbol, before and after a cut
+        codes = np.frombuffer("".join(cuts).encode("utf-32-le"), np.uint32).reshape(m, n)
+        at = np.full((m, width), -1, np.int32)
+        at[:, :n] = self.of_code[np.minimum(codes, len(self.of_code) - 1)]
+        agenda, makes = (x.reshape(m, n) for x in self._look(at[:, :-1].ravel(), at[:, 1:].ravel()))
+        agenda, makes = (np.hstack([x, np.full((m, 1), x.dtype.type(NEVER))]) for x in (agenda, makes))
+        after = np.tile(np.arange(1, width + 1, dtype=np.int32), (m, 1))
+        before = np.tile(np.append(n, np.arange(n, dtype=np.int32)), (m, 1))
+        there = np.ones((m, width), bool)
+        there[:, n] = False
+        at_, makes_, after_, before_, there_ = (x.reshape(-1) for x in (at, makes, after, before, there))
+        rows = np.arange(m) * width
         while True:
-            ranks = agenda[live]
-            left = ranks.argmin(axis=1)
-            some = np.flatnonzero(ranks[np.arange(len(live)), left] < NEVER)
+            left = agenda.argmin(axis=1)
+            some = np.flatnonzero(agenda[np.arange(len(agenda)), left] < NEVER)
             if not len(some):
                 break
-            if len(some) < len(live):
-                live, left, ranks = live[some], left[some], ranks[some]
-            row, here = at[live], np.arange(len(live))
-            made = self._look(row[here, left], row[here, left + 1])[1]
-            after = column > left[:, None]
-            np.copyto(row[:, :-1], row[:, 1:], where=after)
-            np.copyto(ranks[:, :-1], ranks[:, 1:], where=after)
-            row[:, -1], ranks[:, -1] = -1, NEVER
-            row[here, left] = made
-            ranks[here, left] = self._look(made, np.where(left + 1 < n, row[here, np.minimum(left + 1, n - 1)], -1))[0]
-            before = np.flatnonzero(left > 0)
-            ranks[before, left[before] - 1] = self._look(row[before, left[before] - 1], made[before])[0]
-            at[live], agenda[live] = row, ranks
-            ends[live] -= 1
-        tokens = np.where(at >= 0, self.token[at], -1)
-        odd = ((tokens < 0) & (np.arange(n) < ends[:, None])).any(axis=1)
-        self.known.update(zip(cuts, (tuple(t[:end]) for t, end in zip(tokens.tolist(), ends.tolist()))))
-        self.known.update((cuts[i], self._tokens(self.pieces(cuts[i]))) for i in np.flatnonzero(odd).tolist())
+            if len(some) < len(agenda):
+                agenda, rows, left = agenda[some], rows[some], left[some]
+            here, one = np.arange(len(rows)), rows + left
+            right = after_[one]
+            other = rows + right
+            follows, leads, made = after_[other], before_[one], makes_[one]
+            at_[one], there_[other] = made, False
+            after_[one], before_[rows + follows] = follows, left
+            agenda[here, right] = NEVER
+            agenda[here, left], makes_[one] = self._look(made, at_[rows + follows])
+            agenda[here, leads], makes_[rows + leads] = self._look(at_[rows + leads], made)
+        tokens = self.token[at]
+        odd = np.flatnonzero((there & (tokens < 0)).any(axis=1))
+        there[odd] = False
+        return tokens[there], there.sum(axis=1), odd
 
     def _cuts(self) -> re.Pattern:
         """The pattern of the parts of a text that merge by themselves."""
@@ -190,29 +253,53 @@ class Vocabulary:
         return tuple(out)
 
     def _learn(self, cuts: Iterable[str]) -> None:
-        """Remember the ids of ``cuts``."""
-        sizes: dict[int, list[str]] = {}
+        """Remember the ids of ``cuts`` that are not known."""
+        by_size: dict[int, list[str]] = {}
         for cut in cuts:
-            sizes.setdefault(len(cut), []).append(cut)
-        for n, some in sizes.items():
+            if cut not in self.known.numbers:
+                by_size.setdefault(len(cut), []).append(cut)
+        plain: list[str] = []
+        learnt: list[tuple[list[str], np.ndarray, np.ndarray]] = []
+        for n, some in by_size.items():
             if 1 < n <= LONGEST:
-                self._merge_all(some, n)
+                ids, counts, odd = self._merge_all(some, n)
+                if len(odd):
+                    plain += [some[k] for k in odd.tolist()]
+                    counts, some = np.delete(counts, odd), np.delete(np.array(some, object), odd).tolist()
+                learnt.append((some, ids, counts))
             else:
-                self.known.update((c, self._tokens(self.pieces(c))) for c in some)
-
-    def encode_all(self, texts: list[str], end: bool = True) -> list[list[int]]:
-        """Ids of each text, with the id of the end of a text if ``end``."""
+                plain += some
+        if plain:
+            tokens = [self._tokens(self.pieces(c)) for c in plain]
+            learnt.append((plain, np.fromiter(chain.from_iterable(tokens), np.int32), np.array([len(t) for t in tokens], np.int64)))
+        self.known.add(learnt)
+
+    def encode_flat(self, texts: list[str], end: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, each with the id of the end of a text if
+        ``end``; and where each text's begin, and the last one's end."""
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
         split = [self.cuts.findall(self.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = set(chain.from_iterable(split)) - known.keys()
-        self._learn(new)
-        last = [self.end] if end else []
-        out = [[*chain.from_iterable(map(known.__getitem__, cuts)), *last] for cuts in split]
-        for cut in [c for c in new if len(c) > LONGEST]:
-            del known[cut]
-        return out
+        cuts = list(chain.from_iterable(split))
+        numbers = np.fromiter(map(known.numbers.get, cuts, repeat(-1)), np.int64, len(cuts))
+        unknown = np.flatnonzero(numbers < 0).tolist()
+        new = {cuts[k] for k in unknown}
+        long = [c for c in new if len(c) > LONGEST]
+        self._learn(new.difference(long))
+        self._learn(long)
+        numbers[unknown] = [known.numbers[cuts[k]] for k in unknown]
+        ids, ends = _gather(known.flat, known.starts[numbers], known.sizes[numbers])
+        bounds = np.append(0, ends)[np.cumsum([0, *map(len, split)])]
+        if end:
+            ids, bounds = np.insert(ids, bounds[1:], self.end), bounds + np.arange(len(bounds))
+        known.drop(long)
+        return ids, bounds
+
+    def encode_all(self, texts: list[str], end: bool = True) -> list[list[int]]:
+        """Ids of each text, with the id of the end of a text if ``end``."""
+        ids, bounds = self.encode_flat(texts, end)
+        return _lists(ids, bounds)
 
     def encode(self, text: str, end: bool = True) -> list[int]:
         """Ids of one text."""
@@ -244,6 +331,34 @@ class Vocabulary:
         return "".join([*out, _characters(run)])[skip:]
 
 
+    def decode_flat(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The text of each part of ``ids`` between ``bounds``, as ``decode`` gives it."""
+        raw, ends = _gather(self.surface_bytes, self.surface_starts[ids], self.surface_sizes[ids])
+        raw, cut = raw.tobytes(), np.append(0, ends)[bounds].tolist()
+        controls = np.append(0, np.cumsum(self.control[ids]))[bounds]
+        out = []
+        for k, (lo, hi, n) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), np.diff(controls).tolist())):
+            try:
+                if hi - lo <= n or n > 1 or (n == 1 and not self.control[ids[hi - 1]]):
+                    raise ValueError("ends inside a text")
+                out.append(raw[cut[k] : cut[k + 1]].decode()[len(self.prefix) if self.marked[ids[lo]] else 0 :])
+            except ValueError:  # also bytes that make no characters
+                out.append(self.decode(ids[lo:hi].tolist()))
+        return out
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of ``values`` at ``starts``, one after the other, and where each ends."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)], ends
+
+
+def _lists(ids: np.ndarray, bounds: np.ndarray) -> list[list[int]]:
+    flat, at = ids.tolist(), bounds.tolist()
+    return [flat[lo:hi] for lo, hi in zip(at, at[1:])]
+
+
 def _characters(run: bytes) -> str:
     """The characters of a run of byte pieces; a byte that begins none is U+FFFD."""
     out, at = [], 0
@@ -306,10 +421,14 @@ def encode(docs: DataFrame, model_path: str, check: bool = True) -> DataFrame:
             _, offsets = buffers(batch.column(1))
             for lo, hi in slices(offsets, STEP):
                 texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                ids = words.encode_all(texts)
+                ids, bounds = words.encode_flat(texts)
                 if check:
-                    _same("encoding", texts, ids, words.library.encode(texts, add_eos=True, num_threads=1))
-                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+                    theirs = words.library.encode(texts, add_eos=True, num_threads=1)
+                    flat = np.fromiter(chain.from_iterable(theirs), np.int32)
+                    if not (np.array_equal(flat, ids) and np.array_equal(np.cumsum([0, *map(len, theirs)]), bounds)):
+                        _same("encoding", texts, _lists(ids, bounds), theirs)
+                made = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.record_batch([batch.column(0).slice(lo, hi - lo), made], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -325,16 +444,18 @@ def decode(encoded: DataFrame, model_path: str, check: bool = True) -> DataFrame
         for batch in batches:
             column = batch.column(1)
             sizes = pc.fill_null(pc.list_value_length(column), 0)
-            at = [0, *pc.cumulative_sum(sizes.cast(pa.int64())).to_pylist()]
+            at = np.append(0, np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)))
+            flat = column.flatten().to_numpy(zero_copy_only=False)  # without the ids below a null
             lo = 0
             while lo < len(column):
                 hi = lo + 1
                 while hi < len(column) and at[hi + 1] - at[lo] <= STEP:
                     hi += 1
-                ids = [i or [] for i in column.slice(lo, hi - lo).to_pylist()]
-                decoded = [words.decode(i) for i in ids]
+                ids, bounds = flat[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+                decoded = words.decode_flat(ids, bounds)
                 if check:
-                    _same("decoding", ids, decoded, words.library.decode(ids, num_threads=1))
+                    lists = _lists(ids, bounds)
+                    _same("decoding", lists, decoded, words.library.decode(lists, num_threads=1))
                 yield pa.record_batch(
                     [batch.column(0).slice(lo, hi - lo), column.slice(lo, hi - lo), pa.array(decoded, pa.string())],
                     ["doc_id", "ids", "decoded"],
