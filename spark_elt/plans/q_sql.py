@@ -72,6 +72,22 @@ WHERE r_name = '@region_name@' GROUP BY r_name"""
     return parallel_sql(spark, template, ["@region_name@"], names, replace=rep)
 
 
+@register(
+    "parallel_execute_sql_joined",
+    """SELECT n_name, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total, CAST(n_nationkey AS VARCHAR) AS task_id
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+GROUP BY n_name, n_nationkey""",
+)
+def parallel_execute_sql_joined(spark, sf_dir):
+    """One SELECT per nation, by number; each table is scanned once for all of them."""
+    template = """SELECT n_name, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total
+FROM @orders@ JOIN @customer@ ON o_custkey = c_custkey JOIN @nation@ ON c_nationkey = n_nationkey
+WHERE n_nationkey = @nation_key@ GROUP BY n_name"""
+    # the parameter list is the nation list, bounded by the dimension
+    keys = [(r["n_nationkey"],) for r in spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey").collect()]
+    return parallel_sql(spark, template, ["@nation_key@"], keys, replace=tables(sf_dir))
+
+
 @register(
     "sql_join_revenue",
     """SELECT n_name, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS n_orders,

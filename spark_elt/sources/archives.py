@@ -12,6 +12,8 @@ import io
 import tarfile
 import time
 import zipfile
+from urllib.parse import quote
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,14 @@ from pyspark.sql import functions as F
 from spark_elt.session import ship_code
 
 
-def _fs_path(path: str):
+def file_system(path: str):
+    """The file system of a path as Spark names it, and the path in it."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    scheme, _, rest = path.rpartition("://") if "://" in path else ("file", "", path.removeprefix("file:"))
+    if scheme == "file":
+        return fs.LocalFileSystem(), rest
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{quote(rest, safe='/:@')}")
 
 
 def write_bytes(path: str, data: bytes) -> None:
@@ -30,7 +36,7 @@ def write_bytes(path: str, data: bytes) -> None:
     so a retried or speculative task attempt never leaves a half-written file."""
     import uuid
 
-    filesystem, p = _fs_path(path)
+    filesystem, p = file_system(path)
     parent = p.rsplit("/", 1)[0]
     filesystem.create_dir(parent, recursive=True)
     tmp = f"{p}.tmp-{uuid.uuid4().hex}"

@@ -5,9 +5,11 @@ tasks (``spark.sql.files.maxPartitionBytes``), so there is no per-file job. The
 schema is always given (the reference loads into a table whose DDL exists first);
 nothing is inferred.
 
-Compression: none and gzip are read natively (by extension). zip and tar.gz are
-whole-archive codecs: each archive becomes one task that reads its members' lines in
-batches (``binaryFile`` + ``mapInPandas``).
+Compression: none and gzip are read natively (by extension). Of a zip only the directory
+at its end is read first; then each member is a task of its own, which reads its part of
+the archive. A tar.gz can only be read from its start: it is one task, streamed from its
+store. Lines come in batches, and no archive or member is held in memory, so their sizes
+do not matter.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from spark_elt.session import ship_code
-from spark_elt.sources import file_system
+from spark_elt.session import checkpoint_root, ship_code
+from spark_elt.sources import archives, file_system
 
 
 class Compression(Enum):
@@ -60,31 +62,101 @@ def _schema(spark: SparkSession, schema: StructType | str) -> StructType:
 ARCHIVE_LINES = 50_000
 
 
-def _members(kind: str, content: bytes) -> Iterator[IO[bytes]]:
-    """The files of an archive, opened one after the other."""
-    if kind == "zip":
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
-            for name in z.namelist():
-                if not name.endswith("/"):
-                    with z.open(name) as f:
-                        yield f
-    else:
-        with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as t:
-            for m in t:
-                if m.isfile():
-                    yield t.extractfile(m)
+#: Tasks that the members of zip archives are spread over at most.
+MEMBER_TASKS = 100_000
+
+
+class _Ranged(io.RawIOBase):
+    """A stored file; a place before its start is an OSError, as for files on disk."""
+
+    def __init__(self, stored):
+        self.stored = stored
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        return self.stored.readinto(into)
+
+    def tell(self) -> int:
+        return self.stored.tell()
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self.stored.seek(offset, whence)
+        except ValueError as e:
+            raise OSError(str(e)) from e
+
+    def close(self) -> None:
+        self.stored.close()
+        super().close()
+
+
+def _open(path: str) -> IO[bytes]:
+    """A file of any store, for reading by range."""
+    filesystem, p = archives.file_system(path)
+    return io.BufferedReader(_Ranged(filesystem.open_input_file(p)), 1 << 20)
+
+
+def _infos(z: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
+    """The files in a zip archive that are not empty."""
+    return [i for i in z.infolist() if not i.is_dir() and i.file_size]
+
+
+def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path, place) of the files in zip archives, from their directories; ``place`` counts
+    those of an archive from 0."""
+    for pdf in batches:
+        for path in pdf["path"]:
+            with _open(path) as f, zipfile.ZipFile(f) as z:
+                n = len(_infos(z))
+            yield pd.DataFrame({"path": [path] * n, "place": range(n)}).astype({"path": "str", "place": "int64"})
+
+
+def _batched(path: str, files: Iterator[IO[bytes]], begin: bool) -> Iterator[pd.DataFrame]:
+    """The text lines of ``files``, one after the other, decompressed as they are read.
+    ``first`` marks the first one, if they ``begin`` an archive."""
+    lines = (ln.decode() for f in files for ln in f)
+    while part := [ln.rstrip("\n").removesuffix("\r") for ln in itertools.islice(lines, ARCHIVE_LINES)]:
+        yield pd.DataFrame({"file": path, "first": [begin] + [False] * (len(part) - 1), "value": part})
+        begin = False
+
+
+def _member_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for path, place in zip(pdf["path"], pdf["place"], strict=True):
+            with _open(path) as f, zipfile.ZipFile(f) as z, z.open(_infos(z)[place]) as m:
+                yield from _batched(path, iter([m]), place == 0)
 
 
-def _archive_lines(batches: Iterator[pd.DataFrame], kind: str) -> Iterator[pd.DataFrame]:
-    """Every archive row → its members' text lines, in order, decompressed as they are
-    read. ``first`` marks the first line of an archive."""
+def _tar_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"], strict=True):
-            lines = (ln for f in _members(kind, content) for ln in io.TextIOWrapper(f, "utf-8", newline="\n"))
-            begin = True
-            while part := [ln.rstrip("\n").removesuffix("\r") for ln in itertools.islice(lines, ARCHIVE_LINES)]:
-                yield pd.DataFrame({"file": path, "first": [begin] + [False] * (len(part) - 1), "value": part})
-                begin = False
+        for path in pdf["path"]:
+            with _open(path) as f, tarfile.open(fileobj=f, mode="r|gz") as t:
+                yield from _batched(path, (t.extractfile(m) for m in t if m.isfile()), True)
+
+
+def _archive_lines(spark: SparkSession, paths: Sequence[str], compression: Compression) -> DataFrame:
+    """Lines of archives: ``file`` (the archive), ``first`` (first line of it), ``value``."""
+    schema = "file string, first boolean, value string"
+    listing = spark.read.format("binaryFile").load(list(paths)).select("path")  # contents are not read
+    if compression == Compression.TAR_GZIP:
+        return listing.mapInPandas(_tar_lines, schema)
+    checkpoint_root(spark)  # names the folder of stored frames
+    members = listing.mapInPandas(_zip_members, "path string, place long").checkpoint()
+    # a row for each archive; the driver holds the paths of a scan anyway
+    counts = members.groupBy("path").count().orderBy("path").collect()
+    before = list(itertools.accumulate((r["count"] for r in counts), initial=0))
+    total = before.pop()
+    if not total:
+        return spark.createDataFrame([], schema)
+    starts = spark.createDataFrame([(r["path"], n) for r, n in zip(counts, before)], "path string, before long")
+    tasks = min(total, MEMBER_TASKS)
+    numbered = members.join(starts, "path").withColumn("task", ((F.col("before") + F.col("place")) % tasks).cast("int"))
+    return numbered.repartitionById(tasks, "task").select("path", "place").mapInPandas(_member_lines, schema)
 
 
 def _mark_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -100,13 +172,11 @@ def _mark_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def read_lines(spark: SparkSession, paths: Sequence[str], compression: Compression = Compression.NONE,
                header: bool = False) -> DataFrame:
     """Text lines of the files as ``file`` (path) and ``value``; with ``header`` without
-    the first line of each file (exactly, also when files are split). An archive is one
-    task: its bytes are in that task's memory (2 GB at most), its members are not."""
+    the first line of each file (exactly, also when files are split). A member of a zip
+    archive is a task, a tar.gz archive is one."""
     ship_code(spark)
     if compression in (Compression.ZIP, Compression.TAR_GZIP):
-        kind = "zip" if compression == Compression.ZIP else "tar.gz"
-        raw = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-        lines = raw.mapInPandas(partial(_archive_lines, kind=kind), "file string, first boolean, value string")
+        lines = _archive_lines(spark, paths, compression)
         return (lines.where(~F.col("first")) if header else lines).select("file", "value")
     txt = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), "value"

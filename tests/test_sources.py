@@ -136,3 +136,47 @@ def test_parse_lines_from_csv(spark):
     lines = spark.createDataFrame([("1;'a;b'",), ("2;\\N",)], "value string")
     df = parse_lines(lines, "id int, v string", csv_options(sep=";", quote="'", null_value="\\N"))
     assert sorted(tuple(r) for r in df.collect()) == [(1, "a;b"), (2, None)]
+
+
+def test_members_of_archives_are_streamed(spark, tmp_dir):
+    """A zip of 50 members is read by 50 tasks; neither kind of archive is taken whole (the
+    limit of whole contents is far below their sizes). The header is the first line of an
+    archive, also where its first member is empty or two members have one name."""
+    import io
+    import tarfile
+    import warnings
+    import zipfile
+
+    folder = os.path.join(tmp_dir, "in dir")
+    os.makedirs(folder)
+    parts = ["", "id,v\n"] + [f"{i},a{i}\r\n{i + 100},b" for i in range(49)]
+    with zipfile.ZipFile(f"{folder}/x y.zip", "w", zipfile.ZIP_DEFLATED) as z, warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        z.writestr("sub/", "")
+        for i, text in enumerate(parts):
+            z.writestr("same.csv" if i in (7, 8) else f"p{i}.csv", text)
+    with tarfile.open(f"{folder}/x y.tar.gz", "w:gz") as t:
+        for i, text in enumerate(parts):
+            info = tarfile.TarInfo(f"p{i}.csv")
+            info.size = len(text.encode())
+            t.addfile(info, io.BytesIO(text.encode()))
+    expected = sorted([(i, f"a{i}") for i in range(49)] + [(i + 100, "b") for i in range(49)])
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "100")
+    try:
+        for name, kind, tasks in (("x y.zip", Compression.ZIP, 50), ("x y.tar.gz", Compression.TAR_GZIP, 1)):
+            df = read_delimited(spark, [f"{folder}/{name}"], "id int, v string", header=True, compression=kind)
+            assert sorted(tuple(r) for r in df.collect()) == expected
+            used = df.select(F.spark_partition_id().alias("p")).distinct().count()
+            assert used == (tasks - 1 if kind == Compression.ZIP else 1)  # the header's member has no row
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_empty_archives(spark, tmp_dir):
+    import zipfile
+
+    with zipfile.ZipFile(f"{tmp_dir}/none.zip", "w"):
+        pass
+    assert read_delimited(spark, [f"{tmp_dir}/none.zip"], "id int", compression=Compression.ZIP).count() == 0

@@ -6,6 +6,7 @@ import pytest
 
 from spark_elt.operators import dag
 from spark_elt.operators.sql import parallel_sql, render, run_sql, split_statements, task_id
+from spark_elt.session import scratch_dir
 
 
 def test_render_literal_ordered_and_callables():
@@ -170,3 +171,45 @@ def test_script_block_runs(spark):
 
     got = run_sql(spark, "SELECT 1; BEGIN DECLARE x INT DEFAULT 2; SET x = x * 3; SELECT x AS x; END")
     assert [r[0] for r in got.collect()] == [6]
+
+
+def _scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+@pytest.fixture(scope="module")
+def measured(spark):
+    path = scratch_dir(spark, "measured")
+    spark.range(1000).selectExpr("id", "concat('k', id % 30) AS kind", "id % 7 AS n").write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize(
+    "template, fits",
+    [
+        ("SELECT kind, count(*) AS c, sum(id) AS s FROM @t@ WHERE kind = '@k@' GROUP BY kind", True),
+        ("SELECT count(*) AS c, max(id) AS s FROM @t@ WHERE kind = '@k@' AND n = @n@", True),  # a row also for no match
+        ("SELECT id, n FROM @t@ WHERE id < 300 AND kind ='@k@'", True),
+        ("SELECT a.id, b.n FROM @t@ a JOIN @t@ b ON a.id = b.id + 1 WHERE a.kind = '@k@'", True),
+        ("SELECT id FROM @t@ WHERE kind <= '@k@' AND id < 50", False),
+        ("SELECT id FROM @t@ WHERE kind = '@k@' OR id = 4", False),
+        ("SELECT '@k@' AS k, count(*) AS c FROM @t@ WHERE kind = '@k@'", False),
+        ("SELECT id FROM @t@ WHERE kind IN ('@k@') AND n = @n@", False),
+    ],
+)
+def test_parallel_sql_joins_parameters(spark, measured, template, fits):
+    names = [p for p in ("@k@", "@n@") if p in template]
+    params = [(f"k{i}", i % 7)[: len(names)] for i in [*range(24), 77, 3]]  # 3 twice, 77 without rows
+    rep = {"@t@": f"parquet.`{measured}`"}
+    df = parallel_sql(spark, template, names, params, replace=rep)
+    assert _scans(df) == (template.count("@t@") if fits else len(params) * template.count("@t@"))
+    plain = [
+        (*r, task_id(p)) for p in params for r in run_sql(spark, template, replace={**rep, **dict(zip(names, p))}).collect()
+    ]
+    assert sorted(map(repr, plain)) == sorted(repr(tuple(r)) for r in df.collect())
+
+
+def test_parallel_sql_keeps_odd_values_rendered(spark, measured):
+    """Values that a literal would read differently are rendered into the text, as before."""
+    df = parallel_sql(spark, f"SELECT id FROM parquet.`{measured}` WHERE kind = '@k@'", ["@k@"], [("k1\\u0030",), ("k2",)])
+    assert _scans(df) == 2 and {r[0] for r in df.collect()} == {i for i in range(1000) if i % 30 in (10, 2)}
