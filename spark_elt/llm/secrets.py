@@ -35,7 +35,8 @@ _HEX = re.compile(r"[0-9a-f]{24,}")  # a run that is long enough is found whole
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
 # Added kinds: prefixed service tokens, signed web tokens, logins in addresses, key blocks.
-# The SQL reads all four; the scan reads the last two whole, as _LOGIN and by _key_blocks.
+# The SQL reads all four; the scan reads web tokens by _signed, the last two whole, as
+# _LOGIN and by _key_blocks.
 _MORE = (
     (3, re.compile(r"\b(?:gh[oprsu]_|glpat-|xox[abprs]-|sk_live_)[A-Za-z0-9_-]{16,}", re.A), 0),
     (4, re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"), 0),
@@ -43,6 +44,10 @@ _MORE = (
     (6, re.compile(r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\x09-\x0D\x20]*"), 0),
 )
 
+#: Runs of a web token's characters joined by dots, and the least length of its parts.
+_CHAIN = re.compile(r"[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]++)*+")
+_LEAST_PART = 8
+
 _LOGIN = re.compile(r"://[^\x09-\x0D\x20/:@]++:([^\x09-\x0D\x20/:@]{6,}+)@")
 _KEY_EDGE = re.compile(r"-----(BEGIN|END) (?:[A-Z0-9]+ ){0,3}PRIVATE KEY(?: BLOCK)?-----")
 # Line ends, also as written in string literals; the headers and the body of a key.
@@ -57,6 +62,23 @@ LIVE_BITS = 2.8
 MAX_OWNERS = 2
 
 
+def _signed(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the signed web tokens, as the pattern finds them, reading every run
+    of characters once: three parts, of which the first is from its ``eyJ`` on."""
+    for m in _CHAIN.finditer(text):
+        parts, at, k = m[0].split("."), m.start(), 0
+        while k + 2 < len(parts):
+            head, body, sign = (len(p) for p in parts[k : k + 3])
+            begin = parts[k].find("eyJ")
+            if 0 <= begin <= head - 3 - _LEAST_PART and min(body, sign) >= _LEAST_PART:
+                yield at + begin, at + head + body + sign + 2
+                at += head + body + sign + 3
+                k += 3
+            else:
+                at += head + 1
+                k += 1
+
+
 def _key_blocks(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, body) of the private keys: from BEGIN to END or, where another one
     begins before an END or none comes, through headers and body as far as they go. The
@@ -85,7 +107,9 @@ def find(text: str) -> list[tuple[int, int, int, str]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end(), m[0]) for m in _ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     out += [(m.start(), 2, m.end(), m[0]) for m in _HEX.finditer(text)]
-    for kind, pattern, group in (*_MORE[:2], (5, _LOGIN, 1)):
+    if "eyJ" in text:
+        out += [(start, 4, end, text[start:end]) for start, end in _signed(text)]
+    for kind, pattern, group in (_MORE[0], (5, _LOGIN, 1)):
         out += [(m.start(), kind, m.end(), m[group]) for m in pattern.finditer(text)]
     if "PRIVATE KEY" in text:
         out += [(start, 6, end, body) for start, end, body in _key_blocks(text)]
