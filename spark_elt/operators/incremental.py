@@ -334,6 +334,12 @@ def upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequen
     finish_staged(spark, target_path, staging, partition_by, fmt)
 
 
+def by_partition(rows: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """``rows`` gathered for a write partitioned by ``parts``: a task then has whole partitions
+    (a large one is split), where else each task would write a file into every partition."""
+    return rows.hint("rebalance", *parts) if parts else rows
+
+
 def staged(spark: SparkSession, staging: str) -> bool:
     """Whether ``staging`` holds a merge, or a checked full load, that is complete but
     perhaps not yet copied."""
@@ -362,7 +368,7 @@ def _stage(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequen
     else:
         merged = merge(target, delta, keys)
     emptied.write.parquet(f"{staging}/emptied")
-    w = merged.write.format(fmt)
+    w = by_partition(merged, parts).write.format(fmt)
     (w.partitionBy(*parts) if parts else w).save(f"{staging}/merged")
 
 
@@ -401,7 +407,7 @@ def full_load(spark: SparkSession, rows: DataFrame, target_path: str, keys: Sequ
     fresh = not file_system.has_data(spark, target_path)
     place = target_path if fresh else f"{staging}/full"
     out = latest_per_key(rows, keys, dedup_by) if dedup_by else rows
-    w = out.write.mode("overwrite").format(fmt)
+    w = by_partition(out, partition_by or []).write.mode("overwrite").format(fmt)
     (w.partitionBy(*partition_by) if partition_by else w).save(place)
     if unique and not dedup_by:
         try:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DataType, DateType, IntegerType, LongType, ShortType, TimestampNTZType, TimestampType
 
 from spark_elt.functions.durations import wall_micros
-from spark_elt.operators.incremental import check_unique, latest_per_key, merge_newer, merge_upsert, staged
+from spark_elt.operators.incremental import by_partition, check_unique, latest_per_key, merge_newer, merge_upsert, staged
 from spark_elt.session import ship_code
 from spark_elt.sources import file_system
 
@@ -235,7 +235,7 @@ def upsert_indexed(spark: SparkSession, target: str, delta: DataFrame, keys: Seq
         old = _read(spark, target, touched, spark.read.parquet(target).schema)
         merged = merge_newer(old, delta, keys, version) if version else merge_upsert(old, delta, keys)
     spark.createDataFrame([(f,) for f in touched], "file string").coalesce(1).write.parquet(f"{staging}/replaced")
-    w = merged.write
+    w = by_partition(merged, parts).write
     (w.partitionBy(*parts) if parts else w).parquet(f"{staging}/merged")
     _replace(spark, target, keys, staging)
 

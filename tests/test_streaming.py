@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+import pytest
+
+from spark_elt.operators.key_index import data_files
 from spark_elt.session import scratch_dir
 from spark_elt.streaming.ingest import ingest_new_files, stream_fold_node_runs, stream_upsert
 
@@ -49,3 +52,24 @@ def test_ingest_new_files_once(spark, tmp_dir):
     open(os.path.join(src, "b.csv"), "w").write("2,y\n")
     ingest_new_files(spark, src, "id int, v string", sink, ck)
     assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 2]
+
+
+@pytest.fixture()
+def _wide(spark):
+    """Shuffles keep all their partitions, as those of large tables do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_fold_writes_few_files_a_block(spark, _wide):
+    """Many run blocks, each with runs in every shuffle partition: one file a block, not one a task."""
+    src, tgt, ck, stg = (scratch_dir(spark, n) for n in ("f_src", "f_tgt", "f_ck", "f_stg"))
+    for event, later in (("NodeStarted", 0), ("NodeFinished", 5)):
+        ev = [(r, "a", event, T + dt.timedelta(seconds=later), True, True, r) for r in range(300)] + [(None, "n", event, T, True, True, 300)]
+        spark.createDataFrame(ev, EV).write.mode("append").parquet(src)
+        schema = spark.read.parquet(src).schema
+        stream_fold_node_runs(spark, spark.readStream.schema(schema).parquet(src), tgt, ck, stg, runs_per_partition=20)
+    got = spark.read.parquet(tgt).where("run_id is not null")
+    assert got.count() == 300 and got.where("end_time is null or start_time is null").count() == 0
+    assert len(data_files(spark, tgt)) <= 2 * 16
