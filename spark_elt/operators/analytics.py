@@ -220,33 +220,39 @@ def interval_cells(low: str, high: str) -> Column:
       THEN flatten(transform({levels}, l -> transform({cells}, c -> struct(l AS level, cast(c AS bigint) AS cell)))) END""")
 
 
+#: Up to so many node runs, their cells (a year has less than 70) go to every task.
+FEW_RUNS = 1_000
+
+
 def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 4, min_samples: int = 0) -> DataFrame:
     """Interval join of node runs with statistics samples (J03); see ``system_stats``.
 
-    Time is cut into cells of ``bucket_seconds`` and of 4, 16, 64 … times that. A node run
-    becomes the fewest cells that cover its interval (a year less than 70), a sample one
-    cell for each level that any run has. Samples of the same run join on (run_id, level, cell),
-    sentinel samples (run -1) on (level, cell). A pair of a run and a sample meets in one
-    cell, and nearly always belongs together: only the finest cells at the two ends of a run
-    have others, which the BETWEEN drops. So neither long runs nor many sentinel samples
-    make more pairs than there are results."""
+    Time is cut into cells of ``bucket_seconds`` and of multiples of that. Samples of the same
+    run join on (run_id, level, cell), sentinel samples (run -1) on (level, cell); a sample
+    has one cell for each level that any run has, and a pair meets in one cell. A node run
+    becomes the fewest cells that cover it (``interval_cells``). Few node runs are broadcast, and
+    the samples stay where they are. Neither long runs nor many sentinel samples make more
+    pairs than there are results."""
     from spark_elt.functions.durations import wall_micros
     from spark_elt.session import checkpoint_root
 
     # wall-clock micros since 1970 (no session time zone involved)
     finest = lambda c: F.floor(wall_micros(c) / (bucket_seconds * 1_000_000))
     nr = nr.where("end_time IS NOT NULL AND start_time <= end_time").select(
-        "node_run_id", F.col("run_id").alias("nr_run_id"), "start_time", "end_time",
-        finest(F.col("start_time")).alias("_lo"), finest(F.col("end_time")).alias("_hi"),
-    )
-    between = (F.col("timestamp") >= F.col("start_time")) & (F.col("timestamp") <= F.col("end_time"))
-    nr_b = nr.withColumn("_c", F.explode(interval_cells("_lo", "_hi"))).select(
-        "node_run_id", "nr_run_id", "start_time", "end_time", F.col("_c.level").alias("nr_level"), F.col("_c.cell").alias("nr_cell")
+        "node_run_id", F.col("run_id").alias("nr_run_id"), "start_time", "end_time"
     )
     # stored: its levels are asked for first, and both kinds of samples meet it
     checkpoint_root(nr.sparkSession)
-    nr_b = nr_b.checkpoint(eager=True)
-    levels = sorted(r["nr_level"] for r in nr_b.select("nr_level").distinct().collect())  # at most 32
+    nr = nr.checkpoint(eager=True)
+    nr = nr.withColumns({"_lo": finest(F.col("start_time")), "_hi": finest(F.col("end_time"))})
+    few = nr.limit(FEW_RUNS + 1).count() <= FEW_RUNS
+    touched = nr.withColumn("_c", F.explode(interval_cells("_lo", "_hi")))
+    levels = sorted(r["level"] for r in touched.select("_c.level").distinct().collect())  # at most 32
+    nr_b = touched.select(
+        "node_run_id", "nr_run_id", "start_time", "end_time", F.col("_c.level").alias("nr_level"), F.col("_c.cell").alias("nr_cell")
+    )
+    nr_b = F.broadcast(nr_b) if few else nr_b
+    between = (F.col("timestamp") >= F.col("start_time")) & (F.col("timestamp") <= F.col("end_time"))
     cell = finest(F.col("timestamp"))
     cells = [F.struct(F.lit(n).alias("level"), F.shiftright(cell, 2 * n).alias("cell")) for n in levels]
     s_b = stats.withColumn("_c", F.explode(F.array(*cells))) if cells else stats.limit(0).withColumn(
@@ -257,12 +263,13 @@ def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 4
     cols = ["node_run_id", "timestamp", "run_id"] + STAT_COLS
     joined = own.select(cols).unionByName(sentinel.select(cols))
     if min_samples:
-        joined = min_rows(joined, ["node_run_id"], min_samples)
+        joined = min_rows(joined, ["node_run_id"], min_samples, few)
     return joined
 
 
-def min_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+def min_rows(df: DataFrame, keys: Sequence[str], n: int, few: bool = False) -> DataFrame:
     """Keep the rows of groups with at least ``n`` rows (P07). The group size is a
-    partial-aggregated count joined back on the keys, so no group is buffered."""
+    partial-aggregated count joined back on the keys, so no group is buffered. Of ``few``
+    groups the counts are broadcast, so that large ones stay in their parts."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= n).drop("_n")
-    return df.join(counts, list(keys), "left_semi")
+    return df.join(F.broadcast(counts) if few else counts, list(keys), "left_semi")

@@ -228,3 +228,25 @@ def test_format_duration_rounds_ties_to_even(spark):
 
     got = spark.createDataFrame([(0.25,), (0.75,), (2.5,), (12.0,)], "x double").select(format_duration(F.col("x")).alias("t"))
     assert [r.t for r in got.collect()] == [f"{round(x, 1)}s" for x in (0.25, 0.75, 2.5, 12.0)]
+
+
+def _samples(spark, rows):
+    stats = spark.createDataFrame(rows, "timestamp timestamp_ntz, run_id long")
+    for c in an.STAT_COLS:
+        stats = stats.withColumn(c, F.lit(1.0))
+    return stats
+
+
+def test_samples_of_few_runs_are_not_shuffled(spark):
+    """One run of a day with many samples: the samples meet it where they are, however large."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables above it
+    try:
+        nr = spark.createDataFrame([(1, 5, s(0), s(86_400), ["n"])], "node_run_id long, run_id long, start_time timestamp_ntz, end_time timestamp_ntz, node_path array<string>")
+        samples = [(s(i * 100), -1 if i % 2 else 5) for i in range(-50, 1000)]
+        got = an.system_stats(nr, _samples(spark, samples), ["n"], 5)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "NestedLoop" not in plan
+        want = sorted((1, t, r) for t, r in samples if s(0) <= t <= s(86_400))
+        assert sorted(tuple(r)[:3] for r in got.collect()) == want and len(want) > 800
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
