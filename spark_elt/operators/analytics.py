@@ -224,15 +224,24 @@ def interval_cells(low: str, high: str) -> Column:
 FEW_RUNS = 1_000
 
 
+def length_level(low: str, high: str) -> Column:
+    """The level of an interval by its length: of cells of 16^l numbers, those whose length is
+    between a quarter and four times that of the interval, so it touches at most six."""
+    return F.expr(f"CAST(floor(log2({high} - {low} + 1) / 4 + 0.5) AS int)")
+
+
 def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 4, min_samples: int = 0) -> DataFrame:
     """Interval join of node runs with statistics samples (J03); see ``system_stats``.
 
     Time is cut into cells of ``bucket_seconds`` and of multiples of that. Samples of the same
     run join on (run_id, level, cell), sentinel samples (run -1) on (level, cell); a sample
-    has one cell for each level that any run has, and a pair meets in one cell. A node run
-    becomes the fewest cells that cover it (``interval_cells``). Few node runs are broadcast, and
-    the samples stay where they are. Neither long runs nor many sentinel samples make more
-    pairs than there are results."""
+    has one cell for each level that any run has, and a pair meets in one cell.
+
+    Many node runs are shuffled, each as the few cells that it touches on the level of its
+    length (``length_level``); the samples in these lie in it or, at either end, at most its
+    own length times four away, and the BETWEEN drops those. Few node runs are broadcast, as the
+    fewest cells that cover each one (``interval_cells``), and the samples stay where they are.
+    So neither long runs nor many sentinel samples make pairs out of proportion."""
     from spark_elt.functions.durations import wall_micros
     from spark_elt.session import checkpoint_root
 
@@ -245,16 +254,23 @@ def interval_join_stats(nr: DataFrame, stats: DataFrame, bucket_seconds: int = 4
     checkpoint_root(nr.sparkSession)
     nr = nr.checkpoint(eager=True)
     nr = nr.withColumns({"_lo": finest(F.col("start_time")), "_hi": finest(F.col("end_time"))})
-    few = nr.limit(FEW_RUNS + 1).count() <= FEW_RUNS
-    touched = nr.withColumn("_c", F.explode(interval_cells("_lo", "_hi")))
-    levels = sorted(r["level"] for r in touched.select("_c.level").distinct().collect())  # at most 32
+    by_length = nr.groupBy(length_level("_lo", "_hi").alias("level")).count().collect()  # a row for each level
+    few = sum(r["count"] for r in by_length) <= FEW_RUNS
+    if few:
+        bits, touched = 2, nr.withColumn("_c", F.explode(interval_cells("_lo", "_hi")))
+        levels = sorted(r["level"] for r in touched.select("_c.level").distinct().collect())  # at most 32
+    else:
+        bits, levels = 4, sorted(r["level"] for r in by_length)
+        touched = nr.withColumn("_l", length_level("_lo", "_hi")).withColumn(
+            "_c", F.explode(F.expr("transform(sequence(shiftright(_lo, 4 * _l), shiftright(_hi, 4 * _l)), c -> struct(_l AS level, c AS cell))"))
+        )
     nr_b = touched.select(
         "node_run_id", "nr_run_id", "start_time", "end_time", F.col("_c.level").alias("nr_level"), F.col("_c.cell").alias("nr_cell")
     )
     nr_b = F.broadcast(nr_b) if few else nr_b
     between = (F.col("timestamp") >= F.col("start_time")) & (F.col("timestamp") <= F.col("end_time"))
     cell = finest(F.col("timestamp"))
-    cells = [F.struct(F.lit(n).alias("level"), F.shiftright(cell, 2 * n).alias("cell")) for n in levels]
+    cells = [F.struct(F.lit(n).alias("level"), F.shiftright(cell, bits * n).alias("cell")) for n in levels]
     s_b = stats.withColumn("_c", F.explode(F.array(*cells))) if cells else stats.limit(0).withColumn(
         "_c", F.struct(F.lit(0).alias("level"), F.lit(0).cast("long").alias("cell")))
     meet = (F.col("_c.level") == F.col("nr_level")) & (F.col("_c.cell") == F.col("nr_cell"))

@@ -250,3 +250,18 @@ def test_samples_of_few_runs_are_not_shuffled(spark):
         assert sorted(tuple(r)[:3] for r in got.collect()) == want and len(want) > 800
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_many_runs_have_few_cells(spark):
+    """Shuffled runs of seconds to weeks: right pairs, and few rows for each run and sample."""
+    import random
+
+    rng = random.Random(4)
+    runs = [(i, i % 7, s(a), s(a + rng.choice([0, 3, 16, 63, 64, 700, 5000, 10**6]))) for i, a in enumerate(rng.randrange(-5000, 100_000) for _ in range(an.FEW_RUNS + 200))]
+    nr = spark.createDataFrame([(*r, ["n"]) for r in runs], "node_run_id long, run_id long, start_time timestamp_ntz, end_time timestamp_ntz, node_path array<string>")
+    samples = [(s(rng.randrange(-6000, 300_000)), rng.choice([-1, 1, 2, 9])) for _ in range(300)]
+    got = sorted(tuple(r)[:3] for r in an.interval_join_stats(nr, _samples(spark, samples)).collect())
+    assert got == sorted((n, t, r) for n, run, a, b in runs for t, r in samples if a <= t <= b and r in (run, -1))
+    ends = spark.createDataFrame([(lo, lo + n - 1) for lo in (-70_000, -1, 0, 5, 255) for n in (1, 3, 4, 15, 16, 63, 64, 65, 1023, 1024, 10**6)], "lo long, hi long")
+    cells = ends.withColumn("l", an.length_level("lo", "hi")).selectExpr("shiftright(hi, 4 * l) - shiftright(lo, 4 * l) + 1 AS n", "l", "hi - lo + 1 AS size").collect()
+    assert all(c.n <= 6 and 16**c.l <= 4 * c.size <= 16 ** (c.l + 1) for c in cells)
