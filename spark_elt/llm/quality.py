@@ -36,6 +36,7 @@ REACH = 2
 HIDDEN = 24
 EPOCHS = 60
 CUT = 0.3
+PART = 1 << 17  # bytes of text worked on at once: a word of it takes several rows of DIMS floats
 
 # classes of bytes: 0 space, 1 letter, 2 digit, 3 symbol
 _CLASS = np.full(256, 3, np.uint8)
@@ -92,7 +93,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = np.zeros((BUCKETS, DIMS), np.float32)
     for batch in batches:
         raw, offsets = buffers(batch.column(0))
-        for lo, hi in slices(offsets):
+        for lo, hi in slices(offsets, PART):
             at = offsets[lo : hi + 1] - offsets[lo]
             word, shape, first = words(raw[offsets[lo] : offsets[hi]], at)
             text = np.repeat(np.arange(hi - lo), np.diff(first))
@@ -128,7 +129,7 @@ def pool(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """Mean word vector, mean shape vector and log length of each text."""
     raw, offsets = buffers(column)
     out = np.zeros((len(offsets) - 1, 2 * DIMS + 1), np.float32)
-    for lo, hi in slices(offsets, 1 << 19):
+    for lo, hi in slices(offsets, PART):
         at = offsets[lo : hi + 1] - offsets[lo]
         word, shape, first = words(raw[offsets[lo] : offsets[hi]], at)
         n = np.diff(first)[:, None]
