@@ -114,9 +114,11 @@ def stream_fold_node_runs_q(spark, sf_dir):
 def _arrivals(spark, sf_dir, run, *kinds):
     """Run the stream ``run(events)`` on the events before 2024-01-15, and again when the
     later ones have come; a file holds the events of some days, in the order of time."""
-    src = scratch_dir(spark, "run_events")
+    src, kept = scratch_dir(spark, "run_events"), scratch_dir(spark, "run_events_kept")
     ev = fx.run_events(spark, sf_dir).where(F.col("event").isin(*kinds)).withColumn("path_key", F.array_join("node_path", "/"))
-    ev = ev.drop("node_path")
+    # made once: both parts, and the ranges of each, are read from it
+    ev.drop("node_path").write.parquet(kept)
+    ev = spark.read.schema(ev.drop("node_path").schema).parquet(kept)
     cut = F.lit("2024-01-15").cast("timestamp_ntz")
     for part in (ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)):
         part.repartitionByRange("ts").write.mode("append").parquet(src)
