@@ -144,7 +144,7 @@ def test_query_equals_its_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.sql(f"create view {t} as select * from '/root/testdata/sf0.01/{t}.parquet'")
     sql = con.sql(ORACLES[name])
     got = QUERIES[name](spark, "/root/testdata/sf0.01")
