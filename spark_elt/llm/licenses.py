@@ -11,6 +11,8 @@ names its licences itself.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
@@ -109,17 +111,35 @@ RULES = (
 #: Identifiers that alone do not make a licence, and need no rule.
 NEUTRAL = ("Copyright", "AllRights", "SoftAsIs", "SoftNoLiability", "GnuNoWarranty")
 
+#: Forms of patterns that have two places to search for: where the first place found is not enough, no
+#: later one is, so each sentence is read once (as in SENTENCES, a test compares them; the time there
+#: grows with the square of a sentence's length and more).
+LINEAR = {
+    "AgplGrant": r"(?>.*?affero general public license(?= )).*? version 3( .*)?",
+    "Gpl2Later": r"(?>.*?gnu general public license )(?>.*?either version 2(?= |any later version)).*any later version.*",
+    "Gpl3Later": r"(?>.*?gnu general public license )(?>.*?either version 3(?= |any later version)).*any later version.*",
+    "LicenseWord": r"(?>(?:|.*? )licen[sc]ed? under )(.* )?(license|licence|terms)( .*)?",
+}
+
 #: A sentence without any of these cannot be a known one (a test holds them against SENTENCES).
-HINTS = (
-    "licen", "permission", "software", "redistribution", "neither", "liable", "general", "hope", "public", "copyright",
-    "reserved", "creative", "cc", "attribution",
-)
+HINTS = ("licen", "software", "tribution", "endorse", "liable", "hope", "domain", "copyright", "reserved", "commons", "cc")
+
+
+def keys(pattern: str) -> list[str]:
+    """Texts of which every match of one of SENTENCES holds one."""
+
+    def longest(part: str) -> str:
+        return max(re.split(r"\.\*|\\d|\([^()]*\)\??|\[[^\]]*\]|.\?", part.replace(r"\.", "\0")), key=len).replace("\0", ".")
+
+    if whole := longest(pattern):
+        return [whole]
+    return [longest(x) for x in re.findall(r"\(([^()]*)\)(?!\?)", pattern)[0].split("|")]
 
 
 #: An SPDX tag; what follows on its line is an expression of names.
 _TAG = r"spdx-license-identifier[ \t]*:"
 #: One name of an expression, after its start or an operator.
-_NAME = r"[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?"
+_NAME = r"(?>[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?)"
 _NAMES = rf"(?i)(?:^[\s(]*|\G(?:[\s)]+(?:and|or)[\s(]+|/))({_NAME}(?:\s+with\s+{_NAME})?)(?![a-z0-9.+-]*:)"
 #: Names in their own spelling (SPDX names are the same in any case); other names stay as written.
 SPDX = (
@@ -156,25 +176,33 @@ def _paragraphs(text: Column) -> Column:
 def _sentences(text: Column) -> Column:
     """Sentences with their line ends: cut at empty lines, after . ! ? : before a blank, and
     before lines that begin a sentence."""
-    return F.split(_paragraphs(text), rf"(?i)\n{{2,}}|(?<!spdx-license-identifier[ \t]{{0,9}})[.!?:]+(?=\s|$)|\n(?=(?:{_STARTS})\b)", -1)
+    tag, end = r"spdx-license-identifier[ \t]{0,9}", "[.!?:]"
+    # a run of marks is read once, from its first one, or from the second if the first belongs to a tag
+    begins = rf"{end}(?:(?<!{end}.)(?<!{tag}.)|(?<={tag}{end}.))"
+    return F.split(_paragraphs(text), rf"(?i)\n{{2,}}|{begins}{end}*+(?=\s|$)|\n(?=(?:{_STARTS})\b)", -1)
 
 
 def normalised(s: Column) -> Column:
     """Runs of letters, digits and inner dots, in lower case, joined by single blanks."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(s), r"[^a-z0-9.]+", " "), r"(?<![0-9])\.|\.(?![0-9])", " ")
+    words = F.regexp_replace(F.lower(s), r"[^a-z0-9.]+|(?<![0-9])\.|\.(?![0-9])", " ")
     return F.trim(F.regexp_replace(words, " +", " "))
 
 
+def _holds(s: Column, texts: Iterable[str]) -> Column:
+    return reduce(or_, (F.contains(s, F.lit(x)) for x in texts))
+
+
 def _identifier(sentence: Column) -> Column:
     """Number of the first of SENTENCES that matches, or null."""
     found = F.lit(None).cast("int")
-    for k, (_, pattern) in reversed(list(enumerate(SENTENCES))):
-        found = F.when(sentence.rlike(f"^(?:{pattern})$"), k).otherwise(found)
-    return F.when(sentence.rlike("|".join(HINTS)), found)
+    for k, (name, pattern) in reversed(list(enumerate(SENTENCES))):
+        found = F.when(_holds(sentence, keys(pattern)) & sentence.rlike(f"^(?:{LINEAR.get(name, pattern)})$"), k).otherwise(found)
+    return F.when(_holds(sentence, HINTS), found)
 
 
 def _known(s: Column) -> Column:
-    return F.array_compact(F.array(_identifier(normalised(s))))
+    # by way of an array, so that the sentence is normalised once and not for every pattern
+    return F.array_compact(F.transform(F.array(normalised(s)), _identifier))
 
 
 def _spdx(s: Column) -> Column:
@@ -208,11 +236,11 @@ def identifiers(text: Column) -> Column:
     (between semicolons) and lines are read too; they count unless what they are part of
     is a sentence that comes before theirs in SENTENCES. An SPDX tag is a sentence with an
     identifier for each name of its expression."""
-    likely = F.filter(_sentences(text), lambda s: F.lower(s).rlike("|".join(HINTS)))
+    likely = F.filter(_sentences(text), lambda s: F.exists(F.array(F.lower(s)), lambda x: _holds(x, HINTS)))
     names = F.array(*(F.lit(n) for n, _ in SENTENCES))
 
     def of(s: Column) -> Column:
-        numbers = _either(s, r";+(?=\s|$)", lambda c: _either(c, r"\n", _known))
+        numbers = _either(s, r"(?<!;);++(?=\s|$)", lambda c: _either(c, r"\n", _known))
         return F.when(s.rlike(f"(?i)^{_TAG}"), _spdx(s)).otherwise(F.transform(numbers, lambda k: F.get(names, k)))
 
     return F.flatten(F.transform(likely, of))
@@ -231,9 +259,8 @@ def licenses(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # a text without a hint has no known sentence; most texts end here
-    worth = reduce(or_, (F.contains(F.lower(text), F.lit(h)) for h in HINTS))
-    ids = F.when(worth, identifiers(text)).otherwise(F.expr("cast(array() as array<string>)"))
-    rows = docs.select("doc_id", ids.alias("ids"))
+    ids = F.when(_holds(F.col("low"), HINTS), identifiers(F.col("text"))).otherwise(F.expr("cast(array() as array<string>)"))
+    rows = docs.select("doc_id", text.alias("text"), F.lower(text).alias("low")).select("doc_id", ids.alias("ids"))
     rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(f"(?<![^,])(?:{p})").alias("pattern")) for n, p in RULES))
     tagged = F.filter("ids", lambda x: x.startswith(SPDX_PREFIX))
     start = F.struct(

@@ -1,7 +1,11 @@
 """Licence texts as they are usually laid out."""
 
 import itertools
+import random
 import re._parser as parser
+import time
+
+from pyspark.sql import functions as F
 
 from spark_elt.llm import licenses
 
@@ -159,3 +163,40 @@ def test_attribution_names(spark):
         "Attribution-Non-Commercial-Share Alike 3.0", "Attribution-Non-Commercial-No Derivatives 3.0",
     ]
     assert [r.licenses for r in found(spark, texts)] == ["CC-BY-NC-SA", "CC-BY-NC-ND"] * 2
+
+
+def test_every_alternative_has_a_key():
+    for name, pattern in licenses.SENTENCES:
+        for text in expanded(parser.parse(pattern)):
+            assert any(k in text for k in licenses.keys(pattern)), (name, text)
+
+
+def test_linear_forms_match_the_same(spark):
+    rng = random.Random(3)
+    parts = (
+        "licensed under", "license under", "unlicensed under", "license", "terms", "termsx", "affero general public license", "gnu general public license",
+        "version 3", "version 31", "either version 2", "either version 2any later version", "either version 3", "any later version", "x",
+    )
+    rows = [(" ".join(rng.choice(parts) for _ in range(rng.randint(2, 9))),) for _ in range(8000)]
+    both = {n: (F.col("s").rlike(f"^(?:{dict(licenses.SENTENCES)[n]})$"), F.col("s").rlike(f"^(?:{p})$")) for n, p in licenses.LINEAR.items()}
+    found = spark.createDataFrame(rows, "s string").select(
+        *(F.count_if(a != b).alias(f"{n} differs") for n, (a, b) in both.items()), *(F.count_if(a).alias(n) for n, (a, _) in both.items())
+    ).first().asDict()
+    assert all(v == 0 if "differs" in n else 10 < v < 8000 for n, v in found.items()), found
+
+
+def test_long_sentences_end(spark):
+    """One sentence of 1 MB that begins a licence again and again, or is all marks (the square of its length before)."""
+    texts = [x * (1_000_000 // len(x)) + "x" for x in ("licensed under the a ", "gnu general public license either version 2 ", "affero general public license ")]
+    texts += [f"MIT License\n{mark * 1_000_000}x" for mark in ".;"]
+    began = time.monotonic()
+    assert [r.sentence_ids for r in found(spark, texts)] == ["", "GplAny", "", "MitName", "MitName"]
+    assert time.monotonic() - began < 60
+
+
+def test_marks_after_a_tag(spark):
+    rows = [("SPDX-License-Identifier:. MIT",), ("SPDX-License-Identifier: MIT",), ("a.. b",), ("a..b",), ("a?!",), ("SPDX-License-Identifier\t:: MIT",)]
+    cut = spark.createDataFrame(rows, "t string").select(licenses._sentences(F.col("t")).alias("s")).collect()
+    assert [[x for x in r.s if x] for r in cut] == [
+        ["SPDX-License-Identifier:", " MIT"], ["SPDX-License-Identifier: MIT"], ["a", " b"], ["a..b"], ["a"], ["SPDX-License-Identifier\t:", " MIT"],
+    ]
